@@ -46,10 +46,14 @@ SEX = CodeSpec(allowed=("HOMBRE", "MUJER"), default="ND")
 SIZE = CodeSpec(allowed=("C", "M", "G", "B"), default="C")
 
 
-def normalize_code(c: ColumnOrName, spec: CodeSpec) -> Column:
-    """Clean one code column according to ``spec`` (one CASE, codegen-friendly)."""
+def normalize_code(c: ColumnOrName, spec: CodeSpec, v: Column | None = None) -> Column:
+    """Clean one code column according to ``spec`` (one CASE, codegen-friendly).
+
+    ``v`` may carry ``upper(strip(c))`` already computed in an earlier projection,
+    so the CASE does not repeat it in every branch.
+    """
     raw = _col(c)
-    v = F.upper(strip_ws(raw))
+    v = F.upper(strip_ws(raw)) if v is None else v
     expr = F.when(raw.isNull() | (raw == F.lit("")), F.lit(spec.default))
     for dirty, clean in spec.aliases.items():
         expr = expr.when(v == F.lit(dirty), F.lit(clean))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,14 +47,26 @@ def grow_dimension(
     return grown, added
 
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, key: str, max_rows: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def insert_if_absent(
+    target: DataFrame,
+    rows: DataFrame,
+    key: str,
+    known_keys: Sequence | None = None,
+    max_rows: int = 100_000,
+) -> tuple[DataFrame, DataFrame]:
     """``IF NOT EXISTS (SELECT 1 FROM target WHERE key = ...) INSERT``, for a bounded set of rows.
 
-    The keys of ``rows`` (at most ``max_rows``, checked) are broadcast into a
-    semi join against ``target``, so the large side is only scanned, never
-    shuffled.  Returns ``(target_with_new_rows, inserted)``.
+    When the keys are constants of the caller (``known_keys``), the presence
+    test is a literal ``IN`` filter that Catalyst pushes down to the scan of
+    ``target`` (through projections and key-partitioned windows).  Otherwise the
+    keys of ``rows`` (at most ``max_rows``, checked) are broadcast into a semi
+    join, so ``target`` is scanned, never shuffled.  Returns
+    ``(target_with_new_rows, inserted)``.
     """
-    row_keys = bounded_broadcast(rows.select(key).distinct(), max_rows)
-    present = target.select(key).join(row_keys, key, "left_semi").distinct()
-    inserted = rows.join(present, key, "left_anti")
+    if known_keys is not None:
+        present = target.select(key).filter(F.col(key).isin(*known_keys)).distinct()
+    else:
+        row_keys = bounded_broadcast(rows.select(key).distinct(), max_rows)
+        present = target.select(key).join(row_keys, key, "left_semi").distinct()
+    inserted = rows.join(F.broadcast(present), key, "left_anti")
     return target.unionByName(inserted, allowMissingColumns=True), inserted

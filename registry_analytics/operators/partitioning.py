@@ -1,0 +1,17 @@
+"""Partition-count helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks when its scan is narrower.
+
+    A single large file stored as one row group is read by one task, and all
+    row-level work after it would run on one core.  On real inputs (many files
+    or row groups) the scan already has more partitions than cores and this is
+    a no-op; the planned partition count is read without running a job.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -128,7 +128,7 @@ def g3_grow_activities(spark, sf):
 def g2_insert_if_absent(spark, sf):
     reg = registry_for(spark, sf)
     special = spark.createDataFrame(SPECIAL_ROWS, FACT)
-    _, inserted = insert_if_absent(reg.fact, special, "ruc")
+    _, inserted = insert_if_absent(reg.fact, special, "ruc", known_keys=[r[0] for r in SPECIAL_ROWS])
     return _money(inserted)
 
 

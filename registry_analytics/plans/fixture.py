@@ -14,19 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.partitioning import ensure_parallelism
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _pick(k: Column, values: Sequence[str | None]) -> Column:
-    """``values[k % len(values)]`` as a CASE expression."""
-    m = k % F.lit(len(values))
-    expr = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        expr = F.when(m == i, lit) if expr is None else expr.when(m == i, lit)
-    return expr
+    """``values[k % len(values)]`` from a literal array (one lookup, no CASE chain)."""
+    arr = F.array(*[F.lit(v).cast("string") for v in values])
+    return F.get(arr, (k % F.lit(len(values))).cast("int"))
 
 
 # The dirty code cycles of the staging fixture.
@@ -39,7 +37,7 @@ SEXO_CYCLE = ("HOMBRE", "MUJER", "hombre", "X", None)
 
 def dirty_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed staging rows (staging schema + ``seq``), one per order."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = ensure_parallelism(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (o.join(c, o.o_custkey == c.c_custkey, "inner")

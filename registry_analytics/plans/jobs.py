@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,11 @@ from ..sources.files import read_table, write_table
 from ..sources.results import long_rows, save_results, to_long
 from . import analyses as A
 from .fixture import dirty_staging
+from ..operators.dedup import first_wins
+from ..operators.dimensions import insert_if_absent
+from ..schemas import FACT, FACT_COLUMNS
 from .lookups import Lookups, grow_lookups, seed_lookups
-from .migrate import migrate
+from .migrate import SPECIAL_ROWS, candidates, flag_rules, normalize
 
 
 @dataclass(frozen=True)
@@ -33,24 +36,49 @@ _BUILT: dict[tuple[str, str], Registry] = {}
 _LOCK = threading.Lock()
 
 
-def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = None) -> Registry:
-    """Load job: staging -> lookups -> fact + rejected, each written as a parquet table.
+GROWN_LOOKUPS = ("activities", "places", "company_types")
+
 
-    Writing each stage cuts the lineage (an executor lost later re-reads a
-    table instead of recomputing the joins) and lets every analysis scan only
-    the columns it needs.
+def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = None) -> Registry:
+    """Load job: staging -> lookups -> checked rows (fact + rejected), each stage written.
+
+    * staging is written once and read back column-pruned by every later step;
+    * lookups grown from staging are written; fixed catalogues stay literal;
+    * normalise -> first-row-wins -> rules runs **once** and is written as one
+      table partitioned by ``status``; the fact is its ``valid`` partition and
+      the rejected rows its ``rejected`` partition (partition pruning);
+    * the special row is tested against the written fact with a literal key
+      filter pushed into the scan, and appended to the same table.
+
+    Writing each stage cuts the lineage: an executor lost later re-reads a
+    table instead of recomputing the joins.
     """
     root = root or new_work_dir(spark, "registry")
     write_table(staging, f"{root}/staging")
     st = read_table(spark, f"{root}/staging")
     grown, _ = grow_lookups(st, seed_lookups(spark))
-    for name, df in grown.as_dict().items():
-        write_table(df.coalesce(1), f"{root}/lookups/{name}")
-    lk = Lookups(**{n: read_table(spark, f"{root}/lookups/{n}") for n in grown.as_dict()})
-    m = migrate(st, lk)
-    write_table(m.fact, f"{root}/fact")
-    write_table(m.rejected, f"{root}/rejected")
-    return Registry(root, st, read_table(spark, f"{root}/fact"), read_table(spark, f"{root}/rejected"), lk)
+    stored = {}
+    for name in GROWN_LOOKUPS:
+        write_table(getattr(grown, name), f"{root}/lookups/{name}")
+        stored[name] = read_table(spark, f"{root}/lookups/{name}")
+    lk = replace(grown, **stored)
+
+    status = F.when(F.size("broken_rules") == 0, F.lit("valid")).otherwise(F.lit("rejected")).alias("status")
+    deduped = first_wins(normalize(candidates(st)), "ruc", ["_seq"]).drop("_seq")
+    checked = flag_rules(deduped, lk).select(*FACT_COLUMNS, "broken_rules", status)
+    write_table(checked, f"{root}/checked", partition_by=("status",))
+
+    valid = read_table(spark, f"{root}/checked").filter(F.col("status") == "valid")
+    special = spark.createDataFrame(SPECIAL_ROWS, FACT)
+    _, inserted = insert_if_absent(valid.select(*FACT_COLUMNS), special, "ruc",
+                                   known_keys=[r[0] for r in SPECIAL_ROWS])
+    special_checked = flag_rules(inserted, lk).select(*FACT_COLUMNS, "broken_rules", status)
+    write_table(special_checked, f"{root}/checked", mode="append", partition_by=("status",))
+
+    table = read_table(spark, f"{root}/checked")
+    fact = table.filter(F.col("status") == "valid").select(*FACT_COLUMNS)
+    rejected = table.filter(F.col("status") == "rejected").drop("status")
+    return Registry(root, st, fact, rejected, lk)
 
 
 def registry_for(spark: SparkSession, sf_dir: str) -> Registry:

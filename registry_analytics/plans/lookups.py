@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +70,9 @@ class Lookups:
     places: DataFrame
     states: DataFrame
     conditions: DataFrame
+    # Lookups whose content is exactly a literal catalogue: name -> its codes.
+    # Their foreign-key checks are literal IN lists instead of joins.
+    fixed: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
@@ -88,6 +91,12 @@ def seed_lookups(spark: SparkSession) -> Lookups:
         places=mk([], schemas.PLACE),
         states=mk(STATES, schemas.STATE),
         conditions=mk(CONDITIONS, schemas.CONDITION),
+        fixed={
+            "company_types": tuple(r[0] for r in COMPANY_TYPES),
+            "sizes": tuple(r[0] for r in SIZES),
+            "states": tuple(r[0] for r in STATES),
+            "conditions": tuple(r[0] for r in CONDITIONS),
+        },
     )
 
 
@@ -112,5 +121,6 @@ def grow_lookups(staging: DataFrame, seeds: Lookups) -> tuple[Lookups, dict[str,
         seeds.company_types, cleaned_types, "t", "id_tipo_empresa",
         {"id_tipo_empresa": v, "descripcion": F.concat(F.lit(TYPE_TEXT), v), "abreviatura": v},
     )
-    grown = replace(seeds, activities=activities, places=places, company_types=types)
+    fixed = {k: v for k, v in seeds.fixed.items() if k not in ("activities", "places", "company_types")}
+    grown = replace(seeds, activities=activities, places=places, company_types=types, fixed=fixed)
     return grown, {"activities": new_act, "places": new_places, "company_types": new_types}

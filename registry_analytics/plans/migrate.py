@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import COMPANY_TYPE, CONDITION, SEX, SIZE, STATE, clamp_amount, normalize_code
+from ..functions.text import key_form, strip_ws
 from ..operators.dedup import first_wins
 from ..operators.dimensions import insert_if_absent
-from ..operators.quality import Rule, drop_fk_flags, fk_rules, split_valid
+from ..operators.quality import Rule, broken_rules, drop_fk_flags, fk_rules
 from ..schemas import FACT, FACT_COLUMNS, FACT_LENGTHS
 from .lookups import Lookups
 
@@ -39,26 +40,59 @@ def candidates(staging: DataFrame) -> DataFrame:
     return staging.filter(cond)
 
 
+CODE_COLUMNS = {
+    "ddp_tpoemp": ("id_tipo_empresa", COMPANY_TYPE),
+    "ddp_tamano": ("id_tamano", SIZE),
+    "ddp_estado": ("id_estado", STATE),
+    "ddp_flag22": ("id_condicion", CONDITION),
+    "dds_sexo": ("id_sexo", SEX),
+}
+
+
 def normalize(staging: DataFrame, order_col: str = "seq") -> DataFrame:
-    """Staging columns -> fact columns (clean codes, clamped debt, raw condition kept)."""
-    return staging.select(
+    """Staging columns -> fact columns (clean codes, clamped debt, raw condition kept).
+
+    Two projections: the normal form of every code first, then the CASE of each
+    code over it, so the generated code stays small and the JIT compiles it.
+    """
+    pre = staging.select(
+        "ddp_numruc", "ddp_ciiu", "ddp_ubigeo", "dds_edad", "deuda", F.col(order_col).alias("_seq"),
+        *CODE_COLUMNS,
+        *[F.upper(strip_ws(c)).alias(f"_v_{c}") for c in CODE_COLUMNS],
+    )
+    code = {out: normalize_code(c, spec, F.col(f"_v_{c}")) for c, (out, spec) in CODE_COLUMNS.items()}
+    return pre.select(
         F.col("ddp_numruc").alias("ruc"),
         F.col("ddp_ciiu").alias("id_ciiu"),
-        normalize_code("ddp_tpoemp", COMPANY_TYPE).alias("id_tipo_empresa"),
-        normalize_code("ddp_tamano", SIZE).alias("id_tamano"),
+        code["id_tipo_empresa"].alias("id_tipo_empresa"),
+        code["id_tamano"].alias("id_tamano"),
         F.col("ddp_ubigeo").alias("id_ubicacion"),
-        normalize_code("ddp_estado", STATE).alias("id_estado"),
-        normalize_code("ddp_flag22", CONDITION).alias("id_condicion"),
-        normalize_code("dds_sexo", SEX).alias("sexo"),
+        code["id_estado"].alias("id_estado"),
+        code["id_condicion"].alias("id_condicion"),
+        code["id_sexo"].alias("sexo"),
         F.col("dds_edad").alias("edad"),
         clamp_amount(F.col("deuda").cast("decimal(18,2)")).cast("decimal(18,2)").alias("deuda"),
         F.col("ddp_flag22").alias("flag22"),
-        F.col(order_col).alias("_seq"),
+        "_seq",
     )
 
 
+FOREIGN_KEYS = [  # rule name, fact column, lookup name, lookup key
+    ("fk_activity", "id_ciiu", "activities", "id_ciiu"),
+    ("fk_company_type", "id_tipo_empresa", "company_types", "id_tipo_empresa"),
+    ("fk_size", "id_tamano", "sizes", "id_tamano"),
+    ("fk_place", "id_ubicacion", "places", "id_ubicacion"),
+    ("fk_state", "id_estado", "states", "id_estado"),
+    ("fk_condition", "id_condicion", "conditions", "id_condicion"),
+]
+
+
 def fact_rules(lookups: Lookups, df: DataFrame) -> tuple[DataFrame, list[Rule]]:
-    """NOT NULL, CHECK, length and foreign-key rules of the fact table."""
+    """NOT NULL, CHECK, length and foreign-key rules of the fact table.
+
+    A lookup that is a fixed literal catalogue is checked with a literal IN
+    list; a lookup grown from data is left-joined by its key set.
+    """
     rules = [Rule(f"not_null_{f.name}", F.col(f.name).isNotNull()) for f in FACT.fields if not f.nullable]
     rules += [
         Rule("sexo_valid", F.col("sexo").isin(*SEXES)),
@@ -67,22 +101,29 @@ def fact_rules(lookups: Lookups, df: DataFrame) -> tuple[DataFrame, list[Rule]]:
         Rule("ruc_positive", F.col("ruc") > 0),
     ]
     rules += [Rule(f"length_{c}", F.length(c) <= n) for c, n in FACT_LENGTHS.items()]
-    df, fks = fk_rules(df, [
-        ("fk_activity", "id_ciiu", lookups.activities, "id_ciiu"),
-        ("fk_company_type", "id_tipo_empresa", lookups.company_types, "id_tipo_empresa"),
-        ("fk_size", "id_tamano", lookups.sizes, "id_tamano"),
-        ("fk_place", "id_ubicacion", lookups.places, "id_ubicacion"),
-        ("fk_state", "id_estado", lookups.states, "id_estado"),
-        ("fk_condition", "id_condicion", lookups.conditions, "id_condicion"),
-    ])
+    dims = lookups.as_dict()
+    joined = []
+    for name, col, dim, key in FOREIGN_KEYS:
+        if dim in lookups.fixed:
+            rules.append(Rule(name, key_form(col).isin(*lookups.fixed[dim]) | F.col(col).isNull()))
+        else:
+            joined.append((name, col, dims[dim], key))
+    df, fks = fk_rules(df, joined)
     return df, rules + fks
 
 
+def flag_rules(df: DataFrame, lookups: Lookups, flag_col: str = "broken_rules") -> DataFrame:
+    """Rows with the array of the names of the rules they break (empty when valid)."""
+    flagged, rules = fact_rules(lookups, df)
+    return drop_fk_flags(flagged.withColumn(flag_col, broken_rules(rules)))
+
+
 def check_rules(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``: rejected rows keep ``broken_rules``."""
-    flagged, rules = fact_rules(lookups, df)
-    valid, rejected = split_valid(flagged, rules)
-    return drop_fk_flags(valid), drop_fk_flags(rejected)
+    flagged = flag_rules(df, lookups)
+    valid = flagged.filter(F.size("broken_rules") == 0).drop("broken_rules")
+    rejected = flagged.filter(F.size("broken_rules") > 0)
+    return valid, rejected
 
 
 @dataclass(frozen=True)
@@ -103,7 +144,7 @@ def migrate(staging: DataFrame, lookups: Lookups, order_col: str = "seq", specia
     spark = staging.sparkSession
     special = spark.createDataFrame(special_rows, FACT) if special_rows else None
     if special is not None:
-        _, inserted = insert_if_absent(valid, special, "ruc")
+        _, inserted = insert_if_absent(valid, special, "ruc", known_keys=[r[0] for r in special_rows])
         special_ok, special_bad = check_rules(inserted, lookups)
         fact = valid.unionByName(special_ok.select(*FACT_COLUMNS))
         rejected = rejected.unionByName(special_bad)
