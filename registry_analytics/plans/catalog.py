@@ -100,8 +100,9 @@ def n1_normalize_codes(spark, sf):
 
 
 def m1_migrate(spark, sf):
-    """The whole staging -> fact job as one lazy plan (no stored intermediate)."""
-    st = dirty_staging(spark, sf)
+    """The staging -> fact job as one lazy plan over the stored staging table
+    (lookups grown, rows filtered, normalised, de-duplicated and checked in one plan)."""
+    st = registry_for(spark, sf).staging
     lk, _ = grow_lookups(st, seed_lookups(spark))
     return _money(migrate(st, lk).fact)
 
@@ -133,12 +134,11 @@ def g2_insert_if_absent(spark, sf):
 
 
 def q1_orphans(spark, sf):
-    """Orphan count per foreign key of the de-duplicated rows plus the special row."""
+    """Orphan count per foreign key over every checked row (the de-duplicated rows and the
+    special row when it was absent), by anti-join flags against the stored lookups."""
     reg = registry_for(spark, sf)
-    st = reg.staging
     lk = reg.lookups
-    m = migrate(st, lk)
-    rows = m.deduped.unionByName(spark.createDataFrame(SPECIAL_ROWS, FACT))
+    rows = reg.fact.unionByName(reg.rejected.drop("broken_rules"))
     flagged, rules = fk_rules(rows, [
         ("fk_activity", "id_ciiu", lk.activities, "id_ciiu"),
         ("fk_company_type", "id_tipo_empresa", lk.company_types, "id_tipo_empresa"),

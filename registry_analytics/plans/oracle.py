@@ -333,7 +333,7 @@ SELECT {NORM_COLUMNS.replace("CAST(greatest(coalesce(deuda, 0), 0) AS DECIMAL(18
         f"SELECT {_FACT_OUT} FROM ({SPECIAL}) s WHERE NOT EXISTS (SELECT 1 FROM fact WHERE fact.ruc = s.ruc)")
     fk = [(n, p) for n, p in RULES if n.startswith("fk_")]
     q["q1_orphans"] = _on_fact(
-        ", rows_ AS (SELECT * FROM dedup UNION ALL " + SPECIAL + ")\n"
+        ", rows_ AS (SELECT * FROM dedup UNION ALL SELECT * FROM special_in)\n"
         + " UNION ALL ".join(f"SELECT '{n}' AS fk, CAST(count_if(NOT {p}) AS BIGINT) AS orphans FROM rows_" for n, p in fk))
     q["s1_star"] = _on_fact("""
 SELECT c.ruc, c.sexo, c.edad, CAST(c.deuda AS DOUBLE) AS deuda,
