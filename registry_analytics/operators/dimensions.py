@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_form
@@ -16,14 +16,18 @@ def distinct_values(source: DataFrame, col: str, case_insensitive: bool = True)
 
     Case-insensitive mode merges values equal under the normal form
     (``Chimbote`` = ``CHIMBOTE``) and keeps the smallest spelling, so the result
-    does not depend on row order.  Partial aggregation keeps the shuffle at one
-    row per value and input partition.
+    does not depend on row order.  Exact distinct spellings come first (a hash
+    aggregate with map-side combine: one row per spelling and partition
+    crosses the shuffle); the smallest spelling per normal form is then ranked
+    over that small set (a ``min`` over strings would be planned as a sort
+    aggregate over every source row).
     """
-    v = F.col(col)
-    src = source.select(v.alias("_v")).filter(F.col("_v").isNotNull())
-    if case_insensitive:
-        return src.groupBy(key_form("_v").alias("_k")).agg(F.min("_v").alias("_v"))
-    return src.distinct().withColumn("_k", F.col("_v"))
+    spellings = source.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+    keyed = spellings.withColumn("_k", key_form("_v") if case_insensitive else F.col("_v"))
+    if not case_insensitive:
+        return keyed
+    w = Window.partitionBy("_k").orderBy("_v")
+    return keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def grow_dimension(

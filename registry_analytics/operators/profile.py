@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_pct
@@ -38,15 +38,22 @@ def share_of_total(
     count_col: str = "n",
     share_col: str = "share_pct",
     total: Column | None = None,
+    bounded_groups: bool = False,
 ) -> DataFrame:
     """Add ``count / total * 100``.
 
-    ``total`` defaults to the sum of ``count_col`` over the grouped frame, taken
-    as a scalar subquery (no single-partition window, no cross join).  Pass a
-    scalar Column for "share of all rows" when groups do not cover every row.
+    ``total`` defaults to the sum of ``count_col`` over the grouped frame.
+    With ``bounded_groups`` (the key takes a known, small set of values, e.g.
+    codes of a fixed catalogue) it is a ``sum() over ()`` on the grouped rows:
+    one extra exchange of a handful of rows, no second scan.  Otherwise it is
+    a scalar subquery (no single-partition window over an unbounded number of
+    groups, no cross join).  Pass a scalar Column for "share of all rows".
     """
     if total is None:
-        total = grouped.select(F.sum(count_col)).scalar()
+        if bounded_groups:
+            total = F.sum(count_col).over(Window.partitionBy())
+        else:
+            total = grouped.select(F.sum(count_col)).scalar()
     return grouped.withColumn(share_col, safe_pct(F.col(count_col), total))
 
 

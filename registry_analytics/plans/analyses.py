@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import mean_as_double, safe_pct, sum_as_double
+from ..functions.numbers import mean_as_double, sum_as_double
 from ..functions.text import key_form, truncate
 from ..operators.joins import lookup_label
 from ..operators.profile import (
@@ -59,31 +59,32 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
                activity: str = "id_ciiu", amount: str = "deuda", case_sensitive: bool = True) -> DataFrame:
     """B1: the ``k`` places with most rows: active rows, debt, distinct activities.
 
-    ``case_sensitive=False`` groups ``Chimbote`` with ``CHIMBOTE`` (shown by its
-    smallest spelling).  The distinct count is planned as two partial
+    ``case_sensitive=False`` groups ``Chimbote`` with ``CHIMBOTE`` under the
+    normal form ``CHIMBOTE``.  All aggregates are hash aggregates with
+    map-side combine; the distinct count is planned as two partial
     aggregations, so a dominant place does not gather its rows in one task.
     """
     key = F.col(place) if case_sensitive else key_form(place)
-    g = fact.groupBy(key.alias("_key")).agg(
-        F.min(place).alias(place),
+    g = fact.groupBy(key.alias(place)).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(state) == F.lit(ACTIVE)).alias("active"),
         sum_as_double(amount).alias("debt_total"),
         F.count_distinct(activity).alias("activities"),
     )
-    top = top_k(g, k, "n", "_key")
+    top = top_k(g, k, "n", place)
     return top.select(place, truncate(place, 24).alias("place_label"), "n", "active", "debt_total", "activities")
 
 
 def size_profile(fact: DataFrame, key: str = "id_tamano", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, debt total and mean age per size, with the size label."""
     g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "age_avg": F.avg(age)})
-    return share_of_total(g).withColumn("label", lookup_label(key, SIZE_LABELS))
+    return share_of_total(g, bounded_groups=True).withColumn("label", lookup_label(key, SIZE_LABELS))
 
 
 def type_profile(fact: DataFrame, key: str = "id_tipo_empresa") -> DataFrame:
     """Rows and share per company type, with the type label (two codes may share a label)."""
-    return share_of_total(group_profile(fact, key)).withColumn("label", lookup_label(key, TYPE_LABELS))
+    return share_of_total(group_profile(fact, key), bounded_groups=True).withColumn(
+        "label", lookup_label(key, TYPE_LABELS))
 
 
 def top_activities(fact: DataFrame, k: int = 20, key: str = "id_ciiu", state: str = "id_estado",
@@ -104,7 +105,7 @@ def sector_counts(fact: DataFrame, key: str = "id_ciiu", state: str = "id_estado
 def sex_profile(fact: DataFrame, key: str = "sexo", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, mean debt and mean age per sex."""
     g = group_profile(fact, key, {"debt_avg": mean_as_double(amount), "age_avg": F.avg(age)})
-    return share_of_total(g)
+    return share_of_total(g, bounded_groups=True)
 
 
 def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
@@ -118,8 +119,8 @@ def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
     band_no = bucketize(a, AGE_EDGES, [str(i) for i in range(1, len(AGE_LABELS) + 1)],
                         keep=a.isNotNull() & (a > 0)).cast("int")
     g = fact.groupBy(band.alias("age_band"), band_no.alias("band_no")).agg(F.count(F.lit(1)).alias("n"))
-    total = g.select(F.sum("n")).scalar()
-    return g.withColumn("share_pct", safe_pct(F.col("n"), total)).filter(F.col("age_band").isNotNull())
+    # At most seven groups (six bands and the NULL band): the total is a window over them.
+    return share_of_total(g, bounded_groups=True).filter(F.col("age_band").isNotNull())
 
 
 def null_columns(fact: DataFrame, columns=NULL_PROFILE_COLUMNS) -> DataFrame:

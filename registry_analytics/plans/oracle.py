@@ -264,10 +264,10 @@ SELECT count(*) {pos} AS debtors,
 FROM fact""")
     b1 = """
 SELECT id_ubicacion, substr(id_ubicacion, 1, 24) AS place_label, n, active, debt_total, activities FROM (
-  SELECT {key} AS _key, min(id_ubicacion) AS id_ubicacion, count(*) AS n,
+  SELECT {key} AS id_ubicacion, count(*) AS n,
     CAST(count_if(id_estado = 'ACTIVO') AS BIGINT) AS active, CAST(sum(deuda) AS DOUBLE) AS debt_total,
     count(DISTINCT id_ciiu) AS activities
-  FROM fact GROUP BY 1 ORDER BY n DESC, _key ASC LIMIT 15)"""
+  FROM fact GROUP BY 1 ORDER BY n DESC, id_ubicacion ASC LIMIT 15)"""
     q["b1_top_places"] = _on_fact(b1.format(key="id_ubicacion"))
     q["b2_top_places_ci"] = _on_fact(b1.format(key="upper(trim(id_ubicacion))"))
     q["c1_size_profile"] = _on_fact(f"""
