@@ -40,9 +40,15 @@ AGE_LABELS = ("< 30 años", "30-39 años", "40-49 años", "50-59 años", "60-69
 NULL_PROFILE_COLUMNS = ("edad", "deuda", "id_ciiu", "id_tipo_empresa", "id_estado", "id_condicion")
 
 
+def by_count(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
+    """Rows by count descending, ties by key (a sort of the small grouped result)."""
+    return df.orderBy(F.col(count_col).desc(), F.col(key).asc_nulls_last())
+
+
 def state_profile(fact: DataFrame, key: str = "id_estado", amount: str = "deuda") -> DataFrame:
     """A1: rows, debt total and debt mean per state."""
-    return group_profile(fact, key, {"debt_total": sum_as_double(amount), "debt_avg": mean_as_double(amount)})
+    g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "debt_avg": mean_as_double(amount)})
+    return by_count(g, key)
 
 
 def debt_stats(fact: DataFrame, amount: str = "deuda", accuracy: int = 1_000_000) -> DataFrame:
@@ -78,13 +84,13 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
 def size_profile(fact: DataFrame, key: str = "id_tamano", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, debt total and mean age per size, with the size label."""
     g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "age_avg": F.avg(age)})
-    return share_of_total(g, bounded_groups=True).withColumn("label", lookup_label(key, SIZE_LABELS))
+    return by_count(share_of_total(g, bounded_groups=True).withColumn("label", lookup_label(key, SIZE_LABELS)), key)
 
 
 def type_profile(fact: DataFrame, key: str = "id_tipo_empresa") -> DataFrame:
     """Rows and share per company type, with the type label (two codes may share a label)."""
-    return share_of_total(group_profile(fact, key), bounded_groups=True).withColumn(
-        "label", lookup_label(key, TYPE_LABELS))
+    return by_count(share_of_total(group_profile(fact, key), bounded_groups=True).withColumn(
+        "label", lookup_label(key, TYPE_LABELS)), key)
 
 
 def top_activities(fact: DataFrame, k: int = 20, key: str = "id_ciiu", state: str = "id_estado",
@@ -105,7 +111,7 @@ def sector_counts(fact: DataFrame, key: str = "id_ciiu", state: str = "id_estado
 def sex_profile(fact: DataFrame, key: str = "sexo", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, mean debt and mean age per sex."""
     g = group_profile(fact, key, {"debt_avg": mean_as_double(amount), "age_avg": F.avg(age)})
-    return share_of_total(g, bounded_groups=True)
+    return by_count(share_of_total(g, bounded_groups=True), key)
 
 
 def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
@@ -120,7 +126,8 @@ def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
                         keep=a.isNotNull() & (a > 0)).cast("int")
     g = fact.groupBy(band.alias("age_band"), band_no.alias("band_no")).agg(F.count(F.lit(1)).alias("n"))
     # At most seven groups (six bands and the NULL band): the total is a window over them.
-    return share_of_total(g, bounded_groups=True).filter(F.col("age_band").isNotNull())
+    # Text order of the band label, as reported ("< 30 años" sorts last); band_no gives age order.
+    return share_of_total(g, bounded_groups=True).filter(F.col("age_band").isNotNull()).orderBy("age_band")
 
 
 def null_columns(fact: DataFrame, columns=NULL_PROFILE_COLUMNS) -> DataFrame:

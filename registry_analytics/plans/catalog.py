@@ -19,6 +19,7 @@ from ..operators.profile import conditional_counts
 from ..session import new_work_dir
 from ..sources.files import has_rows, write_csv
 from ..sources.results import category_max, load_results
+from ..sources.sql import query as sql_query, register_views
 from . import analyses as A
 from . import reports as R
 from .fixture import dirty_staging, raw_text_rows, table
@@ -157,19 +158,24 @@ def q1_orphans(spark, sf):
 STAR_FACT_COLUMNS = {"ruc": "ruc", "sexo": "sexo", "edad": "edad", "deuda": "deuda"}
 
 
-def s1_star(spark, sf):
+def star(spark, sf) -> DataFrame:
+    """JOB-7: the fact with the descriptions of its six lookups (13 columns)."""
     reg = registry_for(spark, sf)
     lk = reg.lookups
     dims = [
         Dim(lk.activities, "id_ciiu", "id_ciiu", {"codigo_ciiu": "id_ciiu", "actividad_economica": "descripcion"}),
-        Dim(lk.company_types, "id_tipo_empresa", "id_tipo_empresa", {"tipo_empresa": "descripcion"}, small=True),
+        Dim(lk.company_types, "id_tipo_empresa", "id_tipo_empresa", {"tipo_empresa": "descripcion"}),
         Dim(lk.sizes, "id_tamano", "id_tamano", {"tamano_empresa": "descripcion"}, small=True),
         Dim(lk.places, "id_ubicacion", "id_ubicacion",
             {"distrito": "nombre_distrito", "provincia": "provincia", "departamento": "departamento"}),
         Dim(lk.states, "id_estado", "id_estado", {"estado_tributario": "descripcion"}, small=True),
         Dim(lk.conditions, "id_condicion", "id_condicion", {"condicion_domicilio": "descripcion"}, small=True),
     ]
-    return _money(star_join(reg.fact, dims, STAR_FACT_COLUMNS))
+    return star_join(reg.fact, dims, STAR_FACT_COLUMNS)
+
+
+def s1_star(spark, sf):
+    return _money(star(spark, sf))
 
 
 def s2_star_driver(spark, sf):
@@ -250,6 +256,14 @@ def r7b_category_max(spark, sf):
     return category_max(load_results(spark, path, "Geografía - Por Ubicación"))
 
 
+def r9_sql_star_by_state(spark, sf):
+    """The star as a temp view, queried with SQL and a bound parameter (debts above a floor)."""
+    register_views(spark, {"star": star(spark, sf)})
+    return sql_query(spark, """
+        SELECT estado_tributario, count(*) AS n, CAST(sum(deuda) AS DOUBLE) AS debt_total
+        FROM vw_contribuyente_completo WHERE deuda > :floor GROUP BY estado_tributario""", {"floor": 0})
+
+
 def r8_table_counts(spark, sf):
     reg = registry_for(spark, sf)
     return R.table_rows(reg.fact, reg.lookups)
@@ -307,7 +321,7 @@ QUERIES: dict[str, Query] = {
         n1_normalize_codes, m1_migrate, m2_rejected_by_rule, m3_duplicates, g1_grow_places,
         g2_insert_if_absent, g3_grow_activities, q1_orphans, s1_star, s2_star_driver,
         r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r4_by_size, r5_by_sex,
-        r6_top_activities, r7_results_roundtrip, r7b_category_max, r8_table_counts,
+        r6_top_activities, r7_results_roundtrip, r7b_category_max, r8_table_counts, r9_sql_star_by_state,
         p1_parse_rows, i1_csv_roundtrip, l1_load_stats, h1_has_rows,
     ]
 }

@@ -397,6 +397,16 @@ SELECT label AS categoria, max(v) AS max_valor FROM r GROUP BY label""")
     counts = [("CONTRIBUYENTE", "fact"), ("ACTIVIDAD_ECONOMICA", "activities"), ("TIPO_EMPRESA", "types"),
               ("TAMANO_EMPRESA", "sizes"), ("UBICACION_GEOGRAFICA", "places"), ("ESTADO_TRIBUTARIO", "states"),
               ("CONDICION_DOMICILIO", "conditions")]
+    q["r9_sql_star_by_state"] = _on_fact("""
+SELECT et.descripcion AS estado_tributario, count(*) AS n, CAST(sum(c.deuda) AS DOUBLE) AS debt_total
+FROM fact c
+JOIN activities ae ON upper(trim(c.id_ciiu)) = upper(trim(ae.id_ciiu))
+JOIN types te ON upper(trim(c.id_tipo_empresa)) = upper(trim(te.id_tipo_empresa))
+JOIN sizes tm ON upper(trim(c.id_tamano)) = upper(trim(tm.id_tamano))
+JOIN places ub ON upper(trim(c.id_ubicacion)) = upper(trim(ub.id_ubicacion))
+JOIN states et ON upper(trim(c.id_estado)) = upper(trim(et.id_estado))
+JOIN conditions cd ON upper(trim(c.id_condicion)) = upper(trim(cd.id_condicion))
+WHERE c.deuda > 0 GROUP BY et.descripcion""")
     q["r8_table_counts"] = _on_fact(" UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in counts))
     q["p1_parse_rows"] = PARSED_WITH + """

@@ -51,7 +51,7 @@ def by_state(fact: DataFrame, lk: Lookups, amount: str = "deuda") -> DataFrame:
         fact, "id_estado", lk.states, "id_estado", {"estado": "descripcion"},
         {"_n": F.count(F.lit(1)), "_s": F.sum(amount)},
         {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s").cast("double")},
-    )
+    ).orderBy(F.col("n").desc(), "estado")
 
 
 def top_places_by_name(fact: DataFrame, lk: Lookups, k: int = 15, amount: str = "deuda") -> DataFrame:
@@ -71,7 +71,7 @@ def by_size(fact: DataFrame, lk: Lookups, amount: str = "deuda") -> DataFrame:
         {"_n": F.count(F.lit(1)), "_s": F.sum(amount), "_c": F.count(amount)},
         {"n": F.sum("_n").cast("bigint"),
          "debt_avg": F.try_divide(F.sum("_s").cast("double"), F.sum("_c").cast("double"))},
-    )
+    ).orderBy(F.col("n").desc(), "tamano")
 
 
 def by_sex(fact: DataFrame, key: str = "sexo", age: str = "edad", amount: str = "deuda") -> DataFrame:
@@ -80,7 +80,7 @@ def by_sex(fact: DataFrame, key: str = "sexo", age: str = "edad", amount: str =
         F.count(F.lit(1)).alias("n"),
         int_mean(age).alias("age_avg"),
         sum_as_double(amount).alias("debt_total"),
-    )
+    ).orderBy(F.col("n").desc(), key)
 
 
 def top_activities_described(fact: DataFrame, lk: Lookups, k: int = 15, amount: str = "deuda") -> DataFrame:

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The registry work is batch only (load, normalise, de-duplicate, check, report);
+there is no stream, watermark, window or state to rebuild, so no streaming
+operator is defined here.
+"""
