@@ -93,6 +93,18 @@ def f2_default_codes(spark, sf):
     return A.default_codes(_fact(spark, sf))
 
 
+def a1b_orders_by_status(spark, sf):
+    """A1's profile on a plain driver table: orders by status, exact price sums."""
+    o = table(spark, sf, "orders").select("o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    return A.state_profile(o, key="o_orderstatus", amount="price")
+
+
+def a2b_customer_balance_stats(spark, sf):
+    """A2's statistics on customer balances (negative balances are not debts)."""
+    c = table(spark, sf, "customer").select(F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    return A.debt_stats(c, amount="balance")
+
+
 # --- load, normalise, migrate -------------------------------------------------------
 
 def n1_normalize_codes(spark, sf):
@@ -220,6 +232,12 @@ def r3_top_places(spark, sf):
     return R.top_places_by_name(reg.fact, reg.lookups)
 
 
+def r3b_top5_places(spark, sf):
+    """The console summary's five districts with most rows."""
+    reg = registry_for(spark, sf)
+    return R.top_places_by_name(reg.fact, reg.lookups, k=5)
+
+
 def r4_by_size(spark, sf):
     reg = registry_for(spark, sf)
     return R.by_size(reg.fact, reg.lookups)
@@ -316,11 +334,11 @@ def h1_has_rows(spark, sf):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
-        a1_state_profile, a2_debt_stats, b1_top_places, b2_top_places_ci, c1_size_profile, c2_type_profile,
+        a1_state_profile, a1b_orders_by_status, a2_debt_stats, a2b_customer_balance_stats, b1_top_places, b2_top_places_ci, c1_size_profile, c2_type_profile,
         d1_top_activities, d2_sector_rollup, e1_sex_profile, e2_age_bands, f1_null_profile, f2_default_codes,
         n1_normalize_codes, m1_migrate, m2_rejected_by_rule, m3_duplicates, g1_grow_places,
         g2_insert_if_absent, g3_grow_activities, q1_orphans, s1_star, s2_star_driver,
-        r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r4_by_size, r5_by_sex,
+        r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r3b_top5_places, r4_by_size, r5_by_sex,
         r6_top_activities, r7_results_roundtrip, r7b_category_max, r8_table_counts, r9_sql_star_by_state,
         p1_parse_rows, i1_csv_roundtrip, l1_load_stats, h1_has_rows,
     ]

@@ -251,7 +251,23 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["a1_state_profile"] = _on_fact(
         f"SELECT id_estado, count(*) AS n, {_SUM} AS debt_total, {_MEAN} AS debt_avg FROM fact GROUP BY id_estado")
+    q["a1b_orders_by_status"] = f"""
+SELECT o_orderstatus, count(*) AS n, CAST(sum(price) AS DOUBLE) AS debt_total,
+  CAST(sum(price) AS DOUBLE) / CAST(count(price) AS DOUBLE) AS debt_avg
+FROM (SELECT o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders) GROUP BY o_orderstatus"""
     pos = "FILTER (WHERE deuda > 0)"
+    stats = f"""
+SELECT count(*) {pos} AS debtors,
+  coalesce(CAST(sum(deuda) {pos} AS DOUBLE), 0.0) AS debt_total,
+  coalesce(CAST(sum(deuda) {pos} AS DOUBLE) / CAST(count(deuda) {pos} AS DOUBLE), 0.0) AS debt_avg,
+  coalesce(CAST(max(deuda) {pos} AS DOUBLE), 0.0) AS debt_max,
+  coalesce(CAST(min(deuda) {pos} AS DOUBLE), 0.0) AS debt_min,
+  coalesce(CAST(quantile_disc(deuda, 0.5) {pos} AS DOUBLE), 0.0) AS debt_median,
+  coalesce(CAST(quantile_disc(deuda, 0.9) {pos} AS DOUBLE), 0.0) AS debt_p90,
+  {_pct(f"count(*) {pos}", "count(*)")} AS debtors_pct
+FROM {{src}}"""
+    q["a2b_customer_balance_stats"] = stats.format(
+        src="(SELECT CAST(c_acctbal AS DECIMAL(18,2)) AS deuda FROM customer)")
     q["a2_debt_stats"] = _on_fact(f"""
 SELECT count(*) {pos} AS debtors,
   coalesce(CAST(sum(deuda) {pos} AS DOUBLE), 0.0) AS debt_total,
@@ -371,6 +387,10 @@ FROM fact c JOIN states et ON upper(trim(c.id_estado)) = upper(trim(et.id_estado
 SELECT ub.nombre_distrito AS ubicacion, count(*) AS n, {_SUM} AS debt_total
 FROM fact c JOIN places ub ON upper(trim(c.id_ubicacion)) = upper(trim(ub.id_ubicacion))
 GROUP BY ub.nombre_distrito ORDER BY n DESC, ubicacion ASC LIMIT 15""")
+    q["r3b_top5_places"] = _on_fact(f"""
+SELECT ub.nombre_distrito AS ubicacion, count(*) AS n, {_SUM} AS debt_total
+FROM fact c JOIN places ub ON upper(trim(c.id_ubicacion)) = upper(trim(ub.id_ubicacion))
+GROUP BY ub.nombre_distrito ORDER BY n DESC, ubicacion ASC LIMIT 5""")
     q["r4_by_size"] = _on_fact(f"""
 SELECT tm.descripcion AS tamano, count(*) AS n, {_MEAN} AS debt_avg
 FROM fact c JOIN sizes tm ON upper(trim(c.id_tamano)) = upper(trim(tm.id_tamano)) GROUP BY tm.descripcion""")
