@@ -25,7 +25,7 @@ from . import reports as R
 from .fixture import dirty_staging, raw_text_rows, table
 from .ingest import parse_staging, read_registry_csv, split_staging
 from .jobs import registry_for, run_all, text_registry_for
-from .lookups import grow_lookups, seed_lookups
+from .lookups import COMPANY_TYPES, SEED_ACTIVITIES, grow_lookups, seed_lookups
 from .migrate import SPECIAL_ROWS, candidates, migrate, normalize
 from ..schemas import FACT, RAW_COLUMNS
 from ..operators.dimensions import insert_if_absent
@@ -319,6 +319,12 @@ def l1_load_stats(spark, sf):
         cand.agg(F.count_distinct("ddp_numruc").alias("n")).select(F.lit("deduplicated").alias("stage"), "n"),
         reg.fact.agg(F.count(F.lit(1)).alias("n")).select(F.lit("migrated").alias("stage"), "n"),
         reg.rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("stage"), "n"),
+        # Lookup values added from the staging rows (seeded rows are not counted).
+        reg.lookups.activities.agg((F.count(F.lit(1)) - F.lit(len(SEED_ACTIVITIES))).alias("n"))
+        .select(F.lit("new_activities").alias("stage"), "n"),
+        reg.lookups.places.agg(F.count(F.lit(1)).alias("n")).select(F.lit("new_places").alias("stage"), "n"),
+        reg.lookups.company_types.agg((F.count(F.lit(1)) - F.lit(len(COMPANY_TYPES))).alias("n"))
+        .select(F.lit("new_company_types").alias("stage"), "n"),
     ]
     out = parts[0]
     for p in parts[1:]:

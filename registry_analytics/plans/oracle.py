@@ -441,6 +441,12 @@ UNION ALL SELECT 'read', count(*) FROM parsed
 UNION ALL SELECT 'candidates', count(*) FROM cand
 UNION ALL SELECT 'deduplicated', count(*) FROM dedup
 UNION ALL SELECT 'migrated', count(*) FROM fact
-UNION ALL SELECT 'rejected', count(*) FROM rejected"""
+UNION ALL SELECT 'rejected', count(*) FROM rejected
+UNION ALL SELECT 'new_activities', count(*) FROM activities WHERE id_ciiu <> '75113'
+UNION ALL SELECT 'new_places', count(*) FROM places
+UNION ALL SELECT 'new_company_types', count(*) FROM (
+  SELECT DISTINCT upper(trim(t)) AS k FROM (
+    SELECT """ + _norm("ddp_tpoemp", ("A", "B", "C", "D", "E", "CE", "-"), "-", first=("A", "B", "C", "D", "E")) + """ AS t
+    FROM parsed_ok WHERE ddp_tpoemp IS NOT NULL)) WHERE k NOT IN (SELECT k FROM type_keys)"""
     q["h1_has_rows"] = _on_fact("SELECT count(*) >= 100 AS has_rows FROM (SELECT 1 FROM fact LIMIT 100)")
     return q

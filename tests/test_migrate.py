@@ -74,3 +74,33 @@ def test_first_wins_and_duplicates(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 5, "z")], "k int, o int, v string")
     assert sorted((r.k, r.v) for r in first_wins(df, "k", ["o"]).collect()) == [(1, "a"), (2, "z")]
     assert [(r.k, r.n) for r in duplicate_keys(df, "k").collect()] == [(1, 3)]
+
+
+def test_csv_to_results_end_to_end(spark):
+    import os
+
+    from registry_analytics.plans.jobs import ANALYSIS_NAMES, run_registry_from_csv
+    from registry_analytics.schemas import RAW_COLUMNS
+    from registry_analytics.session import new_work_dir
+    from registry_analytics.sources.results import load_results
+
+    path = new_work_dir(spark, "test-e2e")
+    os.makedirs(path, exist_ok=True)
+    lines = [",".join(RAW_COLUMNS),
+             "20001,5211,A7,c,Chimbote,2ACTIVO,2HABIDO,hombre,40,-3.50,",
+             "20001,5211,B,M,Chimbote,ACTIVO,HABIDO,MUJER,41,10.00,1",     # duplicate key: dropped
+             "20002,1511,CE,G,CHIMBOTE,10,ZZ,MUJER,130,5.00,0",             # age 130: rejected
+             "20003,7010,-,B,Santa,INACTIVO,7,X,,1.00,0",
+             ",5211,A,C,Santa,ACTIVO,HABIDO,MUJER,30,1.00,0",                # blank key: skipped
+             "20004,5211,A,C,Santa,ACTIVO,HABIDO,MUJER,x,1.00,0"]            # bad age: quarantined
+    with open(f"{path}/reg.csv", "wb") as f:
+        f.write(("\n".join(lines) + "\n").encode("latin-1"))
+    reg, results = run_registry_from_csv(spark, path)
+    fact = {r.ruc: r for r in reg.fact.collect()}
+    assert sorted(fact) == [20001, 20003, 611077]
+    assert (fact[20001].id_tipo_empresa, fact[20001].id_tamano, fact[20001].id_estado,
+            fact[20001].id_condicion, fact[20001].sexo, str(fact[20001].deuda)) == ("A", "C", "ACTIVO", "HABIDO",
+                                                                                    "HOMBRE", "0.00")
+    assert [r.ruc for r in reg.rejected.collect()] == [20002]
+    stored = {r.nombre_analisis for r in load_results(spark, results).select("nombre_analisis").distinct().collect()}
+    assert stored == set(ANALYSIS_NAMES.values())
