@@ -7,10 +7,11 @@ key so results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import mean_as_double, sum_as_double
+from ..functions.formats import null_grade
+from ..functions.numbers import mean_as_double, safe_pct, sum_as_double
 from ..functions.text import key_form, truncate
 from ..operators.joins import lookup_label
 from ..operators.profile import (
@@ -151,3 +152,129 @@ def default_codes(fact: DataFrame, state: str = "id_estado", condition: str = "i
         "clean_total_exact": (st != F.lit("ND")) & (co != F.lit("ND")),
     })
     return c.withColumn("clean_total", F.col("total") - F.col("nd_estado") - F.col("nd_condicion"))
+
+
+# --- the analysis pack: every report from four scans -----------------------------------
+
+PACK_KEYS = ("id_estado", "id_tamano", "id_tipo_empresa", "sexo")
+
+
+def _pack_grouped(fact: DataFrame, amount: str, age: str) -> DataFrame:
+    """One GROUPING SETS aggregate for the five low-cardinality profiles.
+
+    One scan; Expand emits one row per grouping set and the partial aggregate
+    folds them immediately, so the shuffle carries one row per key and set.
+    Its output is bounded by the catalogue sizes (a few dozen rows).
+    """
+    a = F.col(age)
+    keep = a.isNotNull() & (a > 0)
+    base = fact.select(*PACK_KEYS, amount, age,
+                       bucketize(a, AGE_EDGES, AGE_LABELS, keep=keep).alias("age_band"),
+                       bucketize(a, AGE_EDGES, [str(i) for i in range(1, len(AGE_LABELS) + 1)],
+                                 keep=keep).cast("int").alias("band_no"))
+    sets = [[k] for k in PACK_KEYS] + [["age_band", "band_no"]]
+    return base.groupingSets(sets, *PACK_KEYS, "age_band", "band_no").agg(
+        *[F.grouping(k).alias(f"_g_{k}") for k in PACK_KEYS + ("age_band",)],
+        F.count(F.lit(1)).alias("n"),
+        F.sum(amount).alias("_s_amt"), F.count(amount).alias("_c_amt"),
+        F.sum(a).cast("bigint").alias("_s_age"), F.count(a).alias("_c_age"),
+    )
+
+
+def _pack_global(fact: DataFrame, amount: str, age: str, accuracy: int) -> DataFrame:
+    """One global aggregate for A2, D2-D4, F1, F2 and R1."""
+    x, st, co, code = F.col(amount), F.col("id_estado"), F.col("id_condicion"), F.col("id_ciiu")
+    pos = F.when(x > 0, x)
+    sector = {name: None for name in SECTORS}
+    for name, prefixes in SECTORS.items():
+        for p in prefixes:
+            c = code.startswith(p)
+            sector[name] = c if sector[name] is None else (sector[name] | c)
+    return fact.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count(pos).alias("debtors"), F.sum(pos).alias("_s_pos"), F.max(pos).alias("_max_pos"),
+        F.min(pos).alias("_min_pos"), F.percentile_approx(pos, [0.5, 0.9], accuracy).alias("_p"),
+        *[F.count_if(cond).alias(f"_sec_{i}") for i, cond in enumerate(sector.values())],
+        F.count_if(sector["SECTOR_52xx"] & (st == F.lit(ACTIVE))).alias("_sec_act"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(NULL_PROFILE_COLUMNS)],
+        F.count_if(st == F.lit("ND")).alias("nd_estado"),
+        F.count_if(co == F.lit("ND")).alias("nd_condicion"),
+        F.count_if(F.col("id_tipo_empresa") == F.lit("-")).alias("sin_tipo"),
+        F.count_if((st != F.lit("ND")) & (co != F.lit("ND"))).alias("clean_total_exact"),
+        F.count_if(st == F.lit(ACTIVE)).alias("active"),
+        F.sum(x).alias("_s_all"), F.count(x).alias("_c_all"), F.max(x).alias("_max_all"),
+    )
+
+
+def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
+                  accuracy: int = 1_000_000) -> dict[str, DataFrame]:
+    """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 from four scans.
+
+    The two small packed aggregates are cached (their size is bounded by the
+    catalogues, not by the rows); B1 and D1 are top-k reports over
+    high-cardinality keys and keep their own aggregate.  Each frame has the
+    same columns as the matching single-report function.  The cached packs are
+    returned under ``_grouped`` and ``_global`` so the caller can unpersist them.
+    """
+    g = _pack_grouped(fact, amount, age).cache()
+    s = _pack_global(fact, amount, age, accuracy).cache()
+    total = F.sum("n").over(Window.partitionBy())
+
+    def grouped(key: str) -> DataFrame:
+        rows = g.filter(F.col(f"_g_{key}") == 0)
+        return rows.select(
+            key, "n",
+            F.col("_s_amt").cast("double").alias("debt_total"),
+            F.try_divide(F.col("_s_amt").cast("double"), F.col("_c_amt").cast("double")).alias("debt_avg"),
+            F.try_divide(F.col("_s_age").cast("double"), F.col("_c_age").cast("double")).alias("age_avg"),
+            safe_pct(F.col("n"), total).alias("share_pct"),
+        )
+
+    out = {
+        "_grouped": g,  # cached packs, for the caller to unpersist
+        "_global": s,
+        "A1": by_count(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
+        "C1": by_count(grouped("id_tamano").select(
+            "id_tamano", "n", "debt_total", "age_avg", "share_pct",
+            lookup_label("id_tamano", SIZE_LABELS).alias("label")), "id_tamano"),
+        "C2": by_count(grouped("id_tipo_empresa").select(
+            "id_tipo_empresa", "n", "share_pct", lookup_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
+            "id_tipo_empresa"),
+        "E1": by_count(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
+        "E2": (g.filter(F.col("_g_age_band") == 0)
+               .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
+               .filter(F.col("age_band").isNotNull()).orderBy("age_band")),
+        "B1": top_places(fact, amount=amount),
+        "D1": top_activities(fact, amount=amount),
+    }
+    pos_sum = F.col("_s_pos").cast("double")
+    out["A2"] = s.select(
+        F.col("debtors"), F.coalesce(pos_sum, F.lit(0.0)).alias("debt_total"),
+        F.coalesce(F.try_divide(pos_sum, F.col("debtors").cast("double")), F.lit(0.0)).alias("debt_avg"),
+        F.coalesce(F.col("_max_pos").cast("double"), F.lit(0.0)).alias("debt_max"),
+        F.coalesce(F.col("_min_pos").cast("double"), F.lit(0.0)).alias("debt_min"),
+        F.coalesce(F.col("_p")[0].cast("double"), F.lit(0.0)).alias("debt_median"),
+        F.coalesce(F.col("_p")[1].cast("double"), F.lit(0.0)).alias("debt_p90"),
+        safe_pct(F.col("debtors"), F.col("total")).alias("debtors_pct"),
+    )
+    names = list(SECTORS)
+    rows = [(n, "total", f"_sec_{i}", i * 10) for i, n in enumerate(names)] + [(names[0], "activos", "_sec_act", 1)]
+    stacked = ", ".join(f"'{n}', '{m}', {o}, `{c}`" for n, m, c, o in rows)
+    out["D2"] = s.selectExpr(f"stack({len(rows)}, {stacked}) AS (sector, metric, ord, value)").select(
+        "sector", "metric", F.col("value").cast("bigint").alias("value"), F.col("ord").cast("int").alias("ord"))
+    nulls = ", ".join(f"'{c}', {i}, `_null_{i}`" for i, c in enumerate(NULL_PROFILE_COLUMNS))
+    f1 = s.selectExpr("total", f"stack({len(NULL_PROFILE_COLUMNS)}, {nulls}) AS (column_name, ord, nulls)")
+    pct = safe_pct(F.col("nulls"), F.col("total"))
+    out["F1"] = f1.select("column_name", F.col("ord").cast("int").alias("ord"),
+                          F.col("nulls").cast("bigint").alias("nulls"), pct.alias("null_pct"),
+                          null_grade(pct).alias("grade"))
+    out["F2"] = s.select("total", "nd_estado", "nd_condicion", "sin_tipo", "clean_total_exact",
+                         (F.col("total") - F.col("nd_estado") - F.col("nd_condicion")).alias("clean_total"))
+    all_sum = F.col("_s_all").cast("double")
+    out["R1"] = s.select(
+        "total", "active", F.col("debtors").alias("with_debt"),
+        F.coalesce(all_sum, F.lit(0.0)).alias("debt_total"),
+        F.coalesce(F.try_divide(all_sum, F.col("_c_all").cast("double")), F.lit(0.0)).alias("debt_avg"),
+        F.coalesce(F.col("_max_all").cast("double"), F.lit(0.0)).alias("debt_max"),
+    )
+    return out

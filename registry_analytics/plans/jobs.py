@@ -147,17 +147,16 @@ ANALYSIS_NAMES = {
 
 
 def long_results(fact: DataFrame) -> dict[str, DataFrame]:
-    """Every analysis as long-form result rows, by analysis code."""
+    """Every analysis as long-form result rows, by analysis code (from the analysis pack:
+    four scans of the fact instead of one per report)."""
     s = lambda c: F.col(c).cast("string")  # noqa: E731  (bare number text, no separators)
     n = ANALYSIS_NAMES
-    a1 = A.state_profile(fact).withColumn("cat", F.coalesce(F.col("id_estado"), F.lit("ND")))
-    a2 = A.debt_stats(fact)
-    b1 = A.top_places(fact)
-    c1, c2 = A.size_profile(fact), A.type_profile(fact)
-    d1, d2 = A.top_activities(fact), A.sector_counts(fact)
-    e1, e2 = A.sex_profile(fact), A.age_bands(fact)
-    f1, f2 = A.null_columns(fact), A.default_codes(fact)
+    p = A.analysis_pack(fact)
+    a1 = p["A1"].withColumn("cat", F.coalesce(F.col("id_estado"), F.lit("ND")))
+    a2, b1, c1, c2, d1, d2 = p["A2"], p["B1"], p["C1"], p["C2"], p["D1"], p["D2"]
+    e1, e2, f1, f2 = p["E1"], p["E2"], p["F1"], p["F2"]
     out = {
+        "_cached": [p["_grouped"], p["_global"]],
         "A1": to_long(a1, n["A1"], "cat", [("cantidad", "n", s("n")),
                                            ("deuda_total", "debt_total", fmt_money("debt_total"))]),
         "A2": to_long(a2, n["A2"], F.lit("DEUDA"), [
@@ -194,8 +193,13 @@ def run_all(fact: DataFrame, results_path: str, only: tuple[str, ...] | None = N
     Only the analyses written are replaced; other stored analyses stay.
     """
     parts = long_results(fact)
+    cached = parts.pop("_cached")
     chosen = [parts[k] for k in (only or tuple(parts))]
     union = chosen[0]
-    for p in chosen[1:]:
-        union = union.unionByName(p)
+    for q in chosen[1:]:
+        union = union.unionByName(q)
     save_results(union, results_path)
+    for df in cached:
+        df.unpersist()
+
+
