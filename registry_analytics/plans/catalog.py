@@ -266,6 +266,16 @@ def r7_results_roundtrip(spark, sf):
         F.col("valor_numerico").cast("double").alias("valor_numerico"), "valor_texto")
 
 
+def j8_run_all(spark, sf):
+    """JOB-8: all eight analyses (analysis pack) saved to a new results store, read back."""
+    reg = registry_for(spark, sf)
+    path = new_work_dir(spark, "results")
+    run_all(reg.fact, path)
+    return load_results(spark, path).select(
+        "nombre_analisis", "categoria", "metrica",
+        F.col("valor_numerico").cast("double").alias("valor_numerico"), "valor_texto")
+
+
 def r7b_category_max(spark, sf):
     """Largest stored number per category of the place analysis."""
     reg = registry_for(spark, sf)
@@ -345,7 +355,7 @@ QUERIES: dict[str, Query] = {
         n1_normalize_codes, m1_migrate, m2_rejected_by_rule, m3_duplicates, g1_grow_places,
         g2_insert_if_absent, g3_grow_activities, q1_orphans, s1_star, s2_star_driver,
         r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r3b_top5_places, r4_by_size, r5_by_sex,
-        r6_top_activities, r7_results_roundtrip, r7b_category_max, r8_table_counts, r9_sql_star_by_state,
+        r6_top_activities, j8_run_all, r7_results_roundtrip, r7b_category_max, r8_table_counts, r9_sql_star_by_state,
         p1_parse_rows, i1_csv_roundtrip, l1_load_stats, h1_has_rows,
     ]
 }

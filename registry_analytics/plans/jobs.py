@@ -146,60 +146,78 @@ ANALYSIS_NAMES = {
 }
 
 
-def long_results(fact: DataFrame) -> dict[str, DataFrame]:
-    """Every analysis as long-form result rows, by analysis code (from the analysis pack:
-    four scans of the fact instead of one per report)."""
+# Reports each stored analysis is made of.
+ANALYSIS_REPORTS = {"A1": ("A1",), "A2": ("A2",), "B1": ("B1",), "C1": ("C1",), "C2": ("C2",),
+                    "D": ("D1", "D2"), "E": ("E1", "E2"), "F": ("F1", "F2")}
+_SINGLE = {"A1": A.state_profile, "A2": A.debt_stats, "B1": A.top_places, "C1": A.size_profile,
+           "C2": A.type_profile, "D1": A.top_activities, "D2": A.sector_counts, "E1": A.sex_profile,
+           "E2": A.age_bands, "F1": A.null_columns, "F2": A.default_codes}
+
+
+def report_frames(fact: DataFrame, analyses: tuple[str, ...]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """The report frames the given analyses need, and the cached frames to release after use.
+
+    Three or more packed reports come from the analysis pack (four scans for
+    all of them); fewer are computed one aggregate each.
+    """
+    needed = [r for a in analyses for r in ANALYSIS_REPORTS[a]]
+    packed = [r for r in needed if r not in ("B1", "D1")]
+    if len(packed) >= 3:
+        p = A.analysis_pack(fact)
+        return {r: p[r] for r in needed}, [p["_grouped"], p["_global"]]
+    return {r: _SINGLE[r](fact) for r in needed}, []
+
+
+def long_results(fact: DataFrame, analyses: tuple[str, ...] | None = None) -> tuple[dict[str, DataFrame], list]:
+    """Long-form result rows of the given analyses (all by default), by analysis code,
+    and the cached frames to release once they are written."""
+    analyses = analyses or tuple(ANALYSIS_REPORTS)
+    p, cached = report_frames(fact, analyses)
     s = lambda c: F.col(c).cast("string")  # noqa: E731  (bare number text, no separators)
     n = ANALYSIS_NAMES
-    p = A.analysis_pack(fact)
-    a1 = p["A1"].withColumn("cat", F.coalesce(F.col("id_estado"), F.lit("ND")))
-    a2, b1, c1, c2, d1, d2 = p["A2"], p["B1"], p["C1"], p["C2"], p["D1"], p["D2"]
-    e1, e2, f1, f2 = p["E1"], p["E2"], p["F1"], p["F2"]
-    out = {
-        "_cached": [p["_grouped"], p["_global"]],
-        "A1": to_long(a1, n["A1"], "cat", [("cantidad", "n", s("n")),
-                                           ("deuda_total", "debt_total", fmt_money("debt_total"))]),
-        "A2": to_long(a2, n["A2"], F.lit("DEUDA"), [
+    build = {
+        "A1": lambda: to_long(p["A1"].withColumn("cat", F.coalesce(F.col("id_estado"), F.lit("ND"))), n["A1"],
+                              "cat", [("cantidad", "n", s("n")),
+                                      ("deuda_total", "debt_total", fmt_money("debt_total"))]),
+        "A2": lambda: to_long(p["A2"], n["A2"], F.lit("DEUDA"), [
             ("con_deuda", "debtors", fmt_count("debtors")),
             ("deuda_total", "debt_total", fmt_money("debt_total")),
             ("deuda_promedio", "debt_avg", fmt_money("debt_avg")),
             ("deuda_mediana", "debt_median", fmt_money("debt_median")),
             ("deuda_maxima", "debt_max", fmt_money("debt_max")),
         ]),
-        "B1": to_long(b1, n["B1"], "place_label", [("empresas", "n", s("n")),
-                                                   ("deuda_total", "debt_total", fmt_money("debt_total"))]),
-        "C1": to_long(c1, n["C1"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
-        "C2": to_long(c2, n["C2"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
-        "D": to_long(d1, n["D"], "id_ciiu", [("empresas", "n", s("n"))]).unionByName(
-            long_rows(d2, n["D"], "sector", "metric", "value", fmt_count("value"))),
-        "E": to_long(e1, n["E"], "sexo", [("cantidad", "n", fmt_count_pct("n", "share_pct")),
-                                          ("edad_promedio", F.coalesce("age_avg", F.lit(0.0)),
-                                           fmt_years("age_avg"))]).unionByName(
-            to_long(e2, n["E"], "age_band", [("cantidad", "n", s("n"))])),
-        "F": to_long(f1, n["F"], "column_name", [("nulos", "nulls", fmt_count_pct("nulls", "null_pct"))]).unionByName(
-            to_long(f2, n["F"], F.lit("CALIDAD"), [
+        "B1": lambda: to_long(p["B1"], n["B1"], "place_label", [
+            ("empresas", "n", s("n")), ("deuda_total", "debt_total", fmt_money("debt_total"))]),
+        "C1": lambda: to_long(p["C1"], n["C1"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
+        "C2": lambda: to_long(p["C2"], n["C2"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
+        "D": lambda: to_long(p["D1"], n["D"], "id_ciiu", [("empresas", "n", s("n"))]).unionByName(
+            long_rows(p["D2"], n["D"], "sector", "metric", "value", fmt_count("value"))),
+        "E": lambda: to_long(p["E1"], n["E"], "sexo", [
+            ("cantidad", "n", fmt_count_pct("n", "share_pct")),
+            ("edad_promedio", F.coalesce("age_avg", F.lit(0.0)), fmt_years("age_avg"))]).unionByName(
+            to_long(p["E2"], n["E"], "age_band", [("cantidad", "n", s("n"))])),
+        "F": lambda: to_long(p["F1"], n["F"], "column_name", [
+            ("nulos", "nulls", fmt_count_pct("nulls", "null_pct"))]).unionByName(
+            to_long(p["F2"], n["F"], F.lit("CALIDAD"), [
                 ("nd_estado", "nd_estado", fmt_count("nd_estado")),
                 ("nd_condicion", "nd_condicion", fmt_count("nd_condicion")),
                 ("sin_tipo", "sin_tipo", fmt_count("sin_tipo")),
                 ("total_limpios", "clean_total", fmt_count("clean_total")),
             ])),
     }
-    return out
+    return {a: build[a]() for a in analyses}, cached
 
 
 def run_all(fact: DataFrame, results_path: str, only: tuple[str, ...] | None = None) -> None:
-    """JOB-8: every analysis -> long form -> one dynamic-overwrite write of the results store.
+    """JOB-8: analyses -> long form -> one dynamic-overwrite write of the results store.
 
     Only the analyses written are replaced; other stored analyses stay.
     """
-    parts = long_results(fact)
-    cached = parts.pop("_cached")
-    chosen = [parts[k] for k in (only or tuple(parts))]
+    parts, cached = long_results(fact, only)
+    chosen = list(parts.values())
     union = chosen[0]
     for q in chosen[1:]:
         union = union.unionByName(q)
     save_results(union, results_path)
     for df in cached:
         df.unpersist()
-
-

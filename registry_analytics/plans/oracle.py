@@ -247,6 +247,79 @@ _C1 = ("(SELECT coalesce(CASE id_tamano WHEN 'C' THEN 'Micro/Peq' WHEN 'M' THEN
 _MONEY = "'S/ ' || format('{:,.2f}', coalesce(debt_total, 0.0))"
 
 
+_CNT = "format('{{:,}}', {0})"
+_CNT_PCT = "format('{{:,}} ({{:.1f}}%)', {0}, {1})"
+_MONEY_OF = "'S/ ' || format('{{:,.2f}}', coalesce({0}, 0.0))"
+_NAMES = {"A1": "Salud Fiscal - Por Estado", "A2": "Salud Fiscal - Estadísticas Deuda",
+          "B1": "Geografía - Por Ubicación", "C1": "Estructura - Por Tamaño", "C2": "Estructura - Por Tipo Empresa",
+          "D": "Sectores Económicos", "E": "Demografía", "F": "Calidad de Datos"}
+
+
+def _lr(name: str, cat: str, metric: str, value: str, text: str, src: str) -> str:
+    return (f"SELECT '{_NAMES[name]}' AS nombre_analisis, CAST({cat} AS VARCHAR) AS categoria, "
+            f"{metric} AS metrica, CAST(CAST({value} AS DECIMAL(18,4)) AS DOUBLE) AS valor_numerico, "
+            f"{text} AS valor_texto FROM {src}")
+
+
+_BAND = ("CASE WHEN edad IS NOT NULL AND edad > 0 THEN CASE WHEN edad < 30 THEN '< 30 años' "
+         "WHEN edad < 40 THEN '30-39 años' WHEN edad < 50 THEN '40-49 años' WHEN edad < 60 THEN '50-59 años' "
+         "WHEN edad < 70 THEN '60-69 años' ELSE '70+ años' END END")
+_RUN_ALL = f"""
+, a1 AS (SELECT coalesce(id_estado, 'ND') AS cat, count(*) AS n, CAST(sum(deuda) AS DOUBLE) AS debt_total
+         FROM fact GROUP BY id_estado),
+a2 AS (SELECT count(*) FILTER (WHERE deuda > 0) AS debtors,
+         coalesce(CAST(sum(deuda) FILTER (WHERE deuda > 0) AS DOUBLE), 0.0) AS debt_total,
+         coalesce(CAST(sum(deuda) FILTER (WHERE deuda > 0) AS DOUBLE)
+                  / CAST(count(deuda) FILTER (WHERE deuda > 0) AS DOUBLE), 0.0) AS debt_avg,
+         coalesce(CAST(quantile_disc(deuda, 0.5) FILTER (WHERE deuda > 0) AS DOUBLE), 0.0) AS debt_median,
+         coalesce(CAST(max(deuda) FILTER (WHERE deuda > 0) AS DOUBLE), 0.0) AS debt_max FROM fact),
+b1 AS (SELECT substr(id_ubicacion, 1, 24) AS label, count(*) AS n, CAST(sum(deuda) AS DOUBLE) AS debt_total
+       FROM fact GROUP BY id_ubicacion ORDER BY n DESC, id_ubicacion LIMIT 15),
+c1g AS (SELECT id_tamano, count(*) AS n FROM fact GROUP BY id_tamano),
+c1 AS (SELECT coalesce(CASE id_tamano WHEN 'C' THEN 'Micro/Peq' WHEN 'M' THEN 'Mediana' WHEN 'G' THEN 'Grande'
+              WHEN 'B' THEN 'Básica' END, id_tamano) AS label, n,
+              {_pct("n", "(SELECT sum(n) FROM c1g)")} AS p FROM c1g),
+c2g AS (SELECT id_tipo_empresa, count(*) AS n FROM fact GROUP BY id_tipo_empresa),
+c2 AS (SELECT coalesce(CASE id_tipo_empresa WHEN 'A' THEN 'Persona Natural' WHEN 'B' THEN 'Persona Jurídica'
+              WHEN 'CE' THEN 'Cooperativa' WHEN 'C' THEN 'Cooperativa' WHEN 'D' THEN 'EIRL'
+              WHEN 'E' THEN 'Empresa Estado' WHEN '-' THEN 'Sin definir' END, id_tipo_empresa) AS label, n,
+              {_pct("n", "(SELECT sum(n) FROM c2g)")} AS p FROM c2g),
+d1 AS (SELECT id_ciiu, count(*) AS n FROM fact GROUP BY id_ciiu ORDER BY n DESC, id_ciiu LIMIT 20),
+d2 AS (SELECT 'SECTOR_52xx' AS sector, 'total' AS metric, count_if(id_ciiu LIKE '52%') AS v FROM fact
+       UNION ALL SELECT 'SECTOR_52xx', 'activos', count_if(id_ciiu LIKE '52%' AND id_estado = 'ACTIVO') FROM fact
+       UNION ALL SELECT 'SECTOR_15xx', 'total', count_if(id_ciiu LIKE '15%') FROM fact
+       UNION ALL SELECT 'SECTOR_70_55xx', 'total', count_if(id_ciiu LIKE '70%' OR id_ciiu LIKE '55%') FROM fact),
+e1g AS (SELECT sexo, count(*) AS n, avg(edad) AS age FROM fact GROUP BY sexo),
+e1 AS (SELECT sexo, n, coalesce(age, 0.0) AS age, {_pct("n", "(SELECT sum(n) FROM e1g)")} AS p FROM e1g),
+e2 AS (SELECT {_BAND} AS band, count(*) AS n FROM fact GROUP BY 1),
+f1 AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) AS t FROM fact"
+                           for c in ["edad", "deuda", "id_ciiu", "id_tipo_empresa", "id_estado", "id_condicion"])}),
+f2 AS (SELECT count_if(id_estado = 'ND') AS nd_estado, count_if(id_condicion = 'ND') AS nd_condicion,
+       count_if(id_tipo_empresa = '-') AS sin_tipo,
+       count(*) - count_if(id_estado = 'ND') - count_if(id_condicion = 'ND') AS clean FROM fact)
+{_lr("A1", "cat", "'cantidad'", "n", "CAST(n AS VARCHAR)", "a1")}
+UNION ALL {_lr("A1", "cat", "'deuda_total'", "debt_total", _MONEY_OF.format("debt_total"), "a1")}
+UNION ALL {_lr("A2", "'DEUDA'", "'con_deuda'", "debtors", _CNT.format("debtors"), "a2")}
+UNION ALL {_lr("A2", "'DEUDA'", "'deuda_total'", "debt_total", _MONEY_OF.format("debt_total"), "a2")}
+UNION ALL {_lr("A2", "'DEUDA'", "'deuda_promedio'", "debt_avg", _MONEY_OF.format("debt_avg"), "a2")}
+UNION ALL {_lr("A2", "'DEUDA'", "'deuda_mediana'", "debt_median", _MONEY_OF.format("debt_median"), "a2")}
+UNION ALL {_lr("A2", "'DEUDA'", "'deuda_maxima'", "debt_max", _MONEY_OF.format("debt_max"), "a2")}
+UNION ALL {_lr("B1", "label", "'empresas'", "n", "CAST(n AS VARCHAR)", "b1")}
+UNION ALL {_lr("B1", "label", "'deuda_total'", "debt_total", _MONEY_OF.format("debt_total"), "b1")}
+UNION ALL {_lr("C1", "label", "'cantidad'", "n", _CNT_PCT.format("n", "p"), "c1")}
+UNION ALL {_lr("C2", "label", "'cantidad'", "n", _CNT_PCT.format("n", "p"), "c2")}
+UNION ALL {_lr("D", "id_ciiu", "'empresas'", "n", "CAST(n AS VARCHAR)", "d1")}
+UNION ALL {_lr("D", "sector", "metric", "v", _CNT.format("v"), "d2")}
+UNION ALL {_lr("E", "sexo", "'cantidad'", "n", _CNT_PCT.format("n", "p"), "e1")}
+UNION ALL {_lr("E", "sexo", "'edad_promedio'", "age", "format('{:.1f} años', age)", "e1")}
+UNION ALL {_lr("E", "band", "'cantidad'", "n", "CAST(n AS VARCHAR)", "(SELECT * FROM e2 WHERE band IS NOT NULL)")}
+UNION ALL {_lr("F", "col", "'nulos'", "nulls", _CNT_PCT.format("nulls", _pct("nulls", "t")), "f1")}
+UNION ALL {_lr("F", "'CALIDAD'", "'nd_estado'", "nd_estado", _CNT.format("nd_estado"), "f2")}
+UNION ALL {_lr("F", "'CALIDAD'", "'nd_condicion'", "nd_condicion", _CNT.format("nd_condicion"), "f2")}
+UNION ALL {_lr("F", "'CALIDAD'", "'sin_tipo'", "sin_tipo", _CNT.format("sin_tipo"), "f2")}
+UNION ALL {_lr("F", "'CALIDAD'", "'total_limpios'", "clean", _CNT.format("clean"), "f2")}"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["a1_state_profile"] = _on_fact(
@@ -414,6 +487,7 @@ GROUP BY ae.id_ciiu, ae.descripcion ORDER BY n DESC, ciiu ASC, actividad ASC LIM
 r AS (SELECT label, CAST(CAST(n AS DECIMAL(18,4)) AS DOUBLE) AS v FROM b
       UNION ALL SELECT label, CAST(CAST(debt_total AS DECIMAL(18,4)) AS DOUBLE) FROM b)
 SELECT label AS categoria, max(v) AS max_valor FROM r GROUP BY label""")
+    q["j8_run_all"] = _on_fact(_RUN_ALL)
     counts = [("CONTRIBUYENTE", "fact"), ("ACTIVIDAD_ECONOMICA", "activities"), ("TIPO_EMPRESA", "types"),
               ("TAMANO_EMPRESA", "sizes"), ("UBICACION_GEOGRAFICA", "places"), ("ESTADO_TRIBUTARIO", "states"),
               ("CONDICION_DOMICILIO", "conditions")]
