@@ -11,13 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import key_form
 from ..operators.dedup import duplicate_keys
 from ..operators.joins import Dim, star_join
 from ..operators.quality import fk_rules, rule_counts
 from ..operators.profile import conditional_counts
 from ..session import new_work_dir
-from ..sources.files import has_rows, write_csv
+from ..sources.files import write_csv
 from ..sources.results import category_max, load_results
 from ..sources.sql import query as sql_query, register_views
 from . import analyses as A

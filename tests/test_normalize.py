@@ -1,8 +1,6 @@
 """Normalisers: Spark column expressions against the rules written out in plain Python."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from registry_analytics.functions.codes import COMPANY_TYPE, CONDITION, SEX, SIZE, STATE, clamp_amount, normalize_code
 from registry_analytics.functions.text import blank_to_null, key_form, strip_ws
 
