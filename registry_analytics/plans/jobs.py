@@ -41,7 +41,8 @@ _LOCK = threading.Lock()
 GROWN_LOOKUPS = ("activities", "places", "company_types")
 
 
-def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = None) -> Registry:
+def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = None,
+                   staging_stored: bool = False) -> Registry:
     """Load job: staging -> lookups -> checked rows (fact + rejected), each stage written.
 
     * staging is written once and read back column-pruned by every later step;
@@ -53,7 +54,8 @@ def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = N
       filter pushed into the scan, and appended to the same table.
 
     Writing each stage cuts the lineage: an executor lost later re-reads a
-    table instead of recomputing the joins.
+    table instead of recomputing the joins.  ``staging_stored`` says the
+    staging frame already reads a written table, which is then not copied.
     """
     root = root or new_work_dir(spark, "registry")
     timings: dict[str, float] = {}
@@ -63,8 +65,11 @@ def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = N
         write_table(df, path, **kw)
         timings[step] = round(timings.get(step, 0.0) + time.perf_counter() - t, 3)
 
-    write(staging, f"{root}/staging", "staging")
-    st = read_table(spark, f"{root}/staging")
+    if staging_stored:  # already a scan of a written table (e.g. the parsed rows): no copy
+        st = staging
+    else:
+        write(staging, f"{root}/staging", "staging")
+        st = read_table(spark, f"{root}/staging")
     grown, _ = grow_lookups(st, seed_lookups(spark))
     stored = {}
     for name in GROWN_LOOKUPS:
@@ -110,7 +115,7 @@ def text_registry_for(spark: SparkSession, sf_dir: str) -> Registry:
             root = new_work_dir(spark, "registry-text")
             write_table(parse_staging(raw_text_rows(spark, sf_dir), keep=("seq",)), f"{root}/parsed")
             staging, _ = split_staging(read_table(spark, f"{root}/parsed"))
-            _BUILT[key] = build_registry(spark, staging, root)
+            _BUILT[key] = build_registry(spark, staging, root, staging_stored=True)
         return _BUILT[key]
 
 
@@ -128,7 +133,7 @@ def run_registry_from_csv(spark: SparkSession, csv_path: str, root: str | None =
     root = root or new_work_dir(spark, "registry-csv")
     write_table(parse_staging(read_registry_csv(spark, csv_path, encoding), keep=("seq",)), f"{root}/parsed")
     staging, _ = split_staging(read_table(spark, f"{root}/parsed"))
-    reg = build_registry(spark, staging, root)
+    reg = build_registry(spark, staging, root, staging_stored=True)
     run_all(reg.fact, f"{root}/results")
     return reg, f"{root}/results"
 
