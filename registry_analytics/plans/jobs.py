@@ -80,14 +80,16 @@ def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = N
     status = F.when(F.size("broken_rules") == 0, F.lit("valid")).otherwise(F.lit("rejected")).alias("status")
     deduped = first_wins(normalize(candidates(st)), "ruc", ["_seq"]).drop("_seq")
     checked = flag_rules(deduped, lk).select(*FACT_COLUMNS, "broken_rules", status)
-    write(checked, f"{root}/checked", "checked", partition_by=("status",))
+    # Two partition values: one open writer each per task, no sort of the rows before writing.
+    write(checked, f"{root}/checked", "checked", partition_by=("status",), partition_values=2)
 
     valid = read_table(spark, f"{root}/checked").filter(F.col("status") == "valid")
     special = spark.createDataFrame(SPECIAL_ROWS, FACT)
     _, inserted = insert_if_absent(valid.select(*FACT_COLUMNS), special, "ruc",
                                    known_keys=[r[0] for r in SPECIAL_ROWS])
     special_checked = flag_rules(inserted, lk).select(*FACT_COLUMNS, "broken_rules", status)
-    write(special_checked, f"{root}/checked", "special_row", mode="append", partition_by=("status",))
+    write(special_checked, f"{root}/checked", "special_row", mode="append", partition_by=("status",),
+          partition_values=2)
 
     table = read_table(spark, f"{root}/checked")
     fact = table.filter(F.col("status") == "valid").select(*FACT_COLUMNS)

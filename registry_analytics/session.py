@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,20 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/registry_analytics/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, **conf: str):
+    """Set SQL confs (dots written as ``__``) for the duration of a block, then restore them."""
+    keys = {k.replace("__", "."): str(v) for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
