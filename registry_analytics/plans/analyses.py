@@ -207,7 +207,7 @@ def _pack_global(fact: DataFrame, amount: str, age: str, accuracy: int) -> DataF
 
 
 def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
-                  accuracy: int = 1_000_000) -> dict[str, DataFrame]:
+                  accuracy: int = 1_000_000, sort: bool = True) -> dict[str, DataFrame]:
     """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 from four scans.
 
     The two small packed aggregates are cached (their size is bounded by the
@@ -215,10 +215,17 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
     high-cardinality keys and keep their own aggregate.  Each frame has the
     same columns as the matching single-report function.  The cached packs are
     returned under ``_grouped`` and ``_global`` so the caller can unpersist them.
+    ``sort=False`` leaves out the presentation order (each sort of a report is
+    a range exchange with its own sampling job; storing the rows needs none).
     """
-    g = _pack_grouped(fact, amount, age).cache()
+    order = by_count if sort else (lambda df, key: df)
+    g0 = _pack_grouped(fact, amount, age)
+    # The share denominators, once for the whole pack: rows of each grouping set (all rows, NULL
+    # age band included).  The pack has a few dozen rows, so this window is one tiny exchange.
+    set_id = F.concat(*[F.col(f"_g_{k}").cast("string") for k in PACK_KEYS + ("age_band",)])
+    g = g0.withColumn("_total", F.sum("n").over(Window.partitionBy(set_id))).cache()
     s = _pack_global(fact, amount, age, accuracy).cache()
-    total = F.sum("n").over(Window.partitionBy())
+    total = F.col("_total")
 
     def grouped(key: str) -> DataFrame:
         rows = g.filter(F.col(f"_g_{key}") == 0)
@@ -233,17 +240,18 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
     out = {
         "_grouped": g,  # cached packs, for the caller to unpersist
         "_global": s,
-        "A1": by_count(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
-        "C1": by_count(grouped("id_tamano").select(
+        "A1": order(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
+        "C1": order(grouped("id_tamano").select(
             "id_tamano", "n", "debt_total", "age_avg", "share_pct",
             lookup_label("id_tamano", SIZE_LABELS).alias("label")), "id_tamano"),
-        "C2": by_count(grouped("id_tipo_empresa").select(
+        "C2": order(grouped("id_tipo_empresa").select(
             "id_tipo_empresa", "n", "share_pct", lookup_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
             "id_tipo_empresa"),
-        "E1": by_count(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
-        "E2": (g.filter(F.col("_g_age_band") == 0)
-               .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
-               .filter(F.col("age_band").isNotNull()).orderBy("age_band")),
+        "E1": order(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
+        "E2": (lambda e2: e2.orderBy("age_band") if sort else e2)(
+            g.filter(F.col("_g_age_band") == 0)
+            .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
+            .filter(F.col("age_band").isNotNull())),
         "B1": top_places(fact, amount=amount),
         "D1": top_activities(fact, amount=amount),
     }

@@ -170,7 +170,7 @@ def report_frames(fact: DataFrame, analyses: tuple[str, ...]) -> tuple[dict[str,
     needed = [r for a in analyses for r in ANALYSIS_REPORTS[a]]
     packed = [r for r in needed if r not in ("B1", "D1")]
     if len(packed) >= 3:
-        p = A.analysis_pack(fact)
+        p = A.analysis_pack(fact, sort=False)
         return {r: p[r] for r in needed}, [p["_grouped"], p["_global"]]
     return {r: _SINGLE[r](fact) for r in needed}, []
 
