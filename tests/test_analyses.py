@@ -75,3 +75,10 @@ def test_reports_by_description_and_int_mean(spark):
     assert got == {"Contribuyente Activo": (3, 1.5), "Baja Temporal": (1, 2.0)}
     sex = {r.sexo: r.age_avg for r in R.by_sex(fact(spark, rows)).collect()}
     assert sex == {"HOMBRE": 30, "MUJER": 30}
+
+
+def test_approx_distinct_option(spark):
+    rows = [dict(id_ubicacion="A", id_ciiu=str(1000 + i % 40)) for i in range(200)]
+    exact = A.top_places(fact(spark, rows)).first().activities
+    approx = A.top_places(fact(spark, rows), approx_distinct=True).first().activities
+    assert exact == 40 and abs(approx - 40) <= 4
