@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import duplicate_keys
+from ..operators.dimensions import insert_if_absent
 from ..operators.joins import Dim, star_join
-from ..operators.quality import fk_rules, rule_counts
 from ..operators.profile import conditional_counts
+from ..operators.quality import fk_rules, rule_counts
+from ..schemas import FACT, RAW_COLUMNS
 from ..session import new_work_dir
 from ..sources.files import write_csv
 from ..sources.results import category_max, load_results
@@ -26,8 +28,6 @@ from .ingest import parse_staging, read_registry_csv, split_staging
 from .jobs import registry_for, run_all, text_registry_for
 from .lookups import COMPANY_TYPES, SEED_ACTIVITIES, grow_lookups, seed_lookups
 from .migrate import SPECIAL_ROWS, candidates, migrate, normalize
-from ..schemas import FACT, RAW_COLUMNS
-from ..operators.dimensions import insert_if_absent
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,12 +129,14 @@ def m3_duplicates(spark, sf):
 
 
 def g1_grow_places(spark, sf):
-    _, added = grow_lookups(dirty_staging(spark, sf), seed_lookups(spark))
+    """Places missing from the (empty) seeded lookup, from the stored staging table."""
+    _, added = grow_lookups(registry_for(spark, sf).staging, seed_lookups(spark))
     return added["places"]
 
 
 def g3_grow_activities(spark, sf):
-    _, added = grow_lookups(dirty_staging(spark, sf), seed_lookups(spark))
+    """Activity codes missing from the seeded lookup, from the stored staging table."""
+    _, added = grow_lookups(registry_for(spark, sf).staging, seed_lookups(spark))
     return added["activities"]
 
 
