@@ -7,7 +7,7 @@ key so results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.formats import null_grade
@@ -41,6 +41,16 @@ AGE_LABELS = ("< 30 años", "30-39 años", "40-49 años", "50-59 años", "60-69
 NULL_PROFILE_COLUMNS = ("edad", "deuda", "id_ciiu", "id_tipo_empresa", "id_estado", "id_condicion")
 
 
+# Text shown for a missing key (labelled codes show "?").
+MISSING = "ND"
+MISSING_CODE = "?"
+
+
+def code_label(code: str, labels: dict[str, str]) -> Column:
+    """Label of a code, the code itself when unknown, ``?`` when missing."""
+    return lookup_label(F.coalesce(F.col(code), F.lit(MISSING_CODE)), labels)
+
+
 def by_count(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
     """Rows by count descending, ties by key (a sort of the small grouped result)."""
     return df.orderBy(F.col(count_col).desc(), F.col(key).asc_nulls_last())
@@ -82,19 +92,20 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
         (F.approx_count_distinct(activity) if approx_distinct else F.count_distinct(activity)).alias("activities"),
     )
     top = top_k(g, k, "n", place)
-    return top.select(place, truncate(place, 24).alias("place_label"), "n", "active", "debt_total", "activities")
+    label = truncate(F.coalesce(F.col(place), F.lit(MISSING)), 24)
+    return top.select(place, label.alias("place_label"), "n", "active", "debt_total", "activities")
 
 
 def size_profile(fact: DataFrame, key: str = "id_tamano", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, debt total and mean age per size, with the size label."""
     g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "age_avg": F.avg(age)})
-    return by_count(share_of_total(g, bounded_groups=True).withColumn("label", lookup_label(key, SIZE_LABELS)), key)
+    return by_count(share_of_total(g, bounded_groups=True).withColumn("label", code_label(key, SIZE_LABELS)), key)
 
 
 def type_profile(fact: DataFrame, key: str = "id_tipo_empresa") -> DataFrame:
     """Rows and share per company type, with the type label (two codes may share a label)."""
     return by_count(share_of_total(group_profile(fact, key), bounded_groups=True).withColumn(
-        "label", lookup_label(key, TYPE_LABELS)), key)
+        "label", code_label(key, TYPE_LABELS)), key)
 
 
 def top_activities(fact: DataFrame, k: int = 20, key: str = "id_ciiu", state: str = "id_estado",
@@ -246,9 +257,9 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
         "A1": order(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
         "C1": order(grouped("id_tamano").select(
             "id_tamano", "n", "debt_total", "age_avg", "share_pct",
-            lookup_label("id_tamano", SIZE_LABELS).alias("label")), "id_tamano"),
+            code_label("id_tamano", SIZE_LABELS).alias("label")), "id_tamano"),
         "C2": order(grouped("id_tipo_empresa").select(
-            "id_tipo_empresa", "n", "share_pct", lookup_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
+            "id_tipo_empresa", "n", "share_pct", code_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
             "id_tipo_empresa"),
         "E1": order(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
         "E2": (lambda e2: e2.orderBy("age_band") if sort else e2)(

@@ -181,10 +181,10 @@ def long_results(fact: DataFrame, analyses: tuple[str, ...] | None = None) -> tu
     analyses = analyses or tuple(ANALYSIS_REPORTS)
     p, cached = report_frames(fact, analyses)
     s = lambda c: F.col(c).cast("string")  # noqa: E731  (bare number text, no separators)
+    nd = lambda c: F.coalesce(F.col(c), F.lit(A.MISSING))  # noqa: E731  (a missing key shows as ND)
     n = ANALYSIS_NAMES
     build = {
-        "A1": lambda: to_long(p["A1"].withColumn("cat", F.coalesce(F.col("id_estado"), F.lit("ND"))), n["A1"],
-                              "cat", [("cantidad", "n", s("n")),
+        "A1": lambda: to_long(p["A1"], n["A1"], nd("id_estado"), [("cantidad", "n", s("n")),
                                       ("deuda_total", "debt_total", fmt_money("debt_total"))]),
         "A2": lambda: to_long(p["A2"], n["A2"], F.lit("DEUDA"), [
             ("con_deuda", "debtors", fmt_count("debtors")),
@@ -197,9 +197,9 @@ def long_results(fact: DataFrame, analyses: tuple[str, ...] | None = None) -> tu
             ("empresas", "n", s("n")), ("deuda_total", "debt_total", fmt_money("debt_total"))]),
         "C1": lambda: to_long(p["C1"], n["C1"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
         "C2": lambda: to_long(p["C2"], n["C2"], "label", [("cantidad", "n", fmt_count_pct("n", "share_pct"))]),
-        "D": lambda: to_long(p["D1"], n["D"], "id_ciiu", [("empresas", "n", s("n"))]).unionByName(
+        "D": lambda: to_long(p["D1"], n["D"], nd("id_ciiu"), [("empresas", "n", s("n"))]).unionByName(
             long_rows(p["D2"], n["D"], "sector", "metric", "value", fmt_count("value"))),
-        "E": lambda: to_long(p["E1"], n["E"], "sexo", [
+        "E": lambda: to_long(p["E1"], n["E"], nd("sexo"), [
             ("cantidad", "n", fmt_count_pct("n", "share_pct")),
             ("edad_promedio", F.coalesce("age_avg", F.lit(0.0)), fmt_years("age_avg"))]).unionByName(
             to_long(p["E2"], n["E"], "age_band", [("cantidad", "n", s("n"))])),

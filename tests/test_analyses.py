@@ -82,3 +82,12 @@ def test_approx_distinct_option(spark):
     exact = A.top_places(fact(spark, rows)).first().activities
     approx = A.top_places(fact(spark, rows), approx_distinct=True).first().activities
     assert exact == 40 and abs(approx - 40) <= 4
+
+
+def test_missing_keys_show_nd_or_question_mark(spark):
+    from pyspark.sql import functions as F
+
+    f = fact(spark, [dict(), dict()]).withColumn("id_tamano", F.lit(None).cast("string")) \
+        .withColumn("id_ubicacion", F.lit(None).cast("string"))
+    assert [r.label for r in A.size_profile(f).collect()] == ["?"]
+    assert [r.place_label for r in A.top_places(f).collect()] == ["ND"]
