@@ -298,6 +298,14 @@ def r8_table_counts(spark, sf):
     return R.table_rows(reg.fact, reg.lookups)
 
 
+def r8b_all_table_counts(spark, sf):
+    """Row counts of every registry table, staging and a freshly written results store included."""
+    reg = registry_for(spark, sf)
+    path = new_work_dir(spark, "results")
+    run_all(reg.fact, path)
+    return R.table_rows(reg.fact, reg.lookups, results=load_results(spark, path), staging=reg.staging)
+
+
 # --- sources ------------------------------------------------------------------------
 
 def p1_parse_rows(spark, sf):
@@ -356,7 +364,7 @@ QUERIES: dict[str, Query] = {
         n1_normalize_codes, m1_migrate, m2_rejected_by_rule, m3_duplicates, g1_grow_places,
         g2_insert_if_absent, g3_grow_activities, q1_orphans, s1_star, s2_star_driver,
         r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r3b_top5_places, r4_by_size, r5_by_sex,
-        r6_top_activities, j8_run_all, r7_results_roundtrip, r7b_category_max, r8_table_counts, r9_sql_star_by_state,
+        r6_top_activities, j8_run_all, r7_results_roundtrip, r7b_category_max, r8_table_counts, r8b_all_table_counts, r9_sql_star_by_state,
         p1_parse_rows, i1_csv_roundtrip, l1_load_stats, h1_has_rows,
     ]
 }

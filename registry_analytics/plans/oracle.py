@@ -264,7 +264,7 @@ def _lr(name: str, cat: str, metric: str, value: str, text: str, src: str) -> st
 _BAND = ("CASE WHEN edad IS NOT NULL AND edad > 0 THEN CASE WHEN edad < 30 THEN '< 30 años' "
          "WHEN edad < 40 THEN '30-39 años' WHEN edad < 50 THEN '40-49 años' WHEN edad < 60 THEN '50-59 años' "
          "WHEN edad < 70 THEN '60-69 años' ELSE '70+ años' END END")
-_RUN_ALL = f"""
+_RUN_ALL_CTES = f"""
 , a1 AS (SELECT coalesce(id_estado, 'ND') AS cat, count(*) AS n, CAST(sum(deuda) AS DOUBLE) AS debt_total
          FROM fact GROUP BY id_estado),
 a2 AS (SELECT count(*) FILTER (WHERE deuda > 0) AS debtors,
@@ -296,7 +296,8 @@ f1 AS ({" UNION ALL ".join(f"SELECT '{c}' AS col, count(*) FILTER (WHERE {c} IS
                            for c in ["edad", "deuda", "id_ciiu", "id_tipo_empresa", "id_estado", "id_condicion"])}),
 f2 AS (SELECT count_if(id_estado = 'ND') AS nd_estado, count_if(id_condicion = 'ND') AS nd_condicion,
        count_if(id_tipo_empresa = '-') AS sin_tipo,
-       count(*) - count_if(id_estado = 'ND') - count_if(id_condicion = 'ND') AS clean FROM fact)
+       count(*) - count_if(id_estado = 'ND') - count_if(id_condicion = 'ND') AS clean FROM fact)"""
+_RUN_ALL_SELECT = f"""
 {_lr("A1", "cat", "'cantidad'", "n", "CAST(n AS VARCHAR)", "a1")}
 UNION ALL {_lr("A1", "cat", "'deuda_total'", "debt_total", _MONEY_OF.format("debt_total"), "a1")}
 UNION ALL {_lr("A2", "'DEUDA'", "'con_deuda'", "debtors", _CNT.format("debtors"), "a2")}
@@ -318,6 +319,7 @@ UNION ALL {_lr("F", "'CALIDAD'", "'nd_estado'", "nd_estado", _CNT.format("nd_est
 UNION ALL {_lr("F", "'CALIDAD'", "'nd_condicion'", "nd_condicion", _CNT.format("nd_condicion"), "f2")}
 UNION ALL {_lr("F", "'CALIDAD'", "'sin_tipo'", "sin_tipo", _CNT.format("sin_tipo"), "f2")}
 UNION ALL {_lr("F", "'CALIDAD'", "'total_limpios'", "clean", _CNT.format("clean"), "f2")}"""
+_RUN_ALL = _RUN_ALL_CTES + "\n" + _RUN_ALL_SELECT
 
 
 def oracle_sql() -> dict[str, str]:
@@ -503,6 +505,10 @@ JOIN conditions cd ON upper(trim(c.id_condicion)) = upper(trim(cd.id_condicion))
 WHERE c.deuda > 0 GROUP BY et.descripcion""")
     q["r8_table_counts"] = _on_fact(" UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}" for n, t in counts))
+    q["r8b_all_table_counts"] = _on_fact(
+        _RUN_ALL_CTES + ",\nresults_ AS (" + _RUN_ALL_SELECT + ")\n" + " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {t}"
+            for n, t in counts + [("TMP_DataOZ_Staging", "dirty"), ("RESULTADO_SPARK", "results_")]))
     q["p1_parse_rows"] = PARSED_WITH + """
 SELECT seq, ddp_numruc, ddp_ciiu, ddp_tpoemp, ddp_tamano, ddp_ubigeo, ddp_estado, ddp_flag22, dds_sexo,
   dds_edad, CAST(deuda AS DOUBLE) AS deuda, condicion, reason FROM parsed"""

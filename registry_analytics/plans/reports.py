@@ -101,10 +101,13 @@ TABLE_NAMES = {
 }
 
 
-def table_rows(fact: DataFrame, lk: Lookups, results: DataFrame | None = None) -> DataFrame:
-    """Row count of the fact, every lookup and (optionally) the results store."""
+def table_rows(fact: DataFrame, lk: Lookups, results: DataFrame | None = None,
+               staging: DataFrame | None = None) -> DataFrame:
+    """Row count of the fact, every lookup and (optionally) the staging and results tables."""
     tables = {TABLE_NAMES["fact"]: fact}
     tables.update({TABLE_NAMES[n]: df for n, df in lk.as_dict().items()})
+    if staging is not None:
+        tables["TMP_DataOZ_Staging"] = staging
     if results is not None:
         tables["RESULTADO_SPARK"] = results
     return table_counts(tables)
