@@ -36,17 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for written intermediate tables.
 
     Taken from the session's ``spark.checkpoint.dir`` (the cluster's shared
-    folder).  Only when it is unset, as in local tests, a local temporary
-    folder is created and registered as the checkpoint directory.
+    folder).  Only when it is unset on a ``local[...]`` master, as in tests, a
+    local temporary folder is created and registered as the checkpoint
+    directory; on a cluster an unset folder is an error (a machine-local
+    folder would not be visible to the executors).
     """
-    conf = spark.sparkContext.getConf()
-    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
         if current:
-            return current
+            return current.rstrip("/")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="registry-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
