@@ -112,11 +112,10 @@ def n1_normalize_codes(spark, sf):
 
 
 def m1_migrate(spark, sf):
-    """The staging -> fact job as one lazy plan over the stored staging table
-    (lookups grown, rows filtered, normalised, de-duplicated and checked in one plan)."""
-    st = registry_for(spark, sf).staging
-    lk, _ = grow_lookups(st, seed_lookups(spark))
-    return _money(migrate(st, lk).fact)
+    """The staging -> fact job as one lazy plan over the stored staging table and the lookups
+    grown by the previous step (rows filtered, normalised, de-duplicated and checked)."""
+    reg = registry_for(spark, sf)
+    return _money(migrate(reg.staging, reg.lookups).fact)
 
 
 def m2_rejected_by_rule(spark, sf):
