@@ -64,7 +64,7 @@ def read_jdbc(
             .load()
             .first()
         )
-        lo, hi = (probe["lo"] or probe["LO"]), (probe["hi"] or probe["HI"])
+        lo, hi = probe[0], probe[1]  # by position: some databases upper-case the aliases
         bounds = (int(lo or 0), int(hi or 0))
     lo, hi = bounds if bounds else (None, None)
     opts = jdbc_options(url, table, properties, partition_column, lo, hi, num_partitions, fetch_size)
