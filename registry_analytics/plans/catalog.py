@@ -323,31 +323,36 @@ def i1_csv_roundtrip(spark, sf):
 def l1_load_stats(spark, sf):
     """Rows per load stage and per quarantine reason, from the text rows to the fact.
 
-    Every stage is a written table, so each count is a pruned scan; the
-    de-duplicated count is the distinct key count of the candidates (one
-    partially aggregated pass, no sort).
+    One aggregate per stored table: a ROLLUP over the quarantine reason gives
+    every reason and the rows read in one scan; one aggregate over the
+    candidates gives their count and their distinct keys (the de-duplicated
+    count: one partially aggregated pass, no sort); one aggregate over the
+    checked rows gives migrated and rejected; the lookups add the values grown.
     """
     reg = text_registry_for(spark, sf)
     parsed = spark.read.parquet(f"{reg.root}/parsed")
-    cand = candidates(reg.staging)
+    reasons = parsed.rollup(F.coalesce("reason", F.lit("staged")).alias("stage")).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_g"))
+    reasons = reasons.select(F.when(F.col("_g") == 1, F.lit("read")).otherwise(F.col("stage")).alias("stage"), "n")
+    cand = candidates(reg.staging).agg(F.count(F.lit(1)).alias("c"), F.count_distinct("ddp_numruc").alias("d"))
+    checked = spark.read.parquet(f"{reg.root}/checked").agg(
+        F.count_if(F.col("status") == "valid").alias("v"), F.count_if(F.col("status") == "rejected").alias("r"))
+    grown = reg.lookups
     parts = [
-        parsed.groupBy(F.coalesce("reason", F.lit("staged")).alias("stage")).agg(F.count(F.lit(1)).alias("n")),
-        parsed.agg(F.count(F.lit(1)).alias("n")).select(F.lit("read").alias("stage"), "n"),
-        cand.agg(F.count(F.lit(1)).alias("n")).select(F.lit("candidates").alias("stage"), "n"),
-        cand.agg(F.count_distinct("ddp_numruc").alias("n")).select(F.lit("deduplicated").alias("stage"), "n"),
-        reg.fact.agg(F.count(F.lit(1)).alias("n")).select(F.lit("migrated").alias("stage"), "n"),
-        reg.rejected.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected").alias("stage"), "n"),
+        reasons,
+        cand.selectExpr("stack(2, 'candidates', c, 'deduplicated', d) AS (stage, n)"),
+        checked.selectExpr("stack(2, 'migrated', v, 'rejected', r) AS (stage, n)"),
         # Lookup values added from the staging rows (seeded rows are not counted).
-        reg.lookups.activities.agg((F.count(F.lit(1)) - F.lit(len(SEED_ACTIVITIES))).alias("n"))
+        grown.activities.agg((F.count(F.lit(1)) - F.lit(len(SEED_ACTIVITIES))).alias("n"))
         .select(F.lit("new_activities").alias("stage"), "n"),
-        reg.lookups.places.agg(F.count(F.lit(1)).alias("n")).select(F.lit("new_places").alias("stage"), "n"),
-        reg.lookups.company_types.agg((F.count(F.lit(1)) - F.lit(len(COMPANY_TYPES))).alias("n"))
+        grown.places.agg(F.count(F.lit(1)).alias("n")).select(F.lit("new_places").alias("stage"), "n"),
+        grown.company_types.agg((F.count(F.lit(1)) - F.lit(len(COMPANY_TYPES))).alias("n"))
         .select(F.lit("new_company_types").alias("stage"), "n"),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select("stage", F.col("n").cast("bigint").alias("n"))
 
 
 def h1_has_rows(spark, sf):
