@@ -97,7 +97,7 @@ def top_activities_described(fact: DataFrame, lk: Lookups, k: int = 15, amount:
 TABLE_NAMES = {
     "fact": "CONTRIBUYENTE", "activities": "ACTIVIDAD_ECONOMICA", "company_types": "TIPO_EMPRESA",
     "sizes": "TAMANO_EMPRESA", "places": "UBICACION_GEOGRAFICA", "states": "ESTADO_TRIBUTARIO",
-    "conditions": "CONDICION_DOMICILIO",
+    "conditions": "CONDICION_DOMICILIO", "staging": "TMP_DataOZ_Staging", "results": "RESULTADO_SPARK",
 }
 
 
@@ -107,7 +107,7 @@ def table_rows(fact: DataFrame, lk: Lookups, results: DataFrame | None = None,
     tables = {TABLE_NAMES["fact"]: fact}
     tables.update({TABLE_NAMES[n]: df for n, df in lk.as_dict().items()})
     if staging is not None:
-        tables["TMP_DataOZ_Staging"] = staging
+        tables[TABLE_NAMES["staging"]] = staging
     if results is not None:
-        tables["RESULTADO_SPARK"] = results
+        tables[TABLE_NAMES["results"]] = results
     return table_counts(tables)
