@@ -6,6 +6,7 @@ from .files import (
     read_csv_raw,
     read_table,
     table_counts,
+    table_has_rows,
     write_csv,
     write_table,
 )
@@ -13,7 +14,7 @@ from .jdbc import jdbc_options, read_jdbc, write_jdbc
 from .results import RESULTS_COLUMNS, category_max, load_results, long_rows, save_results, to_long
 
 __all__ = [
-    "count_on_read", "has_rows", "read_csv_raw", "read_table", "table_counts", "write_csv",
+    "count_on_read", "has_rows", "read_csv_raw", "read_table", "table_counts", "table_has_rows", "write_csv",
     "write_table", "jdbc_options", "read_jdbc", "write_jdbc", "RESULTS_COLUMNS", "category_max",
     "load_results", "long_rows", "save_results", "to_long",
 ]

@@ -96,6 +96,17 @@ def has_rows(df: DataFrame, min_rows: int = 1) -> bool:
         raise
 
 
+def table_has_rows(spark: SparkSession, path: str, min_rows: int = 1) -> bool:
+    """Load gate on a stored table: False when the table does not exist, else :func:`has_rows`."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return False
+        raise
+    return has_rows(df, min_rows)
+
+
 def table_counts(tables: Mapping[str, DataFrame], name_col: str = "table_name", count_col: str = "n_rows") -> DataFrame:
     """Row count of every named table as one frame (one job, zero-row tables kept)."""
     parts = [df.select(F.lit(name).alias(name_col)) for name, df in tables.items()]

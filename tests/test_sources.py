@@ -35,3 +35,13 @@ def test_jdbc_options_need_bounds_for_parallel_reads():
 def test_sql_with_bound_parameters(spark):
     register_views(spark, {"t_nums": spark.range(10)})
     assert query(spark, "SELECT count(*) AS n FROM t_nums WHERE id >= :lo", {"lo": 7}).first().n == 3
+
+
+def test_load_gate_on_stored_tables(spark):
+    from registry_analytics.session import new_work_dir
+    from registry_analytics.sources.files import table_has_rows, write_table
+
+    path = new_work_dir(spark, "test-gate")
+    assert not table_has_rows(spark, path, 1)          # missing table
+    write_table(spark.range(120), path)
+    assert table_has_rows(spark, path, 100) and not table_has_rows(spark, path, 121)
