@@ -83,3 +83,17 @@ def test_special_row_key_filter_reaches_the_scan(spark):
     p = plan(inserted)
     # one key: Catalyst turns the IN into an equality; either reaches the parquet scan
     assert re.search(r"PushedFilters: \[[^\]]*(In\(ruc, \[611077\]\)|EqualTo\(ruc,611077\))", p)
+
+
+def test_analysis_pack_scans_the_fact_once_per_pack(spark):
+    fact = registry_for(spark, SF).fact
+    pack = A.analysis_pack(fact)
+    try:
+        grouped = tree(A._pack_grouped(fact, "deuda", "edad"))
+        assert grouped.count("Scan parquet") == 1 and "Expand" in grouped
+        assert "SortAggregate" not in grouped
+        glob = tree(A._pack_global(fact, "deuda", "edad", 1_000_000))
+        assert glob.count("Scan parquet") == 1 and glob.count("Exchange") == 1
+    finally:
+        pack["_grouped"].unpersist()
+        pack["_global"].unpersist()
