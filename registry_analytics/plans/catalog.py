@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import key_form
 from ..operators.dedup import duplicate_keys
 from ..operators.dimensions import insert_if_absent
 from ..operators.joins import Dim, star_join
@@ -127,6 +128,26 @@ def m3_duplicates(spark, sf):
     return duplicate_keys(li, ["l_orderkey", "l_linenumber"])
 
 
+def q2_unique_keys(spark, sf):
+    """DQ-1 on the registry: keys occurring more than once in the fact (by value) and in each
+    lookup (by normal form), one row per table, zero when the key is unique."""
+    reg = registry_for(spark, sf)
+    keys = {"CONTRIBUYENTE": (reg.fact, F.col("ruc"))}
+    key_cols = {"activities": "id_ciiu", "company_types": "id_tipo_empresa", "sizes": "id_tamano",
+                "places": "id_ubicacion", "states": "id_estado", "conditions": "id_condicion"}
+    for name, df in reg.lookups.as_dict().items():
+        keys[R.TABLE_NAMES[name]] = (df, key_form(key_cols[name]))
+    parts = [
+        duplicate_keys(df.select(k.alias("k")), "k").agg(F.count(F.lit(1)).alias("duplicate_keys"))
+        .select(F.lit(t).alias("table_name"), "duplicate_keys")
+        for t, (df, k) in keys.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def g1_grow_places(spark, sf):
     """Places missing from the (empty) seeded lookup, from the stored staging table."""
     _, added = grow_lookups(registry_for(spark, sf).staging, seed_lookups(spark))
@@ -366,7 +387,7 @@ QUERIES: dict[str, Query] = {
         a1_state_profile, a1b_orders_by_status, a2_debt_stats, a2b_customer_balance_stats, b1_top_places, b2_top_places_ci, c1_size_profile, c2_type_profile,
         d1_top_activities, d2_sector_rollup, e1_sex_profile, e2_age_bands, f1_null_profile, f2_default_codes,
         n1_normalize_codes, m1_migrate, m2_rejected_by_rule, m3_duplicates, g1_grow_places,
-        g2_insert_if_absent, g3_grow_activities, q1_orphans, s1_star, s2_star_driver,
+        g2_insert_if_absent, g3_grow_activities, q1_orphans, q2_unique_keys, s1_star, s2_star_driver,
         r1_summary, r1b_summary_debtors, r2_by_state, r3_top_places, r3b_top5_places, r4_by_size, r5_by_sex,
         r6_top_activities, j8_run_all, r7_results_roundtrip, r7b_category_max, r8_table_counts, r8b_all_table_counts, r9_sql_star_by_state,
         p1_parse_rows, i1_csv_roundtrip, l1_load_stats, h1_has_rows,

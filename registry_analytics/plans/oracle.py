@@ -426,6 +426,15 @@ SELECT {NORM_COLUMNS.replace("CAST(greatest(coalesce(deuda, 0), 0) AS DECIMAL(18
     q["q1_orphans"] = _on_fact(
         ", rows_ AS (SELECT * FROM dedup UNION ALL SELECT * FROM special_in)\n"
         + " UNION ALL ".join(f"SELECT '{n}' AS fk, CAST(count_if(NOT {p}) AS BIGINT) AS orphans FROM rows_" for n, p in fk))
+    uniq = [("CONTRIBUYENTE", "fact", "ruc"), ("ACTIVIDAD_ECONOMICA", "activities", "upper(trim(id_ciiu))"),
+            ("TIPO_EMPRESA", "types", "upper(trim(id_tipo_empresa))"),
+            ("TAMANO_EMPRESA", "sizes", "upper(trim(id_tamano))"),
+            ("UBICACION_GEOGRAFICA", "places", "upper(trim(id_ubicacion))"),
+            ("ESTADO_TRIBUTARIO", "states", "upper(trim(id_estado))"),
+            ("CONDICION_DOMICILIO", "conditions", "upper(trim(id_condicion))")]
+    q["q2_unique_keys"] = _on_fact("\n" + " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, (SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY 1 HAVING count(*) > 1))"
+        f" AS duplicate_keys" for n, t, k in uniq))
     q["s1_star"] = _on_fact("""
 SELECT c.ruc, c.sexo, c.edad, CAST(c.deuda AS DOUBLE) AS deuda,
   ae.id_ciiu AS codigo_ciiu, ae.descripcion AS actividad_economica, te.descripcion AS tipo_empresa,
