@@ -86,8 +86,11 @@ def test_special_row_key_filter_reaches_the_scan(spark):
 
 
 def test_analysis_pack_scans_the_fact_once_per_pack(spark):
+    spark.catalog.clearCache()  # plans of cached frames would show in-memory scans instead
     fact = registry_for(spark, SF).fact
     pack = A.analysis_pack(fact)
+    pack["_grouped"].unpersist()
+    pack["_global"].unpersist()
     try:
         grouped = tree(A._pack_grouped(fact, "deuda", "edad"))
         assert grouped.count("Scan parquet") == 1 and "Expand" in grouped
