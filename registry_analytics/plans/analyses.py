@@ -251,6 +251,9 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
             safe_pct(F.col("n"), total).alias("share_pct"),
         )
 
+    bands = (g.filter(F.col("_g_age_band") == 0)
+             .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
+             .filter(F.col("age_band").isNotNull()))
     out = {
         "_grouped": g,  # cached packs, for the caller to unpersist
         "_global": s,
@@ -262,10 +265,7 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
             "id_tipo_empresa", "n", "share_pct", code_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
             "id_tipo_empresa"),
         "E1": order(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
-        "E2": (lambda e2: e2.orderBy("age_band") if sort else e2)(
-            g.filter(F.col("_g_age_band") == 0)
-            .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
-            .filter(F.col("age_band").isNotNull())),
+        "E2": bands.orderBy("age_band") if sort else bands,
         "B1": top_places(fact, amount=amount),
         "D1": top_activities(fact, amount=amount),
     }
