@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Fixed values of the contract: white space of words, symbols, words in a window.
 SPACE = "\\x20\\x09-\\x0D"
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
@@ -43,66 +42,56 @@ RULES = (
     Threshold("duplicate_lines", "n_dup_lines", "n_lines", None, 50),
     Threshold("stop_words", "n_stop_words", "n_words", 2, None),
     Threshold("separators", "n_separators", "n_words", None, 10),
-    Threshold("upper_case", "n_upper", "n_letters", None, 60),
+    Threshold("upper_case", "n_upper", "word_chars", None, 50),
 )
 
 
-def removed(text: Column, chars: str) -> Column:
-    """Code points of ``text`` that are in ``chars``."""
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+def among(text: str, chars: str) -> Column:
+    """Code points of a text that are in a character class of ASCII."""
+    return F.regexp_count(text, F.lit(f"[{chars}]")).cast("long")
 
 
 def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and the counts of each whole text; a null text has none of anything.
 
-    Repeated words: every run of eight words is hashed (64 bits), hashes are sorted with their places,
-    and equal neighbours mark the places; a fold then adds up the words they cover.
+    Repeated words: every run of eight words is hashed (64 bits, pairs of pairs of pairs of word hashes). Only where some hash occurs twice, the
+    hashes are sorted with their places, equal neighbours mark the places, and a fold adds up the words
+    they cover. Stop words are compared as written.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     base = base.select("doc_id", "text", F.filter(F.split("text", f"[{SPACE}]+"), lambda w: w != "").alias("words"))
-    lines = lambda f: f(F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACE_CHARS, "") != ""))
+    lines = lambda f: f(F.filter(F.split("text", "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
     once = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  # evaluates value once
     n = F.size("words")
-    windows = once(
-        F.transform("words", lambda w: F.xxhash64(w)),
-        lambda h: F.when(F.size(h) < WINDOW, F.array().cast("array<struct<h:bigint,at:int>>")).otherwise(
-            F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), lambda i: F.struct(F.xxhash64(F.slice(h, i + 1, WINDOW)).alias("h"), i.alias("at")))
-        ),
-    )
+    pair = lambda h, gap: F.zip_with(F.slice(h, 1, F.size(h) - gap), F.slice(h, gap + 1, F.size(h)), lambda a, b: F.xxhash64(a, b))
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    windows = F.when(n < WINDOW, F.array().cast("array<bigint>")).otherwise(once(hashes, lambda h: once(pair(h, 1), lambda h2: once(pair(h2, 2), lambda h4: pair(h4, 4)))))
+    base = base.select("doc_id", "text", "words", windows.alias("windows"))
+    same = lambda s, i, x: F.coalesce(F.get(s, i)["h"] == x["h"], F.lit(False))
     twice = once(
-        F.array_sort(windows),
-        lambda s: F.array_sort(
-            F.transform(
-                F.filter(
-                    s,
-                    lambda x, i: (F.coalesce(F.get(s, i - 1)["h"] == x["h"], F.lit(False))) | (F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False))),
-                ),
-                lambda x: x["at"],
-            )
-        ),
+        F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at")))),
+        lambda s: F.sort_array(F.transform(F.filter(s, lambda x, i: same(s, i - 1, x) | same(s, i + 1, x)), lambda x: x["at"])),
     )
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate(
+    fold = F.aggregate(
         twice,
         zero,
         lambda acc, at: F.struct((at + WINDOW).alias("end"), (acc["n"] + F.least(F.lit(WINDOW), at + WINDOW - acc["end"])).alias("n")),
         lambda acc: acc["n"],
     )
-    stop = F.array(*map(F.lit, STOP_WORDS))
-    bare = F.translate("text", SPACE_CHARS, "")
+    covered = F.when(F.size(F.array_distinct("windows")) == F.size("windows"), F.lit(0).cast("long")).otherwise(fold)
     return base.select(
         "doc_id",
         n.cast("long").alias("n_words"),
-        F.length(bare).cast("long").alias("word_chars"),
-        removed(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        among("text", SYMBOLS).alias("n_symbols"),
         lines(lambda x: once(x, lambda y: F.size(y) - F.size(F.array_distinct(y)))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
         lines(F.size).cast("long").alias("n_lines"),
-        F.size(F.filter("words", lambda w: F.array_contains(stop, F.lower(F.rtrim(w, F.lit(".,")))))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("words", lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size(F.filter("words", lambda w: w == "|")).cast("long").alias("n_separators"),
-        removed(F.col("text"), "!").cast("long").alias("n_exclamations"),
-        removed(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_upper"),
-        removed(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz").cast("long").alias("n_letters"),
+        among("text", "!").alias("n_exclamations"),
+        among("text", "A-Z").alias("n_upper"),
     )
 
 
@@ -150,11 +139,10 @@ WITH d AS (
     len(lines) - len(list_distinct(lines)) AS n_dup_lines,
     CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
     CAST(len(lines) AS BIGINT) AS n_lines,
-    CAST(len(list_filter(words, lambda x: list_contains([{quoted}], lower(regexp_replace(x, '[.,]+$', ''))))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(words, lambda x: list_contains([{quoted}], x))) AS BIGINT) AS n_stop_words,
     CAST(len(list_filter(words, lambda x: x = '|')) AS BIGINT) AS n_separators,
     length(text) - length(replace(text, '!', '')) AS n_exclamations,
-    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper,
-    length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters
+    length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_upper
   FROM d JOIN w USING (r) LEFT JOIN covered USING (r)
 ), judged AS (
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
