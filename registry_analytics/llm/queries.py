@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
-from . import decontaminate, langid, packing, quality, token_store, url_filter
+from . import decontaminate, langid, packing, quality, suffix_dedup, token_store, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_language": op4_language,
@@ -86,6 +91,7 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
     "op9_decontamination": op9_decontamination,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL = {
