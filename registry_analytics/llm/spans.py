@@ -60,7 +60,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and BASE ** -i for i < n, kept per worker."""
     cache = worker_cache()
     if len(cache.get("powers", ((), ()))[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(2 * n, 1 << 22)
         with np.errstate(over="ignore"):
             up, down = np.full(size, BASE, np.uint64), np.full(size, BASE_INVERSE, np.uint64)
             up[0] = down[0] = 1

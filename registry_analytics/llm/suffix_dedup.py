@@ -24,13 +24,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .spans import SpanHash, gather, rows_of, string_bytes, text_slices
+from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices
 
 #: The difference cover of period 13: each difference modulo 13 occurs once.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 SEED = 12
+MULTIPLIER = np.uint64(0x94D049BB133111EB)
 NO_ID = np.iinfo(np.int64).max
 RECORDS = "bucket int, payload binary"
 SPANS = "part int, payload binary"
@@ -46,23 +47,22 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def records(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first suffix, last suffix, minimiser hash) of the maximal runs of suffixes that share a minimiser."""
-    spans = SpanHash(data)
-    at = np.arange(max(len(data) - SEED + 1, 0))
-    seeds = spans(at, at + SEED)
+def records(spans: SpanHash, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first suffix, last suffix, minimiser's place, its hash) of the maximal runs of suffixes that share a minimiser."""
+    n = len(spans.sums) - 1
+    seeds = (spans.sums[SEED:] - spans.sums[: n - SEED + 1]) * spans.down[: n - SEED + 1]
+    seeds ^= seeds >> np.uint64(29)
+    seeds *= MULTIPLIER
     # high bits order the seeds, low bits hold the place: ties go to the first
-    keyed = (seeds & ~np.uint64(0xFFFFFF)) | at.astype(np.uint64)
+    keyed = (seeds & ~np.uint64(0xFFFFFF)) | np.arange(n - SEED + 1, dtype=np.uint64)
     lowest = sliding_min(keyed, length - SEED + 1)  # of the suffix that starts at each place
-    inside = np.zeros(len(lowest) + 1, bool)
     start = offsets[:-1]
     last = offsets[1:] - length
     own = last >= start
-    edge = np.zeros(len(data) + 2, np.int64)
-    np.add.at(edge, start[own], 1)
-    np.add.at(edge, last[own] + 1, -1)
-    inside[: len(lowest)] = np.cumsum(edge)[: len(lowest)] > 0
-    valid = inside[: len(lowest)]
+    edge = np.zeros(n + 2, np.int8)
+    edge[start[own]] += 1
+    edge[last[own] + 1] -= 1
+    valid = np.cumsum(edge, dtype=np.int8)[: len(lowest)] > 0
     place = lowest & np.uint64(0xFFFFFF)
     new = np.ones(len(lowest), bool)
     new[1:] = (place[1:] != place[:-1]) | ~valid[:-1]
@@ -71,7 +71,8 @@ def records(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     close = np.ones(len(lowest), bool)
     close[:-1] = new[1:] | ~valid[1:]
     end = np.flatnonzero(close & valid)
-    return first, end, seeds[place[first].astype(np.int64)]
+    seed = place[first].astype(np.int64)
+    return first, end, seed, seeds[seed]
 
 
 def key_bytes(text: np.ndarray, at: np.ndarray, skip: int, n: int) -> np.ndarray:
@@ -82,28 +83,24 @@ def key_bytes(text: np.ndarray, at: np.ndarray, skip: int, n: int) -> np.ndarray
     return out
 
 
-def dense(order_keys: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Ranks from 1 of rows by their keys, the first key counting most; equal rows have equal ranks."""
-    order = np.lexsort(order_keys[::-1])
-    new = np.zeros(len(order), bool)
-    for key in order_keys:
-        sorted_key = key[order]
-        new[1:] |= sorted_key[1:] != sorted_key[:-1]
-    ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new) + 1
+def dense(key: np.ndarray) -> np.ndarray:
+    """Ranks from 1; equal keys have equal ranks."""
+    order = np.argsort(key)
+    ranks = np.empty(len(key), np.uint64)
+    ranks[order] = np.cumsum(np.append(1, key[order][1:] != key[order][:-1])).astype(np.uint64)
     return ranks
 
 
 def cover_ranks(text: np.ndarray) -> np.ndarray:
-    """Rank of the 52 bytes from each sample place of ``text`` (zero bytes beyond its end); 0 elsewhere."""
-    n = len(text) - 4 * PERIOD
-    ranks = np.zeros(len(text) + 4 * PERIOD, np.int64)
-    sample = np.flatnonzero(np.isin(np.arange(max(n, 0)) % PERIOD, COVER))
-    if len(sample):
-        ranks[sample] = dense((key_bytes(text, sample, 0, 8), key_bytes(text, sample, 8, PERIOD - 8)))
-        for step in (PERIOD, 2 * PERIOD):
-            ranks[sample] = dense((ranks[sample], ranks[sample + step]))
-    return ranks
+    """Rank of the 52 bytes from each sample place of ``text`` (the padding's zero bytes beyond its end); 0 elsewhere."""
+    whole = np.arange(0, len(text) - 4 * PERIOD, PERIOD)
+    sample = (whole[:, None] + np.array(COVER)).ravel()
+    ranks = np.zeros(len(text) + 4 * PERIOD, np.uint64)
+    ranks[sample] = dense(key_bytes(text, sample, 0, 8))
+    ranks[sample] = dense((ranks[sample] << np.uint64(40)) | key_bytes(text, sample, 8, PERIOD - 8))
+    for step in (PERIOD, 2 * PERIOD):
+        ranks[sample] = dense((ranks[sample] << np.uint64(32)) | ranks[sample + step])
+    return ranks.astype(np.int64)
 
 
 def meeting_offsets() -> np.ndarray:
@@ -235,36 +232,63 @@ def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 PAYLOAD = "<qq"  # records, bytes of text
 
 
-def pack_records(data: np.ndarray, first: np.ndarray, last: np.ndarray, doc: np.ndarray, key: np.ndarray, base: np.ndarray, length: int) -> bytes:
-    """Text and owners of records: suffix counts u16, document ids i64, row keys u64, starts in the row i64, text."""
+def pack_records(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, tag: np.ndarray, base: np.ndarray, length: int) -> bytes:
+    """Text and owners of records: suffix counts and minimisers' places u16, document ids i64, text tags u32, starts in the row u32, text."""
     size = last - first + length
     text = data[gather(first, size)]
     head = struct.pack(PAYLOAD, len(first), len(text))
-    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), doc.astype("<i8").tobytes(), key.astype("<u8").tobytes(), (first - base).astype("<i8").tobytes(), text.tobytes()])
+    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), doc.astype("<i8").tobytes(), tag.astype("<u4").tobytes(), (first - base).astype("<u4").tobytes(), text.tobytes()])
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
-def unpack_records(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def unpack_records(payload: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(payload)
     n, size = struct.unpack_from(PAYLOAD, raw)
     at, out = struct.calcsize(PAYLOAD), []
-    for kind, count in (("<u2", n), ("<i8", n), ("<u8", n), ("<i8", n), ("u1", size)):
+    for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("<u4", n), ("<u4", n), ("u1", size)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
     return tuple(out)
 
 
+def shared(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which rows have a hash that rows of another document have too."""
+    order = np.lexsort((docs, hashes))
+    h, d = hashes[order], docs[order]
+    begin = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    end = np.append(begin[1:], len(h)) - 1
+    out = np.zeros(len(h), bool)
+    out[order] = np.repeat(d[begin] != d[end], end - begin + 1)
+    return out
+
+
+def candidates(text: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """Records that may hold a repeat: ``length`` equal bytes around a minimiser agree on half of the rest before or after it."""
+    side = (length - SEED) // 2
+    spans = SpanHash(text)
+    out = np.zeros(len(begin), bool)
+    for a, b in ((seed, seed + SEED + side), (seed - side, seed + SEED)):
+        held = np.flatnonzero((a >= 0) & (b <= size))
+        if len(held):
+            out[held] |= shared(spans(begin[held] + a[held], begin[held] + b[held]), docs[held])
+    return out
+
+
 def bucket_spans(payloads: list[bytes], length: int, spans: SpanLists) -> None:
     """Sort the suffixes of one bucket and add the spans that repeat."""
-    parts = [unpack_records(p) for p in payloads]
-    count, doc, key, start, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+    count, seed, doc, tag, start, text = (np.concatenate(x) for x in zip(*map(unpack_records, payloads), strict=True))
     count = count.astype(np.int64)
     size = count + length - 1
     begin = np.cumsum(size) - size
-    padded = np.concatenate([text, np.zeros(6 * PERIOD, np.uint8)])
+    held = np.flatnonzero(candidates(text, begin, size, seed.astype(np.int64), doc, length))
+    if not len(held):
+        return
+    text = np.concatenate([text[gather(begin[held], size[held])], np.zeros(6 * PERIOD, np.uint8)])
+    count, size, doc, key, start = count[held], size[held], doc[held], row_keys(doc[held], tag[held]), start[held].astype(np.int64)
+    begin = np.cumsum(size) - size
     at = gather(begin, count)
     row = np.repeat(np.arange(len(count)), count)
-    found = np.flatnonzero(repeated(padded, at, doc[row], length))
+    found = np.flatnonzero(repeated(text, at, doc[row], length))
     if not len(found):
         return
     row, at = row[found], at[found]
@@ -275,13 +299,17 @@ def bucket_spans(payloads: list[bytes], length: int, spans: SpanLists) -> None:
     spans.add(key[own], start[own] + at[a] - begin[own], start[own] + at[b] - begin[own] + length)
 
 
-def row_key(doc_id: str, text: str) -> Column:
-    """Hash of a row: rows with the same id and text share it, and their result."""
-    return F.xxhash64(F.col(doc_id), F.col(text))
+def row_keys(doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """One number for an id and a 32-bit tag of the text: rows with the same id and text share it, and their result."""
+    return mix(mix(doc.view(np.uint64)) + tag.astype(np.uint64))
+
+
+def ids_and_tags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), batch.column("tag").to_numpy(zero_copy_only=False).astype(np.uint32)
 
 
 def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 24_000_000) -> DataFrame:
-    """Removed spans of ``rows`` (``key, doc_id, text``) as compressed lists by part."""
+    """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = SpanLists(parts)
@@ -293,8 +321,8 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             nonlocal size
             data = np.concatenate([h[0] for h in held])
             shift = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
-            first, last, base = (np.concatenate([h[i] + s for h, s in zip(held, shift, strict=True)]) for i in (1, 2, 5))
-            seed, content, doc, key = (np.concatenate([h[i] for h in held]) for i in (3, 4, 6, 7))
+            first, last, place, base = (np.concatenate([h[i] + s for h, s in zip(held, shift, strict=True)]) for i in (1, 2, 3, 6))
+            seed, content, doc, tag = (np.concatenate([h[i] for h in held]) for i in (4, 5, 7, 8))
             held.clear()
             size = 0
             order = np.lexsort((doc, content))
@@ -303,14 +331,14 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             owner = head[np.cumsum(new) - 1]
             later = np.flatnonzero(~new & (doc[order] > doc[owner]))
             again = order[later]
-            spans.add(key[again], first[again] - base[again], last[again] + length - base[again])
+            spans.add(row_keys(doc[again], tag[again]), first[again] - base[again], last[again] + length - base[again])
             bucket = (seed[head] >> np.uint64(20)) % np.uint64(buckets)
             by = np.argsort(bucket, kind="stable")
             head, bucket = head[by], bucket[by]
             cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(head))
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 own = head[a:b]
-                payload = pack_records(data, first[own], last[own], doc[own], key[own], base[own], length)
+                payload = pack_records(data, first[own], last[own], place[own], doc[own], tag[own], base[own], length)
                 yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([payload], pa.binary())], ["bucket", "payload"])
             for batch in spans.batches():  # in the same shape, told apart by a negative bucket
                 yield pa.RecordBatch.from_arrays([pa.array(-1 - batch.column("part").to_numpy(), pa.int32()), batch.column("payload")], ["bucket", "payload"])
@@ -322,13 +350,13 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
                     raise ValueError("a text of 16 MiB or more")
                 if len(data) < length:
                     continue
-                first, last, seed = records(data, offsets, length)
+                hashes = SpanHash(data)
+                first, last, place, seed = records(hashes, offsets, length)
                 if not len(first):
                     continue
                 row = rows_of(first, offsets)
-                ids = part.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
-                keys = part.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-                held.append((data, first, last, seed, SpanHash(data)(first, last + length), offsets[row], ids[row], keys[row]))
+                ids, tags = ids_and_tags(part)
+                held.append((data, first, last, place, seed, hashes(first, last + length), offsets[row], ids[row], tags[row]))
                 size += len(data)
                 if size >= flush:
                     yield from send()
@@ -371,7 +399,7 @@ def remove_repeats(
     other; repeated rows have the same result each. An empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select(row_key("doc_id", "text").alias("key"), "doc_id", "text")
+    rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tag"), "doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, -(-total // bucket_bytes) * 4)  # records overlap: a bucket holds about 3.5 times as many bytes
     parts = max(16, -(-total // part_bytes))
@@ -384,11 +412,11 @@ def remove_repeats(
                 data, offsets = string_bytes(piece.column("text"))
                 raw = data.tobytes()
                 texts = [pack.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                keys = piece.column("key").to_numpy(zero_copy_only=False)
-                part = (keys.view(np.uint64) % np.uint64(parts)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(part), piece.column("key"), piece.column("doc_id"), pa.array(texts, pa.binary())], ["part", "key", "doc_id", "payload"])
+                keys = row_keys(*ids_and_tags(piece))
+                part = (keys % np.uint64(parts)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys.view(np.int64)), piece.column("doc_id"), pa.array(texts, pa.binary())], ["part", "key", "doc_id", "payload"])
 
-    texts = rows.select("key", "doc_id", "text").mapInArrow(squeeze, "part int, key long, doc_id long, payload binary")
+    texts = rows.select("tag", "doc_id", "text").mapInArrow(squeeze, "part int, key long, doc_id long, payload binary")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per part: its span lists first, then its texts, in order of the sort."""
@@ -405,7 +433,7 @@ def remove_repeats(
                     continue
                 if spans is None:
                     table = np.concatenate(lists, axis=1) if lists else np.zeros((3, 0), np.int64)
-                    spans, lists = merged(table[0].view(np.uint64) if table.flags.c_contiguous else np.ascontiguousarray(table[0]).view(np.uint64), table[1], table[2]), []
+                    spans, lists = merged(table[0].copy().view(np.uint64), table[1], table[2]), []
                 mark = np.uint64(key & 0xFFFFFFFFFFFFFFFF)
                 a, b = np.searchsorted(spans[0], mark, "left"), np.searchsorted(spans[0], mark, "right")
                 at, kept, gone = 0, [], 0
