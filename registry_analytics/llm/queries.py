@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
-from . import decontaminate, langid, packing, quality, suffix_dedup, token_store, url_filter
+from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, model).select("page_id", "host", "path", "rule", "verdict", "blocked_score")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -90,6 +94,7 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
