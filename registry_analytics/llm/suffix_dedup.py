@@ -233,11 +233,11 @@ PAYLOAD = "<qq"  # records, bytes of text
 
 
 def pack_records(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, tag: np.ndarray, base: np.ndarray, length: int) -> bytes:
-    """Text and owners of records: suffix counts and minimisers' places u16, document ids i64, text tags u32, starts in the row u32, text."""
+    """Text and owners of records: suffix counts and minimisers' places u16, differences of document ids i64, text tags u32, starts in the row u32, text."""
     size = last - first + length
     text = data[gather(first, size)]
     head = struct.pack(PAYLOAD, len(first), len(text))
-    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), doc.astype("<i8").tobytes(), tag.astype("<u4").tobytes(), (first - base).astype("<u4").tobytes(), text.tobytes()])
+    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), tag.astype("<u4").tobytes(), (first - base).astype("<u4").tobytes(), text.tobytes()])
     return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
@@ -248,6 +248,7 @@ def unpack_records(payload: bytes) -> tuple[np.ndarray, ...]:
     for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("<u4", n), ("<u4", n), ("u1", size)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
+    out[2] = np.cumsum(out[2])
     return tuple(out)
 
 
@@ -308,7 +309,7 @@ def ids_and_tags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), batch.column("tag").to_numpy(zero_copy_only=False).astype(np.uint32)
 
 
-def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 24_000_000) -> DataFrame:
+def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 16_000_000) -> DataFrame:
     """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +338,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             head, bucket = head[by], bucket[by]
             cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(head))
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                own = head[a:b]
+                own = np.sort(head[a:b])  # in order of rows: ids and tags repeat or rise
                 payload = pack_records(data, first[own], last[own], place[own], doc[own], tag[own], base[own], length)
                 yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([payload], pa.binary())], ["bucket", "payload"])
             for batch in spans.batches():  # in the same shape, told apart by a negative bucket
