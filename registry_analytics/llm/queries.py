@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
-from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, url_filter
+from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,13 @@ def remainder(column: str, by: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % by
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), F.size("hits").alias("n_hits"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -89,6 +96,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
     "op5_token_files": op5_token_files,
