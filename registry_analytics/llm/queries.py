@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
-from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, toxicity, url_filter
+from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, toxicity, url_filter, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def remainder(column: str, by: int) -> F.Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % by
 
 
+def op1_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder("doc_id", 3) == 1
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
@@ -96,6 +100,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_wrapper": op1_wrapper,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_language": op4_language,
