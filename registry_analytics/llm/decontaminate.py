@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .spans import BASE, SpanHash, gather, rows_of, runs, string_bytes, text_slices
 
@@ -21,7 +21,7 @@ BLOCK = 2
 TABLE_BITS = 18
 #: Words that one cursor covers at most; longer texts get several.
 STRETCH = 512
-FOUND = "doc_id long, text_hash long, n_words long, spans array<long>, items array<long>"
+FOUND = T.StructType([T.StructField("n_words", T.LongType()), *(T.StructField(c, T.ArrayType(T.LongType())) for c in ("spans", "items"))])
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -139,7 +139,7 @@ def bounded_lots(benchmark: DataFrame, lot_bytes: int) -> Iterator[list[tuple[in
 
 def search(docs: DataFrame, patterns: list[Patterns]) -> DataFrame:
     """``doc_id, text_hash, n_words, spans`` (start, end, start, ... of the maximal runs of hit words) and
-    ``items`` for each row of ``docs`` (``doc_id, text``); the bounded ``patterns`` travel with the function."""
+    ``items`` for each row of ``docs`` (``doc_id, text``, and ``row``, which is passed on); the bounded ``patterns`` travel with the function."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -170,14 +170,16 @@ def search(docs: DataFrame, patterns: list[Patterns]) -> DataFrame:
                     [
                         part.column("doc_id"),
                         part.column("text_hash"),
+                        part.column("row"),
                         pa.array(np.diff(first), pa.int64()),
                         pa.array([spans.get(r, []) for r in range(part.num_rows)], pa.list_(pa.int64())),
                         pa.array([sorted(items.get(r, ())) for r in range(part.num_rows)], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "text_hash", "n_words", "spans", "items"],
+                    ["doc_id", "text_hash", "row", "n_words", "spans", "items"],
                 )
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, FOUND)
+    read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", "row")
+    return read.mapInArrow(run, T.StructType([*read.drop("text").schema, *FOUND]))
 
 
 def covered(spans: Column) -> Column:
@@ -199,7 +201,18 @@ def hits(
     merged by id and text. A null text has no words, an item without words or id no pattern; an empty
     benchmark finds nothing. Rows are searched one by one, so null and repeated ids change nothing.
     """
-    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("int").alias("row"))
+    return found_in(read, benchmark, item_id, item_text, window, lot_bytes).drop("row")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WORDS, lot_bytes: int = 8_000_000) -> DataFrame:
+    """The rows of ``docs`` without a hit, all columns as they were."""
+    read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.struct("*").alias("row"))
+    return found_in(read, benchmark, item_id, item_text, window, lot_bytes).where("n_hit = 0").select("row.*")
+
+
+def found_in(read: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, window: int, lot_bytes: int) -> DataFrame:
+    """``doc_id, row, n_words, n_hit, items`` of each row; see ``hits``."""
     items = benchmark.select(F.col(item_id).cast("long"), F.col(item_text))
     found = [search(read, compile_patterns(lot, window)) for lot in bounded_lots(items, lot_bytes)]
     rows = found[0]
@@ -210,8 +223,8 @@ def hits(
         merged = union.where(F.size("spans") > 0).groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
         merged = merged.agg(F.flatten(F.collect_set("spans")).alias("all_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("all_items"))
         rows = rows.join(merged, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
-        rows = rows.select("doc_id", "n_words", F.coalesce("all_spans", "spans").alias("spans"), F.coalesce("all_items", "items").alias("items"))
-    return rows.select("doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), "items")
+        rows = rows.select("doc_id", "row", "n_words", F.coalesce("all_spans", "spans").alias("spans"), F.coalesce("all_items", "items").alias("items"))
+    return rows.select("doc_id", "row", "n_words", covered(F.col("spans")).alias("n_hit"), "items")
 
 
 def items_digest(items: Column) -> Column:

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import new_work_dir
 from .decontaminate import words_of
@@ -388,7 +388,8 @@ def classes(
     block_words: int = 400_000,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, class_id`` (smallest id of its class, the documents that links
-    connect), ``n_links`` (other rows at ``threshold`` or more, copies included) and ``node`` (its text's key).
+    connect), ``n_links`` (other rows at ``threshold`` or more, copies included) ``node`` (its text's
+    key) and ``root`` (the key of its class).
 
     Words are runs of ASCII letters, digits and non-ASCII characters, A-Z in lower case. A text of one to
     four words is one shingle; a null text or one without words has no links and is a class alone. Null
@@ -419,11 +420,32 @@ def classes(
     named = nodes.select("node", "first_id", "copies").join(joined, "node", "left").join(links, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    found = named.join(ids, "root").select("node", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    found = named.join(ids, "root").select("node", "root", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     out = rows.select("doc_id", "node").join(found, "node", "left")
     return out.select(
         "doc_id",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "node",
+        "root",
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: float) -> DataFrame:
+    """One row of each class of ``docs``, that of the smallest id (ties: the lowest row hash), all columns as they
+    were; rows without words are all kept. ``options`` go to ``classes``."""
+    found = classes(docs, doc_id, text, **options).where("node IS NOT NULL").select("root", "doc_id", "node").distinct()
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("first")).select("first.doc_id", "first.node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in text_slices(whole, "text"):
+                _, _, words, start = shingles(*string_bytes(part.column("text")))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node_ids(words, start), pa.binary()), part.column("row")], ["doc_id", "node", "row"])
+
+    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.struct("*").alias("row"))
+    keyed = whole.mapInArrow(run, T.StructType([whole.schema["doc_id"], T.StructField("node", T.BinaryType()), whole.schema["row"]]))
+    held = keyed.where("node IS NOT NULL").alias("k").join(first.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("k.node") == F.col("f.node")), "left_semi")
+    order = Window.partitionBy("doc_id", "node").orderBy(F.xxhash64("row"))
+    once = held.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
+    return once.unionByName(keyed.where("node IS NULL").select("row.*"))

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices
 
@@ -390,21 +390,24 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000
+    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per distinct row of (id, text) of ``docs`` times its copies: ``doc_id, n_bytes, n_removed,
-    n_spans`` (maximal removed runs) and ``kept`` (the remaining bytes, in order).
+    n_spans`` (maximal removed runs), ``kept`` (the remaining bytes, in order) and ``row``, a struct of the
+    columns named in ``carry``.
 
     A null text is empty; a text under ``length`` bytes keeps all. A null id is larger than every id and
     its documents lose to any other, but not to each other. Rows with the same id never remove from each
     other; repeated rows have the same result each. An empty table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tag"), "doc_id", "text")
+    row = F.struct(*carry) if carry else F.lit(None).cast("int")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), row.alias("row"))
+    rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tag"), "doc_id", "text", "row")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, -(-total // bucket_bytes) * 4)  # records overlap: a bucket holds about 3.5 times as many bytes
     parts = max(16, -(-total // part_bytes))
-    spans = find_spans(rows, length, buckets, parts)
+    spans = find_spans(rows.drop("row"), length, buckets, parts)
+    row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
@@ -415,17 +418,19 @@ def remove_repeats(
                 texts = [pack.compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 keys = row_keys(*ids_and_tags(piece))
                 part = (keys % np.uint64(parts)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys.view(np.int64)), piece.column("doc_id"), pa.array(texts, pa.binary())], ["part", "key", "doc_id", "payload"])
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys.view(np.int64)), piece.column("doc_id"), piece.column("row"), pa.array(texts, pa.binary())], ["part", "key", "doc_id", "row", "payload"])
 
-    texts = rows.select("tag", "doc_id", "text").mapInArrow(squeeze, "part int, key long, doc_id long, payload binary")
+    dealt = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("doc_id", T.LongType()), row_type, T.StructField("payload", T.BinaryType())])
+    texts = rows.select("tag", "doc_id", "text", "row").mapInArrow(squeeze, dealt)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per part: its span lists first, then its texts, in order of the sort."""
         now, lists, spans = None, [], (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for whole in batches:
             out: list[tuple] = []
+            places: list[int] = []
             size = 0
-            for part, kind, key, doc, payload in zip(*(whole.column(c).to_pylist() for c in ("part", "kind", "key", "doc_id", "payload")), strict=True):
+            for place, (part, kind, key, doc, payload) in enumerate(zip(*(whole.column(c).to_pylist() for c in ("part", "kind", "key", "doc_id", "payload")), strict=True)):
                 if part != now:
                     now, lists, spans = part, [], None
                 raw = zstandard.ZstdDecompressor().decompress(payload)
@@ -444,21 +449,34 @@ def remove_repeats(
                     at = e
                 kept.append(raw[at:])
                 out.append((doc, len(raw), gone, int(b - a), b"".join(kept)))
+                places.append(place)
                 size += len(raw)
                 if size > 4_000_000:
-                    yield result(out)
-                    out, size = [], 0
+                    yield result(out, whole.column("row").take(pa.array(places)))
+                    out, places, size = [], [], 0
             if out:
-                yield result(out)
+                yield result(out, whole.column("row").take(pa.array(places)))
 
-    def result(out: list[tuple]) -> pa.RecordBatch:
+    def result(out: list[tuple], row: pa.Array) -> pa.RecordBatch:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)), row], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "row"])
 
-    both = spans.select("part", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("doc_id"), "payload").unionByName(
-        texts.select("part", F.lit(1).alias("kind"), "key", "doc_id", "payload")
-    )
+    nothing = {"key": F.lit(None).cast("long"), "doc_id": F.lit(None).cast("long"), "row": F.lit(None).cast(row_type.dataType)}
+    both = spans.withColumns(nothing).withColumn("kind", F.lit(0)).unionByName(texts.withColumn("kind", F.lit(1)))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     gathered = both.repartition(tasks, "part").sortWithinPartitions("part", "kind")
-    return gathered.mapInArrow(assemble, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    counts = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")]
+    return gathered.mapInArrow(assemble, T.StructType([*counts, T.StructField("kept", T.BinaryType()), row_type]))
+
+
+def as_text(frame: DataFrame, kept: str = "kept") -> DataFrame:
+    """``kept`` as a string; bytes of characters that were cut in two are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(kept).to_pylist()], pa.string())
+            yield batch.set_column(batch.schema.get_field_index(kept), kept, text)
+
+    schema = T.StructType([T.StructField(kept, T.StringType()) if f.name == kept else f for f in frame.schema])
+    return frame.mapInArrow(run, schema)
 

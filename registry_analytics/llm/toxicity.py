@@ -15,7 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .spans import BASE, SpanHash, mix, rows_of, runs, string_bytes, text_slices, worker_cache
 
@@ -235,6 +235,50 @@ def misspellings(counted: DataFrame, entries: tuple[Entry, ...], most_clean: int
     return Model(tuple(weighed), clean)
 
 
+def rate(part: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[list[dict]]]:
+    """(score, hits) of each row's ``text``. A worker keeps the trie and its answers for distinct words."""
+    cache = worker_cache()
+    key = ("toxicity", hash(model))
+    if key not in cache:
+        cache[key] = Trie(model.entries), [np.zeros(0, np.uint64)], {}
+    trie, seen, answers = cache[key]
+    data, offsets = string_bytes(part.column("text"))
+    low, start, end = lower_words(data, offsets)
+    hits: list[list] = [[] for _ in range(part.num_rows)]
+    left_over = np.full(part.num_rows, math.log1p(-BASE_SCORE))
+    if len(start) and model.entries:
+        hashes = SpanHash(low)(start, end)
+        distinct, first = np.unique(hashes, return_index=True)
+        at = np.searchsorted(seen[0], distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(seen[0])
+        new[inside] = seen[0][at[inside]] != distinct[inside]
+        raw, texts = low.tobytes(), data.tobytes()
+        if len(seen[0]) + new.sum() > CACHE:
+            seen[0], new[:] = np.zeros(0, np.uint64), True
+            answers.clear()
+        for h, f in zip(distinct[new].tolist(), first[new].tolist(), strict=True):
+            found = lookup(raw[start[f] : end[f]].decode("utf-8", "replace"), trie, model.clean)
+            if found:
+                answers[h] = found
+        seen[0] = np.union1d(seen[0], distinct[new])
+        here = np.flatnonzero(np.isin(hashes, np.array(sorted(answers), np.uint64))) if answers else np.zeros(0, np.int64)
+        strongest: dict[tuple[int, str], tuple[float, int]] = {}
+        for k, r in zip(here.tolist(), rows_of(start[here], offsets).tolist(), strict=True):
+            a, b = int(start[k]), int(end[k])
+            left, right = max(int(offsets[r]), a - 4 * WINDOW), min(int(offsets[r + 1]), b + 4 * WINDOW)
+            before, own, after = (texts[x:y].decode("utf-8", "ignore") for x, y in ((left, a), (a, b), (b, right)))
+            weight, entry = answers[int(hashes[k])]
+            weight *= context_weight(before + own + after, len(before), len(before) + len(own))
+            word = (r, raw[a:b].decode("utf-8", "replace"))
+            if weight > strongest.get(word, (0.0, 0))[0]:
+                strongest[word] = (weight, entry)
+        for (r, word), (weight, entry) in strongest.items():
+            left_over[r] += math.log1p(-min(weight, 0.999))
+            hits[r].append({"word": word, "entry": model.entries[entry].text, "weight": weight})
+    return -np.expm1(left_over), hits
+
+
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc_id, score`` (0 to 1) and ``hits`` (distinct words, their entries, weight in context).
 
@@ -242,54 +286,24 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     that of its plainest use. A text without hits, empty or null, has the base score. Rows are scored one
     by one, so null and repeated ids change nothing; an empty table gives no rows; other columns are not read.
     """
-    model_key = ("toxicity", hash(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        if model_key not in cache:
-            cache[model_key] = Trie(model.entries), [np.zeros(0, np.uint64)], {}
-        trie, seen, answers = cache[model_key]
+        kind = pa.list_(pa.struct([("word", pa.string()), ("entry", pa.string()), ("weight", pa.float64())]))
         for whole in batches:
             for part in text_slices(whole, "text"):
-                data, offsets = string_bytes(part.column("text"))
-                low, start, end = lower_words(data, offsets)
-                scores = np.full(part.num_rows, BASE_SCORE)
-                hits: list[list] = [[] for _ in range(part.num_rows)]
-                if len(start) and model.entries:
-                    hashes = SpanHash(low)(start, end)
-                    distinct, first = np.unique(hashes, return_index=True)
-                    at = np.searchsorted(seen[0], distinct)
-                    new = np.ones(len(distinct), bool)
-                    inside = at < len(seen[0])
-                    new[inside] = seen[0][at[inside]] != distinct[inside]
-                    raw = low.tobytes()
-                    if len(seen[0]) + new.sum() > CACHE:
-                        seen[0], new[:] = np.zeros(0, np.uint64), True
-                        answers.clear()
-                    for h, f in zip(distinct[new].tolist(), first[new].tolist(), strict=True):
-                        found = lookup(raw[start[f] : end[f]].decode("utf-8", "replace"), trie, model.clean)
-                        if found:
-                            answers[h] = found
-                    seen[0] = np.union1d(seen[0], distinct[new])
-                    toxic = np.array(sorted(answers), np.uint64)
-                    here = np.flatnonzero(np.isin(hashes, toxic)) if len(toxic) else np.zeros(0, np.int64)
-                    texts = data.tobytes()
-                    strongest: dict[tuple[int, str], tuple[float, int]] = {}
-                    for k, r in zip(here.tolist(), rows_of(start[here], offsets).tolist(), strict=True):
-                        a, b = int(start[k]), int(end[k])
-                        left, right = max(int(offsets[r]), a - 4 * WINDOW), min(int(offsets[r + 1]), b + 4 * WINDOW)
-                        before, own, after = (texts[x:y].decode("utf-8", "ignore") for x, y in ((left, a), (a, b), (b, right)))
-                        weight, entry = answers[int(hashes[k])]
-                        weight *= context_weight(before + own + after, len(before), len(before) + len(own))
-                        key = (r, raw[a:b].decode("utf-8", "replace"))
-                        if weight > strongest.get(key, (0.0, 0))[0]:
-                            strongest[key] = (weight, entry)
-                    left_over = np.log1p(-np.full(part.num_rows, BASE_SCORE))
-                    for (r, word), (weight, entry) in strongest.items():
-                        left_over[r] += math.log1p(-min(weight, 0.999))
-                        hits[r].append({"word": word, "entry": model.entries[entry].text, "weight": weight})
-                    scores = -np.expm1(left_over)
-                kind = pa.list_(pa.struct([("word", pa.string()), ("entry", pa.string()), ("weight", pa.float64())]))
+                scores, hits = rate(part, model)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores), pa.array(hits, kind)], ["doc_id", "score", "hits"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCORES)
+
+
+def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score under ``threshold``, all columns as they were; no shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in text_slices(whole, "text"):
+                yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(rate(part, model)[0] < threshold))], ["row"])
+
+    whole = docs.select(F.col(text).alias("text"), F.struct("*").alias("row"))
+    return whole.mapInArrow(run, T.StructType([whole.schema["row"]])).select("row.*")
