@@ -411,7 +411,8 @@ def classes(
     blocks = F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("words") / block_words)).cast("int")
     dealt = members.join(sizes.select("root", blocks.alias("blocks")), "root")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    one = texts_of(read).join(dealt.select("node", "root", "copies", "blocks", "block"), "node").dropDuplicates(["node"])
+    # merged at every size: the members grow with the input, and a broadcast of few would only hide what many cost
+    one = texts_of(read).join(dealt.select("node", "root", "copies", "blocks", "block").hint("merge"), "node").dropDuplicates(["node"])
     paired = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select(F.col("root").alias("group"), F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "payload")
     checked = write(verify(paired, threshold, tasks), folder, "checked")
