@@ -48,7 +48,8 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_work_dir(spark, "token-store")
     token_store.write_store(table(spark, sf_dir, "documents"), folder, tokenizer_path())
-    return token_store.read_store(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    rows = token_store.documents(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return token_store.with_starts(rows, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

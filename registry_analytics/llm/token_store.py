@@ -158,8 +158,9 @@ def read_dictionary(spark: SparkSession, folder: str) -> bytes:
     return bytes(spark.read.parquet(f"{folder}/dictionary").first()["bytes"])
 
 
-def read_store(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document of a store: ``doc_id, start`` (ids of all documents before it), ``n_tokens, ids`` (binary, unsigned 32-bit) and its place."""
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document of a store: ``doc_id``, its block (``shard, part``), ``before`` (ids before it in the block),
+    ``n_tokens`` and ``ids`` (binary, unsigned 32-bit)."""
     dictionary = read_dictionary(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,17 +183,21 @@ def read_store(spark: SparkSession, folder: str) -> DataFrame:
                         ["doc_id", "shard", "part", "before", "n_tokens", "ids"],
                     )
 
-    rows = spark.read.parquet(f"{folder}/blocks").select("shard", "part", "payload").mapInArrow(run, "doc_id long, shard int, part int, before long, n_tokens long, ids binary")
-    return with_starts(rows, spark.read.parquet(f"{folder}/blocks").select("shard", "part", "n_tokens"))
+    return spark.read.parquet(f"{folder}/blocks").select("shard", "part", "payload").mapInArrow(run, "doc_id long, shard int, part int, before long, n_tokens long, ids binary")
 
 
-def with_starts(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Add to ``before`` the tokens of all earlier blocks: sums by shard first, so the one ordered window has a row per shard."""
+def with_starts(rows: DataFrame, folder: str) -> DataFrame:
+    """Replace ``shard, part, before`` of rows of ``documents`` by ``start``, the ids of all documents before.
+
+    Blocks are summed by shard first, so the one ordered window has a row per shard. Rows are best
+    narrowed before: the join may shuffle them.
+    """
+    blocks = rows.sparkSession.read.parquet(f"{folder}/blocks").select("shard", "part", "n_tokens")
     shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("tokens"))
     shards = shards.select("shard", (F.sum("tokens").over(Window.orderBy("shard")) - F.col("tokens")).alias("shard_start"))
     parts = blocks.select("shard", "part", (F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("part")) - F.col("n_tokens")).alias("part_start"))
     starts = parts.join(shards, "shard").select("shard", "part", (F.col("shard_start") + F.col("part_start")).alias("block_start"))
-    return rows.join(starts, ["shard", "part"]).select("doc_id", (F.col("block_start") + F.col("before")).alias("start"), "n_tokens", "ids")
+    return rows.join(starts, ["shard", "part"]).withColumn("start", F.col("block_start") + F.col("before")).drop("shard", "part", "before", "block_start")
 
 
 def fetch(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
