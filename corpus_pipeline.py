@@ -28,7 +28,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = suffix_dedup.as_text(suffix_dedup.remove_repeats(docs, carry=("lang", "source")))
+    kept = suffix_dedup.remove_repeats(docs, carry=("lang", "source"), decode=True)
     return kept.select("doc_id", F.col("kept").alias("text"), "row.lang", "row.source", F.length("kept").cast("long").alias("n_chars"))
 
 

@@ -29,7 +29,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Consecutive row slices with about ``most`` bytes of text each; a longer text is a slice alone."""
     if batch.num_rows == 0:
         return
@@ -60,7 +60,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and BASE ** -i for i < n, kept per worker."""
     cache = worker_cache()
     if len(cache.get("powers", ((), ()))[0]) < n:
-        size = max(2 * n, 1 << 22)
+        size = max(n, 1 << 21)
         with np.errstate(over="ignore"):
             up, down = np.full(size, BASE, np.uint64), np.full(size, BASE_INVERSE, np.uint64)
             up[0] = down[0] = 1

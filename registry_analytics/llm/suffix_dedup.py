@@ -266,12 +266,15 @@ def shared(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
 def candidates(text: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """Records that may hold a repeat: ``length`` equal bytes around a minimiser agree on half of the rest before or after it."""
     side = (length - SEED) // 2
-    spans = SpanHash(text)
+    text = np.concatenate([text, np.zeros(8, np.uint8)])
     out = np.zeros(len(begin), bool)
     for a, b in ((seed, seed + SEED + side), (seed - side, seed + SEED)):
         held = np.flatnonzero((a >= 0) & (b <= size))
         if len(held):
-            out[held] |= shared(spans(begin[held] + a[held], begin[held] + b[held]), docs[held])
+            hashes = np.zeros(len(held), np.uint64)
+            for skip in range(0, SEED + side, 8):
+                hashes = mix(hashes + key_bytes(text, begin[held] + a[held], skip, min(8, SEED + side - skip)))
+            out[held] |= shared(hashes, docs[held])
     return out
 
 
@@ -390,11 +393,11 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, carry: tuple[str, ...] = ()
+    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, carry: tuple[str, ...] = (), decode: bool = False
 ) -> DataFrame:
     """One row per distinct row of (id, text) of ``docs`` times its copies: ``doc_id, n_bytes, n_removed,
     n_spans`` (maximal removed runs), ``kept`` (the remaining bytes, in order) and ``row``, a struct of the
-    columns named in ``carry``.
+    columns named in ``carry``. With ``decode``, ``kept`` is a string without the bytes of characters cut in two.
 
     A null text is empty; a text under ``length`` bytes keeps all. A null id is larger than every id and
     its documents lose to any other, but not to each other. Rows with the same id never remove from each
@@ -448,7 +451,8 @@ def remove_repeats(
                     gone += e - s
                     at = e
                 kept.append(raw[at:])
-                out.append((doc, len(raw), gone, int(b - a), b"".join(kept)))
+                left = b"".join(kept)
+                out.append((doc, len(raw), gone, int(b - a), left.decode("utf-8", "ignore") if decode else left))
                 places.append(place)
                 size += len(raw)
                 if size > 4_000_000:
@@ -458,7 +462,7 @@ def remove_repeats(
                 yield result(out, whole.column("row").take(pa.array(places)))
 
     def result(out: list[tuple], row: pa.Array) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string() if decode else pa.binary()]
         return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)), row], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "row"])
 
     nothing = {"key": F.lit(None).cast("long"), "doc_id": F.lit(None).cast("long"), "row": F.lit(None).cast(row_type.dataType)}
@@ -466,17 +470,5 @@ def remove_repeats(
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     gathered = both.repartition(tasks, "part").sortWithinPartitions("part", "kind")
     counts = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")]
-    return gathered.mapInArrow(assemble, T.StructType([*counts, T.StructField("kept", T.BinaryType()), row_type]))
-
-
-def as_text(frame: DataFrame, kept: str = "kept") -> DataFrame:
-    """``kept`` as a string; bytes of characters that were cut in two are left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = pa.array([b.decode("utf-8", "ignore") for b in batch.column(kept).to_pylist()], pa.string())
-            yield batch.set_column(batch.schema.get_field_index(kept), kept, text)
-
-    schema = T.StructType([T.StructField(kept, T.StringType()) if f.name == kept else f for f in frame.schema])
-    return frame.mapInArrow(run, schema)
+    return gathered.mapInArrow(assemble, T.StructType([*counts, T.StructField("kept", T.StringType() if decode else T.BinaryType()), row_type]))
 
