@@ -233,22 +233,33 @@ PAYLOAD = "<qq"  # records, bytes of text
 
 
 def pack_records(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, tag: np.ndarray, base: np.ndarray, length: int) -> bytes:
-    """Text and owners of records: suffix counts and minimisers' places u16, differences of document ids i64, text tags u32, starts in the row u32, text."""
+    """Text and owners of records: suffix counts and minimisers' places u16, differences of document ids i64, text tags u24, starts in the row u32 (both by planes of bytes), text."""
     size = last - first + length
     text = data[gather(first, size)]
     head = struct.pack(PAYLOAD, len(first), len(text))
-    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), tag.astype("<u4").tobytes(), (first - base).astype("<u4").tobytes(), text.tobytes()])
-    return zstandard.ZstdCompressor(level=3).compress(raw)
+    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), planes(tag, 3), planes(first - base, 4), text.tobytes()])
+    return zstandard.ZstdCompressor(level=7).compress(raw)
+
+
+def planes(values: np.ndarray, n: int) -> bytes:
+    """The lowest ``n`` bytes of numbers, first all lowest bytes: planes compress better than rows."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :n].T).tobytes()
+
+
+def numbers(raw: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros((len(raw) // n, 4), np.uint8)
+    out[:, :n] = raw.reshape(n, -1).T
+    return out.view("<u4").ravel()
 
 
 def unpack_records(payload: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(payload)
     n, size = struct.unpack_from(PAYLOAD, raw)
     at, out = struct.calcsize(PAYLOAD), []
-    for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("<u4", n), ("<u4", n), ("u1", size)):
+    for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("u1", 3 * n), ("u1", 4 * n), ("u1", size)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
-    out[2] = np.cumsum(out[2])
+    out[2], out[3], out[4] = np.cumsum(out[2]), numbers(out[3], 3), numbers(out[4], 4)
     return tuple(out)
 
 
@@ -304,7 +315,7 @@ def bucket_spans(payloads: list[bytes], length: int, spans: SpanLists) -> None:
 
 
 def row_keys(doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
-    """One number for an id and a 32-bit tag of the text: rows with the same id and text share it, and their result."""
+    """One number for an id and a 24-bit tag of the text: rows with the same id and text share it, and their result."""
     return mix(mix(doc.view(np.uint64)) + tag.astype(np.uint64))
 
 
@@ -405,15 +416,15 @@ def remove_repeats(
     """
     row = F.struct(*carry) if carry else F.lit(None).cast("int")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), row.alias("row"))
-    rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tag"), "doc_id", "text", "row")
+    rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFF).alias("tag"), "doc_id", "text", "row")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, -(-total // bucket_bytes) * 4)  # records overlap: a bucket holds about 3.5 times as many bytes
+    buckets = max(64, -(-total // bucket_bytes) * 2)  # records overlap: a bucket holds about 1.8 times as many bytes
     parts = max(16, -(-total // part_bytes))
     spans = find_spans(rows.drop("row"), length, buckets, parts)
     row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=7)
         for whole in batches:
             for piece in text_slices(whole, "text"):
                 data, offsets = string_bytes(piece.column("text"))
