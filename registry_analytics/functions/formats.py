@@ -15,22 +15,22 @@ def fmt_count(c: ColumnOrName) -> Column:
 
 def fmt_money(c: ColumnOrName, prefix: str = "S/ ") -> Column:
     """``f"S/ {x:,.2f}"``."""
-    return F.concat(F.lit(prefix), F.format_number(F.coalesce(_col(c).cast("double"), F.lit(0.0)), 2))
+    return F.concat(F.lit(prefix), F.format_number(F.coalesce(_col(c), F.lit(0)), 2))
 
 
-def fmt_pct(c: ColumnOrName) -> Column:
-    """``f"{p:.1f}%"``."""
-    return F.format_string("%.1f%%", _col(c).cast("double"))
+def one_decimal(c: Column) -> Column:
+    """``f"{x:.1f}"``: the double's exact value, ties to the even digit (Java's ``%.1f`` rounds ties up)."""
+    return F.replace(F.format_number(c.cast("double"), 1), F.lit(","), F.lit(""))
 
 
 def fmt_count_pct(n: ColumnOrName, pct: ColumnOrName) -> Column:
     """``f"{n:,} ({p:.1f}%)"``."""
-    return F.format_string("%s (%.1f%%)", fmt_count(n), _col(pct).cast("double"))
+    return F.concat(fmt_count(n), F.lit(" ("), one_decimal(_col(pct)), F.lit("%)"))
 
 
 def fmt_years(c: ColumnOrName) -> Column:
     """``f"{x:.1f} años"``."""
-    return F.format_string("%.1f años", F.coalesce(_col(c).cast("double"), F.lit(0.0)))
+    return F.concat(one_decimal(F.coalesce(_col(c).cast("double"), F.lit(0.0))), F.lit(" años"))
 
 
 def null_grade(pct: ColumnOrName, ok_below: float = 1.0, warn_below: float = 10.0) -> Column:

@@ -1,28 +1,11 @@
-"""Number parsing and exact arithmetic helpers."""
+"""Exact arithmetic helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import ColumnOrName, _col, strip_ws
-
-
-def parse_number(c: ColumnOrName, to_type: str, blank_default=None) -> tuple[Column, Column]:
-    """Three-way parse of a text column.
-
-    Returns ``(value, bad)``: blank or NULL text gives ``blank_default``; text that
-    casts to ``to_type`` gives the value; anything else gives NULL and ``bad`` true.
-    ``try_cast`` keeps the work inside codegen; ``'12.0'`` is not an integer and
-    ``' 12 '`` is, like Python's ``int``.
-    """
-    s = strip_ws(c)
-    blank = _col(c).isNull() | (s == F.lit(""))
-    casted = s.try_cast(to_type)
-    default = F.lit(blank_default).cast(to_type)
-    value = F.when(blank, default).otherwise(casted)
-    bad = (~blank) & casted.isNull()
-    return value, bad
+from .text import ColumnOrName, _col
 
 
 def sum_as_double(c: ColumnOrName) -> Column:

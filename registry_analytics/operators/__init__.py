@@ -11,13 +11,13 @@ from .profile import (
     top_k,
 )
 from .dedup import duplicate_keys, first_wins
-from .quality import Rule, broken_rules, drop_fk_flags, fk_rules, orphans, rule_counts, split_valid
+from .quality import Rule, broken_rules, drop_fk_flags, fk_rules, rule_counts, split_valid
 from .dimensions import grow_dimension, insert_if_absent
-from .joins import bounded_broadcast, lookup_label, star_join
+from .joins import lookup_label, star_join
 
 __all__ = [
     "amount_stats", "bucketize", "conditional_counts", "group_profile", "null_profile",
     "sector_rollup", "share_of_total", "top_k", "duplicate_keys", "first_wins", "Rule",
-    "broken_rules", "drop_fk_flags", "fk_rules", "orphans", "rule_counts", "split_valid", "grow_dimension",
-    "insert_if_absent", "bounded_broadcast", "lookup_label", "star_join",
+    "broken_rules", "drop_fk_flags", "fk_rules", "rule_counts", "split_valid", "grow_dimension",
+    "insert_if_absent", "lookup_label", "star_join",
 ]

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import key_form
-from .joins import bounded_broadcast
 
 
 def distinct_values(source: DataFrame, col: str, case_insensitive: bool = True) -> DataFrame:
@@ -56,21 +55,18 @@ def insert_if_absent(
     rows: DataFrame,
     key: str,
     known_keys: Sequence | None = None,
-    max_rows: int = 100_000,
 ) -> tuple[DataFrame, DataFrame]:
-    """``IF NOT EXISTS (SELECT 1 FROM target WHERE key = ...) INSERT``, for a bounded set of rows.
+    """``IF NOT EXISTS (SELECT 1 FROM target WHERE key = ...) INSERT``.
 
     When the keys are constants of the caller (``known_keys``), the presence
     test is a literal ``IN`` filter that Catalyst pushes down to the scan of
     ``target`` (through projections and key-partitioned windows).  Otherwise the
-    keys of ``rows`` (at most ``max_rows``, checked) are broadcast into a semi
-    join, so ``target`` is scanned, never shuffled.  Returns
-    ``(target_with_new_rows, inserted)``.
+    keys of ``rows`` are semi-joined; AQE broadcasts whichever side it observes
+    to be small.  Returns ``(target_with_new_rows, inserted)``.
     """
     if known_keys is not None:
         present = target.select(key).filter(F.col(key).isin(*known_keys)).distinct()
     else:
-        row_keys = bounded_broadcast(rows.select(key).distinct(), max_rows)
-        present = target.select(key).join(row_keys, key, "left_semi").distinct()
-    inserted = rows.join(F.broadcast(present), key, "left_anti")
+        present = target.select(key).join(rows.select(key).distinct(), key, "left_semi").distinct()
+    inserted = rows.join(present, key, "left_anti")
     return target.unionByName(inserted, allowMissingColumns=True), inserted

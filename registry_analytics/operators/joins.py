@@ -11,15 +11,6 @@ from pyspark.sql import functions as F
 from ..functions.text import key_form
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows; else leave it to the planner.
-
-    The check reads at most ``max_rows + 1`` rows, so call it on literal or
-    stored (small) tables, not on an expensive lazy plan.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def lookup_label(code: Column | str, labels: Mapping[str, str]) -> Column:
     """Code -> label from a literal dictionary, falling back to the code itself.
 

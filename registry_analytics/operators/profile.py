@@ -38,22 +38,15 @@ def share_of_total(
     count_col: str = "n",
     share_col: str = "share_pct",
     total: Column | None = None,
-    bounded_groups: bool = False,
 ) -> DataFrame:
     """Add ``count / total * 100``.
 
-    ``total`` defaults to the sum of ``count_col`` over the grouped frame.
-    With ``bounded_groups`` (the key takes a known, small set of values, e.g.
-    codes of a fixed catalogue) it is a ``sum() over ()`` on the grouped rows:
-    one extra exchange of a handful of rows, no second scan.  Otherwise it is
-    a scalar subquery (no single-partition window over an unbounded number of
-    groups, no cross join).  Pass a scalar Column for "share of all rows".
+    ``total`` defaults to the sum of ``count_col`` over the grouped frame, as a
+    scalar subquery: no window over one partition and no cross join, whatever
+    the number of groups.  Pass a scalar Column for "share of all rows".
     """
     if total is None:
-        if bounded_groups:
-            total = F.sum(count_col).over(Window.partitionBy())
-        else:
-            total = grouped.select(F.sum(count_col)).scalar()
+        total = grouped.select(F.sum(count_col)).scalar()
     return grouped.withColumn(share_col, safe_pct(F.col(count_col), total))
 
 
@@ -121,19 +114,50 @@ def sector_rollup(
     )
 
 
+def percentiles_disc(df: DataFrame, value_col: str, qs: Sequence[float], positive_only: bool = False) -> DataFrame:
+    """``(q, value)``: exact discrete percentiles (the smallest value whose share of rows at or below it reaches ``q``).
+
+    Values are counted, then their counts are summed over buckets of equal
+    ratio (at most some 300,000 for any range of doubles, and only the filled
+    ones), so the one ordered window has a row per bucket.  Only the buckets
+    that hold a wanted rank are ordered by value.  NULLs are left out; no rows
+    give no percentiles.
+    """
+    x = F.col(value_col)
+    values = df.filter(x > 0 if positive_only else x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    d = F.col("v").cast("double")
+    scale = F.floor(F.log2(F.abs(d)) * 128) + F.lit(1 << 20)
+    values = values.select("v", "c", F.when(d > 0, scale).when(d < 0, -scale).otherwise(F.lit(0)).alias("b"))
+    buckets = values.groupBy("b").agg(F.sum("c").alias("c"))
+    upto = F.sum("c").over(Window.orderBy("b"))
+    total = buckets.select(F.sum("c")).scalar()
+    buckets = buckets.select("b", upto.alias("upto"), (upto - F.col("c")).alias("before"))
+    ranks = buckets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    rank = F.greatest(F.ceil(F.col("q") * total), F.lit(1))
+    ranks = ranks.withColumn("rank", rank).filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
+    inside = values.join(ranks, "b")
+    seen = F.col("before") + F.sum("c").over(Window.partitionBy("q").orderBy("v"))
+    hit = inside.withColumn("seen", seen).filter((F.col("seen") >= F.col("rank")) & (F.col("seen") - F.col("c") < F.col("rank")))
+    return hit.select("q", F.col("v").alias("value"))
+
+
+def percentile_scalars(df: DataFrame, value_col: str, qs: Sequence[float], positive_only: bool = False) -> list[Column]:
+    """One scalar column per percentile, from one subquery; NULL without rows."""
+    found = percentiles_disc(df, value_col, qs, positive_only)
+    row = found.agg(F.struct(*[F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(f"p{i}") for i, q in enumerate(qs)])).scalar()
+    return [row.getField(f"p{i}") for i in range(len(qs))]
+
+
 def amount_stats(
     df: DataFrame,
     amount_col: str,
     positive_only: bool = True,
-    accuracy: int = 1_000_000,
     percentiles: Sequence[float] = (0.5, 0.9),
 ) -> DataFrame:
-    """Count, sum, mean, max, min and percentiles of an amount, plus its share of all rows.
+    """Count, sum, mean, max, min and exact percentiles of an amount, plus its share of all rows.
 
-    One pass over the whole input: the filter ``amount > 0`` is folded into the
-    aggregates, so the "share of all rows" needs no second scan.  Percentiles
-    use the mergeable sketch of ``percentile_approx`` (bounded memory at any
-    row count; exact while rows <= ``accuracy``).
+    The filter ``amount > 0`` is folded into the aggregates, so the "share of
+    all rows" needs no further scan; the percentiles are a second one.
     """
     x = F.col(amount_col)
     sel = x > 0 if positive_only else x.isNotNull()
@@ -146,15 +170,15 @@ def amount_stats(
         F.try_divide(F.sum(y).cast("double"), F.count(y).cast("double")).alias("mean"),
         F.max(y).cast("double").alias("max"),
         F.min(y).cast("double").alias("min"),
-        F.percentile_approx(y, list(percentiles), accuracy).alias("_p"),
     )
+    values = percentile_scalars(df, amount_col, percentiles, positive_only)
     return agg.select(
         "n",
         F.coalesce("total", F.lit(0.0)).alias("total"),
         F.coalesce("mean", F.lit(0.0)).alias("mean"),
         F.coalesce("max", F.lit(0.0)).alias("max"),
         F.coalesce("min", F.lit(0.0)).alias("min"),
-        *[F.coalesce(F.col("_p")[i].cast("double"), F.lit(0.0)).alias(n) for i, n in enumerate(pct_names)],
+        *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for v, n in zip(values, pct_names, strict=True)],
         safe_pct(F.col("n"), F.col("_all")).alias("share_pct"),
     )
 

@@ -74,10 +74,3 @@ def fk_rules(
 
 def drop_fk_flags(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_fk")])
-
-
-def orphans(df: DataFrame, fk_col: str, dim: DataFrame, dim_key: str, case_insensitive: bool = True) -> DataFrame:
-    """Rows of ``df`` whose non-NULL foreign key has no match in ``dim`` (anti join)."""
-    keys = _key_set(dim, dim_key, "_ok", case_insensitive)
-    lhs = key_form(fk_col) if case_insensitive else F.col(fk_col)
-    return df.filter(F.col(fk_col).isNotNull()).join(keys, lhs == F.col("_ok"), "left_anti")

@@ -22,7 +22,7 @@ from ..operators.profile import (
     null_profile,
     sector_rollup,
     share_of_total,
-    top_k,
+    top_k, percentile_scalars,
 )
 
 ACTIVE = "ACTIVO"
@@ -62,9 +62,9 @@ def state_profile(fact: DataFrame, key: str = "id_estado", amount: str = "deuda"
     return by_count(g, key)
 
 
-def debt_stats(fact: DataFrame, amount: str = "deuda", accuracy: int = 1_000_000) -> DataFrame:
+def debt_stats(fact: DataFrame, amount: str = "deuda") -> DataFrame:
     """A2: statistics of positive debts and the share of debtors among all rows."""
-    s = amount_stats(fact, amount, positive_only=True, accuracy=accuracy)
+    s = amount_stats(fact, amount, positive_only=True)
     return s.select(
         F.col("n").alias("debtors"), F.col("total").alias("debt_total"), F.col("mean").alias("debt_avg"),
         F.col("max").alias("debt_max"), F.col("min").alias("debt_min"), F.col("p50").alias("debt_median"),
@@ -99,12 +99,12 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
 def size_profile(fact: DataFrame, key: str = "id_tamano", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, debt total and mean age per size, with the size label."""
     g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "age_avg": F.avg(age)})
-    return by_count(share_of_total(g, bounded_groups=True).withColumn("label", code_label(key, SIZE_LABELS)), key)
+    return by_count(share_of_total(g).withColumn("label", code_label(key, SIZE_LABELS)), key)
 
 
 def type_profile(fact: DataFrame, key: str = "id_tipo_empresa") -> DataFrame:
     """Rows and share per company type, with the type label (two codes may share a label)."""
-    return by_count(share_of_total(group_profile(fact, key), bounded_groups=True).withColumn(
+    return by_count(share_of_total(group_profile(fact, key)).withColumn(
         "label", code_label(key, TYPE_LABELS)), key)
 
 
@@ -126,7 +126,7 @@ def sector_counts(fact: DataFrame, key: str = "id_ciiu", state: str = "id_estado
 def sex_profile(fact: DataFrame, key: str = "sexo", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, mean debt and mean age per sex."""
     g = group_profile(fact, key, {"debt_avg": mean_as_double(amount), "age_avg": F.avg(age)})
-    return by_count(share_of_total(g, bounded_groups=True), key)
+    return by_count(share_of_total(g), key)
 
 
 def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
@@ -140,9 +140,8 @@ def age_bands(fact: DataFrame, age: str = "edad") -> DataFrame:
     band_no = bucketize(a, AGE_EDGES, [str(i) for i in range(1, len(AGE_LABELS) + 1)],
                         keep=a.isNotNull() & (a > 0)).cast("int")
     g = fact.groupBy(band.alias("age_band"), band_no.alias("band_no")).agg(F.count(F.lit(1)).alias("n"))
-    # At most seven groups (six bands and the NULL band): the total is a window over them.
     # Text order of the band label, as reported ("< 30 años" sorts last); band_no gives age order.
-    return share_of_total(g, bounded_groups=True).filter(F.col("age_band").isNotNull()).orderBy("age_band")
+    return share_of_total(g).filter(F.col("age_band").isNotNull()).orderBy("age_band")
 
 
 def null_columns(fact: DataFrame, columns=NULL_PROFILE_COLUMNS) -> DataFrame:
@@ -195,7 +194,7 @@ def _pack_grouped(fact: DataFrame, amount: str, age: str) -> DataFrame:
     )
 
 
-def _pack_global(fact: DataFrame, amount: str, age: str, accuracy: int) -> DataFrame:
+def _pack_global(fact: DataFrame, amount: str) -> DataFrame:
     """One global aggregate for A2, D2-D4, F1, F2 and R1."""
     x, st, co, code = F.col(amount), F.col("id_estado"), F.col("id_condicion"), F.col("id_ciiu")
     pos = F.when(x > 0, x)
@@ -207,7 +206,7 @@ def _pack_global(fact: DataFrame, amount: str, age: str, accuracy: int) -> DataF
     return fact.agg(
         F.count(F.lit(1)).alias("total"),
         F.count(pos).alias("debtors"), F.sum(pos).alias("_s_pos"), F.max(pos).alias("_max_pos"),
-        F.min(pos).alias("_min_pos"), F.percentile_approx(pos, [0.5, 0.9], accuracy).alias("_p"),
+        F.min(pos).alias("_min_pos"),
         *[F.count_if(cond).alias(f"_sec_{i}") for i, cond in enumerate(sector.values())],
         F.count_if(sector["SECTOR_52xx"] & (st == F.lit(ACTIVE))).alias("_sec_act"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(NULL_PROFILE_COLUMNS)],
@@ -221,8 +220,8 @@ def _pack_global(fact: DataFrame, amount: str, age: str, accuracy: int) -> DataF
 
 
 def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
-                  accuracy: int = 1_000_000, sort: bool = True) -> dict[str, DataFrame]:
-    """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 from four scans.
+                  sort: bool = True) -> dict[str, DataFrame]:
+    """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 from five scans.
 
     The two small packed aggregates are cached (their size is bounded by the
     catalogues, not by the rows); B1 and D1 are top-k reports over
@@ -238,7 +237,8 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
     # age band included).  The pack has a few dozen rows, so this window is one tiny exchange.
     set_id = F.concat(*[F.col(f"_g_{k}").cast("string") for k in PACK_KEYS + ("age_band",)])
     g = g0.withColumn("_total", F.sum("n").over(Window.partitionBy(set_id))).cache()
-    s = _pack_global(fact, amount, age, accuracy).cache()
+    p50, p90 = percentile_scalars(fact, amount, (0.5, 0.9), positive_only=True)
+    s = _pack_global(fact, amount).select("*", p50.alias("_p50"), p90.alias("_p90")).cache()
     total = F.col("_total")
 
     def grouped(key: str) -> DataFrame:
@@ -275,8 +275,8 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
         F.coalesce(F.try_divide(pos_sum, F.col("debtors").cast("double")), F.lit(0.0)).alias("debt_avg"),
         F.coalesce(F.col("_max_pos").cast("double"), F.lit(0.0)).alias("debt_max"),
         F.coalesce(F.col("_min_pos").cast("double"), F.lit(0.0)).alias("debt_min"),
-        F.coalesce(F.col("_p")[0].cast("double"), F.lit(0.0)).alias("debt_median"),
-        F.coalesce(F.col("_p")[1].cast("double"), F.lit(0.0)).alias("debt_p90"),
+        F.coalesce(F.col("_p50").cast("double"), F.lit(0.0)).alias("debt_median"),
+        F.coalesce(F.col("_p90").cast("double"), F.lit(0.0)).alias("debt_p90"),
         safe_pct(F.col("debtors"), F.col("total")).alias("debtors_pct"),
     )
     names = list(SECTORS)

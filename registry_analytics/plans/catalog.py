@@ -19,7 +19,7 @@ from ..operators.profile import conditional_counts
 from ..operators.quality import fk_rules, rule_counts
 from ..schemas import FACT, RAW_COLUMNS
 from ..session import new_work_dir
-from ..sources.files import write_csv
+from ..sources.files import has_rows, write_csv
 from ..sources.results import category_max, load_results
 from ..sources.sql import query as sql_query, register_views
 from . import analyses as A
@@ -378,8 +378,7 @@ def l1_load_stats(spark, sf):
 
 def h1_has_rows(spark, sf):
     """Load gate: does the fact hold at least 100 rows (reads at most 100)."""
-    fact = _fact(spark, sf)
-    return fact.limit(100).agg((F.count(F.lit(1)) >= 100).alias("has_rows"))
+    return spark.createDataFrame([(has_rows(_fact(spark, sf), 100),)], "has_rows boolean")
 
 
 QUERIES: dict[str, Query] = {

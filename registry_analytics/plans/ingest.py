@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
 from ..schemas import RAW_COLUMNS, STAGING_LENGTHS
-from ..sources.files import CORRUPT_COL, read_csv_raw, write_table
+from ..sources.files import CORRUPT_COL, read_csv_raw
 
 TEXT_COLUMNS = ("ddp_ciiu", "ddp_tpoemp", "ddp_tamano", "ddp_ubigeo", "ddp_estado", "ddp_flag22", "dds_sexo")
 
@@ -86,17 +86,9 @@ def split_staging(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return staging, quarantine
 
 
-def read_registry_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
+def read_registry_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", multiline: bool = False) -> DataFrame:
     """Raw registry CSV with a file-order sequence usable for first-row-wins."""
-    raw = read_csv_raw(spark, path, RAW_COLUMNS, encoding=encoding)
+    raw = read_csv_raw(spark, path, RAW_COLUMNS, encoding=encoding, multiline=multiline)
     # (file, block start, id within the task) follows file order across splits.
     return raw.withColumn("seq", F.struct("_file", "_block", "_pos")).drop("_file", "_block", "_pos")
 
-
-def load_csv_to_staging(spark: SparkSession, csv_path: str, staging_path: str, quarantine_path: str,
-                        encoding: str = "ISO-8859-1") -> None:
-    """Ingest job: CSV -> parse -> staging table (replaced) + quarantine table (replaced)."""
-    parsed = parse_staging(read_registry_csv(spark, csv_path, encoding), keep=("seq",))
-    staging, quarantine = split_staging(parsed)
-    write_table(staging, staging_path)
-    write_table(quarantine, quarantine_path)

@@ -122,11 +122,11 @@ def text_registry_for(spark: SparkSession, sf_dir: str) -> Registry:
 
 
 def run_registry_from_csv(spark: SparkSession, csv_path: str, root: str | None = None,
-                          encoding: str = "ISO-8859-1", min_rows: int = 100) -> tuple[Registry, str]:
+                          encoding: str = "ISO-8859-1") -> tuple[Registry, str]:
     """JOB-1..8 end to end: CSV -> staging + quarantine -> lookups -> fact -> results store.
 
     Returns the registry tables and the results path.  The load gate of the
-    reference (skip loading when the fact already has ``min_rows`` rows) is
+    reference (skip loading when the fact already has a number of rows) is
     left to the caller via :func:`sources.files.has_rows`, since every call here
     writes a fresh folder.
     """

@@ -18,8 +18,15 @@ def read_csv_raw(
     encoding: str = "ISO-8859-1",
     sep: str = ",",
     keep_position: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
-    """Header CSV, every column as text, no inference, bad lines kept and flagged.
+    """Header CSV, ``columns`` found by name in any order, as text, bad lines kept and flagged.
+
+    Further columns of the file are ignored; a missing one is a ``ValueError``,
+    and so is (at the first action) a file whose header differs from the first
+    file's.  Quoting is standard: ``""`` is a quote inside quotes and a
+    backslash is plain text.  Line breaks inside quotes need ``multiline``,
+    which makes each file one task's work.
 
     PERMISSIVE mode with a corrupt-record column: a line with fewer or more
     fields than the header gets its raw text in ``_corrupt_record`` instead of
@@ -27,27 +34,26 @@ def read_csv_raw(
     start are kept as ``_file`` / ``_block`` and a per-partition ``_pos``, which
     together follow file order even when a file is split across tasks.
     """
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns]
-                          + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    df = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("encoding", encoding)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .csv(path)
-    )
+    options = {
+        "header": "true", "encoding": encoding, "sep": sep, "quote": '"', "escape": '"',
+        "multiLine": str(multiline).lower(), "mode": "PERMISSIVE",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    }
+    names = spark.read.options(**options).csv(path).columns  # reads the first header only
+    missing = [c for c in columns if c not in names]
+    if missing:
+        raise ValueError(f"columns not in the CSV header: {', '.join(missing)}")
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*names, CORRUPT_COL]])
+    df = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=CORRUPT_COL, enforceSchema="false").csv(path)
+    kept = [*columns, CORRUPT_COL]
     if keep_position:
-        df = df.select(
-            "*",
+        return df.select(
+            *kept,
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_pos"),
         )
-    return df
+    return df.select(*kept)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str = "overwrite") -> None:
@@ -56,6 +62,8 @@ def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str
         df.write.mode(mode)
         .option("header", "true")
         .option("encoding", encoding)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .csv(path)
@@ -64,7 +72,7 @@ def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
                 partition_values: int | None = None) -> None:
-    """Replace a parquet table (``DELETE`` + ``INSERT`` in one atomic job commit).
+    """Replace a parquet table: the old files are deleted, then the job commits the new ones; not atomic.
 
     When the partition columns take at most ``partition_values`` distinct values
     (known to the caller, e.g. a valid/rejected flag), each task keeps one open

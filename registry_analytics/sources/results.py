@@ -32,7 +32,7 @@ def to_long(
     rows = F.array(*[
         F.struct(
             F.lit(m).alias("metrica"),
-            _c(v).cast("decimal(18,4)").alias("valor_numerico"),
+            _c(v).cast("decimal(38,4)").alias("valor_numerico"),
             _c(t).cast("string").alias("valor_texto"),
         )
         for m, v, t in metrics
@@ -51,7 +51,7 @@ def long_rows(df: DataFrame, analysis: str, category: Column | str, metric: Colu
         F.lit(analysis).alias("nombre_analisis"),
         _c(category).cast("string").alias("categoria"),
         _c(metric).cast("string").alias("metrica"),
-        _c(value).cast("decimal(18,4)").alias("valor_numerico"),
+        _c(value).cast("decimal(38,4)").alias("valor_numerico"),
         _c(text).cast("string").alias("valor_texto"),
     )
 

@@ -1,6 +1,5 @@
-"""Session helpers: scoped confs are restored, narrow scans are spread, wide ones left alone."""
+"""Session helpers: scoped confs are restored; the shared folder comes from the session."""
 
-from registry_analytics.operators.partitioning import ensure_parallelism
 from registry_analytics.session import scoped_conf, shared_dir
 
 
@@ -12,14 +11,6 @@ def test_scoped_conf_restores(spark):
     assert spark.conf.get(key, None) == before
 
 
-def test_ensure_parallelism(spark):
-    n = spark.sparkContext.defaultParallelism
-    narrow = spark.range(100).coalesce(1)
-    assert ensure_parallelism(narrow).rdd.getNumPartitions() == n
-    wide = spark.range(0, 1000, numPartitions=n + 2)
-    assert ensure_parallelism(wide) is wide
-
-
 def test_shared_dir_comes_from_the_session(spark):
     d = shared_dir(spark)
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)

@@ -1,6 +1,7 @@
 """Sources: load gate, table counts, observed row count, JDBC options."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from registry_analytics.sources.files import count_on_read, has_rows, table_counts
 from registry_analytics.sources.jdbc import jdbc_options
@@ -45,3 +46,39 @@ def test_load_gate_on_stored_tables(spark):
     assert not table_has_rows(spark, path, 1)          # missing table
     write_table(spark.range(120), path)
     assert table_has_rows(spark, path, 100) and not table_has_rows(spark, path, 121)
+
+
+def test_csv_by_header_name_and_standard_quoting(spark, tmp_path):
+    """Columns in another order, one more column, doubled quotes, backslashes, a quoted line break: as Python's csv reads them."""
+    import csv
+    import io
+
+    from registry_analytics.sources.files import read_csv_raw
+
+    rows = [["x1", 'EL ""BUEN"" LUGAR', "1"], ["x2", "CALLE\\", "2"], ["x3", "a,b", "3"], ["x4", "two\nlines", "4"]]
+    text = "extra,name,key\n" + "".join('%s,"%s",%s\n' % tuple(r) for r in rows)
+    (tmp_path / "a.csv").write_text(text, encoding="latin-1")
+    want = {(r["key"], r["name"]) for r in csv.DictReader(io.StringIO(text))}
+    got = read_csv_raw(spark, str(tmp_path), ["key", "name"], multiline=True)
+    assert {(r.key, r.name) for r in got.select("key", "name").collect()} == want
+    with pytest.raises(ValueError):
+        read_csv_raw(spark, str(tmp_path), ["key", "gone"])
+
+
+def test_texts_round_like_python(spark):
+    from registry_analytics.functions.formats import fmt_count_pct, fmt_money, fmt_years
+
+    values = [12.25, 0.25, 6.25, 0.35, 99.95]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select(fmt_count_pct(F.lit(1234), "x"), fmt_years("x")).collect()
+    assert [tuple(r) for r in got] == [(f"1,234 ({v:.1f}%)", f"{v:.1f} años") for v in values]
+    big = spark.sql("SELECT CAST('200000000000000.55' AS decimal(38,2)) AS x")
+    assert big.select(fmt_money("x")).first()[0] == "S/ 200,000,000,000,000.55"
+
+
+def test_exact_percentiles_at_three_million_distinct_values(spark):
+    from registry_analytics.operators.profile import percentiles_disc
+
+    df = spark.range(3_000_001).select((F.pmod(F.xxhash64("id"), F.lit(10**12)) / 100).cast("decimal(18,2)").alias("x"))
+    got = {r.q: r.value for r in percentiles_disc(df, "x", [0.1, 0.5, 0.9]).collect()}
+    want = df.selectExpr(*[f"percentile_disc({q}) WITHIN GROUP (ORDER BY x) AS p" for q in (0.1, 0.5, 0.9)]).first()
+    assert [float(got[q]) for q in (0.1, 0.5, 0.9)] == [float(v) for v in want]
