@@ -95,7 +95,7 @@ def test_analysis_pack_scans_the_fact_once_per_pack(spark):
         grouped = tree(A._pack_grouped(fact, "deuda", "edad"))
         assert grouped.count("Scan parquet") == 1 and "Expand" in grouped
         assert "SortAggregate" not in grouped
-        glob = tree(A._pack_global(fact, "deuda", "edad", 1_000_000))
+        glob = tree(A._pack_global(fact, "deuda"))
         assert glob.count("Scan parquet") == 1 and glob.count("Exchange") == 1
     finally:
         pack["_grouped"].unpersist()
