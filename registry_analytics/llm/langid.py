@@ -62,8 +62,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 def compressors(model: Model, level: int) -> list[zstandard.ZstdCompressor]:
     """One compressor per language with its dictionary prepared for ``level``; kept per worker."""
-    cache = worker_cache()
-    key = ("langid", level, hash(model))
+    cache, key = worker_cache(("langid", hash(model))), level
     if key not in cache:
         made = []
         for raw in model.dictionaries:

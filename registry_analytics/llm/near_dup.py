@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import new_work_dir
 from .decontaminate import words_of
-from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slices
+from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slices, worker_cache
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -89,6 +89,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """``ROWS`` of (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("near_dup")
         for whole in batches:
             for part in text_slices(whole, "text"):
                 hashes, offsets, words, first = shingles(*string_bytes(part.column("text")))

@@ -7,7 +7,7 @@ hashes come from one polynomial prefix sum modulo 2**64, so a span of any length
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +15,21 @@ import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+#: Powers kept per worker; a longer slice (one text of over 1 MB) makes its own.
+POWERS = 1_100_000
 
 
-def worker_cache() -> dict:
-    """A dict that lives as long as the Python worker: functions pickled by value get new globals per task."""
-    return sys.__dict__.setdefault("_registry_llm_worker_cache", {})
+def worker_cache(owner: Hashable) -> dict:
+    """A dict that a Python worker keeps for its next tasks (functions pickled by value get new globals per task), until another owner asks for one.
+
+    A worker serves one stage after another: what an earlier one kept is let go, and its memory returned.
+    """
+    held = sys.__dict__.setdefault("_registry_llm_worker_cache", {})
+    if owner not in held:
+        held.clear()
+        pa.default_memory_pool().release_unused()
+        held[owner] = {}
+    return held[owner]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -57,18 +67,23 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE ** i and BASE ** -i for i < n, kept per worker."""
-    cache = worker_cache()
-    if len(cache.get("powers", ((), ()))[0]) < n:
-        size = max(n, 1 << 21)
-        with np.errstate(over="ignore"):
-            up, down = np.full(size, BASE, np.uint64), np.full(size, BASE_INVERSE, np.uint64)
-            up[0] = down[0] = 1
-            cache["powers"] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    up, down = cache["powers"]
+    """BASE ** i and BASE ** -i for i < n; the first ``POWERS`` are kept per worker, for all owners."""
+    if n > POWERS:
+        return make_powers(n)
+    name = "_registry_llm_powers"
+    if name not in sys.__dict__:
+        sys.__dict__[name] = make_powers(POWERS)
+    up, down = sys.__dict__[name]
     return up[:n], down[:n]
 
 
+def make_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        up, down = np.full(n, BASE, np.uint64), np.full(n, BASE_INVERSE, np.uint64)
+        up[0] = down[0] = 1
+        return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+
 def byte_codes() -> np.ndarray:
     """A fixed random-looking odd word for each byte value."""
     return mix(np.arange(1, 257, dtype=np.uint64) * BASE) | np.uint64(1)

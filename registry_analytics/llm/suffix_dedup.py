@@ -26,7 +26,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices
+from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices, worker_cache
 
 #: The difference cover of period 13: each difference modulo 13 occurs once.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -327,6 +327,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
     """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("suffix_dedup")
         spans = SpanLists(parts)
         held: list[tuple] = []
         size = 0

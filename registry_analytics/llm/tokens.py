@@ -28,7 +28,7 @@ _CLASS[[c for c in range(33, 127) if chr(c) in '!"#$%&()*+,-./:;=?@[\\]^_`{}~']]
 
 def load_tokenizer(path: str):
     """The tokenizer at ``path``, kept per worker."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     if ("tokenizer", path) not in cache:
         from tokenizers import Tokenizer
 
@@ -45,7 +45,7 @@ def byte_letters() -> list[str]:
 
 def encode_pieces(pieces: list[str], path: str) -> list[list[int]]:
     """Ids of each piece. A piece of lower-case letters alone is one pre-token: the tokenizer's model takes it directly."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     tokenizer = load_tokenizer(path)
     if ("model", path) not in cache:
         pre = str(tokenizer.pre_tokenizer)
@@ -67,7 +67,7 @@ def encode_pieces(pieces: list[str], path: str) -> list[list[int]]:
 
 def cuts_into_pieces(path: str) -> bool:
     """Whether the tokenizer drops white space and case and ends its words where a piece ends; else whole texts are encoded."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     if ("cuts", path) not in cache:
         ids = lambda text: load_tokenizer(path).encode(text, add_special_tokens=False).ids
         parts = ["some", ",", "words", "(", "12", ")", "été", "again"]
@@ -121,7 +121,7 @@ def encode_slice(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
     keys = SpanHash(data)(start, end)
     distinct, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    table = worker_cache().setdefault(("pieces", path), PieceIds())
+    table = worker_cache("tokens").setdefault(("pieces", path), PieceIds())
     at = np.searchsorted(table.keys, distinct)
     known = at < len(table.keys)
     known[known] = table.keys[at[known]] == distinct[known]

@@ -157,6 +157,7 @@ def forms(labelled: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity forms")
         for whole in batches:
             for part in text_slices(whole, "text"):
                 data, offsets = string_bytes(part.column("text"))
@@ -237,11 +238,10 @@ def misspellings(counted: DataFrame, entries: tuple[Entry, ...], most_clean: int
 
 def rate(part: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[list[dict]]]:
     """(score, hits) of each row's ``text``. A worker keeps the trie and its answers for distinct words."""
-    cache = worker_cache()
-    key = ("toxicity", hash(model))
-    if key not in cache:
-        cache[key] = Trie(model.entries), [np.zeros(0, np.uint64)], {}
-    trie, seen, answers = cache[key]
+    cache = worker_cache(("toxicity", hash(model)))
+    if not cache:
+        cache.update(trie=Trie(model.entries), seen=[np.zeros(0, np.uint64)], answers={})
+    trie, seen, answers = cache["trie"], cache["seen"], cache["answers"]
     data, offsets = string_bytes(part.column("text"))
     low, start, end = lower_words(data, offsets)
     hits: list[list] = [[] for _ in range(part.num_rows)]

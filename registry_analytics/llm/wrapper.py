@@ -155,7 +155,7 @@ class Page:
 
 def describe(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
     """(label, whether it marks no main text, whether it marks main text, whether it is a header)."""
-    cache = worker_cache().setdefault("elements", {})
+    cache = worker_cache("wrapper").setdefault("elements", {})
     key = (tag, attributes)
     if key not in cache:
         found = {}
@@ -229,7 +229,7 @@ def unzip(payload: bytes | None) -> str:
 
 def reference_of(payload: bytes) -> Reference:
     """The parsed reference page; a worker keeps the last few hundred."""
-    cache = worker_cache().setdefault("references", {})
+    cache = worker_cache("wrapper").setdefault("references", {})
     if payload not in cache:
         if len(cache) > 300:
             cache.clear()
