@@ -12,8 +12,9 @@ minimiser travel as one record of overlapping text. Each bucket is sorted alone:
 
 Neighbours in that order that agree on ``length`` bytes form a group; its smallest document keeps its own.
 
-Within a task, records with equal text are sent once, for their smallest document: the others are known
-to repeat. So a passage that a third of all documents share costs a bucket one record per task.
+Within a task, records with equal text are sent once, for their smallest document: those of larger ones are
+known to repeat, and the smallest document's further places travel as numbers beside the text. So a passage
+that a third of all documents share costs a bucket one record per task.
 """
 
 from __future__ import annotations
@@ -229,15 +230,21 @@ def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return key[first], start[first], reach[np.append(first[1:], len(key)) - 1]
 
 
-PAYLOAD = "<qq"  # records, bytes of text
+PAYLOAD = "<qqq"  # records, further places, bytes of text
 
 
-def pack_records(data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, tag: np.ndarray, base: np.ndarray, length: int) -> bytes:
-    """Text and owners of records: suffix counts and minimisers' places u16, differences of document ids i64, text tags u24, starts in the row u32 (both by planes of bytes), text."""
+def pack_records(
+    data: np.ndarray, first: np.ndarray, last: np.ndarray, seed: np.ndarray, doc: np.ndarray, tag: np.ndarray, base: np.ndarray, length: int, more: tuple[np.ndarray, np.ndarray, np.ndarray]
+) -> bytes:
+    """Text and owners of records: suffix counts and minimisers' places u16, differences of document ids i64, text tags u24, starts in the row u32 (both by planes of bytes), ``more``, text.
+
+    ``more`` is (record, tag, start in the row) of further places of the records' texts in their documents, in order of the records.
+    """
     size = last - first + length
     text = data[gather(first, size)]
-    head = struct.pack(PAYLOAD, len(first), len(text))
-    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), planes(tag, 3), planes(first - base, 4), text.tobytes()])
+    head = struct.pack(PAYLOAD, len(first), len(more[0]), len(text))
+    places = [planes(np.diff(more[0], prepend=0), 4), planes(more[1], 3), planes(more[2], 4)]
+    raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), planes(tag, 3), planes(first - base, 4), *places, text.tobytes()])
     return zstandard.ZstdCompressor(level=7).compress(raw)
 
 
@@ -254,12 +261,13 @@ def numbers(raw: np.ndarray, n: int) -> np.ndarray:
 
 def unpack_records(payload: bytes) -> tuple[np.ndarray, ...]:
     raw = zstandard.ZstdDecompressor().decompress(payload)
-    n, size = struct.unpack_from(PAYLOAD, raw)
+    n, m, size = struct.unpack_from(PAYLOAD, raw)
     at, out = struct.calcsize(PAYLOAD), []
-    for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("u1", 3 * n), ("u1", 4 * n), ("u1", size)):
+    for kind, count in (("<u2", n), ("<u2", n), ("<i8", n), ("u1", 3 * n), ("u1", 4 * n), ("u1", 4 * m), ("u1", 3 * m), ("u1", 4 * m), ("u1", size)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
     out[2], out[3], out[4] = np.cumsum(out[2]), numbers(out[3], 3), numbers(out[4], 4)
+    out[5], out[6], out[7] = np.cumsum(numbers(out[5], 4), dtype=np.int64), numbers(out[6], 3), numbers(out[7], 4)
     return tuple(out)
 
 
@@ -291,7 +299,12 @@ def candidates(text: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: np.n
 
 def bucket_spans(payloads: list[bytes], length: int, spans: SpanLists) -> None:
     """Sort the suffixes of one bucket and add the spans that repeat."""
-    count, seed, doc, tag, start, text = (np.concatenate(x) for x in zip(*map(unpack_records, payloads), strict=True))
+    parts = list(map(unpack_records, payloads))
+    shift = np.cumsum([0, *(len(x[0]) for x in parts[:-1])])
+    twin = np.concatenate([x[5] + k for x, k in zip(parts, shift, strict=True)])
+    count, seed, doc, tag, start, _, twin_tag, twin_start, text = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    twin_key, twin_start = row_keys(doc[twin], twin_tag), twin_start.astype(np.int64)
     count = count.astype(np.int64)
     size = count + length - 1
     begin = np.cumsum(size) - size
@@ -311,7 +324,13 @@ def bucket_spans(payloads: list[bytes], length: int, spans: SpanLists) -> None:
     a = np.flatnonzero(new)
     b = np.append(a[1:], len(at)) - 1
     own = row[a]
-    spans.add(key[own], start[own] + at[a] - begin[own], start[own] + at[b] - begin[own] + length)
+    since, until = at[a] - begin[own], at[b] - begin[own] + length
+    spans.add(key[own], start[own] + since, start[own] + until)
+    low = np.searchsorted(twin, held[own], "left")
+    size = np.searchsorted(twin, held[own], "right") - low
+    also = gather(low, size)
+    since, until = np.repeat(since, size), np.repeat(until, size)
+    spans.add(*merged(twin_key[also], twin_start[also] + since, twin_start[also] + until))
 
 
 def row_keys(doc: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -333,7 +352,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
         size = 0
 
         def send() -> Iterator[pa.RecordBatch]:
-            """Deal out what is held: equal texts once, for their smallest document."""
+            """Deal out what is held: equal texts once, for their smallest document, with all its places."""
             nonlocal size
             data = np.concatenate([h[0] for h in held])
             shift = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
@@ -345,16 +364,24 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             new = np.append(True, content[order][1:] != content[order][:-1])
             head = order[np.flatnonzero(new)]
             owner = head[np.cumsum(new) - 1]
+            twins = np.flatnonzero(~new & (doc[order] == doc[owner]))
+            twin, twin_of = order[twins], owner[twins]
             later = np.flatnonzero(~new & (doc[order] > doc[owner]))
             again = order[later]
             spans.add(row_keys(doc[again], tag[again]), first[again] - base[again], last[again] + length - base[again])
             bucket = (seed[head] >> np.uint64(20)) % np.uint64(buckets)
             by = np.argsort(bucket, kind="stable")
             head, bucket = head[by], bucket[by]
+            by = np.argsort(twin_of, kind="stable")
+            twin, twin_of = twin[by], twin_of[by]
             cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(head))
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                 own = np.sort(head[a:b])  # in order of rows: ids and tags repeat or rise
-                payload = pack_records(data, first[own], last[own], place[own], doc[own], tag[own], base[own], length)
+                low = np.searchsorted(twin_of, own, "left")
+                size_of = np.searchsorted(twin_of, own, "right") - low
+                also = twin[gather(low, size_of)]
+                more = (np.repeat(np.arange(len(own)), size_of), tag[also], first[also] - base[also])
+                payload = pack_records(data, first[own], last[own], place[own], doc[own], tag[own], base[own], length, more)
                 yield pa.RecordBatch.from_arrays([pa.array([int(bucket[a])], pa.int32()), pa.array([payload], pa.binary())], ["bucket", "payload"])
             for batch in spans.batches():  # in the same shape, told apart by a negative bucket
                 yield pa.RecordBatch.from_arrays([pa.array(-1 - batch.column("part").to_numpy(), pa.int32()), batch.column("payload")], ["bucket", "payload"])

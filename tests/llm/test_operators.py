@@ -142,6 +142,20 @@ def test_suffix_dedup_matches_brute_force(spark, odd, empty):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def removed_by_brute_force(spark, rows, slices, **options):
+    """Each row in a partition of its own, so that repeats meet in the buckets only."""
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(frame, **options).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert Counter(map(tuple, got.collect())) == brute_repeats(rows)
+
+
+def test_suffix_dedup_of_a_document_that_repeats_itself(spark):
+    line = " ".join(f"line{k}" for k in range(25)) + "\n"
+    rows = [(900, line * 20), (5, line * 20), (901, "own words before " + line * 3 + "between " + line * 2), (902, " " * 700), (7, " " * 300), (None, line * 4), (None, "x" + line * 2), (903, line * 3), (903, "y" + line * 5)]
+    removed_by_brute_force(spark, rows, len(rows))
+    removed_by_brute_force(spark, rows, 3)
+
+
 def test_suffix_sort_of_ties_matches_sorted():
     rng = np.random.default_rng(5)
     text = np.concatenate([rng.integers(97, 99, 400), np.tile(rng.integers(97, 100, 60), 9), np.zeros(78)]).astype(np.uint8)
