@@ -342,8 +342,24 @@ def ids_and_tags(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False), batch.column("tag").to_numpy(zero_copy_only=False).astype(np.uint32)
 
 
-def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 16_000_000) -> DataFrame:
-    """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
+def pieces(batch: pa.RecordBatch, length: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, offsets, start of each row in them, ids, tags) of row slices; a text of over ``most`` bytes comes in pieces that overlap by ``length - 1`` bytes, so each suffix is in one.
+
+    The start of a row whose first bytes came in earlier pieces is negative.
+    """
+    for part in text_slices(batch, "text", most):
+        data, offsets = string_bytes(part.column("text"))
+        ids, tags = ids_and_tags(part)
+        if part.num_rows > 1 or len(data) <= most:
+            yield data, offsets, offsets[:-1], ids, tags
+            continue
+        for at in range(0, len(data) - length + 1, most - length + 1):
+            cut = data[at : at + most]
+            yield cut, np.array([0, len(cut)]), np.array([-at]), ids, tags
+
+
+def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 16_000_000, piece: int = 1_000_000) -> DataFrame:
+    """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part; ``piece`` is under 16 MiB."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("suffix_dedup")
@@ -387,10 +403,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
                 yield pa.RecordBatch.from_arrays([pa.array(-1 - batch.column("part").to_numpy(), pa.int32()), batch.column("payload")], ["bucket", "payload"])
 
         for whole in batches:
-            for part in text_slices(whole, "text"):
-                data, offsets = string_bytes(part.column("text"))
-                if len(data) >= 1 << 24:
-                    raise ValueError("a text of 16 MiB or more")
+            for data, offsets, base, ids, tags in pieces(whole, length, piece):
                 if len(data) < length:
                     continue
                 hashes = SpanHash(data)
@@ -398,8 +411,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
                 if not len(first):
                     continue
                 row = rows_of(first, offsets)
-                ids, tags = ids_and_tags(part)
-                held.append((data, first, last, place, seed, hashes(first, last + length), offsets[row], ids[row], tags[row]))
+                held.append((data, first, last, place, seed, hashes(first, last + length), base[row], ids[row], tags[row]))
                 size += len(data)
                 if size >= flush:
                     yield from send()
@@ -432,7 +444,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, carry: tuple[str, ...] = (), decode: bool = False
+    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, piece: int = 1_000_000, carry: tuple[str, ...] = (), decode: bool = False
 ) -> DataFrame:
     """One row per distinct row of (id, text) of ``docs`` times its copies: ``doc_id, n_bytes, n_removed,
     n_spans`` (maximal removed runs), ``kept`` (the remaining bytes, in order) and ``row``, a struct of the
@@ -448,7 +460,7 @@ def remove_repeats(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, -(-total // bucket_bytes) * 2)  # records overlap: a bucket holds about 1.8 times as many bytes
     parts = max(16, -(-total // part_bytes))
-    spans = find_spans(rows.drop("row"), length, buckets, parts)
+    spans = find_spans(rows.drop("row"), length, buckets, parts, piece=piece)
     row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -156,6 +156,22 @@ def test_suffix_dedup_of_a_document_that_repeats_itself(spark):
     removed_by_brute_force(spark, rows, 3)
 
 
+def test_suffix_dedup_of_texts_longer_than_a_piece(spark):
+    words = " ".join(f"w{k * k % 9973}" for k in range(700))
+    rows = [(1, words), (2, "before " + words[1000:3000] + " after"), (3, words + words), (4, words[:120]), (5, None)]
+    removed_by_brute_force(spark, rows, 3, piece=173)
+    removed_by_brute_force(spark, rows, 1, piece=4000)
+
+
+def test_suffix_dedup_of_a_text_over_16_mib(spark):
+    rng = np.random.default_rng(8)
+    raw = rng.integers(97, 123, (1 << 24) + 5000).astype(np.uint8).tobytes().decode()
+    rows = [(1, raw[-3000:]), (2, raw)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(frame).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert Counter(map(tuple, got.collect())) == Counter([(1, 3000, 0, 0, hashlib.sha256(rows[0][1].encode()).hexdigest()), (2, len(raw), 3000, 1, hashlib.sha256(raw[:-3000].encode()).hexdigest())])
+
+
 def test_suffix_sort_of_ties_matches_sorted():
     rng = np.random.default_rng(5)
     text = np.concatenate([rng.integers(97, 99, 400), np.tile(rng.integers(97, 100, 60), 9), np.zeros(78)]).astype(np.uint8)
