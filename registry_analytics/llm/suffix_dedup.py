@@ -14,7 +14,9 @@ Neighbours in that order that agree on ``length`` bytes form a group; its smalle
 
 Within a task, records with equal text are sent once, for their smallest document: those of larger ones are
 known to repeat, and the smallest document's further places travel as numbers beside the text. So a passage
-that a third of all documents share costs a bucket one record per task.
+that a third of all documents share costs a bucket one record per task. Records at the edge of such a passage
+hold their documents' own text too: those of a crowded minimiser are split into single suffixes, which are
+merged likewise and dealt by a hash of their ``length`` bytes.
 """
 
 from __future__ import annotations
@@ -358,8 +360,64 @@ def pieces(batch: pa.RecordBatch, length: int, most: int) -> Iterator[tuple[np.n
             yield cut, np.array([0, len(cut)]), np.array([-at]), ids, tags
 
 
-def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: int = 16_000_000, piece: int = 1_000_000) -> DataFrame:
-    """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part; ``piece`` is under 16 MiB."""
+def crowded_seeds(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_000, flush: int = 16_000_000, weight: int = 32) -> np.ndarray:
+    """Sorted hashes of the minimisers that about ``crowd`` or more records have, equal texts within ``flush`` bytes counted once.
+
+    A count under ``weight`` of one flush is handed on as ``weight`` with a chance in proportion, so sums are
+    right on average. They only choose how records are dealt: no result depends on them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("suffix_dedup")
+        held: list[tuple] = []
+        size = 0
+
+        def counts() -> pa.RecordBatch:
+            seed, content = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((content, seed))
+            seed, content = seed[order], content[order]
+            new = np.append(True, (seed[1:] != seed[:-1]) | (content[1:] != content[:-1]))
+            seeds, n = np.unique(seed[new], return_counts=True)
+            chance = mix(seeds + content.min()) % np.uint64(weight)
+            keep = chance < n.astype(np.uint64)
+            return pa.RecordBatch.from_arrays([pa.array(seeds[keep].view(np.int64)), pa.array(np.maximum(n[keep], weight).astype(np.int64))], ["seed", "n"])
+
+        for whole in batches:
+            for data, offsets, _, _, _ in pieces(whole, length, piece):
+                if len(data) < length:
+                    continue
+                hashes = SpanHash(data)
+                first, last, _, seed = records(hashes, offsets, length)
+                if not len(first):
+                    continue
+                held.append((seed, hashes(first, last + length)))
+                size += len(data)
+                if size >= flush:
+                    yield counts()
+                    size = 0
+        if held:
+            yield counts()
+
+    found = rows.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where(F.col("n") >= crowd)
+    # at most one for each ``crowd`` records of the input
+    return np.sort(np.array([r.seed for r in found.select("seed").collect()], np.int64).view(np.uint64))
+
+
+def split_crowded(crowded: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The records, those of crowded minimisers as one record for each suffix; and which these are."""
+    if not len(crowded):
+        return first, last, place, seed, np.zeros(len(first), bool)
+    full = crowded[np.minimum(np.searchsorted(crowded, seed), len(crowded) - 1)] == seed
+    n = np.where(full, last - first + 1, 1)
+    start = gather(first, n)
+    full = np.repeat(full, n)
+    return start, np.where(full, start, np.repeat(last, n)), np.repeat(place, n), np.repeat(seed, n), full
+
+
+def deal_records(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int = 10_000, flush: int = 16_000_000, piece: int = 1_000_000) -> DataFrame:
+    """Compressed records of ``rows`` (``tag, doc_id, text``) by bucket, and under -1 - part what is known to repeat; ``piece`` is under 16 MiB."""
+    crowded = crowded_seeds(rows, length, crowd, piece, flush)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("suffix_dedup")
@@ -373,7 +431,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             data = np.concatenate([h[0] for h in held])
             shift = np.cumsum([0, *(len(h[0]) for h in held[:-1])])
             first, last, place, base = (np.concatenate([h[i] + s for h, s in zip(held, shift, strict=True)]) for i in (1, 2, 3, 6))
-            seed, content, doc, tag = (np.concatenate([h[i] for h in held]) for i in (4, 5, 7, 8))
+            deal_by, content, doc, tag = (np.concatenate([h[i] for h in held]) for i in (4, 5, 7, 8))
             held.clear()
             size = 0
             order = np.lexsort((doc, content))
@@ -385,7 +443,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             later = np.flatnonzero(~new & (doc[order] > doc[owner]))
             again = order[later]
             spans.add(row_keys(doc[again], tag[again]), first[again] - base[again], last[again] + length - base[again])
-            bucket = (seed[head] >> np.uint64(20)) % np.uint64(buckets)
+            bucket = (deal_by[head] >> np.uint64(20)) % np.uint64(buckets)
             by = np.argsort(bucket, kind="stable")
             head, bucket = head[by], bucket[by]
             by = np.argsort(twin_of, kind="stable")
@@ -410,14 +468,21 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
                 first, last, place, seed = records(hashes, offsets, length)
                 if not len(first):
                     continue
-                row = rows_of(first, offsets)
-                held.append((data, first, last, place, seed, hashes(first, last + length), base[row], ids[row], tags[row]))
+                first, last, place, seed, full = split_crowded(crowded, first, last, place, seed)
+                row, content = rows_of(first, offsets), hashes(first, last + length)
+                held.append((data, first, last, place, np.where(full, content, seed), content, base[row], ids[row], tags[row]))
                 size += len(data)
                 if size >= flush:
                     yield from send()
         if held:
             yield from send()
 
+    return rows.mapInArrow(deal, RECORDS)
+
+
+def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int, piece: int) -> DataFrame:
+    """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
+
     def sort(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Buckets arrive one after another; each is sorted when it is complete."""
         spans = SpanLists(parts)
@@ -438,13 +503,13 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, flush: in
             bucket_spans(payloads, length, spans)
         yield from spans.batches()
 
-    dealt = rows.mapInArrow(deal, RECORDS)
+    dealt = deal_records(rows, length, buckets, parts, crowd, piece=piece)
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     return dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, SPANS)
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, piece: int = 1_000_000, carry: tuple[str, ...] = (), decode: bool = False
+    docs: DataFrame, length: int = 50, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = 6_000_000, part_bytes: int = 24_000_000, piece: int = 1_000_000, crowd: int = 10_000, carry: tuple[str, ...] = (), decode: bool = False
 ) -> DataFrame:
     """One row per distinct row of (id, text) of ``docs`` times its copies: ``doc_id, n_bytes, n_removed,
     n_spans`` (maximal removed runs), ``kept`` (the remaining bytes, in order) and ``row``, a struct of the
@@ -460,7 +525,7 @@ def remove_repeats(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, -(-total // bucket_bytes) * 2)  # records overlap: a bucket holds about 1.8 times as many bytes
     parts = max(16, -(-total // part_bytes))
-    spans = find_spans(rows.drop("row"), length, buckets, parts, piece=piece)
+    spans = find_spans(rows.drop("row"), length, buckets, parts, crowd, piece)
     row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

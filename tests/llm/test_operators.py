@@ -172,6 +172,24 @@ def test_suffix_dedup_of_a_text_over_16_mib(spark):
     assert Counter(map(tuple, got.collect())) == Counter([(1, 3000, 0, 0, hashlib.sha256(rows[0][1].encode()).hexdigest()), (2, len(raw), 3000, 1, hashlib.sha256(raw[:-3000].encode()).hexdigest())])
 
 
+def test_suffix_dedup_splits_a_crowded_minimiser(spark):
+    footer = " ".join(f"footer{k * 31 % 17}" for k in range(12))
+    rows = [(k, " ".join(f"{k * 7919 + j * j}" for j in range(20)) + footer + f"{k * 104729 % 99991} end {k}") for k in range(1500)]
+    removed_by_brute_force(spark, rows[:300], 4, crowd=64)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string").withColumn("tag", F.lit(0))
+
+    def most(crowd):
+        dealt = suffix_dedup.deal_records(frame.select("tag", "doc_id", "text"), 50, 64, 16, crowd).where("bucket >= 0").collect()
+        held = Counter()
+        for r in dealt:
+            held[r.bucket] += len(suffix_dedup.unpack_records(bytes(r.payload))[0])
+        return max(held.values()), sum(held.values())
+
+    whole, _ = most(10**9)
+    split, records = most(300)
+    assert whole > 1500 and split < 3 * records / 64
+
+
 def test_suffix_sort_of_ties_matches_sorted():
     rng = np.random.default_rng(5)
     text = np.concatenate([rng.integers(97, 99, 400), np.tile(rng.integers(97, 100, 60), 9), np.zeros(78)]).astype(np.uint8)
