@@ -27,6 +27,9 @@ STATS = "host string, node int, item int, pages long, words long, linked long"
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 4
 MOST_LINKED = 0.5
 MOST_DEPTH = 150
+#: A name marks no element that holds more than this share of a page's varying text outside links: of a class or id that is
+#: only in part a listed name (no-sidebar), and of one that is wholly made of them, without and with an article inside.
+PART_SHARE, WHOLE_SHARE, WHOLE_ARTICLE_SHARE = 0.5, 0.9, 0.5
 
 #: Fixed values of HTML: void elements, elements whose content is not markup, and inline elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,10 +58,12 @@ DIGITS = re.compile(r"\d+")
 class Node:
     """A list of sibling elements with one label, under one parent."""
 
-    __slots__ = ("label", "children", "chrome", "main", "blocks", "index")
+    __slots__ = ("label", "parent", "children", "fixed", "named", "chrome", "main", "lead", "articles", "blocks", "index")
 
-    def __init__(self, label: str, chrome: bool, main: bool):
-        self.label, self.chrome, self.main = label, chrome, main
+    def __init__(self, label: str, parent: Node | None, fixed: bool, named: int, main: bool, lead: bool):
+        """``fixed``: inside what its tag, role or style marks; ``named``: how far its own names do (0 to 2); ``chrome`` is settled per page."""
+        self.label, self.parent, self.fixed, self.named, self.main, self.lead = label, parent, fixed, named, main, lead
+        self.chrome, self.articles = fixed, 0
         self.children: dict[str, Node] = {}
         self.blocks: list[int] = []
         self.index = -1
@@ -68,7 +73,7 @@ class Page:
     """A parsed page: tree, and blocks (node, text, words, linked words) in page order."""
 
     def __init__(self, html: str):
-        self.root = Node("#root", False, False)
+        self.root = Node("#root", None, False, 0, False, False)
         self.blocks: list[tuple[Node, str, int, int]] = []
         self.parse(html)
 
@@ -131,7 +136,7 @@ class Page:
             if tag in INLINE:
                 if tag == "a":
                     links += 1
-                if "class" not in attributes or not describe(tag, attributes)[1]:
+                if "class" not in attributes or not any(describe(tag, attributes)[1:3]):
                     continue
             flush()
             links = 0
@@ -143,32 +148,64 @@ class Page:
                     del stack[held[-1] :]
             if len(stack) > MOST_DEPTH or attributes.rstrip().endswith("/") and tag in ("svg", "path", "use"):
                 continue
-            label, chrome, main, header = describe(tag, attributes)
+            label, chrome, named, main, header, headed = describe(tag, attributes)
             parent = stack[-1][1]
             node = parent.children.get(label)
             if node is None:
                 inside = parent.main or main
-                node = parent.children[label] = Node(label, parent.chrome or chrome or (header and not inside), inside)
+                own = 0 if tag in ("html", "body") else named if inside else max(named, headed)
+                node = parent.children[label] = Node(label, parent, parent.fixed or chrome or (header and not inside), own, inside, main and tag != "article")
+            if tag == "article" and named < 2 and not node.fixed:
+                node.articles += 1
             stack.append((tag, node))
         flush()
 
-
-def describe(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """(label, whether it marks no main text, whether it marks main text, whether it is a header)."""
+    def settle(self, varying: list[tuple[Node, str, int, int]]) -> None:
+        """Set ``chrome`` of each node: a name marks it unless the page's main element, its only article or most of its varying text is inside."""
+        nodes = number(self)
+        plain, lead, articles = [0] * len(nodes), [n.lead and not n.fixed for n in nodes], [n.articles for n in nodes]
+        for node, _, words, linked in varying:
+            if not node.fixed:
+                plain[node.index] += max(words - linked, 0)
+        for node in reversed(nodes[1:]):
+            up, at = node.parent.index, node.index
+            plain[up] += plain[at]
+            lead[up] |= lead[at]
+            articles[up] += articles[at]
+        for node in nodes[1:]:
+            at = node.index
+            stands = node.named > 0 and not lead[at]
+            if stands and node.named == 1:
+                stands = plain[at] <= PART_SHARE * plain[0] and not articles[at] == articles[0] == 1
+            elif stands:
+                stands = plain[at] <= (WHOLE_ARTICLE_SHARE if articles[at] else WHOLE_SHARE) * plain[0]
+            node.chrome = node.fixed or node.parent.chrome or stands
+
+
+def marked(values: list[str], listed: frozenset[str]) -> int:
+    """2 if a class or id is made of listed names, 1 if a part of one is listed, else 0."""
+    parts = [[p.lower() for p in WORD_PARTS.findall(v)] for x in values for v in x.split()]
+    return max((2 if listed.issuperset(p) else int(not listed.isdisjoint(p)) for p in parts if p), default=0)
+
+
+def describe(tag: str, attributes: str) -> tuple[str, bool, int, bool, bool, int]:
+    """(label, whether it marks no main text, how far its names do, whether it marks main text, whether it is a header, how far its names say so)."""
     cache = worker_cache("wrapper").setdefault("elements", {})
     key = (tag, attributes)
     if key not in cache:
         found = {}
         for m in NAMES.finditer(attributes):
             found.setdefault(m[1].lower(), (m[2] or "").strip("\"'"))
-        names = {p.lower() for x in ("class", "id") for p in WORD_PARTS.findall(found.get(x, ""))}
+        names = [found.get("class", ""), found.get("id", "")]
         role = found.get("role", "").lower()
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", ""))
-        chrome = bool(tag in CHROME_TAGS or role in CHROME_ROLES or names & CHROME_NAMES or hidden)
-        label = ".".join([tag, *sorted(DIGITS.sub("#", c) for c in found.get("class", "").split())])
+        other = bool(role in CHROME_ROLES or hidden)
+        named, headed = marked(names, CHROME_NAMES), marked(names, HEADER_NAMES)
+        # what is marked is another list than its unmarked siblings of the same tag and class
+        label = ".".join([tag, *sorted(DIGITS.sub("#", c) for c in found.get("class", "").split())]) + "!" * bool(other or named or headed)
         if len(cache) > 50_000:
             cache.clear()
-        cache[key] = label, chrome, tag in ("article", "main") or role == "main", tag == "header" or bool(names & HEADER_NAMES)
+        cache[key] = label, tag in CHROME_TAGS or other, named, tag in ("article", "main") or role == "main", tag == "header", headed
     return cache[key]
 
 
@@ -284,16 +321,14 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(page: Page, reference: Reference, template: set[tuple[int, int]], menus: set[int]) -> str:
     """The page's content blocks, one a line."""
     place = align(page, reference)
-    kept = []
-    for node, text, words, linked in page.blocks:
-        if node.chrome:
-            continue
-        at = place.get(id(node))
-        if at is not None and ((item := reference.items[at].get(text)) is not None and (at, item) in template or at in menus):
-            continue
-        if not node.main and linked > MOST_LINKED * words:
+    varying = []
+    for block in page.blocks:
+        at = place.get(id(block[0]))
+        if at is not None and ((item := reference.items[at].get(block[1])) is not None and (at, item) in template or at in menus):
             continue
-        kept.append((node.main, text))
+        varying.append(block)
+    page.settle(varying)
+    kept = [(node.main, text) for node, text, words, linked in varying if not node.chrome and (node.main or linked <= MOST_LINKED * words)]
     if any(main for main, _ in kept):
         kept = [x for x in kept if x[0]]
     return "\n".join(text for _, text in kept)

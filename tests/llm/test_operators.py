@@ -325,6 +325,24 @@ def test_wrapper_keeps_the_article_alone(spark):
     assert wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_wrapper_names_do_not_empty_a_page(spark):
+    text = "The main text of the page is some words longer than all else."
+    side = "<div class=sidebar><p>Aside words</p></div><div id=comments><p>I disagree</p></div><div class='cookie-notice'>We use cookies</div>"
+    pages = [
+        f"<html><body class='no-sidebar'><div class=c><p>{text}</p></div>{side}</body></html>",
+        f"<html class='has-sidebar'><body><article><p>{text}</p></article>{side}</body></html>",
+        f"<body><div class='content-with-sidebar'><div><p>{text}</p></div>{side}</div>",
+        f"<body><div class='footer-widgets'><main><p>{text}</p></main>{side}</div>",
+        f"<body><div id='search-results'><article class=post><p>Short</p></article></div><div class=sidebar><p>{text}</p></div>",
+        f"<body><div class='page has-header sidebar'><div class=c><p>{text}</p></div>{side}</div>",
+        f"<body><div id=sidebar><p>Aside words</p></div><div id=content><p>{text}</p></div>",
+        f"<body><aside><article><p>Aside words</p></article></aside><div class=related><article>One</article><article>Two</article></div><div><p>{text}</p></div>",
+    ]
+    rows = [(k, f"http://h{k}.example/", page) for k, page in enumerate(pages)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: "Short" if k == 4 else text for k in range(len(pages))}
+
+
 def test_pipeline_stages_against_brute_force(spark):
     import corpus_pipeline
 
