@@ -1,14 +1,16 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page becomes a tree of its block elements in which siblings of one label are one list node. Every page
-of a host is aligned with the host's reference page by simple tree matching. Summed over all pages of
-the host, an aligned node's texts that stay the same are template, and what varies is a slot; a slot with
-little linked text, outside menus, headers, footers and the like, holds content. Then each page is
-aligned once more and its content blocks are written out in order.
+A page becomes a tree of its block elements in which siblings of one label are one list node. So the labels
+of a parent's children differ, and all pages of a host align in one union tree: nodes match if their labels
+and their parents do. Summed over all pages of the host, and over those of each layout (the labels of the
+upper levels), an aligned node's texts that stay the same are template, and what varies is a slot; a slot
+with little linked text, outside menus, headers, footers and the like, holds content. Then each page's
+content blocks are written out in order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -22,9 +24,15 @@ from .spans import worker_cache
 from .url_filter import url_host
 
 TEXTS = "page_id long, url string, text string"
-STATS = "host string, node int, item int, pages long, words long, linked long"
-#: Share of a host's pages that a text must be on to be template, and the fewest pages to tell.
+STATS = "key long, base long, kind int, host string, pages long, words long, linked long"
+#: Kinds of counts: of a scope (host or layout), of a node in it, of a text at the node.
+SCOPE, NODE, TEXT = 0, 1, 2
+#: Share of the pages, of a scope or of those with the node, that a text must be on to be template, and the fewest pages to tell.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 4
+#: The fewest pages with a template text.
+LEAST_PAGES = int(TEMPLATE_SHARE * TEMPLATE_PAGES) + 1
+#: Levels of the tree whose labels make a page's layout: html, body, and two below.
+LAYOUT_DEPTH = 4
 MOST_LINKED = 0.5
 MOST_DEPTH = 150
 #: A name marks no element that holds more than this share of a page's varying text outside links: of a class or id that is
@@ -58,15 +66,38 @@ DIGITS = re.compile(r"\d+")
 class Node:
     """A list of sibling elements with one label, under one parent."""
 
-    __slots__ = ("label", "parent", "children", "fixed", "named", "chrome", "main", "lead", "articles", "blocks", "index")
+    __slots__ = ("label", "parent", "children", "fixed", "named", "chrome", "main", "lead", "articles", "index", "depth", "path")
 
     def __init__(self, label: str, parent: Node | None, fixed: bool, named: int, main: bool, lead: bool):
         """``fixed``: inside what its tag, role or style marks; ``named``: how far its own names do (0 to 2); ``chrome`` is settled per page."""
         self.label, self.parent, self.fixed, self.named, self.main, self.lead = label, parent, fixed, named, main, lead
         self.chrome, self.articles = fixed, 0
         self.children: dict[str, Node] = {}
-        self.blocks: list[int] = []
         self.index = -1
+        self.depth = parent.depth + 1 if parent else 0
+        self.path = path_key(parent.path, label) if parent else 0
+
+
+def key_of(*parts: object) -> int:
+    """A 64-bit hash of values, the same in every process."""
+    return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def joined(a: int, b: int) -> int:
+    """One key of two."""
+    h = (a * 0x9E3779B97F4A7C15 + b) & 0xFFFFFFFFFFFFFFFF
+    h = ((h ^ (h >> 32)) * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF
+    return h - (1 << 64) if h >> 63 else h
+
+
+def path_key(parent: int, label: str) -> int:
+    """The node's key in the union tree: its labels from the root."""
+    cache = worker_cache("wrapper").setdefault("paths", {})
+    if (parent, label) not in cache:
+        if len(cache) > 50_000:
+            cache.clear()
+        cache[parent, label] = key_of(parent, label)
+    return cache[parent, label]
 
 
 class Page:
@@ -89,7 +120,6 @@ class Page:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
                     node = stack[-1][1]
-                    node.blocks.append(len(self.blocks))
                     self.blocks.append((node, text, text.count(" ") + 1, sum(len(x.split()) for x in linked)))
                 parts, linked = [], []
 
@@ -209,37 +239,6 @@ def describe(tag: str, attributes: str) -> tuple[str, bool, int, bool, bool, int
     return cache[key]
 
 
-def match(a: Node, b: Node) -> list[tuple[Node, Node]]:
-    """Simple tree matching: the largest set of node pairs that keeps labels, parents and order."""
-
-    def weigh(x: Node, y: Node) -> tuple[int, list]:
-        if x.label != y.label:
-            return 0, []
-        left, right = list(x.children.values()), list(y.children.values())
-        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
-        found = {}
-        for i, p in enumerate(left, 1):
-            for j, q in enumerate(right, 1):
-                score = 0
-                if p.label == q.label:
-                    found[i, j] = weigh(p, q)
-                    score = found[i, j][0]
-                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + score)
-        pairs = [(x, y)]
-        i, j = len(left), len(right)
-        while i and j:
-            if (i, j) in found and best[i][j] == best[i - 1][j - 1] + found[i, j][0]:
-                pairs.extend(found[i, j][1])
-                i, j = i - 1, j - 1
-            elif best[i][j] == best[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-        return best[-1][-1] + 1, pairs
-
-    return weigh(a, b)[1]
-
-
 def number(page: Page) -> list[Node]:
     """The page's nodes in order, numbered."""
     out, stack = [], [page.root]
@@ -251,82 +250,81 @@ def number(page: Page) -> list[Node]:
     return out
 
 
-class Reference:
-    """A host's reference page: its nodes, and the distinct texts of each."""
-
-    def __init__(self, html: str):
-        self.page = Page(html)
-        self.nodes = number(self.page)
-        self.items = [{t: i for i, t in enumerate(dict.fromkeys(self.page.blocks[b][1] for b in node.blocks))} for node in self.nodes]
-
-
 def unzip(payload: bytes | None) -> str:
     return zstandard.ZstdDecompressor().decompress(payload).decode("utf-8", "replace") if payload else ""
 
 
-def reference_of(payload: bytes) -> Reference:
-    """The parsed reference page; a worker keeps the last few hundred."""
-    cache = worker_cache("wrapper").setdefault("references", {})
-    if payload not in cache:
-        if len(cache) > 300:
-            cache.clear()
-        cache[payload] = Reference(unzip(payload))
-    return cache[payload]
-
-
-def align(page: Page, reference: Reference) -> dict[int, int]:
-    """Reference node of each of the page's nodes that has one, by identity."""
-    return {id(x): y.index for x, y in match(page.root, reference.page.root)}
+def scopes(page: Page, host: str) -> tuple[int, int]:
+    """Keys of the page's host and of its layout there."""
+    upper = sorted(n.path for n in number(page) if n.depth <= LAYOUT_DEPTH)
+    return key_of(host), key_of(host, *upper)
 
 
 def packed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, rank, payload`` (compressed html)."""
+    """``page_id, url, host, payload`` (compressed html)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             payload = [pack.compress((h or "").encode()) for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(payload, pa.binary())], ["page_id", "url", "host", "rank", "payload"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(payload, pa.binary())], ["page_id", "url", "host", "payload"])
 
-    return pages.mapInArrow(run, "page_id long, url string, host string, rank long, payload binary")
+    return pages.mapInArrow(run, "page_id long, url string, host string, payload binary")
 
 
 def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and reference node: pages, words, linked words; per text of the node: pages that have it (item >= 0)."""
-    for batch in batches:
-        sums: dict[tuple[str, int, int], list[int]] = {}
-        for host, payload, reference in zip(*(batch.column(c).to_pylist() for c in ("host", "payload", "reference")), strict=True):
-            base, page = reference_of(reference), Page(unzip(payload))
-            place = align(page, base)
-            own: dict[tuple[int, int], list[int]] = {(-1, -1): [1, 0, 0]}
-            for node, text, words, linked in page.blocks:
-                at = place.get(id(node))
-                if at is not None:
-                    row = own.setdefault((at, -1), [1, 0, 0])
+    """``STATS``: pages of each host and layout; per node there pages, words, linked words; per text of the node the pages that have it."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 2000):
+            batch = whole.slice(at, 2000)
+            sums: dict[tuple, list[int]] = {}
+            for host, payload in zip(batch.column("host").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                page = Page(unzip(payload))
+                own: dict[tuple, list[int]] = {}
+                nodes: dict[int, list[int]] = {}
+                for node, _, words, linked in page.blocks:
+                    row = nodes.setdefault(node.path, [1, 0, 0])
                     row[1] += words
                     row[2] += linked
-                    item = base.items[at].get(text)
-                    if item is not None:
-                        own[at, item] = [1, 0, 0]
-            for (at, item), row in own.items():
-                total = sums.setdefault((host, at, item), [0, 0, 0])
-                for i in range(3):
-                    total[i] += row[i]
-        rows = [(*k, *v) for k, v in sums.items()]
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "item", "pages", "words", "linked"])
-
-
-def main_text(page: Page, reference: Reference, template: set[tuple[int, int]], menus: set[int]) -> str:
-    """The page's content blocks, one a line."""
-    place = align(page, reference)
-    varying = []
-    for block in page.blocks:
-        at = place.get(id(block[0]))
-        if at is not None and ((item := reference.items[at].get(block[1])) is not None and (at, item) in template or at in menus):
-            continue
-        varying.append(block)
+                texts = {(node.path, text): key_of(text) for node, text, _, _ in page.blocks}
+                for scope in scopes(page, host):
+                    own[scope, 0, SCOPE, host] = [1, 0, 0]
+                    places = {path: joined(scope, path) for path in nodes}
+                    own.update(((places[path], scope, NODE, None), row) for path, row in nodes.items())
+                    own.update(((joined(places[path], text), places[path], TEXT, None), [1, 0, 0]) for (path, _), text in texts.items())
+                for name, row in own.items():
+                    total = sums.setdefault(name, [0, 0, 0])
+                    for i in range(3):
+                        total[i] += row[i]
+            columns = list(zip(*((*k, *v) for k, v in sums.items()), strict=True)) or [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "base", "kind", "host", "pages", "words", "linked"])
+
+
+def marks_of(counted: DataFrame, folder: str) -> DataFrame:
+    """``host, marks``: keys of each host's template texts and of its menu nodes."""
+    sums = counted.groupBy("key", "base", "kind", "host").agg(*(F.sum(c).alias(c) for c in ("pages", "words", "linked")))
+    # what is on too few pages to be template is most of all texts, and is not kept
+    sums.where((F.col("kind") != TEXT) | (F.col("pages") >= LEAST_PAGES)).write.parquet(f"{folder}/sums")
+    sums = counted.sparkSession.read.parquet(f"{folder}/sums")
+    scope = sums.where(F.col("kind") == SCOPE).select(F.col("key").alias("base"), F.col("host").alias("owner"), F.col("pages").alias("all_pages"))
+    node = sums.where(F.col("kind") == NODE).join(scope, "base")
+    menus = node.where((F.col("linked") > MOST_LINKED * F.col("words")) & ((F.col("pages") >= LEAST_PAGES) | (F.col("all_pages") < TEMPLATE_PAGES)))
+    place = node.select(F.col("key").alias("base"), "owner", "all_pages", F.col("pages").alias("node_pages"))
+    often = F.lit(False)
+    for total in ("all_pages", "node_pages"):
+        often = often | ((F.col(total) >= TEMPLATE_PAGES) & (F.col("pages") > TEMPLATE_SHARE * F.col(total)))
+    template = sums.where(F.col("kind") == TEXT).join(place, "base").where(often)
+    both = template.select("owner", "key").union(menus.select("owner", "key"))
+    return both.groupBy(F.col("owner").alias("host")).agg(F.collect_list("key").alias("marks"))
+
+
+def main_text(page: Page, host: str, marks: set[int]) -> str:
+    """The page's content blocks, one a line; ``marks`` are the keys of the host's template texts and menu nodes."""
+    varying = page.blocks
+    for scope in scopes(page, host) if marks else ():
+        places = [joined(scope, node.path) for node, *_ in varying]
+        varying = [b for b, at in zip(varying, places, strict=True) if (b[0].main or at not in marks) and joined(at, key_of(b[1])) not in marks]
     page.settle(varying)
     kept = [(node.main, text) for node, text, words, linked in varying if not node.chrome and (node.main or linked <= MOST_LINKED * words)]
     if any(main for main, _ in kept):
@@ -342,38 +340,26 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     extracted each; with fewer than four pages of a host nothing counts as template. Elements deeper than
     150 levels belong to the one above. An empty table gives no rows; other columns are not read.
 
-    A host of any size costs its reference page once per task: the join splits skewed hosts, and counts
-    are summed per batch before they are shuffled.
+    A host of any size costs its template's keys once per task: the join splits skewed hosts, and counts
+    are summed per batch before they are shuffled by node and text.
     """
     folder = new_work_dir(pages.sparkSession, "wrapper")
-    read = pages.select(
-        F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), url_host(F.col(url)).alias("host"), F.xxhash64(F.col(page_id), F.col(url)).alias("rank"), F.col(html).alias("html")
-    )
+    read = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), url_host(F.col(url)).alias("host"), F.col(html).alias("html"))
     rows = packed(read)
-    rows.groupBy("host").agg(F.min_by("payload", "rank").alias("reference")).write.parquet(f"{folder}/references")
-    references = pages.sparkSession.read.parquet(f"{folder}/references")
-    counted = rows.select("host", "payload").join(references, "host").mapInArrow(count, STATS)
-    sums = counted.groupBy("host", "node", "item").agg(*(F.sum(c).alias(c) for c in ("pages", "words", "linked")))
-    marks = sums.groupBy("host").agg(F.collect_list(F.struct("node", "item", "pages", "words", "linked")).alias("marks"))
-    references.join(marks, "host", "left").write.parquet(f"{folder}/wrappers")
-    wrappers = pages.sparkSession.read.parquet(f"{folder}/wrappers")
+    marks_of(rows.select("host", "payload").mapInArrow(count, STATS), folder).write.parquet(f"{folder}/marks")
+    wrappers = pages.sparkSession.read.parquet(f"{folder}/marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[Reference, set, set]] = {}
+        known: dict[str, set[int]] = {}
         for batch in batches:
             out = []
-            for host, payload, reference, own in zip(*(batch.column(c) for c in ("host", "payload", "reference", "marks")), strict=True):
+            for host, payload, own in zip(*(batch.column(c) for c in ("host", "payload", "marks")), strict=True):
                 name = host.as_py()
                 if name not in known:
                     if len(known) > 300:
                         known.clear()
-                    found = own.as_py() or []
-                    total = sum(m["pages"] for m in found if m["node"] < 0)
-                    template = {(m["node"], m["item"]) for m in found if m["item"] >= 0 and total >= TEMPLATE_PAGES and m["pages"] > TEMPLATE_SHARE * total}
-                    base = reference_of(reference.as_py())
-                    menus = {m["node"] for m in found if m["node"] >= 0 and m["item"] < 0 and m["linked"] > MOST_LINKED * m["words"] and not base.nodes[m["node"]].main}
-                    known[name] = base, template, menus
-                out.append(main_text(Page(unzip(payload.as_py())), *known[name]))
+                    known[name] = set(own.as_py() or ())
+                out.append(main_text(Page(unzip(payload.as_py())), name, known[name]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
-    return rows.select("page_id", "url", "host", "payload").join(wrappers, "host").mapInArrow(run, TEXTS)
+    return rows.select("page_id", "url", "host", "payload").join(wrappers, "host", "left").mapInArrow(run, TEXTS)

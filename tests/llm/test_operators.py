@@ -343,6 +343,20 @@ def test_wrapper_names_do_not_empty_a_page(spark):
     assert got == {k: "Short" if k == 4 else text for k in range(len(pages))}
 
 
+def test_wrapper_template_of_every_layout(spark):
+    """Notices on most pages, two layouts, and empty pages: whichever page is looked at first, all template goes."""
+    rows = []
+    for k in range(20):
+        note = "<div class=info><p>We move house in May.</p></div>" if k % 5 < 3 else ""
+        own = f"<h2>Title {k}</h2><p>Text number {k} of the page.</p>"
+        first = f"<div class=c><p>Always the same line here.</p>{own}</div><div class=end><p>Written by the team.</p></div>"
+        second = f"<section class=d><p>Another line of this layout.</p><div class=x>{own}<p>Shared by the second layout.</p></div></section>"
+        rows.append((k, f"http://h.example/{k}", f"<html><body>{note}{second if k % 4 == 0 else first}</body></html>"))
+    rows += [(100 + k, f"http://h.example/{k}", ["", None, "<html></html>"][k % 3]) for k in range(30)]
+    got = {r.page_id: r.text for r in wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"Title {k}\nText number {k} of the page." if k < 100 else "" for k, _, _ in rows}
+
+
 def test_pipeline_stages_against_brute_force(spark):
     import corpus_pipeline
 
