@@ -1,8 +1,9 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
 Per language, a raw-content zstandard dictionary is made of a bounded sample of labelled texts. A text
-is compressed whole, in blocks, once with each dictionary; the smallest sum of sizes wins. A narrow
-margin between the best two rejects the guess.
+is compressed whole, in blocks, once with each dictionary; the smallest sum of sizes wins. Each language
+keeps its own length of dictionary: what a longer one saves on texts of any other language is measured
+and taken off the sizes of a shorter one. A narrow margin between the best two rejects the guess.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ BLOCK = 4096
 #: Texts up to this many bytes are compressed at the slow, finest level.
 SHORT = 512
 SHORT_LEVEL, LEVEL = 19, 3
+#: One text of so many is kept out of its language's dictionary, to measure on.
+HELD_BACK = 20
 #: Bits of difference that make the odds of the best against another e to 1.
 TEMPERATURE = 16.0
 PREDICTIONS = "doc_id long, lang_pred string, score double, margin double, rejected boolean"
@@ -32,10 +35,12 @@ PREDICTIONS = "doc_id long, lang_pred string, score double, margin double, rejec
 class Model(NamedTuple):
     languages: tuple[str, ...]
     dictionaries: tuple[bytes, ...]
+    #: Per language, what sizes are multiplied by: of short texts, of others.
+    factors: tuple[tuple[float, float], ...]
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 300, sample_chars: int = 1500, most_languages: int = 500) -> Model:
-    """Dictionaries from at most ``per_language`` rows of each language (lowest id hash first) and
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 300, sample_chars: int = 1500, most_languages: int = 500, most_bytes: int = 400_000) -> Model:
+    """Dictionaries of up to ``most_bytes`` from at most ``per_language`` rows of each language (lowest id hash first) and
     ``sample_chars`` characters of each; beyond ``most_languages`` the rarest by sample size are an error.
 
     Rows without text or language teach nothing; an empty table gives a model without languages.
@@ -54,30 +59,66 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     for r in sample.limit(per_language * max(n_languages, 1)).collect():
         parts.setdefault(r.lang, []).append((r.doc_id, r.text))
     languages = tuple(sorted(parts))
-    # the same number of bytes for each language, so that none wins by a longer dictionary
-    raw = {x: "\n".join(t for _, t in sorted(parts[x], key=lambda r: (str(r[0]), r[1]))).encode() for x in languages}
-    size = max(min(map(len, raw.values()), default=0), 256)
-    return Model(languages, tuple(raw[x][:size] for x in languages))
+    texts = {x: [t.encode() for _, t in sorted(parts[x], key=lambda r: (str(r[0]), r[1]))] for x in languages}
+    held = {x: texts[x][::HELD_BACK] if len(texts[x]) >= HELD_BACK else [] for x in languages}
+    taught = {x: [t for i, t in enumerate(texts[x]) if not held[x] or i % HELD_BACK] for x in languages}
+    dictionaries = tuple(b"\n".join(taught[x])[:most_bytes] for x in languages)
+    return Model(languages, dictionaries, length_factors(languages, dictionaries, held))
+
+
+def length_factors(languages: tuple[str, ...], dictionaries: tuple[bytes, ...], held: dict[str, list[bytes]]) -> tuple[tuple[float, float], ...]:
+    """For each dictionary, the mean share of a text's size that is left with one of the longest length, of
+    texts in languages other than the dictionary's, so that none wins by its length.
+
+    Measured with the longest dictionaries, cut to powers of two, on ``held`` texts that are in none of them.
+    """
+    length = [len(d) for d in dictionaries]
+    longest = max(length, default=0)
+    # the longest few are enough to tell
+    full = [i for i in sorted(range(len(length)), key=lambda i: -length[i])[:4] if 2 * length[i] > longest]
+    sample = [(x, t) for x in languages for t in held[x][:15]]
+    sample = sample[:: max(1, len(sample) // 60)]
+    exact = [longest] + [2**k for k in range(3, longest.bit_length()) if 2**k < longest and any(n < 2 ** (k + 1) for n in length)]
+    if len(exact) == 1 or not any(languages[i] != x for i in full for x, _ in sample):
+        return tuple((1.0, 1.0) for _ in languages)
+    curves = []
+    for short in (True, False):
+        logs = []
+        for size in exact:
+            ratios = []
+            for i in full:
+                level = SHORT_LEVEL if short else LEVEL
+                whole, cut = compressor(dictionaries[i], level), compressor(dictionaries[i][:size], level)
+                for x, t in sample:
+                    if x != languages[i]:
+                        t = t[: SHORT if short else BLOCK]
+                        ratios.append(np.log(len(whole.compress(t)) / len(cut.compress(t))))
+            logs.append(min(float(np.mean(ratios)), 0.0) if size < longest else 0.0)
+        order = np.argsort(exact)
+        curves.append(np.exp(np.interp(np.log(length), np.log(np.array(exact)[order]), np.array(logs)[order])))
+    return tuple(zip(*(c.tolist() for c in curves), strict=True))
+
+
+def compressor(raw: bytes, level: int) -> zstandard.ZstdCompressor:
+    """A compressor with a dictionary prepared for ``level``."""
+    shared = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    shared.precompute_compress(level=level)
+    return zstandard.ZstdCompressor(level=level, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
 def compressors(model: Model, level: int) -> list[zstandard.ZstdCompressor]:
     """One compressor per language with its dictionary prepared for ``level``; kept per worker."""
     cache, key = worker_cache(("langid", hash(model))), level
     if key not in cache:
-        made = []
-        for raw in model.dictionaries:
-            shared = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            shared.precompute_compress(level=level)
-            made.append(zstandard.ZstdCompressor(level=level, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False))
-        cache[key] = made
+        cache[key] = [compressor(raw, level) for raw in model.dictionaries]
     return cache[key]
 
 
 def sizes(text: bytes, model: Model) -> np.ndarray:
-    """Compressed bytes of the whole text by language."""
+    """Compressed bytes of the whole text by language, made comparable by the model's factors."""
     with_each = compressors(model, SHORT_LEVEL if len(text) <= SHORT else LEVEL)
     blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
-    return np.array([sum(len(c.compress(b)) for b in blocks) for c in with_each], np.int64)
+    return np.array([sum(len(c.compress(b)) for b in blocks) * f[len(text) > SHORT] for c, f in zip(with_each, model.factors, strict=True)], np.float64)
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least_margin: float = 0.01) -> DataFrame:
@@ -105,11 +146,11 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
                         continue
                     size = sizes(raw[a:b], model)
                     best = int(size.argmin())
-                    other = int(np.delete(size, best).min()) if len(size) > 1 else 2 * int(size[best])
+                    other = float(np.delete(size, best).min()) if len(size) > 1 else 2 * float(size[best])
                     blocks = -(-(b - a) // BLOCK)
                     guesses.append(names[best])
                     scores.append(float(1 / np.exp(np.maximum(-8.0 * (size - size[best]) / (TEMPERATURE * blocks), -50)).sum()))
-                    margins.append((other - int(size[best])) / max(other, 1))
+                    margins.append((other - float(size[best])) / max(other, 1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),

@@ -298,6 +298,26 @@ def test_language_by_compression(spark, odd, empty):
     assert nothing.languages == () and langid.predict(odd, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_language_with_a_rare_label(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    held = queries.remainder("doc_id", 5) == 0
+    truth = docs.where(held & (F.length("text") > 100)).select("doc_id", "lang")
+
+    def right(more):
+        rows = spark.createDataFrame([(-1 - k, t, x) for k, (x, t) in enumerate(more)], "doc_id long, text string, lang string")
+        model = langid.fit(docs.where(~held).union(rows))
+        assert len(model.languages) == 4 + len({x for x, _ in more})
+        guesses = langid.predict(truth.join(docs.drop("lang"), "doc_id"), model).join(truth, "doc_id")
+        return guesses.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0], model
+
+    plain, _ = right([("qq", "z")])
+    rare = "mi luko e lipu suli pi toki pona lon tomo"
+    both, model = right([("xx", rare), ("qq", "z")])
+    assert plain >= 0.97 and both >= 0.97 and min(len(d) for x, d in zip(model.languages, model.dictionaries) if x not in ("xx", "qq")) > 20_000
+    said = langid.predict(spark.createDataFrame([(1, "toki pona li pona, mi luko e lipu suli pi toki pona")], "doc_id long, text string"), model)
+    assert said.first().lang_pred == "xx"
+
+
 def test_url_rules_and_model(spark):
     urls = ["HTTP://A.Example.ORG/es/1?x", "http://example.org/en/12", "http://notexample.org/es/", "http://b.com/fr/x#y", "http://com/de/", "http://x.org", "no scheme", None, "http://n.net/a/://b"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
