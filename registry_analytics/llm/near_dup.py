@@ -6,7 +6,8 @@ A document is the set of its word five-grams; two are linked at a Jaccard simila
 2. Chosen paths: in every run each node is split on the tokens that a hash of its path samples, on
    average 1 / threshold of them, so similar nodes meet in a child. Buckets over ``limit`` nodes are
    split again, up to ``levels`` times; what is still larger is compared block against block. Runs are
-   repeated until the target recall.
+   repeated until the target recall at two levels; nodes of buckets that go deeper have more runs, until
+   the target recall at the deepest level.
 3. Small buckets are compared by brute force on sketches; a bucket hands on one edge per node, to the
    root of its part, never all its pairs.
 4. Inside each connected part of those candidates every pair is compared exactly on whole texts, in
@@ -33,8 +34,10 @@ from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slice
 SHINGLE = 5
 THRESHOLD = 0.8
 TOKENS = 128
-#: Sketches that estimate less than this are no candidates; the estimate's standard deviation at 0.8 is 0.042.
-LEAST_ESTIMATE = 0.64
+#: Sketches that estimate less than this are no candidates; a pair at 0.8 does with a chance of 6e-6.
+LEAST_ESTIMATE = 0.59
+#: Differing tokens that sketches of candidates have at most.
+MOST_DIFFER = int((1 - LEAST_ESTIMATE) * 0.75 * TOKENS)
 ROWS = "doc_id long, node binary, n_words long, tokens binary, sketch binary"
 
 
@@ -113,8 +116,8 @@ def matrix(column: pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(data.tobytes(), kind).reshape(len(offsets) - 1, -1)
 
 
-def paths(nodes: DataFrame, threshold: float, runs: int = 0) -> DataFrame:
-    """Children ``bucket, node, sketch`` of each row's path: of ``runs`` roots, or of its ``bucket``."""
+def paths(nodes: DataFrame, threshold: float, runs: range = range(0)) -> DataFrame:
+    """Children ``bucket, node, sketch`` of each row's path: of the roots of ``runs``, or of its ``bucket``."""
     limit = np.uint64(int(2**32 / (threshold * TOKENS)))
     names = ["bucket", "node", "sketch"]
 
@@ -125,7 +128,7 @@ def paths(nodes: DataFrame, threshold: float, runs: int = 0) -> DataFrame:
                 part = whole.slice(at, 4000)
                 tokens = matrix(part.column("tokens"), np.uint32).astype(np.uint64) | place
                 if runs:
-                    seeds = [np.full(len(tokens), mix(np.array([r + 1], np.uint64) * BASE)[0]) for r in range(runs)]
+                    seeds = [np.full(len(tokens), mix(np.array([r + 1], np.uint64) * BASE)[0]) for r in runs]
                 else:
                     seeds = [mix(part.column("bucket").to_numpy(zero_copy_only=False).view(np.uint64))]
                 for seed in seeds:
@@ -153,7 +156,7 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def similar_sketches(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows (first before second) whose sketches agree enough, found block by block."""
-    most = int((1 - LEAST_ESTIMATE) * 0.75 * TOKENS)
+    most = MOST_DIFFER
     low = np.uint64(0x5555555555555555)
     left, right = [], []
     step = max(1, 2_000_000 // max(len(bits), 1))
@@ -195,7 +198,7 @@ def compare_buckets(rows: DataFrame, tasks: int) -> DataFrame:
             bits = matrix(batch.column("sketch"), np.uint64)
             a, b = small_groups(group, 16)
             x = bits[a] ^ bits[b]
-            near = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1) <= int((1 - LEAST_ESTIMATE) * 0.75 * TOKENS)
+            near = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1) <= MOST_DIFFER
             left, right = [a[near]], [b[near]]
             begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
             size = np.diff(np.append(begin, len(group)))
@@ -236,33 +239,70 @@ def write(frame: DataFrame, folder: str, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(f"{folder}/{name}")
 
 
+def chance(n: int, p: float) -> list[float]:
+    """The binomial distribution."""
+    return [math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)]
+
+
+def missed(threshold: float, runs: int, levels: int) -> float:
+    """The chance that a pair at the threshold that is alone in its buckets meets in none of the runs, split ``levels`` times, or that its sketches differ too much."""
+    total = 0.0
+    for equal, p in enumerate(chance(TOKENS, threshold)):
+        survive = 1.0  # the pair shares equal / (threshold * TOKENS) children a level on average
+        for _ in range(levels):
+            survive = 1 - math.exp(-survive * equal / (threshold * TOKENS))
+        total += p * (1 - survive) ** runs
+    return total + sum(chance(TOKENS, (1 - threshold) * 0.75)[MOST_DIFFER + 1 :])
+
+
+def runs_for(threshold: float, recall: float, levels: int) -> int:
+    """The fewest runs that find a pair at the threshold with ``recall``, by ``levels`` levels."""
+    if missed(threshold, 10_000, levels) > 1 - recall:
+        raise ValueError("the sketches are too short for this threshold and recall")
+    return next(n for n in range(1, 10_001) if missed(threshold, n, levels) <= 1 - recall)
+
+
 def candidate_edges(nodes: DataFrame, folder: str, threshold: float, recall: float, limit: int, levels: int, tasks: int) -> DataFrame:
-    """Edges found by repeated chosen paths over ``nodes`` (``node, tokens, sketch``)."""
-    survive = 1.0  # a pair at the threshold shares one child a level on average: a critical branching process
-    for _ in range(2):
-        survive = 1 - math.exp(-survive)
-    runs = math.ceil(math.log(1 - recall) / math.log(1 - survive))
-    rows, found = paths(nodes, threshold, runs), []
+    """Edges found by repeated chosen paths over ``nodes`` (``node, tokens, sketch``).
+
+    A pair that meets in a bucket which goes deeper than two levels has both nodes in it: such nodes are
+    given the further runs that the deepest level needs. It may not meet there, or not in the end: each has
+    half of what may be missed.
+    """
+    recall = (1 + recall) / 2
+    runs = runs_for(threshold, recall, min(2, levels))
+    found, deep = path_edges(nodes, folder, "first", threshold, range(runs), limit, levels, tasks)
+    if deep is not None:
+        more = nodes.join(deep, "node", "left_semi")
+        found += path_edges(more, folder, "more", threshold, range(runs, runs_for(threshold, recall, levels)), limit, levels, tasks)[0]
+    edges = found[0]
+    for other in found[1:]:
+        edges = edges.union(other)
+    return edges.distinct()
+
+
+def path_edges(nodes: DataFrame, folder: str, name: str, threshold: float, runs: range, limit: int, levels: int, tasks: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """The edges of some runs by level, and the nodes of buckets split more than twice, if any."""
+    rows, found, deep = paths(nodes, threshold, runs), [], None
     for level in range(1, levels + 1):
-        big = write(rows.groupBy("bucket").count().where(F.col("count") > limit), folder, f"big-{level}")
+        big = write(rows.groupBy("bucket").count().where(F.col("count") > limit), folder, f"{name}-big-{level}")
         if big.isEmpty():
-            found.append(write(compare_buckets(rows, tasks), folder, f"edges-{level}"))
+            found.append(write(compare_buckets(rows, tasks), folder, f"{name}-edges-{level}"))
             break
-        found.append(write(compare_buckets(rows.join(big, "bucket", "left_anti"), tasks), folder, f"edges-{level}"))
+        found.append(write(compare_buckets(rows.join(big, "bucket", "left_anti"), tasks), folder, f"{name}-edges-{level}"))
         large = rows.join(big, "bucket")
+        if level == 2 and level < levels:
+            deep = write(large.select("node").distinct(), folder, f"{name}-deep")
         if level == levels:
             blocks = F.ceil(2 * F.col("count") / limit).cast("int")
             dealt = large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
             dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             pair = F.xxhash64("bucket", F.least("block", F.col("other").cast("long")), F.greatest("block", F.col("other").cast("long")))
-            found.append(write(compare_buckets(dealt.select(pair.alias("bucket"), "node", "sketch"), tasks), folder, "edges-blocks"))
+            found.append(write(compare_buckets(dealt.select(pair.alias("bucket"), "node", "sketch"), tasks), folder, f"{name}-edges-blocks"))
             break
         deeper = large.select("bucket", "node").join(nodes.select("node", "tokens", "sketch"), "node")
-        rows = write(paths(deeper, threshold), folder, f"paths-{level}")
-    edges = found[0]
-    for other in found[1:]:
-        edges = edges.union(other)
-    return edges.distinct()
+        rows = write(paths(deeper, threshold), folder, f"{name}-paths-{level}")
+    return found, deep
 
 
 def components(edges: DataFrame, folder: str, name: str) -> DataFrame:

@@ -243,6 +243,22 @@ def test_jaccard_join_matches_brute_force(spark, empty):
     assert near_dup.classes(empty).count() == 0
 
 
+def test_candidate_recall_at_the_deepest_level(spark):
+    """Pairs at 0.8, each alone in buckets that all count as large."""
+    rng = np.random.default_rng(1)
+    n = 4000
+    left = rng.integers(0, 1 << 32, (n, near_dup.TOKENS), np.uint32)
+    right = np.where(rng.random(left.shape) < 0.8, left, rng.integers(0, 1 << 32, left.shape, np.uint32))
+    rows = [(f"{side}{k:05}".encode(), t.tobytes(), b.tobytes()) for side, tokens in (("a", left), ("b", right)) for k, (t, b) in enumerate(zip(tokens, near_dup.sketches(tokens), strict=True))]
+    folder = new_work_dir(spark, "test-recall")
+    spark.createDataFrame(rows, "node binary, tokens binary, sketch binary").repartition(8).write.parquet(f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    edges = near_dup.candidate_edges(nodes, folder, 0.8, 0.9999, 1, 5, 8).collect()
+    met = {bytes(e.a)[1:] for e in edges if bytes(e.a)[1:] == bytes(e.b)[1:]}
+    assert len(met) >= n - 2
+    assert near_dup.missed(0.8, near_dup.runs_for(0.8, 0.9999, 5), 5) <= 1e-4
+
+
 def test_toxicity_lexicon_misspelling_and_quotation(spark, empty):
     clean = [f"fine words number {k} and calm talk {k % 7} here" for k in range(60)]
     bad = [f"you w{k} blockhead v{k} go away {k % 5} now" for k in range(60)]
