@@ -332,7 +332,7 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
     group's links, one per node). A group with lo < hi compares the two blocks, else all its nodes.
     """
 
-    def links(keys: list[bytes], copies: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def links(keys: list[bytes], copies: np.ndarray, side: np.ndarray, across: bool, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(documents linked to each node, a, b)"""
         size = np.array([len(s) for s in sets])
         begin = np.cumsum(size) - size
@@ -346,7 +346,8 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
             common = np.add.reduceat(flag[codes], begin, dtype=np.int64)
             flag[own] = False
             near = common >= threshold * (size + size[i] - common) - 1e-9
-            near &= (side != side[i]) if side.any() else True
+            if across:
+                near &= side != side[i]
             near[i] = False
             j = np.flatnonzero(near)
             total[i] = copies[j].sum()
@@ -372,7 +373,7 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
                 sets = [np.unique(hashes[offsets[k] : offsets[k + 1]]) for k in range(at, at + len(g))]
                 at += len(g)
                 keys = [r[1] for r in g]
-                total, a, b = links(keys, np.array([r[2] for r in g]), np.array([r[0] for r in g]), sets)
+                total, a, b = links(keys, np.array([r[2] for r in g]), np.array([r[0] for r in g]), g[0][4], sets)
                 out.extend((k, None, n) for k, n in zip(keys, total.tolist(), strict=True) if n)
                 out.extend((keys[i], keys[j], None) for i, j in zip(a.tolist(), b.tolist(), strict=True))
             ready.clear()
@@ -389,7 +390,7 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
                         if ready:
                             yield answer()
                         waiting = 0
-                held.append((int(block != lo), node, copies, payload))
+                held.append((int(block != lo), node, copies, payload, lo < hi))
                 waiting += len(payload)
         if len(held) > 1:
             ready.append(tuple(held))

@@ -259,6 +259,20 @@ def test_candidate_recall_at_the_deepest_level(spark):
     assert near_dup.missed(0.8, near_dup.runs_for(0.8, 0.9999, 5), 5) <= 1e-4
 
 
+def test_links_of_long_texts_in_blocks_without_nodes(spark):
+    base = [f"w{k * k % 7919}" for k in range(900)]
+    rows = []
+    for n in range(8):
+        for copy in range(3):
+            words = [f"{w}x{n}" for w in base]
+            words[100 * copy + 50] = "changed"
+            rows.append((10 * n + copy, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block_words in (1500, 400):
+        got = near_dup.classes(docs, block_words=block_words).select("doc_id", "class_id", "n_links")
+        assert Counter(map(tuple, got.collect())) == brute_classes(rows)
+
+
 def test_toxicity_lexicon_misspelling_and_quotation(spark, empty):
     clean = [f"fine words number {k} and calm talk {k % 7} here" for k in range(60)]
     bad = [f"you w{k} blockhead v{k} go away {k % 5} now" for k in range(60)]
