@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_work_dir
-from . import decontaminate, langid, near_dup, packing, quality, suffix_dedup, token_store, toxicity, url_filter, wrapper
+from . import decontaminate, langid, near_dup, packing, quality, simhash, suffix_dedup, token_store, toxicity, url_filter, vector_codes, whitening, wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +100,21 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return codes.rows.select("vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it is beyond a long; the operator itself gives it as a decimal."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
     "op1_wrapper": op1_wrapper,
     "op2_toxicity": op2_toxicity,
@@ -111,6 +126,9 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontamination": op9_decontamination,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE_SQL = {
