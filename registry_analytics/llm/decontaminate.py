@@ -238,15 +238,25 @@ WITH d AS (
     coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
   FROM documents
 ), b AS (
-  SELECT item_id, words, least(10, len(words)) AS m FROM (
+  SELECT row_number() OVER () AS n, item_id, words, least(10, len(words)) AS m FROM (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
     FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL) WHERE len(words) > 0
+), bu AS (
+  SELECT n, item_id, m, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM b
+), bt AS (
+  SELECT item_id, m, [word, lead(word, 1) OVER z, lead(word, 2) OVER z, lead(word, 3) OVER z, lead(word, 4) OVER z, lead(word, 5) OVER z,
+    lead(word, 6) OVER z, lead(word, 7) OVER z, lead(word, 8) OVER z, lead(word, 9) OVER z] AS ten
+  FROM bu WINDOW z AS (PARTITION BY n ORDER BY i)
 ), p AS (
-  SELECT DISTINCT item_id, m, array_to_string(words[i:i + m - 1], ' ') AS g
-  FROM (SELECT item_id, m, words, unnest(range(1, len(words) - m + 2)) AS i FROM b)
+  SELECT DISTINCT item_id, m, array_to_string(ten[1:m], ' ') AS g FROM bt WHERE ten[m] IS NOT NULL
+), du AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM d
+), dt AS (
+  SELECT r, i, [word, lead(word, 1) OVER z, lead(word, 2) OVER z, lead(word, 3) OVER z, lead(word, 4) OVER z, lead(word, 5) OVER z,
+    lead(word, 6) OVER z, lead(word, 7) OVER z, lead(word, 8) OVER z, lead(word, 9) OVER z] AS ten
+  FROM du WINDOW z AS (PARTITION BY r ORDER BY i)
 ), w AS (
-  SELECT r, m, i, array_to_string(words[i:i + m - 1], ' ') AS g
-  FROM (SELECT r, m, words, unnest(range(1, len(words) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM p) WHERE len(words) >= m)
+  SELECT r, m, i, array_to_string(ten[1:m], ' ') AS g FROM dt, (SELECT DISTINCT m FROM p) WHERE ten[m] IS NOT NULL
 ), f AS (
   SELECT w.r, w.m, w.i, p.item_id FROM w JOIN p ON w.m = p.m AND w.g = p.g
 ), hit AS (

@@ -125,11 +125,12 @@ WITH d AS (
   SELECT r, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
          list_filter(string_split(text, chr(10)), lambda x: length(regexp_replace(x, '[\x20\x09-\x0D]', '', 'g')) > 0) AS lines
   FROM d
+), u AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
 ), eight AS (
-  SELECT r, i, array_to_string(words[i:i + 7], ' ') AS g, words
-  FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)
+  SELECT r, i, word || {' || '.join(f"' ' || lead(word, {k}) OVER z" for k in range(1, 8))} AS g FROM u WINDOW z AS (PARTITION BY r ORDER BY i)
 ), twice AS (
-  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM eight) WHERE c > 1
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM eight WHERE g IS NOT NULL) WHERE c > 1
 ), covered AS (
   SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r
 ), counts AS (
