@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ def wide_enough(*arrays: np.ndarray) -> type:
 class NearestEntry:
     """Nearest entries of one codebook [entry, component]; equal distances go to the lower index."""
 
-    def __init__(self, book: np.ndarray, memo: dict[bytes, int]):
+    def __init__(self, book: np.ndarray, memo: dict[bytes | int, int]):
         self.book, self.memo = book, memo
         self.shift = self.cell_bits(book)
 
@@ -70,17 +71,26 @@ class NearestEntry:
     def candidates(self, cells: np.ndarray) -> np.ndarray:
         """For each cell a bit set of the entries not dominated across its box."""
         kind = wide_enough((cells << self.shift) + (1 << self.shift), cells << self.shift, self.book)
-        low = (cells << self.shift).astype(kind)[:, None, :]
-        high = low + ((1 << self.shift) - 1)
-        book = self.book.astype(kind)[None]
-        least = (np.maximum(np.maximum(low - book, book - high), 0) ** 2).sum(axis=2)
-        most = np.maximum((book - low) ** 2, (high - book) ** 2).sum(axis=2)
+        least, most = np.zeros((2, len(cells), len(self.book)), kind)
+        for d in range(cells.shape[1]):  # distances to a box add up over its sides; few sides are different
+            side, at = np.unique(cells[:, d], return_inverse=True)
+            low = (side << self.shift).astype(kind)[:, None]
+            high, entry = low + ((1 << self.shift) - 1), self.book[:, d].astype(kind)[None]
+            least += (np.maximum(np.maximum(low - entry, entry - high), 0) ** 2)[at]
+            most += (np.maximum(entry - low, high - entry) ** 2)[at]
         return (least <= most.min(axis=1)[:, None]) @ (1 << np.arange(len(self.book), dtype=np.int64))
 
-    def lookup(self, cells: np.ndarray) -> np.ndarray:
+    def keys(self, cells: np.ndarray) -> np.ndarray:
+        """A key of each cell, different for different cells: its coordinates in one word where they fit, else their bytes."""
+        bits = 64 // max(1, cells.shape[1])
+        if bits > 1 and len(cells) and -(1 << (bits - 1)) <= cells.min() and cells.max() < 1 << (bits - 1):
+            low = cells.astype(np.uint64) & np.uint64((1 << bits) - 1)
+            return np.bitwise_or.reduce(low << (np.uint64(bits) * np.arange(cells.shape[1], dtype=np.uint64)), axis=1)
+        return np.ascontiguousarray(cells).view(f"V{8 * cells.shape[1]}").ravel()
+
+    def lookup(self, cells: np.ndarray, keys: list[bytes | int]) -> np.ndarray:
         """The bit sets of different cells, from the memo where it has them."""
-        keys = [c.tobytes() for c in cells]
-        found = np.array([self.memo.get(k, 0) for k in keys], np.int64)
+        found = np.fromiter(map(self.memo.get, keys, repeat(0)), np.int64, len(keys))
         new = np.flatnonzero(found == 0)  # no bit set is empty
         if len(new):
             found[new] = self.candidates(cells[new])
@@ -92,9 +102,8 @@ class NearestEntry:
     def __call__(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) of the nearest entry of each row."""
         cells = parts >> self.shift
-        raw = np.ascontiguousarray(cells).view(f"V{8 * cells.shape[1]}").ravel()
-        _, first, cell_of = np.unique(raw, return_index=True, return_inverse=True)
-        sets = self.lookup(cells[first])[cell_of]
+        keys, first, cell_of = np.unique(self.keys(cells), return_index=True, return_inverse=True)
+        sets = self.lookup(cells[first], [k.tobytes() for k in keys] if keys.dtype.kind == "V" else keys.tolist())[cell_of]
         row, entry = np.nonzero((sets[:, None] >> np.arange(len(self.book))) & 1)
         kind = wide_enough(parts, self.book)
         distance = ((parts[row].astype(kind) - self.book[entry].astype(kind)) ** 2).sum(axis=1)
