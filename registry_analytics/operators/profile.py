@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import safe_pct
 from ..functions.formats import null_grade
+from .ranks import percentiles_disc
 
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
@@ -114,38 +115,10 @@ def sector_rollup(
     )
 
 
-def percentiles_disc(df: DataFrame, value_col: str, qs: Sequence[float], positive_only: bool = False) -> DataFrame:
-    """``(q, value)``: exact discrete percentiles (the smallest value whose share of rows at or below it reaches ``q``).
-
-    Values are counted, then their counts are summed over buckets of equal
-    ratio (at most some 300,000 for any range of doubles, and only the filled
-    ones), so the one ordered window has a row per bucket.  Only the buckets
-    that hold a wanted rank are ordered by value.  NULLs are left out; no rows
-    give no percentiles.
-    """
-    x = F.col(value_col)
-    values = df.filter(x > 0 if positive_only else x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    d = F.col("v").cast("double")
-    scale = F.floor(F.log2(F.abs(d)) * 128) + F.lit(1 << 20)
-    values = values.select("v", "c", F.when(d > 0, scale).when(d < 0, -scale).otherwise(F.lit(0)).alias("b"))
-    buckets = values.groupBy("b").agg(F.sum("c").alias("c"))
-    upto = F.sum("c").over(Window.orderBy("b"))
-    total = buckets.select(F.sum("c")).scalar()
-    buckets = buckets.select("b", upto.alias("upto"), (upto - F.col("c")).alias("before"))
-    ranks = buckets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-    rank = F.greatest(F.ceil(F.col("q") * total), F.lit(1))
-    ranks = ranks.withColumn("rank", rank).filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-    inside = values.join(ranks, "b")
-    seen = F.col("before") + F.sum("c").over(Window.partitionBy("q").orderBy("v"))
-    hit = inside.withColumn("seen", seen).filter((F.col("seen") >= F.col("rank")) & (F.col("seen") - F.col("c") < F.col("rank")))
-    return hit.select("q", F.col("v").alias("value"))
-
-
-def percentile_scalars(df: DataFrame, value_col: str, qs: Sequence[float], positive_only: bool = False) -> list[Column]:
-    """One scalar column per percentile, from one subquery; NULL without rows."""
-    found = percentiles_disc(df, value_col, qs, positive_only)
-    row = found.agg(F.struct(*[F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(f"p{i}") for i, q in enumerate(qs)])).scalar()
-    return [row.getField(f"p{i}") for i in range(len(qs))]
+def percentile_values(df: DataFrame, value_col: str, qs: Sequence[float], positive_only: bool = False) -> list[Column]:
+    """One literal column per percentile, found when called; NULL without rows."""
+    kind = df.schema[value_col].dataType
+    return [F.lit(v).cast(kind) for v in percentiles_disc(df, value_col, qs, positive_only)]
 
 
 def amount_stats(
@@ -157,7 +130,8 @@ def amount_stats(
     """Count, sum, mean, max, min and exact percentiles of an amount, plus its share of all rows.
 
     The filter ``amount > 0`` is folded into the aggregates, so the "share of
-    all rows" needs no further scan; the percentiles are a second one.
+    all rows" needs no further scan. The percentiles are found when the
+    function is called, by passes over the amount alone (see ``ranks``).
     """
     x = F.col(amount_col)
     sel = x > 0 if positive_only else x.isNotNull()
@@ -171,7 +145,7 @@ def amount_stats(
         F.max(y).cast("double").alias("max"),
         F.min(y).cast("double").alias("min"),
     )
-    values = percentile_scalars(df, amount_col, percentiles, positive_only)
+    values = percentile_values(df, amount_col, percentiles, positive_only)
     return agg.select(
         "n",
         F.coalesce("total", F.lit(0.0)).alias("total"),

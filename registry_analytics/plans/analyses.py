@@ -22,7 +22,7 @@ from ..operators.profile import (
     null_profile,
     sector_rollup,
     share_of_total,
-    top_k, percentile_scalars,
+    top_k, percentile_values,
 )
 
 ACTIVE = "ACTIVO"
@@ -237,7 +237,7 @@ def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
     # age band included).  The pack has a few dozen rows, so this window is one tiny exchange.
     set_id = F.concat(*[F.col(f"_g_{k}").cast("string") for k in PACK_KEYS + ("age_band",)])
     g = g0.withColumn("_total", F.sum("n").over(Window.partitionBy(set_id))).cache()
-    p50, p90 = percentile_scalars(fact, amount, (0.5, 0.9), positive_only=True)
+    p50, p90 = percentile_values(fact, amount, (0.5, 0.9), positive_only=True)
     s = _pack_global(fact, amount).select("*", p50.alias("_p50"), p90.alias("_p90")).cache()
     total = F.col("_total")
 
