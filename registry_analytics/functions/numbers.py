@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .text import ColumnOrName, _col
 
 
-def sum_as_double(c: ColumnOrName) -> Column:
-    """Exact decimal sum, reported as double (identical in any engine)."""
-    return F.sum(_col(c)).cast("double")
+def exact_sum(c: ColumnOrName) -> Column:
+    """The sum in the amount's own kind: decimals are added, stored and shown exactly."""
+    return F.sum(_col(c))
 
 
 def mean_as_double(c: ColumnOrName) -> Column:

@@ -140,19 +140,19 @@ def amount_stats(
     agg = df.agg(
         F.count(F.lit(1)).alias("_all"),
         F.count(y).alias("n"),
-        F.sum(y).cast("double").alias("total"),
+        F.sum(y).alias("total"),
         F.try_divide(F.sum(y).cast("double"), F.count(y).cast("double")).alias("mean"),
-        F.max(y).cast("double").alias("max"),
-        F.min(y).cast("double").alias("min"),
+        F.max(y).alias("max"),
+        F.min(y).alias("min"),
     )
     values = percentile_values(df, amount_col, percentiles, positive_only)
     return agg.select(
         "n",
-        F.coalesce("total", F.lit(0.0)).alias("total"),
+        F.coalesce("total", F.lit(0)).alias("total"),
         F.coalesce("mean", F.lit(0.0)).alias("mean"),
-        F.coalesce("max", F.lit(0.0)).alias("max"),
-        F.coalesce("min", F.lit(0.0)).alias("min"),
-        *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(n) for v, n in zip(values, pct_names, strict=True)],
+        F.coalesce("max", F.lit(0)).alias("max"),
+        F.coalesce("min", F.lit(0)).alias("min"),
+        *[F.coalesce(v, F.lit(0)).alias(n) for v, n in zip(values, pct_names, strict=True)],
         safe_pct(F.col("n"), F.col("_all")).alias("share_pct"),
     )
 

@@ -1,17 +1,22 @@
 """Analyses A-F over the fact table, each a small set of fused aggregates.
 
 Every function takes the fact frame and optional column names and returns a
-lazy DataFrame; nothing is collected.  Ties in top-k lists are broken by the
+lazy DataFrame (A2's percentiles are found when it is called).  Amounts that are
+decimals stay decimals, exactly; means are doubles.  Ties in top-k lists are broken by the
 key so results are deterministic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import functools
+import operator
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.formats import null_grade
-from ..functions.numbers import mean_as_double, safe_pct, sum_as_double
+from ..functions.numbers import exact_sum, mean_as_double, safe_pct
 from ..functions.text import key_form, truncate
 from ..operators.joins import lookup_label
 from ..operators.profile import (
@@ -51,14 +56,19 @@ def code_label(code: str, labels: dict[str, str]) -> Column:
     return lookup_label(F.coalesce(F.col(code), F.lit(MISSING_CODE)), labels)
 
 
+def count_order(key: str, count_col: str = "n") -> list[Column]:
+    """The order by count descending, ties by key."""
+    return [F.col(count_col).desc(), F.col(key).asc_nulls_last()]
+
+
 def by_count(df: DataFrame, key: str, count_col: str = "n") -> DataFrame:
     """Rows by count descending, ties by key (a sort of the small grouped result)."""
-    return df.orderBy(F.col(count_col).desc(), F.col(key).asc_nulls_last())
+    return df.orderBy(*count_order(key, count_col))
 
 
 def state_profile(fact: DataFrame, key: str = "id_estado", amount: str = "deuda") -> DataFrame:
     """A1: rows, debt total and debt mean per state."""
-    g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "debt_avg": mean_as_double(amount)})
+    g = group_profile(fact, key, {"debt_total": exact_sum(amount), "debt_avg": mean_as_double(amount)})
     return by_count(g, key)
 
 
@@ -88,7 +98,7 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
     g = fact.groupBy(key.alias(place)).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(state) == F.lit(ACTIVE)).alias("active"),
-        sum_as_double(amount).alias("debt_total"),
+        exact_sum(amount).alias("debt_total"),
         (F.approx_count_distinct(activity) if approx_distinct else F.count_distinct(activity)).alias("activities"),
     )
     top = top_k(g, k, "n", place)
@@ -98,7 +108,7 @@ def top_places(fact: DataFrame, k: int = 15, place: str = "id_ubicacion", state:
 
 def size_profile(fact: DataFrame, key: str = "id_tamano", amount: str = "deuda", age: str = "edad") -> DataFrame:
     """Rows, share, debt total and mean age per size, with the size label."""
-    g = group_profile(fact, key, {"debt_total": sum_as_double(amount), "age_avg": F.avg(age)})
+    g = group_profile(fact, key, {"debt_total": exact_sum(amount), "age_avg": F.avg(age)})
     return by_count(share_of_total(g).withColumn("label", code_label(key, SIZE_LABELS)), key)
 
 
@@ -113,7 +123,7 @@ def top_activities(fact: DataFrame, k: int = 20, key: str = "id_ciiu", state: st
     """The ``k`` activities with most rows: active rows and debt total."""
     g = group_profile(fact, key, {
         "active": F.count_if(F.col(state) == F.lit(ACTIVE)),
-        "debt_total": sum_as_double(amount),
+        "debt_total": exact_sum(amount),
     })
     return top_k(g, k, "n", key)
 
@@ -167,136 +177,130 @@ def default_codes(fact: DataFrame, state: str = "id_estado", condition: str = "i
     return c.withColumn("clean_total", F.col("total") - F.col("nd_estado") - F.col("nd_condicion"))
 
 
-# --- the analysis pack: every report from four scans -----------------------------------
+# --- the analysis pack: every report from one roll-up ------------------------------------
 
 PACK_KEYS = ("id_estado", "id_tamano", "id_tipo_empresa", "sexo")
 
 
-def _pack_grouped(fact: DataFrame, amount: str, age: str) -> DataFrame:
-    """One GROUPING SETS aggregate for the five low-cardinality profiles.
-
-    One scan; Expand emits one row per grouping set and the partial aggregate
-    folds them immediately, so the shuffle carries one row per key and set.
-    Its output is bounded by the catalogue sizes (a few dozen rows).
-    """
-    a = F.col(age)
-    keep = a.isNotNull() & (a > 0)
-    base = fact.select(*PACK_KEYS, amount, age,
-                       bucketize(a, AGE_EDGES, AGE_LABELS, keep=keep).alias("age_band"),
-                       bucketize(a, AGE_EDGES, [str(i) for i in range(1, len(AGE_LABELS) + 1)],
-                                 keep=keep).cast("int").alias("band_no"))
-    sets = [[k] for k in PACK_KEYS] + [["age_band", "band_no"]]
-    return base.groupingSets(sets, *PACK_KEYS, "age_band", "band_no").agg(
-        *[F.grouping(k).alias(f"_g_{k}") for k in PACK_KEYS + ("age_band",)],
-        F.count(F.lit(1)).alias("n"),
-        F.sum(amount).alias("_s_amt"), F.count(amount).alias("_c_amt"),
-        F.sum(a).cast("bigint").alias("_s_age"), F.count(a).alias("_c_age"),
-    )
-
-
-def _pack_global(fact: DataFrame, amount: str) -> DataFrame:
-    """One global aggregate for A2, D2-D4, F1, F2 and R1."""
-    x, st, co, code = F.col(amount), F.col("id_estado"), F.col("id_condicion"), F.col("id_ciiu")
+def _measures(amount: str, age: str) -> dict[str, tuple[Column, Callable[[str], Column]]]:
+    """The aggregates of the roll-up: of rows, and of its own rows."""
+    x, a, st, co, code = F.col(amount), F.col(age), F.col("id_estado"), F.col("id_condicion"), F.col("id_ciiu")
     pos = F.when(x > 0, x)
-    sector = {name: None for name in SECTORS}
-    for name, prefixes in SECTORS.items():
-        for p in prefixes:
-            c = code.startswith(p)
-            sector[name] = c if sector[name] is None else (sector[name] | c)
-    return fact.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count(pos).alias("debtors"), F.sum(pos).alias("_s_pos"), F.max(pos).alias("_max_pos"),
-        F.min(pos).alias("_min_pos"),
-        *[F.count_if(cond).alias(f"_sec_{i}") for i, cond in enumerate(sector.values())],
-        F.count_if(sector["SECTOR_52xx"] & (st == F.lit(ACTIVE))).alias("_sec_act"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(NULL_PROFILE_COLUMNS)],
-        F.count_if(st == F.lit("ND")).alias("nd_estado"),
-        F.count_if(co == F.lit("ND")).alias("nd_condicion"),
-        F.count_if(F.col("id_tipo_empresa") == F.lit("-")).alias("sin_tipo"),
-        F.count_if((st != F.lit("ND")) & (co != F.lit("ND"))).alias("clean_total_exact"),
-        F.count_if(st == F.lit(ACTIVE)).alias("active"),
-        F.sum(x).alias("_s_all"), F.count(x).alias("_c_all"), F.max(x).alias("_max_all"),
-    )
+    sectors = [functools.reduce(operator.or_, [code.startswith(p) for p in prefixes]) for prefixes in SECTORS.values()]
+    counts = {
+        "n": F.count(F.lit(1)), "_c_amt": F.count(x), "_c_age": F.count(a), "debtors": F.count(pos),
+        **{f"_sec_{i}": F.count_if(member) for i, member in enumerate(sectors)},
+        "_sec_act": F.count_if(sectors[0] & (st == F.lit(ACTIVE))),
+        **{f"_null_{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(NULL_PROFILE_COLUMNS)},
+        "nd_estado": F.count_if(st == F.lit("ND")),
+        "nd_condicion": F.count_if(co == F.lit("ND")),
+        "sin_tipo": F.count_if(F.col("id_tipo_empresa") == F.lit("-")),
+        "clean_total_exact": F.count_if((st != F.lit("ND")) & (co != F.lit("ND"))),
+        "active": F.count_if(st == F.lit(ACTIVE)),
+    }
+    out = {name: (c, lambda n: F.coalesce(F.sum(n), F.lit(0)).cast("bigint")) for name, c in counts.items()}
+    out |= {"_s_amt": (F.sum(x), F.sum), "_s_age": (F.sum(a).cast("bigint"), F.sum), "_s_pos": (F.sum(pos), F.sum)}
+    out |= {"_max_amt": (F.max(x), F.max), "_max_pos": (F.max(pos), F.max), "_min_pos": (F.min(pos), F.min)}
+    return out
 
 
-def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad",
-                  sort: bool = True) -> dict[str, DataFrame]:
-    """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 from five scans.
+def pack_rollup(fact: DataFrame, amount: str = "deuda", age: str = "edad") -> DataFrame:
+    """One aggregate over the five bounded keys with the measures of all reports.
 
-    The two small packed aggregates are cached (their size is bounded by the
-    catalogues, not by the rows); B1 and D1 are top-k reports over
-    high-cardinality keys and keep their own aggregate.  Each frame has the
-    same columns as the matching single-report function.  The cached packs are
-    returned under ``_grouped`` and ``_global`` so the caller can unpersist them.
-    ``sort=False`` leaves out the presentation order (each sort of a report is
-    a range exchange with its own sampling job; storing the rows needs none).
+    The keys are catalogue codes and age bands: a few thousand groups at most,
+    however many rows, and every grouped or global report is a roll-up of them.
+    """
+    a = F.col(age)
+    keep = a.isNotNull() & (a > 0)
+    base = fact.withColumn("age_band", bucketize(a, AGE_EDGES, AGE_LABELS, keep=keep)).withColumn(
+        "band_no", bucketize(a, AGE_EDGES, [str(i) for i in range(1, len(AGE_LABELS) + 1)], keep=keep).cast("int"))
+    measures = _measures(amount, age)
+    return base.groupBy(*PACK_KEYS, "age_band", "band_no").agg(*[c.alias(name) for name, (c, _) in measures.items()])
+
+
+def analysis_pack(fact: DataFrame, amount: str = "deuda", age: str = "edad", sort: bool = True,
+                  reports: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Reports A1, A2, B1, C1, C2, D1, D2-D4, E1, E2, F1, F2 and R1 (or those named) from one roll-up.
+
+    The roll-up is cached (its size is bounded by the catalogues, not by the
+    rows) and returned under ``_fine``, for the caller to unpersist.  B1 and D1
+    are top-k reports over high-cardinality keys and keep their own aggregate;
+    the percentiles of A2 are found when the pack is made.  Each frame has the
+    columns of the matching single-report function.  ``sort=False`` leaves out
+    the presentation order (each sort of a report is a range exchange with its
+    own sampling job; storing the rows needs none).
     """
     order = by_count if sort else (lambda df, key: df)
-    g0 = _pack_grouped(fact, amount, age)
-    # The share denominators, once for the whole pack: rows of each grouping set (all rows, NULL
-    # age band included).  The pack has a few dozen rows, so this window is one tiny exchange.
-    set_id = F.concat(*[F.col(f"_g_{k}").cast("string") for k in PACK_KEYS + ("age_band",)])
-    g = g0.withColumn("_total", F.sum("n").over(Window.partitionBy(set_id))).cache()
-    p50, p90 = percentile_values(fact, amount, (0.5, 0.9), positive_only=True)
-    s = _pack_global(fact, amount).select("*", p50.alias("_p50"), p90.alias("_p90")).cache()
-    total = F.col("_total")
+    measures = _measures(amount, age)
+    fine = pack_rollup(fact, amount, age).cache()
+    rolled = [up(name).alias(name) for name, (_, up) in measures.items()]
+    s = fine.agg(*rolled)
+    total = fine.select(F.sum("n")).scalar()
 
     def grouped(key: str) -> DataFrame:
-        rows = g.filter(F.col(f"_g_{key}") == 0)
-        return rows.select(
+        return fine.groupBy(key).agg(*rolled).select(
             key, "n",
-            F.col("_s_amt").cast("double").alias("debt_total"),
+            F.col("_s_amt").alias("debt_total"),
             F.try_divide(F.col("_s_amt").cast("double"), F.col("_c_amt").cast("double")).alias("debt_avg"),
             F.try_divide(F.col("_s_age").cast("double"), F.col("_c_age").cast("double")).alias("age_avg"),
             safe_pct(F.col("n"), total).alias("share_pct"),
         )
 
-    bands = (g.filter(F.col("_g_age_band") == 0)
-             .select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
-             .filter(F.col("age_band").isNotNull()))
-    out = {
-        "_grouped": g,  # cached packs, for the caller to unpersist
-        "_global": s,
-        "A1": order(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
-        "C1": order(grouped("id_tamano").select(
+    def bands() -> DataFrame:
+        rows = fine.filter(F.col("age_band").isNotNull()).groupBy("age_band", "band_no").agg(F.sum("n").alias("n"))
+        rows = rows.select("age_band", "band_no", "n", safe_pct(F.col("n"), total).alias("share_pct"))
+        return rows.orderBy("age_band") if sort else rows
+
+    def amounts() -> DataFrame:
+        p50, p90 = percentile_values(fact, amount, (0.5, 0.9), positive_only=True)
+        zero = lambda c: F.coalesce(c, F.lit(0))
+        return s.select(
+            "debtors", zero(F.col("_s_pos")).alias("debt_total"),
+            F.coalesce(F.try_divide(F.col("_s_pos").cast("double"), F.col("debtors").cast("double")), F.lit(0.0)).alias("debt_avg"),
+            zero(F.col("_max_pos")).alias("debt_max"), zero(F.col("_min_pos")).alias("debt_min"),
+            zero(p50).alias("debt_median"), zero(p90).alias("debt_p90"),
+            safe_pct(F.col("debtors"), F.col("n")).alias("debtors_pct"),
+        )
+
+    def sectors() -> DataFrame:
+        names = list(SECTORS)
+        rows = [(n, "total", f"_sec_{i}", i * 10) for i, n in enumerate(names)] + [(names[0], "activos", "_sec_act", 1)]
+        stacked = ", ".join(f"'{n}', '{m}', {o}, `{c}`" for n, m, c, o in rows)
+        return s.selectExpr(f"stack({len(rows)}, {stacked}) AS (sector, metric, ord, value)").select(
+            "sector", "metric", F.col("value").cast("bigint").alias("value"), F.col("ord").cast("int").alias("ord"))
+
+    def nulls() -> DataFrame:
+        stacked = ", ".join(f"'{c}', {i}, `_null_{i}`" for i, c in enumerate(NULL_PROFILE_COLUMNS))
+        f1 = s.selectExpr("n", f"stack({len(NULL_PROFILE_COLUMNS)}, {stacked}) AS (column_name, ord, nulls)")
+        pct = safe_pct(F.col("nulls"), F.col("n"))
+        return f1.select("column_name", F.col("ord").cast("int").alias("ord"),
+                         F.col("nulls").cast("bigint").alias("nulls"), pct.alias("null_pct"), null_grade(pct).alias("grade"))
+
+    def summary() -> DataFrame:
+        return s.select(
+            F.col("n").alias("total"), "active", F.col("debtors").alias("with_debt"),
+            F.coalesce("_s_amt", F.lit(0)).alias("debt_total"),
+            F.coalesce(F.try_divide(F.col("_s_amt").cast("double"), F.col("_c_amt").cast("double")), F.lit(0.0)).alias("debt_avg"),
+            F.coalesce("_max_amt", F.lit(0)).alias("debt_max"),
+        )
+
+    make = {
+        "A1": lambda: order(grouped("id_estado").select("id_estado", "n", "debt_total", "debt_avg"), "id_estado"),
+        "A2": amounts,
+        "B1": lambda: top_places(fact, amount=amount),
+        "C1": lambda: order(grouped("id_tamano").select(
             "id_tamano", "n", "debt_total", "age_avg", "share_pct",
             code_label("id_tamano", SIZE_LABELS).alias("label")), "id_tamano"),
-        "C2": order(grouped("id_tipo_empresa").select(
+        "C2": lambda: order(grouped("id_tipo_empresa").select(
             "id_tipo_empresa", "n", "share_pct", code_label("id_tipo_empresa", TYPE_LABELS).alias("label")),
             "id_tipo_empresa"),
-        "E1": order(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
-        "E2": bands.orderBy("age_band") if sort else bands,
-        "B1": top_places(fact, amount=amount),
-        "D1": top_activities(fact, amount=amount),
+        "D1": lambda: top_activities(fact, amount=amount),
+        "D2": sectors,
+        "E1": lambda: order(grouped("sexo").select("sexo", "n", "debt_avg", "age_avg", "share_pct"), "sexo"),
+        "E2": bands,
+        "F1": nulls,
+        "F2": lambda: s.select(F.col("n").alias("total"), "nd_estado", "nd_condicion", "sin_tipo", "clean_total_exact",
+                               (F.col("n") - F.col("nd_estado") - F.col("nd_condicion")).alias("clean_total")),
+        "R1": summary,
     }
-    pos_sum = F.col("_s_pos").cast("double")
-    out["A2"] = s.select(
-        F.col("debtors"), F.coalesce(pos_sum, F.lit(0.0)).alias("debt_total"),
-        F.coalesce(F.try_divide(pos_sum, F.col("debtors").cast("double")), F.lit(0.0)).alias("debt_avg"),
-        F.coalesce(F.col("_max_pos").cast("double"), F.lit(0.0)).alias("debt_max"),
-        F.coalesce(F.col("_min_pos").cast("double"), F.lit(0.0)).alias("debt_min"),
-        F.coalesce(F.col("_p50").cast("double"), F.lit(0.0)).alias("debt_median"),
-        F.coalesce(F.col("_p90").cast("double"), F.lit(0.0)).alias("debt_p90"),
-        safe_pct(F.col("debtors"), F.col("total")).alias("debtors_pct"),
-    )
-    names = list(SECTORS)
-    rows = [(n, "total", f"_sec_{i}", i * 10) for i, n in enumerate(names)] + [(names[0], "activos", "_sec_act", 1)]
-    stacked = ", ".join(f"'{n}', '{m}', {o}, `{c}`" for n, m, c, o in rows)
-    out["D2"] = s.selectExpr(f"stack({len(rows)}, {stacked}) AS (sector, metric, ord, value)").select(
-        "sector", "metric", F.col("value").cast("bigint").alias("value"), F.col("ord").cast("int").alias("ord"))
-    nulls = ", ".join(f"'{c}', {i}, `_null_{i}`" for i, c in enumerate(NULL_PROFILE_COLUMNS))
-    f1 = s.selectExpr("total", f"stack({len(NULL_PROFILE_COLUMNS)}, {nulls}) AS (column_name, ord, nulls)")
-    pct = safe_pct(F.col("nulls"), F.col("total"))
-    out["F1"] = f1.select("column_name", F.col("ord").cast("int").alias("ord"),
-                          F.col("nulls").cast("bigint").alias("nulls"), pct.alias("null_pct"),
-                          null_grade(pct).alias("grade"))
-    out["F2"] = s.select("total", "nd_estado", "nd_condicion", "sin_tipo", "clean_total_exact",
-                         (F.col("total") - F.col("nd_estado") - F.col("nd_condicion")).alias("clean_total"))
-    all_sum = F.col("_s_all").cast("double")
-    out["R1"] = s.select(
-        "total", "active", F.col("debtors").alias("with_debt"),
-        F.coalesce(all_sum, F.lit(0.0)).alias("debt_total"),
-        F.coalesce(F.try_divide(all_sum, F.col("_c_all").cast("double")), F.lit(0.0)).alias("debt_avg"),
-        F.coalesce(F.col("_max_all").cast("double"), F.lit(0.0)).alias("debt_max"),
-    )
-    return out
+    return {"_fine": fine, **{r: make[r]() for r in reports or make}}

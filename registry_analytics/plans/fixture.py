@@ -84,3 +84,25 @@ def raw_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(pad(txt("deuda"))).alias("deuda"),
         F.when(k % 7 == 3, F.lit("")).otherwise(txt("condicion")).alias("condicion"),
     )
+
+
+def rule_breaking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact-shaped rows of the staging fixture as they come, without normalisation, with missing, negative,
+    unknown and over-long values chosen by rule from the key: every rule of the fact is broken by some row."""
+    k = F.col("seq")
+    every = lambda n: k % n == 0
+    none = lambda: F.lit(None)
+    many = lambda c, n: F.lit(c * n)
+    return dirty_staging(spark, sf_dir).select(
+        F.when(every(101), none()).when(every(103), -k).otherwise(F.col("ddp_numruc")).alias("ruc"),
+        F.when(every(107), many("9", 12)).when(every(109), F.concat(F.lit("X"), "ddp_ciiu")).otherwise(F.col("ddp_ciiu")).alias("id_ciiu"),
+        F.when(every(113), none()).when(every(127), F.lit("ABCDEFG")).otherwise(F.col("ddp_tpoemp")).alias("id_tipo_empresa"),
+        F.when(every(131), F.lit("TOOLONG")).otherwise(F.col("ddp_tamano")).alias("id_tamano"),
+        F.when(every(137), none()).when(every(139), many("Z", 101)).when(every(149), F.lit("NOWHERE")).otherwise(F.col("ddp_ubigeo")).alias("id_ubicacion"),
+        F.when(every(151), none()).when(every(157), many("E", 51)).otherwise(F.col("ddp_estado")).alias("id_estado"),
+        F.when(every(163), none()).when(every(167), many("C", 51)).otherwise(F.col("ddp_flag22")).alias("id_condicion"),
+        F.when(every(173), many("S", 21)).otherwise(F.col("dds_sexo")).alias("sexo"),
+        F.col("dds_edad").alias("edad"),
+        F.when(every(179), none()).when(every(181), F.lit(-1).cast("decimal(18,2)")).otherwise(F.col("deuda")).alias("deuda"),
+        F.when(every(191), many("F", 51)).otherwise(F.col("ddp_flag22")).alias("flag22"),
+    )

@@ -11,6 +11,7 @@ from .. import schemas
 from ..functions.codes import COMPANY_TYPE, normalize_code
 from ..functions.text import left
 from ..operators.dimensions import grow_dimension
+from ..operators.quality import code_values
 
 # Seeded catalogue rows (code, description[, extra]).
 SIZES = [
@@ -100,27 +101,35 @@ def seed_lookups(spark: SparkSession) -> Lookups:
     )
 
 
-def grow_lookups(staging: DataFrame, seeds: Lookups) -> tuple[Lookups, dict[str, DataFrame]]:
+# The lookups grown from staging: their key, and the staging column they take.
+GROWN_KEYS = {"activities": "id_ciiu", "places": "id_ubicacion", "company_types": "id_tipo_empresa"}
+
+
+def staged_codes(staging: DataFrame) -> DataFrame:
+    """``(name, value, n)``: the different spellings that staging holds for each grown lookup, in one scan.
+
+    Company types are those that their normalisation gives, as in the fact.
+    """
+    cleaned = F.when(F.col("ddp_tpoemp").isNotNull(), normalize_code("ddp_tpoemp", COMPANY_TYPE))
+    return code_values(staging, {"activities": "ddp_ciiu", "places": "ddp_ubigeo", "company_types": cleaned})
+
+
+def grow_lookups(staging: DataFrame, seeds: Lookups, codes: DataFrame | None = None) -> tuple[Lookups, dict[str, DataFrame]]:
     """Add the staging values missing from the activity, place and company-type lookups.
 
+    ``codes`` are the staging's codes where they are stored (see ``staged_codes``).
     Returns the grown lookups and, per lookup, the rows added.
     """
+    codes = staged_codes(staging) if codes is None else codes
     v = F.col("_v")
-    activities, new_act = grow_dimension(
-        seeds.activities, staging, "ddp_ciiu", "id_ciiu",
-        {"id_ciiu": v, "descripcion": F.concat(F.lit(ACTIVITY_TEXT), v), "division": left(v, 2)},
-    )
-    places, new_places = grow_dimension(
-        seeds.places, staging, "ddp_ubigeo", "id_ubicacion",
-        {"id_ubicacion": v, "nombre_distrito": v,
-         "provincia": F.lit(PLACE_PROVINCE), "departamento": F.lit(PLACE_DEPARTMENT)},
-    )
-    cleaned_types = staging.filter(F.col("ddp_tpoemp").isNotNull()).select(
-        normalize_code("ddp_tpoemp", COMPANY_TYPE).alias("t"))
-    types, new_types = grow_dimension(
-        seeds.company_types, cleaned_types, "t", "id_tipo_empresa",
-        {"id_tipo_empresa": v, "descripcion": F.concat(F.lit(TYPE_TEXT), v), "abreviatura": v},
-    )
-    fixed = {k: v for k, v in seeds.fixed.items() if k not in ("activities", "places", "company_types")}
-    grown = replace(seeds, activities=activities, places=places, company_types=types, fixed=fixed)
-    return grown, {"activities": new_act, "places": new_places, "company_types": new_types}
+    build = {
+        "activities": {"id_ciiu": v, "descripcion": F.concat(F.lit(ACTIVITY_TEXT), v), "division": left(v, 2)},
+        "places": {"id_ubicacion": v, "nombre_distrito": v,
+                   "provincia": F.lit(PLACE_PROVINCE), "departamento": F.lit(PLACE_DEPARTMENT)},
+        "company_types": {"id_tipo_empresa": v, "descripcion": F.concat(F.lit(TYPE_TEXT), v), "abreviatura": v},
+    }
+    grown, added = {}, {}
+    for name, key in GROWN_KEYS.items():
+        grown[name], added[name] = grow_dimension(seeds.as_dict()[name], codes.filter(F.col("name") == name), "value", key, build[name])
+    fixed = {k: v for k, v in seeds.fixed.items() if k not in GROWN_KEYS}
+    return replace(seeds, **grown, fixed=fixed), added

@@ -10,14 +10,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import COMPANY_TYPE, CONDITION, SEX, SIZE, STATE, clamp_amount, normalize_code
 from ..functions.text import key_form, strip_ws
 from ..operators.dedup import first_wins
 from ..operators.dimensions import insert_if_absent
-from ..operators.quality import Rule, broken_rules, drop_fk_flags, fk_rules
+from ..operators.joins import lookup_label
+from ..operators.quality import Rule, broken_rules, drop_fk_flags, fk_rules, unknown_values
 from ..schemas import FACT, FACT_COLUMNS, FACT_LENGTHS
 from .lookups import Lookups
 
@@ -32,12 +33,17 @@ SEXES = ("HOMBRE", "MUJER", "ND")
 AGE_RANGE = (0, 120)
 
 
-def candidates(staging: DataFrame) -> DataFrame:
-    """Rows with a plausible key and every required code present (pushed to the scan)."""
+def is_candidate() -> Column:
+    """A plausible key and every required code present."""
     cond = F.col("ddp_numruc") >= F.lit(MIN_KEY)
     for c in REQUIRED_STAGING:
         cond = cond & F.col(c).isNotNull()
-    return staging.filter(cond)
+    return cond
+
+
+def candidates(staging: DataFrame) -> DataFrame:
+    """The rows that may enter the fact (pushed to the scan)."""
+    return staging.filter(is_candidate())
 
 
 CODE_COLUMNS = {
@@ -87,11 +93,22 @@ FOREIGN_KEYS = [  # rule name, fact column, lookup name, lookup key
 ]
 
 
-def fact_rules(lookups: Lookups, df: DataFrame) -> tuple[DataFrame, list[Rule]]:
+def unknown_codes(codes: DataFrame, lookups: Lookups) -> DataFrame:
+    """``(name, value)``: the stored staging codes (``name`` = lookup) that their lookup lacks, under their rule's name.
+
+    Found from codes and lookups alone; no rows when the lookups have been grown from the same codes.
+    """
+    rule = {dim: name for name, _, dim, _ in FOREIGN_KEYS}
+    grown = {dim: (lookups.as_dict()[dim], key) for _, _, dim, key in FOREIGN_KEYS if dim not in lookups.fixed}
+    missing = unknown_values(codes.filter(F.col("name").isin(*grown)), grown)
+    return missing.select(lookup_label("name", rule).alias("name"), "value")
+
+
+def fact_rules(lookups: Lookups, df: DataFrame, unknown: DataFrame | None = None) -> tuple[DataFrame, list[Rule]]:
     """NOT NULL, CHECK, length and foreign-key rules of the fact table.
 
     A lookup that is a fixed literal catalogue is checked with a literal IN
-    list; a lookup grown from data is left-joined by its key set.
+    list; for a lookup grown from data, rows take the flag of their code.
     """
     rules = [Rule(f"not_null_{f.name}", F.col(f.name).isNotNull()) for f in FACT.fields if not f.nullable]
     rules += [
@@ -108,19 +125,31 @@ def fact_rules(lookups: Lookups, df: DataFrame) -> tuple[DataFrame, list[Rule]]:
             rules.append(Rule(name, key_form(col).isin(*lookups.fixed[dim]) | F.col(col).isNull()))
         else:
             joined.append((name, col, dims[dim], key))
-    df, fks = fk_rules(df, joined)
+    df, fks = fk_rules(df, joined, unknown=unknown)
     return df, rules + fks
 
 
-def flag_rules(df: DataFrame, lookups: Lookups, flag_col: str = "broken_rules") -> DataFrame:
+def flag_rules(df: DataFrame, lookups: Lookups, flag_col: str = "broken_rules", unknown: DataFrame | None = None) -> DataFrame:
     """Rows with the array of the names of the rules they break (empty when valid)."""
-    flagged, rules = fact_rules(lookups, df)
+    flagged, rules = fact_rules(lookups, df, unknown)
     return drop_fk_flags(flagged.withColumn(flag_col, broken_rules(rules)))
 
 
+def dedup_and_flag(rows: DataFrame, lookups: Lookups, unknown: DataFrame | None = None) -> DataFrame:
+    """The first row of each key (by ``_seq``) with the names of the rules it breaks.
+
+    Code flags are taken before the rows are exchanged by key, so nothing is joined after that.
+    """
+    flagged, rules = fact_rules(lookups, rows, unknown)
+    return drop_fk_flags(first_wins(flagged, "ruc", ["_seq"]).drop("_seq").withColumn("broken_rules", broken_rules(rules)))
+
+
 def check_rules(df: DataFrame, lookups: Lookups) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``: rejected rows keep ``broken_rules``."""
-    flagged = flag_rules(df, lookups)
+    return split_flagged(flag_rules(df, lookups))
+
+
+def split_flagged(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     valid = flagged.filter(F.size("broken_rules") == 0).drop("broken_rules")
     rejected = flagged.filter(F.size("broken_rules") > 0)
     return valid, rejected
@@ -135,11 +164,14 @@ class Migration:
     special: DataFrame      # special rows inserted (valid ones)
 
 
-def migrate(staging: DataFrame, lookups: Lookups, order_col: str = "seq", special_rows=SPECIAL_ROWS) -> Migration:
-    """The whole staging -> fact job as one lazy plan."""
+def migrate(staging: DataFrame, lookups: Lookups, order_col: str = "seq", special_rows=SPECIAL_ROWS,
+            unknown: DataFrame | None = None) -> Migration:
+    """The whole staging -> fact job as one lazy plan.  ``unknown`` are the stored codes that their lookup lacks
+    (``unknown_codes``); without them they are found from the rows."""
     cand = candidates(staging)
-    deduped = first_wins(normalize(cand, order_col), "ruc", ["_seq"]).drop("_seq")
-    valid, rejected = check_rules(deduped, lookups)
+    flagged = dedup_and_flag(normalize(cand, order_col), lookups, unknown)
+    deduped = flagged.drop("broken_rules")
+    valid, rejected = split_flagged(flagged)
     valid = valid.select(*FACT_COLUMNS)
     spark = staging.sparkSession
     special = spark.createDataFrame(special_rows, FACT) if special_rows else None

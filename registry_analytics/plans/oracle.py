@@ -325,7 +325,8 @@ _RUN_ALL = _RUN_ALL_CTES + "\n" + _RUN_ALL_SELECT
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["a1_state_profile"] = _on_fact(
-        f"SELECT id_estado, count(*) AS n, {_SUM} AS debt_total, {_MEAN} AS debt_avg FROM fact GROUP BY id_estado")
+        f"SELECT id_estado, count(*) AS n, {_SUM} AS debt_total, {_MEAN} AS debt_avg, "
+        "row_number() OVER (ORDER BY count(*) DESC, id_estado ASC NULLS LAST) AS row_no FROM fact GROUP BY id_estado")
     q["a1b_orders_by_status"] = f"""
 SELECT o_orderstatus, count(*) AS n, CAST(sum(price) AS DOUBLE) AS debt_total,
   CAST(sum(price) AS DOUBLE) / CAST(count(price) AS DOUBLE) AS debt_avg
@@ -360,6 +361,7 @@ SELECT id_ubicacion, substr(id_ubicacion, 1, 24) AS place_label, n, active, debt
     count(DISTINCT id_ciiu) AS activities
   FROM fact GROUP BY 1 ORDER BY n DESC, id_ubicacion ASC LIMIT 15)"""
     q["b1_top_places"] = _on_fact(b1.format(key="id_ubicacion"))
+    q["b3_long_places"] = _on_fact(b1.format(key="id_ubicacion || ', DISTRITO DE LA PROVINCIA'"))
     q["b2_top_places_ci"] = _on_fact(b1.format(key="upper(trim(id_ubicacion))"))
     q["c1_size_profile"] = _on_fact(f"""
 , g AS (SELECT id_tamano, count(*) AS n, {_SUM} AS debt_total, avg(edad) AS age_avg FROM fact GROUP BY id_tamano)
@@ -391,7 +393,8 @@ SELECT sexo, n, debt_avg, age_avg, {_pct("n", "(SELECT sum(n) FROM g)")} AS shar
     q["e2_age_bands"] = _on_fact(f"""
 , g AS (SELECT {band.format(*labels)} AS age_band, {band.format(*range(1, 7))} AS band_no, count(*) AS n
         FROM fact GROUP BY 1, 2)
-SELECT age_band, CAST(band_no AS INTEGER) AS band_no, n, {_pct("n", "(SELECT sum(n) FROM g)")} AS share_pct
+SELECT age_band, CAST(band_no AS INTEGER) AS band_no, n, {_pct("n", "(SELECT sum(n) FROM g)")} AS share_pct,
+  row_number() OVER (ORDER BY age_band) AS row_no
 FROM g WHERE age_band IS NOT NULL""")
     cols = ["edad", "deuda", "id_ciiu", "id_tipo_empresa", "id_estado", "id_condicion"]
     parts = [f"SELECT '{c}' AS column_name, {i} AS ord, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(*) AS _total FROM fact"
@@ -422,6 +425,25 @@ SELECT {NORM_COLUMNS.replace("CAST(greatest(coalesce(deuda, 0), 0) AS DECIMAL(18
     q["g3_grow_activities"] = _on_fact("SELECT id_ciiu, descripcion, division FROM activities WHERE id_ciiu <> '75113'")
     q["g2_insert_if_absent"] = _on_fact(
         f"SELECT {_FACT_OUT} FROM ({SPECIAL}) s WHERE NOT EXISTS (SELECT 1 FROM fact WHERE fact.ruc = s.ruc)")
+    q["g2b_special_row_accepted"] = _on_fact(
+        f"SELECT {_FACT_OUT} FROM ({SPECIAL}) s WHERE NOT EXISTS (SELECT 1 FROM fact WHERE fact.ruc = s.ruc)")
+    raw = f"""
+, raw_rows AS (
+  SELECT CASE WHEN k % 101 = 0 THEN NULL WHEN k % 103 = 0 THEN -k ELSE ddp_numruc END AS ruc,
+    CASE WHEN k % 107 = 0 THEN repeat('9', 12) WHEN k % 109 = 0 THEN 'X' || ddp_ciiu ELSE ddp_ciiu END AS id_ciiu,
+    CASE WHEN k % 113 = 0 THEN NULL WHEN k % 127 = 0 THEN 'ABCDEFG' ELSE ddp_tpoemp END AS id_tipo_empresa,
+    CASE WHEN k % 131 = 0 THEN 'TOOLONG' ELSE ddp_tamano END AS id_tamano,
+    CASE WHEN k % 137 = 0 THEN NULL WHEN k % 139 = 0 THEN repeat('Z', 101) WHEN k % 149 = 0 THEN 'NOWHERE' ELSE ddp_ubigeo END AS id_ubicacion,
+    CASE WHEN k % 151 = 0 THEN NULL WHEN k % 157 = 0 THEN repeat('E', 51) ELSE ddp_estado END AS id_estado,
+    CASE WHEN k % 163 = 0 THEN NULL WHEN k % 167 = 0 THEN repeat('C', 51) ELSE ddp_flag22 END AS id_condicion,
+    CASE WHEN k % 173 = 0 THEN repeat('S', 21) ELSE dds_sexo END AS sexo,
+    dds_edad AS edad,
+    CASE WHEN k % 179 = 0 THEN NULL WHEN k % 181 = 0 THEN -1 ELSE deuda END AS deuda,
+    CASE WHEN k % 191 = 0 THEN repeat('F', 51) ELSE ddp_flag22 END AS flag22
+  FROM (SELECT *, seq AS k FROM dirty)
+)"""
+    q["m4_rules_before_cleaning"] = _on_fact(
+        raw + f"\nSELECT rule, count(*) AS n FROM (SELECT unnest({_BROKEN}) AS rule FROM raw_rows) GROUP BY rule")
     fk = [(n, p) for n, p in RULES if n.startswith("fk_")]
     q["q1_orphans"] = _on_fact(
         ", rows_ AS (SELECT * FROM dedup UNION ALL SELECT * FROM special_in)\n"
@@ -488,10 +510,14 @@ GROUP BY ae.id_ciiu, ae.descripcion ORDER BY n DESC, ciiu ASC, actividad ASC LIM
     a1_all = _A1.format(src="fact")
     c1_deb = _C1.format(src="(SELECT * FROM fact WHERE deuda > 0)")
     q["r7_results_roundtrip"] = _on_fact(
-        _long("Salud Fiscal - Por Estado", "cat", "cantidad", "n", "CAST(n AS VARCHAR)", a1_all)
+        "SELECT *, row_number() OVER (ORDER BY valor_numerico DESC NULLS LAST, nombre_analisis, categoria, metrica) AS row_no FROM (\n"
+        + _long("Salud Fiscal - Por Estado", "cat", "cantidad", "n", "CAST(n AS VARCHAR)", a1_all)
         + "\nUNION ALL " + _long("Salud Fiscal - Por Estado", "cat", "deuda_total", "debt_total", _MONEY, a1_all)
         + "\nUNION ALL " + _long("Estructura - Por Tamaño", "label", "cantidad", "n",
-                                 "format('{:,} ({:.1f}%)', n, share_pct)", c1_deb))
+                                 "format('{:,} ({:.1f}%)', n, share_pct)", c1_deb) + ")")
+    q["r10_run_times"] = _on_fact("""
+SELECT 'Salud Fiscal - Por Estado' AS nombre_analisis, 2 * count(DISTINCT id_estado) AS n, CAST(1 AS BIGINT) AS run_times, true AS within_job FROM fact
+UNION ALL SELECT 'Estructura - Por Tamaño', count(DISTINCT id_tamano), 1, true FROM fact""")
     q["r7b_category_max"] = _on_fact("""
 , b AS (SELECT substr(min(id_ubicacion), 1, 24) AS label, count(*) AS n, CAST(sum(deuda) AS DOUBLE) AS debt_total
         FROM fact GROUP BY id_ubicacion ORDER BY n DESC, id_ubicacion ASC LIMIT 15),

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import int_mean, mean_as_double, sum_as_double
+from ..functions.numbers import exact_sum, int_mean, mean_as_double
 from ..functions.text import key_form
 from ..operators.profile import top_k
 from ..sources.files import table_counts
@@ -30,9 +30,9 @@ def summary(fact: DataFrame, amount: str = "deuda", state: str = "id_estado", de
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col(state) == F.lit(ACTIVE)).alias("active"),
         F.count_if(x > 0).alias("with_debt"),
-        F.coalesce(sum_as_double(amount), F.lit(0.0)).alias("debt_total"),
+        F.coalesce(exact_sum(amount), F.lit(0)).alias("debt_total"),
         F.coalesce(mean_as_double(amount), F.lit(0.0)).alias("debt_avg"),
-        F.coalesce(F.max(x).cast("double"), F.lit(0.0)).alias("debt_max"),
+        F.coalesce(F.max(x), F.lit(0)).alias("debt_max"),
     )
 
 
@@ -50,7 +50,7 @@ def by_state(fact: DataFrame, lk: Lookups, amount: str = "deuda") -> DataFrame:
     return _by_description(
         fact, "id_estado", lk.states, "id_estado", {"estado": "descripcion"},
         {"_n": F.count(F.lit(1)), "_s": F.sum(amount)},
-        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s").cast("double")},
+        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s")},
     ).orderBy(F.col("n").desc(), "estado")
 
 
@@ -59,7 +59,7 @@ def top_places_by_name(fact: DataFrame, lk: Lookups, k: int = 15, amount: str =
     g = _by_description(
         fact, "id_ubicacion", lk.places, "id_ubicacion", {"ubicacion": "nombre_distrito"},
         {"_n": F.count(F.lit(1)), "_s": F.sum(amount)},
-        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s").cast("double")},
+        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s")},
     )
     return top_k(g, k, "n", "ubicacion")
 
@@ -79,7 +79,7 @@ def by_sex(fact: DataFrame, key: str = "sexo", age: str = "edad", amount: str =
     return fact.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"),
         int_mean(age).alias("age_avg"),
-        sum_as_double(amount).alias("debt_total"),
+        exact_sum(amount).alias("debt_total"),
     ).orderBy(F.col("n").desc(), key)
 
 
@@ -88,7 +88,7 @@ def top_activities_described(fact: DataFrame, lk: Lookups, k: int = 15, amount:
     g = _by_description(
         fact, "id_ciiu", lk.activities, "id_ciiu", {"ciiu": "id_ciiu", "actividad": "descripcion"},
         {"_n": F.count(F.lit(1)), "_s": F.sum(amount)},
-        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s").cast("double")},
+        {"n": F.sum("_n").cast("bigint"), "debt_total": F.sum("_s")},
     )
     return top_k(g, k, "n", ["ciiu", "actividad"])
 

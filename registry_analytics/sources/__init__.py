@@ -11,10 +11,11 @@ from .files import (
     write_table,
 )
 from .jdbc import jdbc_options, read_jdbc, write_jdbc
+from .versions import append_rows, read_version, replace_table
 from .results import RESULTS_COLUMNS, category_max, load_results, long_rows, save_results, to_long
 
 __all__ = [
     "count_on_read", "has_rows", "read_csv_raw", "read_table", "table_counts", "table_has_rows", "write_csv",
     "write_table", "jdbc_options", "read_jdbc", "write_jdbc", "RESULTS_COLUMNS", "category_max",
-    "load_results", "long_rows", "save_results", "to_long",
+    "append_rows", "read_version", "replace_table", "load_results", "long_rows", "save_results", "to_long",
 ]

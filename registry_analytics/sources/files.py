@@ -70,24 +70,10 @@ def write_csv(df: DataFrame, path: str, encoding: str = "ISO-8859-1", mode: str
     )
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
-                partition_values: int | None = None) -> None:
-    """Replace a parquet table: the old files are deleted, then the job commits the new ones; not atomic.
-
-    When the partition columns take at most ``partition_values`` distinct values
-    (known to the caller, e.g. a valid/rejected flag), each task keeps one open
-    writer per value instead of sorting its rows by the partition columns.
-    """
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if partition_by and partition_values:
-        from ..session import scoped_conf
-
-        with scoped_conf(df.sparkSession, spark__sql__maxConcurrentOutputFileWriters=partition_values):
-            w.parquet(path)
-    else:
-        w.parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> None:
+    """Write a plain parquet folder. Overwriting deletes the old files first: a table that readers or a
+    failing job must not lose is replaced with ``versions.replace_table`` instead."""
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Long-form results store: ``(analysis, category, metric, number, text, run time)``.
 
-Stored as parquet partitioned by analysis name.  Saving an analysis replaces
-only its own partition (dynamic partition overwrite); the others stay.
+Stored as parquet partitioned by analysis name, in versions (``versions.py``):
+an analysis is a table of its own in the manifest.  Saving replaces the saved
+analyses together, when all their rows are written; the others stay.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import LOAD, Written, add_data, commit, current, read_data
+
 RESULTS_COLUMNS = ("nombre_analisis", "categoria", "metrica", "valor_numerico", "valor_texto", "fecha_ejecucion")
 
 
@@ -56,23 +59,31 @@ def long_rows(df: DataFrame, analysis: str, category: Column | str, metric: Colu
     )
 
 
-def save_results(long: DataFrame, path: str) -> None:
-    """Replace the stored rows of every analysis present in ``long``; keep the others."""
-    (
-        long.withColumn("fecha_ejecucion", F.current_timestamp())
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("nombre_analisis")
-        .parquet(path)
-    )
+def save_results(long: DataFrame, path: str, analyses: Sequence[str] | None = None) -> None:
+    """Replace the stored rows of the named analyses (those present in ``long`` by default); keep the others.
+
+    A named analysis without rows is stored as empty.
+    """
+    stamped = long.withColumn("fecha_ejecucion", F.current_timestamp()).select(*RESULTS_COLUMNS)
+    written = add_data(stamped, path, ["nombre_analisis"])
+    if analyses is None:
+        found = read_data(long.sparkSession, path, written).select("nombre_analisis").distinct()
+        analyses = [r.nombre_analisis for r in found.collect()]
+    commit(long.sparkSession, path, {name: written for name in analyses})
 
 
 def load_results(spark: SparkSession, path: str, analysis: str | None = None) -> DataFrame:
-    """Stored rows (of one analysis: partition pruning), number descending."""
-    df = spark.read.parquet(path)
-    if analysis is not None:
-        df = df.filter(F.col("nombre_analisis") == F.lit(analysis))
-    return df.select(*RESULTS_COLUMNS).orderBy(F.col("valor_numerico").desc_nulls_last())
+    """Stored rows (of one analysis: partition pruning), number descending, then by analysis, category and metric."""
+    tables = {name: w for name, (_, w) in current(spark, path).items() if analysis in (None, name)}
+    if not tables:
+        raise FileNotFoundError(f"no stored results of {analysis or 'any analysis'} under {path}")
+    loads = sorted({load for w in tables.values() for load in w.folders})
+    rows = read_data(spark, path, Written(tuple(loads), next(iter(tables.values())).schema), keep_load=True)
+    own = F.lit(False)
+    for name, w in tables.items():
+        own = own | ((F.col("nombre_analisis") == name) & F.col(LOAD).isin(*w.folders))
+    order = [F.col("valor_numerico").desc_nulls_last(), "nombre_analisis", "categoria", "metrica"]
+    return rows.filter(own).select(*RESULTS_COLUMNS).orderBy(*order)
 
 
 def category_max(results: DataFrame) -> DataFrame:

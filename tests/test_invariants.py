@@ -8,13 +8,14 @@ from registry_analytics.plans import analyses as A
 from registry_analytics.plans.fixture import dirty_staging
 from registry_analytics.plans.jobs import build_registry, text_registry_for
 from registry_analytics.plans.migrate import candidates
+from registry_analytics.sources.versions import read_version
 
 SF = "/root/testdata/sf0.01"
 
 
 def test_load_counts_add_up(spark):
     reg = text_registry_for(spark, SF)
-    parsed = spark.read.parquet(f"{reg.root}/parsed")
+    parsed = read_version(spark, reg.root, "staging")
     read = parsed.count()
     staged = parsed.filter(F.col("reason").isNull()).count()
     quarantined = parsed.filter(F.col("reason").isNotNull()).count()

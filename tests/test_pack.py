@@ -27,5 +27,4 @@ def test_pack_matches_single_reports(spark):
             assert pack[k].columns == df.columns, k
             assert _rows(pack[k]) == _rows(df), k
     finally:
-        pack["_grouped"].unpersist()
-        pack["_global"].unpersist()
+        pack["_fine"].unpersist()

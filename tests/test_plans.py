@@ -85,18 +85,52 @@ def test_special_row_key_filter_reaches_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*(In\(ruc, \[611077\]\)|EqualTo\(ruc,611077\))", p)
 
 
-def test_analysis_pack_scans_the_fact_once_per_pack(spark):
+def test_analysis_pack_is_one_bounded_rollup(spark):
     spark.catalog.clearCache()  # plans of cached frames would show in-memory scans instead
     fact = registry_for(spark, SF).fact
+    fine = tree(A.pack_rollup(fact))
+    assert fine.count("Scan parquet") == 1 and fine.count("Exchange") == 1
+    assert "Expand" not in fine and "SortAggregate" not in fine
     pack = A.analysis_pack(fact)
-    pack["_grouped"].unpersist()
-    pack["_global"].unpersist()
     try:
-        grouped = tree(A._pack_grouped(fact, "deuda", "edad"))
-        assert grouped.count("Scan parquet") == 1 and "Expand" in grouped
-        assert "SortAggregate" not in grouped
-        glob = tree(A._pack_global(fact, "deuda"))
-        assert glob.count("Scan parquet") == 1 and glob.count("Exchange") == 1
+        for name in ("A1", "C1", "C2", "E1", "E2", "A2", "D2", "F1", "F2", "R1"):
+            p = tree(pack[name])
+            assert "InMemoryTableScan" in p and "Expand" not in p, name
+        assert pack["_fine"].count() <= 9 * 4 * 7 * 3 * 7
     finally:
-        pack["_grouped"].unpersist()
-        pack["_global"].unpersist()
+        pack["_fine"].unpersist()
+
+
+def test_percentiles_order_no_values(spark):
+    p = plan(A.debt_stats(registry_for(spark, SF).fact))
+    assert "Window" not in p and "Sort" not in p
+
+
+def test_star_joins_stored_keys_without_an_exchange(spark):
+    for name in ("s1_star", "r9_sql_star_by_state"):
+        p = plan(QUERIES[name](spark, SF))
+        below = tree(QUERIES[name](spark, SF))
+        assert "upper(" not in p and "btrim(" not in p, name
+        joins = [ln for ln in below.splitlines() if "Join" in ln]
+        assert len(joins) == 6 and all("BroadcastHashJoin" in ln for ln in joins), name
+        last = max(i for i, ln in enumerate(below.splitlines()) if "Join" in ln)
+        assert not any("Exchange" in ln and "Broadcast" not in ln for ln in below.splitlines()[last:]), name
+
+
+def test_foreign_keys_need_no_join_above_the_fact_exchange(spark):
+    lines = tree(QUERIES["m1_migrate"](spark, SF)).splitlines()
+    first = next(i for i, ln in enumerate(lines) if "Exchange" in ln and "Broadcast" not in ln)  # of the rows, by key
+    assert not any("Join" in ln for ln in lines[:first])
+    lines = tree(QUERIES["q1_orphans"](spark, SF)).splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "Scan parquet" in ln)
+    join = max(i for i, ln in enumerate(lines) if "Join" in ln)
+    assert any("HashAggregate" in ln for ln in lines[join + 1:scan])  # codes are counted before they are joined
+
+
+def test_lookups_grow_from_one_staging_scan(spark):
+    from registry_analytics.plans.lookups import grow_lookups, seed_lookups, staged_codes
+
+    staging = registry_for(spark, SF).staging
+    assert tree(staged_codes(staging)).count("Scan parquet") == 1
+    lookups, _ = grow_lookups(staging, seed_lookups(spark))
+    assert tree(lookups.places).count("Scan parquet") == 1

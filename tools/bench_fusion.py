@@ -44,8 +44,7 @@ def packed(fact):
     for k, df in p.items():
         if not k.startswith("_"):
             df.collect()
-    p["_grouped"].unpersist()
-    p["_global"].unpersist()
+    p["_fine"].unpersist()
 
 
 def main():
