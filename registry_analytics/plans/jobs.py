@@ -94,7 +94,8 @@ def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = N
     st = split_staging(st)[0] if parsed else st
 
     codes = put("codes", staged_codes(st), "codes")
-    grown, _ = grow_lookups(st, seed_lookups(spark), codes)
+    seeded = seed_lookups(spark)
+    grown, _ = grow_lookups(st, seeded, codes)
     seeds = {"activities": len(SEED_ACTIVITIES), "places": 0, "company_types": len(COMPANY_TYPES)}
     stored = {}
     for name, key in GROWN_KEYS.items():
@@ -118,23 +119,28 @@ def build_registry(spark: SparkSession, staging: DataFrame, root: str | None = N
 
     put("stats", spark.createDataFrame(sorted(stats.items()), "stage string, n bigint"), "stats")
     commit(spark, root, tables)
-    return replace(open_registry(spark, root), timings=timings)
+    return replace(_registry(spark, root, tables, seeded), timings=timings)
 
 
 def open_registry(spark: SparkSession, root: str) -> Registry:
     """The tables of the last committed load under ``root``."""
-    tables = {name: read_data(spark, root, written) for name, (_, written) in current(spark, root).items()}
+    tables = {name: written for name, (_, written) in current(spark, root).items()}
     if "checked" not in tables:
         raise FileNotFoundError(f"no registry under {root}")
+    return _registry(spark, root, tables, seed_lookups(spark))
+
+
+def _registry(spark: SparkSession, root: str, written: dict[str, Written], seeded: Lookups) -> Registry:
+    tables = {name: read_data(spark, root, w) for name, w in written.items()}
     staging, checked = tables["staging"], tables["checked"]
     if "reason" in staging.columns:
         staging, _ = split_staging(staging)
     valid = checked.filter(F.col("status") == "valid")
+    fixed = {name: codes for name, codes in seeded.fixed.items() if name not in GROWN_KEYS}
     return Registry(
         root, staging, valid.select(*FACT_COLUMNS),
         checked.filter(F.col("status") == "rejected").select(*FACT_COLUMNS, "broken_rules"),
-        replace(seed_lookups(spark), fixed={k: v for k, v in seed_lookups(spark).fixed.items() if k not in GROWN_KEYS},
-                **{name: tables[name] for name in GROWN_KEYS}),
+        replace(seeded, fixed=fixed, **{name: tables[name] for name in GROWN_KEYS}),
         valid.select(*FACT_COLUMNS, *[f"key_{name}" for name in KEYED]), tables["unknown"], tables["stats"],
     )
 
