@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .spans import BASE, SpanHash, gather, rows_of, runs, string_bytes, text_slices
+from .spans import BASE, SpanHash, gather, rows_of, runs, string_bytes, text_slices, tidy
 
 WORDS = 10
 BLOCK = 2
@@ -179,7 +179,7 @@ def search(docs: DataFrame, patterns: list[Patterns]) -> DataFrame:
                 )
 
     read = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", "row")
-    return read.mapInArrow(run, T.StructType([*read.drop("text").schema, *FOUND]))
+    return read.mapInArrow(tidy(run), T.StructType([*read.drop("text").schema, *FOUND]))
 
 
 def covered(spans: Column) -> Column:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import new_work_dir
 from .decontaminate import words_of
-from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slices, worker_cache
+from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slices, tidy, worker_cache
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -107,7 +107,7 @@ def describe(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n_words", "tokens", "sketch"])
 
-    return docs.mapInArrow(run, ROWS)
+    return docs.mapInArrow(tidy(run), ROWS)
 
 
 def matrix(column: pa.Array, kind: type) -> np.ndarray:
@@ -137,7 +137,7 @@ def paths(nodes: DataFrame, threshold: float, runs: range = range(0)) -> DataFra
                     child = mix(chance[row, token] ^ seed[row])
                     yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), part.column("node").take(pa.array(row)), part.column("sketch").take(pa.array(row))], names)
 
-    return nodes.mapInArrow(run, "bucket long, node binary, sketch binary")
+    return nodes.mapInArrow(tidy(run), "bucket long, node binary, sketch binary")
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,7 +227,7 @@ def compare_buckets(rows: DataFrame, tasks: int) -> DataFrame:
         if held:
             yield edges(concat(held))
 
-    return rows.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "a binary, b binary").where("a <> b").distinct()
+    return rows.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(run), "a binary, b binary").where("a <> b").distinct()
 
 
 def concat(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -397,7 +397,7 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
         if ready:
             yield answer()
 
-    return members.repartition(tasks, "group", "lo", "hi").sortWithinPartitions("group", "lo", "hi").mapInArrow(run, LINKS)
+    return members.repartition(tasks, "group", "lo", "hi").sortWithinPartitions("group", "lo", "hi").mapInArrow(tidy(run), LINKS)
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
@@ -415,7 +415,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
                 rows = [(k, pack.compress(raw[a:b])) for k, a, b in zip(keys, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) if k]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["node", "payload"])
 
-    return docs.select("text").mapInArrow(run, "node binary, payload binary")
+    return docs.select("text").mapInArrow(tidy(run), "node binary, payload binary")
 
 
 def classes(
@@ -487,7 +487,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(node_ids(words, start), pa.binary()), part.column("row")], ["doc_id", "node", "row"])
 
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.struct("*").alias("row"))
-    keyed = whole.mapInArrow(run, T.StructType([whole.schema["doc_id"], T.StructField("node", T.BinaryType()), whole.schema["row"]]))
+    keyed = whole.mapInArrow(tidy(run), T.StructType([whole.schema["doc_id"], T.StructField("node", T.BinaryType()), whole.schema["row"]]))
     held = keyed.where("node IS NOT NULL").alias("k").join(first.alias("f"), F.col("k.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("k.node") == F.col("f.node")), "left_semi")
     order = Window.partitionBy("doc_id", "node").orderBy(F.xxhash64("row"))
     once = held.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .spans import text_slices
+from .spans import text_slices, tidy
 from .tokens import END_ID, encode_slice, row_ids, with_end_ids
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -159,4 +159,4 @@ def pack(
             yield batch()
 
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return read.mapInArrow(run, PIECES)
+    return read.mapInArrow(tidy(run), PIECES)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import new_work_dir
 from .links import components, hub_join
-from .spans import gather, string_bytes, text_slices
+from .spans import gather, string_bytes, text_slices, tidy
 
 SHINGLE = 4
 SEED = 42
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 hashes = np.fromiter((digest(text[i:j], SEED) for i, j in zip(start.tolist(), end.tolist(), strict=True)), np.uint64, len(start))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(majority(hashes, n).view(np.int64))], ["doc_id", "fp"])
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def gray_rank(words: np.ndarray) -> np.ndarray:
@@ -235,7 +235,7 @@ def divided(nodes: DataFrame, blocks: int) -> DataFrame:
                     child = np.full(len(below), own | part, np.uint64)
                     yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (child, below & child, below)], ["mask", "pattern", "fp"])
 
-    return nodes.select("mask", "fp").mapInArrow(run, "mask long, pattern long, fp long")
+    return nodes.select("mask", "fp").mapInArrow(tidy(run), "mask long, pattern long, fp long")
 
 
 def search(rows: DataFrame, most: int, tasks: int) -> DataFrame:
@@ -272,7 +272,7 @@ def search(rows: DataFrame, most: int, tasks: int) -> DataFrame:
             yield edges(held)
 
     dealt = rows.repartition(tasks, "mask", "pattern").sortWithinPartitions("mask", "pattern")
-    return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    return dealt.mapInArrow(tidy(run), "a long, b long").where("a <> b").distinct()
 
 
 def links(nodes: DataFrame, folder: str, most: int, limit: int, tasks: int, least_open: int = 20) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices, worker_cache
+from .spans import SpanHash, gather, mix, rows_of, string_bytes, text_slices, tidy, worker_cache
 
 #: The difference cover of period 13: each difference modulo 13 occurs once.
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -399,7 +399,7 @@ def crowded_seeds(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_0
         if held:
             yield counts()
 
-    found = rows.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where(F.col("n") >= crowd)
+    found = rows.mapInArrow(tidy(run), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where(F.col("n") >= crowd)
     # at most one for each ``crowd`` records of the input
     return np.sort(np.array([r.seed for r in found.select("seed").collect()], np.int64).view(np.uint64))
 
@@ -477,7 +477,7 @@ def deal_records(rows: DataFrame, length: int, buckets: int, parts: int, crowd:
         if held:
             yield from send()
 
-    return rows.mapInArrow(deal, RECORDS)
+    return rows.mapInArrow(tidy(deal), RECORDS)
 
 
 def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int, piece: int) -> DataFrame:
@@ -505,7 +505,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowd: in
 
     dealt = deal_records(rows, length, buckets, parts, crowd, piece=piece)
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    return dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, SPANS)
+    return dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(sort), SPANS)
 
 
 def remove_repeats(
@@ -540,7 +540,7 @@ def remove_repeats(
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys.view(np.int64)), piece.column("doc_id"), piece.column("row"), pa.array(texts, pa.binary())], ["part", "key", "doc_id", "row", "payload"])
 
     dealt = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("key", T.LongType()), T.StructField("doc_id", T.LongType()), row_type, T.StructField("payload", T.BinaryType())])
-    texts = rows.select("tag", "doc_id", "text", "row").mapInArrow(squeeze, dealt)
+    texts = rows.select("tag", "doc_id", "text", "row").mapInArrow(tidy(squeeze), dealt)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per part: its span lists first, then its texts, in order of the sort."""
@@ -586,5 +586,5 @@ def remove_repeats(
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     gathered = both.repartition(tasks, "part").sortWithinPartitions("part", "kind")
     counts = [T.StructField(c, T.LongType()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")]
-    return gathered.mapInArrow(assemble, T.StructType([*counts, T.StructField("kept", T.StringType() if decode else T.BinaryType()), row_type]))
+    return gathered.mapInArrow(tidy(assemble), T.StructType([*counts, T.StructField("kept", T.StringType() if decode else T.BinaryType()), row_type]))
 

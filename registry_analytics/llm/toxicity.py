@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .spans import BASE, SpanHash, mix, rows_of, runs, string_bytes, text_slices, worker_cache
+from .spans import BASE, SpanHash, mix, rows_of, runs, string_bytes, text_slices, tidy, worker_cache
 
 SCORES = "doc_id long, score double, hits array<struct<word:string,entry:string,weight:double>>"
 #: Shortest entry that may be misspelled, and stem lengths.
@@ -174,7 +174,7 @@ def forms(labelled: DataFrame) -> DataFrame:
                 names = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[keep].tolist(), end[keep].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(near[keep].view(np.int64)), pa.array(bad[keep])], ["form", "near", "toxic"])
 
-    found = labelled.mapInArrow(run, "form string, near long, toxic long").groupBy("form", "near").agg(F.max("toxic").alias("toxic"))
+    found = labelled.mapInArrow(tidy(run), "form string, near long, toxic long").groupBy("form", "near").agg(F.max("toxic").alias("toxic"))
     return found.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("total"))
 
 
@@ -223,7 +223,7 @@ def misspellings(counted: DataFrame, entries: tuple[Entry, ...], most_clean: int
             part = batch.take(pa.array([i for i, _ in found], pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([f[x] for _, f in found], pa.int32()) for x in (1, 0)] + part.columns, ["entry", "edits", *part.schema.names])
 
-    near = counted.select("form", "toxic", "total").mapInArrow(run, "entry int, edits int, form string, toxic long, total long").persist()
+    near = counted.select("form", "toxic", "total").mapInArrow(tidy(run), "entry int, edits int, form string, toxic long, total long").persist()
     try:
         sums = {r.entry: r for r in near.where("edits > 0").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("total").alias("total")).collect()}  # a row per entry
         clean = frozenset(r.form for r in near.where("2 * toxic < total").orderBy(F.desc("total"), "form").limit(most_clean).collect())
@@ -294,7 +294,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 scores, hits = rate(part, model)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores), pa.array(hits, kind)], ["doc_id", "score", "hits"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, SCORES)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(tidy(run), SCORES)
 
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -306,4 +306,4 @@ def keep_clean(docs: DataFrame, model: Model, text: str = "text", threshold: flo
                 yield pa.RecordBatch.from_arrays([part.column("row").filter(pa.array(rate(part, model)[0] < threshold))], ["row"])
 
     whole = docs.select(F.col(text).alias("text"), F.struct("*").alias("row"))
-    return whole.mapInArrow(run, T.StructType([whole.schema["row"]])).select("row.*")
+    return whole.mapInArrow(tidy(run), T.StructType([whole.schema["row"]])).select("row.*")
