@@ -16,27 +16,40 @@ from registry_analytics.llm.queries import table, tokenizer_path
 from registry_analytics.session import new_work_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Rows of whole texts that pass to a Python worker at a time. Each stage sets it in the session and leaves it
+#: there, since its frame may be written by the caller: Spark's 10,000 rows of long texts are over 60 MB in the
+#: JVM and again in the worker.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return near_dup.keep_one(docs).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     kept = suffix_dedup.remove_repeats(docs, carry=("lang", "source"), decode=True)
     return kept.select("doc_id", F.col("kept").alias("text"), "row.lang", "row.source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     pieces = packing.pack(docs, tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
