@@ -25,6 +25,8 @@ BLOCK = 4096
 #: Texts up to this many bytes are compressed at the slow, finest level.
 SHORT = 512
 SHORT_LEVEL, LEVEL = 19, 3
+#: Languages whose prepared dictionaries a worker holds at once.
+LOT = 64
 #: One text of so many is kept out of its language's dictionary, to measure on.
 HELD_BACK = 20
 #: Bits of difference that make the odds of the best against another e to 1.
@@ -39,24 +41,28 @@ class Model(NamedTuple):
     factors: tuple[tuple[float, float], ...]
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 300, sample_chars: int = 1500, most_languages: int = 500, most_bytes: int = 400_000) -> Model:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = 300, sample_chars: int = 1500, most_bytes: int = 400_000, total_bytes: int = 64_000_000) -> Model:
     """Dictionaries of up to ``most_bytes`` from at most ``per_language`` rows of each language (lowest id hash first) and
-    ``sample_chars`` characters of each; beyond ``most_languages`` the rarest by sample size are an error.
+    ``sample_chars`` characters of each. All languages together have ``total_bytes``: with many, each has
+    fewer rows and bytes, one row at least.
 
-    Rows without text or language teach nothing; an empty table gives a model without languages.
+    Rows without text or language teach nothing; an empty table gives a model without languages. Equal
+    tables give equal models, in whatever order their rows come.
     """
     labelled = docs.where(F.col(lang).isNotNull() & (F.length(F.trim(F.col(text))) > 0))
+    n_languages = max(labelled.select(F.countDistinct(lang)).first()[0], 1)
+    most_bytes = min(most_bytes, total_bytes // n_languages)
+    per_language = max(1, min(per_language, total_bytes // (n_languages * sample_chars)))
     keys = labelled.select(F.col(doc_id).alias("chosen"), F.col(lang).alias("chosen_lang"))
     rank = F.row_number().over(Window.partitionBy("chosen_lang").orderBy(F.xxhash64("chosen"), "chosen"))
     keys = keys.withColumn("rank", rank).where(F.col("rank") <= per_language).select("chosen", "chosen_lang").distinct()
-    n_languages = keys.select("chosen_lang").distinct().limit(most_languages + 1).count()
-    if n_languages > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
-    # at most per_language x most_languages short rows, checked above: broadcasting them is bounded
+    # about total_bytes / sample_chars keys, or one a language: broadcasting them is bounded by the parameters
     rows = labelled.join(F.broadcast(keys), (F.col(doc_id) == F.col("chosen")) & (F.col(lang) == F.col("chosen_lang")))
     sample = rows.select(F.col("chosen_lang").alias("lang"), F.col("chosen").alias("doc_id"), F.substring(text, 1, sample_chars).alias("text"))
+    # an id may have several rows
+    again = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text"))
     parts: dict[str, list[tuple]] = {}
-    for r in sample.limit(per_language * max(n_languages, 1)).collect():
+    for r in sample.withColumn("rank", again).where(F.col("rank") <= per_language).collect():
         parts.setdefault(r.lang, []).append((r.doc_id, r.text))
     languages = tuple(sorted(parts))
     texts = {x: [t.encode() for _, t in sorted(parts[x], key=lambda r: (str(r[0]), r[1]))] for x in languages}
@@ -106,19 +112,30 @@ def compressor(raw: bytes, level: int) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=level, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def compressors(model: Model, level: int) -> list[zstandard.ZstdCompressor]:
-    """One compressor per language with its dictionary prepared for ``level``; kept per worker."""
-    cache, key = worker_cache(("langid", hash(model))), level
-    if key not in cache:
-        cache[key] = [compressor(raw, level) for raw in model.dictionaries]
-    return cache[key]
+def compressors(model: Model, level: int, lot: range) -> list[zstandard.ZstdCompressor]:
+    """One compressor per language of the lot with its dictionary prepared for ``level``; the worker keeps those of the last lot."""
+    cache = worker_cache(("langid", hash(model)))
+    if cache.get("lot") != lot:
+        cache.clear()
+        cache["lot"] = lot
+    if level not in cache:
+        cache[level] = [compressor(model.dictionaries[i], level) for i in lot]
+    return cache[level]
 
 
-def sizes(text: bytes, model: Model) -> np.ndarray:
-    """Compressed bytes of the whole text by language, made comparable by the model's factors."""
-    with_each = compressors(model, SHORT_LEVEL if len(text) <= SHORT else LEVEL)
-    blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
-    return np.array([sum(len(c.compress(b)) for b in blocks) * f[len(text) > SHORT] for c, f in zip(with_each, model.factors, strict=True)], np.float64)
+def sizes(texts: list[bytes], model: Model) -> np.ndarray:
+    """Compressed bytes of each whole text by language, made comparable by the model's factors.
+
+    Languages are taken in lots of ``LOT``, for prepared dictionaries need some megabytes each.
+    """
+    out = np.zeros((len(texts), len(model.languages)))
+    for at in range(0, len(model.languages), LOT):
+        lot = range(at, min(at + LOT, len(model.languages)))
+        for row, text in enumerate(texts):
+            with_each = compressors(model, SHORT_LEVEL if len(text) <= SHORT else LEVEL, lot)
+            blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
+            out[row, lot.start : lot.stop] = [sum(len(c.compress(b)) for b in blocks) * model.factors[i][len(text) > SHORT] for i, c in zip(lot, with_each, strict=True)]
+    return out
 
 
 def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", least_margin: float = 0.01) -> DataFrame:
@@ -138,13 +155,15 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
                 data, offsets = string_bytes(column)
                 raw = data.tobytes()
                 guesses, scores, margins = [], [], []
-                for known, a, b in zip(letters, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                spans = list(zip(letters, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True))
+                measured = iter(sizes([raw[a:b] for known, a, b in spans if known], model) if model.languages else [])
+                for known, a, b in spans:
                     if not known or not model.languages:
                         guesses.append(UNKNOWN)
                         scores.append(0.0)
                         margins.append(0.0)
                         continue
-                    size = sizes(raw[a:b], model)
+                    size = next(measured)
                     best = int(size.argmin())
                     other = float(np.delete(size, best).min()) if len(size) > 1 else 2 * float(size[best])
                     blocks = -(-(b - a) // BLOCK)

@@ -1,6 +1,6 @@
 """Token files: documents as zstandard frames that share one dictionary, with an index for single documents.
 
-A store is a folder with ``dictionary`` (one row: hash, bytes) and ``blocks``, both Parquet tables, so
+A store is a folder with ``dictionary`` (one row: kind, hash, bytes) and ``blocks``, both Parquet tables, so
 Spark's commit protocol makes lost executors harmless. A row of ``blocks`` holds one block in this
 format, little-endian throughout::
 
@@ -22,6 +22,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from tokenizers import Tokenizer
 
 from .spans import text_slices
 from .tokens import END_ID, encode_slice, row_ids, with_end_ids
@@ -81,9 +82,18 @@ def open_block(payload: bytes, dictionary: bytes) -> Block:
     return Block(arrays[0], arrays[1].astype(bool), arrays[2], arrays[3].astype(np.int64), width, memoryview(payload)[at:], reader)
 
 
-def fit_dictionary(docs: DataFrame, tokenizer: str, width: int, sample_docs: int = 1000, sample_chars: int = 16_384, size: int = 65_536) -> bytes:
-    """Train the shared dictionary on at most ``sample_docs`` documents (those of the lowest id hash, and
-    of each the first ``sample_chars`` characters); empty when there is too little to learn from."""
+def id_width(tokenizer: str, end_id: int) -> int:
+    """Bytes that an id needs: two where all of the tokenizer's ids and the end id fit, else four."""
+    return 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+
+def fit_dictionary(docs: DataFrame, tokenizer: str, width: int, sample_docs: int = 1000, sample_chars: int = 16_384, size: int = 65_536) -> tuple[str, bytes]:
+    """``(kind, dictionary)``, learned from at most ``sample_docs`` documents (those of the lowest id hash, and
+    of each the first ``sample_chars`` characters).
+
+    ``trained``: by zstandard's trainer. ``raw``: where the trainer finds too little in the samples, they are
+    themselves the dictionary, as raw content. ``none``: there is no text to learn from.
+    """
     chosen = docs.select(F.col("doc_id").alias("chosen")).where("chosen IS NOT NULL").distinct().orderBy(F.xxhash64("chosen"), "chosen").limit(sample_docs)
     # at most sample_docs rows of one long each: broadcasting them is bounded
     sample = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["chosen"]).select(F.substring("text", 1, sample_chars).alias("text"))
@@ -95,27 +105,29 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, width: int, sample_docs: int
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
 
     samples = [bytes(r.ids) for r in sample.mapInArrow(run, "ids binary").orderBy(F.xxhash64("ids")).limit(sample_docs).collect()]
+    raw = b"".join(samples)[-size:]
+    if len(raw) < 8:  # zstandard takes no shorter dictionary
+        return "none", b""
     samples = [s for s in samples if len(s) >= 16]
-    if sum(map(len, samples)) < 20 * 1024 or len(samples) < 16:
-        return b""
     try:
-        return zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+        return "trained", zstandard.train_dictionary(min(size, sum(map(len, samples)) // 8), samples).as_bytes()
+    except zstandard.ZstdError:  # how the trainer says that it needs more samples
+        return "raw", raw
 
 
 def write_store(
-    docs: DataFrame, folder: str, tokenizer: str, vocabulary: int = 1 << 16, end_id: int = END_ID, block_bytes: int = 4_000_000, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, block_bytes: int = 4_000_000, doc_id: str = "doc_id", text: str = "text"
 ) -> None:
     """Tokenize whole texts, append ``end_id`` to each and write the store, documents in ascending id order.
 
     A null text is empty. Null ids come first; rows with the same id are ordered by their text's hash.
-    An empty table gives a store without blocks. Other columns are not read.
+    An empty table gives a store without blocks. Other columns are not read. The ``dictionary`` table
+    says how the dictionary was made (``kind``, see ``fit_dictionary``).
     """
-    spark, width = docs.sparkSession, 2 if vocabulary <= 1 << 16 else 4
+    spark, width = docs.sparkSession, id_width(tokenizer, end_id)
     read = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dictionary = fit_dictionary(read, tokenizer, width)
-    spark.createDataFrame([(hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))], "hash string, bytes binary").coalesce(1).write.parquet(f"{folder}/dictionary")
+    kind, dictionary = fit_dictionary(read, tokenizer, width)
+    spark.createDataFrame([(kind, hashlib.sha256(dictionary).hexdigest(), bytearray(dictionary))], "kind string, hash string, bytes binary").coalesce(1).write.parquet(f"{folder}/dictionary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = compression_dictionary(dictionary)

@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import new_work_dir
-from .spans import worker_cache
+from .links import hub_join
+from .spans import text_slices, worker_cache
 from .url_filter import url_host
 
 TEXTS = "page_id long, url string, text string"
@@ -261,25 +262,41 @@ def scopes(page: Page, host: str) -> tuple[int, int]:
 
 
 def packed(pages: DataFrame) -> DataFrame:
-    """``page_id, url, host, payload`` (compressed html)."""
+    """The columns of ``pages`` with ``payload`` (compressed) in place of ``html``, the last one."""
+    kept = pages.schema.names[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            payload = [pack.compress((h or "").encode()) for h in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(payload, pa.binary())], ["page_id", "url", "host", "payload"])
+        for whole in batches:
+            for batch in text_slices(whole, "html"):
+                payload = [pack.compress(h.as_buffer() if h.is_valid else b"") for h in batch.column("html")]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(payload, pa.binary())], [*kept, "payload"])
+
+    return pages.mapInArrow(run, T.StructType([*(pages.schema[c] for c in kept), T.StructField("payload", T.BinaryType())]))
+
 
-    return pages.mapInArrow(run, "page_id long, url string, host string, payload binary")
+def weighed_pages(read: DataFrame, folder: str) -> DataFrame:
+    """``host, weight, payload`` with which each different html of a host counts as one page, however many rows hold it.
+
+    Every row has weight 1; of html that n rows hold, one more row takes n - 1 off. So only copies move, one
+    of each and task, and their counts alone tell which these are.
+    """
+    spark = read.sparkSession
+    keyed = read.select(F.md5(F.concat_ws("\0", F.col("host"), F.coalesce("html", F.lit("")))).alias("content"), "host", "html")
+    copied = keyed.groupBy("content").agg(F.count("*").alias("n")).where("n > 1")
+    copied.withColumn("weight", 1 - F.col("n")).write.parquet(f"{folder}/copies")
+    once = hub_join(keyed, spark.read.parquet(f"{folder}/copies"), "content").dropDuplicates(["content"])
+    return packed(read.select("host", F.lit(1).cast("bigint").alias("weight"), "html").union(once.select("host", "weight", "html")))
 
 
 def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``STATS``: pages of each host and layout; per node there pages, words, linked words; per text of the node the pages that have it."""
+    """``STATS`` of ``host, weight, payload``: pages of each host and layout; per node there pages, words, linked words; per text of the node the pages that have it."""
     for whole in batches:
         for at in range(0, whole.num_rows, 2000):
             batch = whole.slice(at, 2000)
             sums: dict[tuple, list[int]] = {}
-            for host, payload in zip(batch.column("host").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                page = Page(unzip(payload))
+            for host, weight, payload in zip(batch.column("host").to_pylist(), batch.column("weight").to_pylist(), batch.column("payload"), strict=True):
+                page = Page(unzip(payload.as_py()))
                 own: dict[tuple, list[int]] = {}
                 nodes: dict[int, list[int]] = {}
                 for node, _, words, linked in page.blocks:
@@ -295,7 +312,7 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for name, row in own.items():
                     total = sums.setdefault(name, [0, 0, 0])
                     for i in range(3):
-                        total[i] += row[i]
+                        total[i] += weight * row[i]
             columns = list(zip(*((*k, *v) for k, v in sums.items()), strict=True)) or [()] * 7
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "base", "kind", "host", "pages", "words", "linked"])
@@ -336,8 +353,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """One row per row of ``pages``: ``page_id, url, text``.
 
     Blocks are joined by one line break, white space inside a block is one space; nothing is cut. A null
-    or empty page has an empty text. Pages without a host share the empty host. Repeated rows are
-    extracted each; with fewer than four pages of a host nothing counts as template. Elements deeper than
+    or empty page has an empty text. Pages without a host share the empty host. Repeated rows, and
+    rows of a host with equal html, are extracted each, and count as one page; with fewer than four different
+    pages of a host nothing counts as template. Elements deeper than
     150 levels belong to the one above. An empty table gives no rows; other columns are not read.
 
     A host of any size costs its template's keys once per task: the join splits skewed hosts, and counts
@@ -346,7 +364,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     folder = new_work_dir(pages.sparkSession, "wrapper")
     read = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), url_host(F.col(url)).alias("host"), F.col(html).alias("html"))
     rows = packed(read)
-    marks_of(rows.select("host", "payload").mapInArrow(count, STATS), folder).write.parquet(f"{folder}/marks")
+    marks_of(weighed_pages(read, folder).mapInArrow(count, STATS), folder).write.parquet(f"{folder}/marks")
     wrappers = pages.sparkSession.read.parquet(f"{folder}/marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
