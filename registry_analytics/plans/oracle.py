@@ -9,6 +9,9 @@ means are ``sum / count`` in double, as on the Spark side.
 
 from __future__ import annotations
 
+# Fixed values in this module: code lists, seeded catalogue rows, labels, table, column and analysis names
+# that must equal those of the Spark side.
+
 # --- staging sources ----------------------------------------------------------------
 
 DIRTY = """
