@@ -1,11 +1,12 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
-A page becomes a tree of its block elements in which siblings of one label are one list node. So the labels
-of a parent's children differ, and all pages of a host align in one union tree: nodes match if their labels
-and their parents do. Summed over all pages of the host, and over those of each layout (the labels of the
-upper levels), an aligned node's texts that stay the same are template, and what varies is a slot; a slot
-with little linked text, outside menus, headers, footers and the like, holds content. Then each page's
-content blocks are written out in order.
+A page becomes a tree of its block elements in which alike siblings (by simple tree matching) are one list
+node. Every different tree (shape) of a host is aligned by simple tree matching with the host's centre, the
+shape that stands for most nodes of its pages. Summed over all pages of the host, and over those of each layout
+(the labels of the upper levels), an aligned node's texts that stay the same are template, and what varies
+is a slot. The part of the centre that holds nearly all varying text outside links is the content slot;
+elements that name an article, a menu, a footer and the like decide before it. Then each page's content
+blocks are written out in order.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
@@ -25,15 +27,20 @@ from .spans import text_slices, worker_cache
 from .url_filter import url_host
 
 TEXTS = "page_id long, url string, text string"
-STATS = "key long, base long, kind int, host string, pages long, words long, linked long"
-#: Kinds of counts: of a scope (host or layout), of a node in it, of a text at the node.
-SCOPE, NODE, TEXT = 0, 1, 2
+STATS = "key long, base long, kind int, host string, shape string, pages long, words long, linked long"
+SPOTS = "place long, host string, scope long, spot long, centre int, scope_pages long"
+#: Kinds of counts: of a shape of a host, of a node in it, of a text at the node.
+SHAPE, NODE, TEXT = 0, 1, 2
 #: Share of the pages, of a scope or of those with the node, that a text must be on to be template, and the fewest pages to tell.
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.5, 4
 #: The fewest pages with a template text.
 LEAST_PAGES = int(TEMPLATE_SHARE * TEMPLATE_PAGES) + 1
 #: Levels of the tree whose labels make a page's layout: html, body, and two below.
 LAYOUT_DEPTH = 4
+#: Siblings are one list if this share of their nodes matches.
+ALIKE = 0.9
+#: Share of the varying text outside links that a part of the centre must hold for the rest to be no content.
+DOMINANT = 0.8
 MOST_LINKED = 0.5
 MOST_DEPTH = 150
 #: A name marks no element that holds more than this share of a page's varying text outside links: of a class or id that is
@@ -57,6 +64,7 @@ CHROME_NAMES = frozenset(
     recommendations comment comments commentlist disqus replies breadcrumb breadcrumbs pagination pager widget copyright skip toolbar search""".split()
 )
 HEADER_NAMES = frozenset("header masthead topbar".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
@@ -65,18 +73,96 @@ DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    """A list of sibling elements with one label, under one parent."""
+    """An element, and after folding a list of alike sibling elements."""
 
-    __slots__ = ("label", "parent", "children", "fixed", "named", "chrome", "main", "lead", "articles", "index", "depth", "path")
+    __slots__ = ("label", "parent", "children", "kinds", "size", "into", "fixed", "named", "chrome", "main", "lead", "articles", "index", "depth")
 
-    def __init__(self, label: str, parent: Node | None, fixed: bool, named: int, main: bool, lead: bool):
+    def __init__(self, label: str, parent: Node | None, fixed: bool = False, named: int = 0, main: bool = False, lead: bool = False):
         """``fixed``: inside what its tag, role or style marks; ``named``: how far its own names do (0 to 2); ``chrome`` is settled per page."""
         self.label, self.parent, self.fixed, self.named, self.main, self.lead = label, parent, fixed, named, main, lead
         self.chrome, self.articles = fixed, 0
-        self.children: dict[str, Node] = {}
-        self.index = -1
+        self.children: list[Node] = []
+        self.kinds: dict[str, list[Node]] = {}
+        self.size, self.into, self.index = 1, None, -1
         self.depth = parent.depth + 1 if parent else 0
-        self.path = path_key(parent.path, label) if parent else 0
+
+    def take(self, child: Node) -> None:
+        """Add a folded child: to the first child like it, else as a new one."""
+        alike = self.kinds.setdefault(child.label, [])
+        for held in alike:
+            if similar(held, child):
+                child.into = held
+                held.articles += child.articles
+                for grandchild in child.children:
+                    held.take(grandchild)
+                held.size = 1 + sum(c.size for c in held.children)
+                return
+        child.parent = self
+        self.children.append(child)
+        alike.append(child)
+
+    def fold(self) -> None:
+        """Make one list of alike children, the deepest first."""
+        children, self.children = self.children, []
+        for child in children:
+            child.fold()
+            self.take(child)
+        self.size = 1 + sum(c.size for c in self.children)
+
+
+def matching(a: Node, b: Node, held: dict[tuple[int, int], int] | None = None) -> int:
+    """Simple tree matching: the most nodes of two trees that pair up with equal labels, under paired parents and in order.
+
+    ``held`` keeps the results of numbered nodes.
+    """
+    if a.label != b.label:
+        return 0
+    if not a.children or not b.children:
+        return 1
+    known = (a.index, b.index)
+    if held is None or known not in held:
+        found = 1 + pairings(a, b, held)[-1][-1]
+        if held is None:
+            return found
+        held[known] = found
+    return held[known]
+
+
+def pairings(a: Node, b: Node, held: dict[tuple[int, int], int] | None) -> list[list[int]]:
+    """By first i children of ``a`` and first j of ``b``: the most nodes that match below."""
+    table = [[0] * (len(b.children) + 1)]
+    for x in a.children:
+        above, row = table[-1], [0]
+        for j, y in enumerate(b.children):
+            row.append(max(row[j], above[j + 1], above[j] + matching(x, y, held)))
+        table.append(row)
+    return table
+
+
+def similar(a: Node, b: Node) -> bool:
+    """Whether two trees of one label match in most of their nodes."""
+    both = a.size + b.size
+    return 2 * min(a.size, b.size) >= ALIKE * both and 2 * matching(a, b) >= ALIKE * both
+
+
+def partners(a: Node, b: Node) -> dict[int, int]:
+    """The pairs of a best matching of two numbered trees with equal root labels, by index."""
+    held: dict[tuple[int, int], int] = {}
+    out, todo = {}, [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        out[x.index] = y.index
+        table = pairings(x, y, held)
+        i, j = len(x.children), len(y.children)
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                todo.append((x.children[i], y.children[j]))
+    return out
 
 
 def key_of(*parts: object) -> int:
@@ -91,23 +177,24 @@ def joined(a: int, b: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def path_key(parent: int, label: str) -> int:
-    """The node's key in the union tree: its labels from the root."""
-    cache = worker_cache("wrapper").setdefault("paths", {})
-    if (parent, label) not in cache:
-        if len(cache) > 50_000:
-            cache.clear()
-        cache[parent, label] = key_of(parent, label)
-    return cache[parent, label]
-
-
 class Page:
     """A parsed page: tree, and blocks (node, text, words, linked words) in page order."""
 
     def __init__(self, html: str):
-        self.root = Node("#root", None, False, 0, False, False)
+        self.root = Node("#root", None)
         self.blocks: list[tuple[Node, str, int, int]] = []
         self.parse(html)
+        self.root.fold()
+        self.nodes = number(self.root)
+        self.blocks = [(self.listed(node), *rest) for node, *rest in self.blocks]
+        self.shape = "\n".join(f"{n.depth} {n.label}" for n in self.nodes)
+
+    @staticmethod
+    def listed(node: Node) -> Node:
+        """The list that an element became part of."""
+        while node.into is not None:
+            node = node.into
+        return node
 
     def parse(self, html: str) -> None:
         stack: list[tuple[str, Node]] = [("#root", self.root)]
@@ -181,11 +268,10 @@ class Page:
                 continue
             label, chrome, named, main, header, headed = describe(tag, attributes)
             parent = stack[-1][1]
-            node = parent.children.get(label)
-            if node is None:
-                inside = parent.main or main
-                own = 0 if tag in ("html", "body") else named if inside else max(named, headed)
-                node = parent.children[label] = Node(label, parent, parent.fixed or chrome or (header and not inside), own, inside, main and tag != "article")
+            inside = parent.main or main
+            own = 0 if tag in ("html", "body") else named if inside else max(named, headed)
+            node = Node(label, parent, parent.fixed or chrome or (header and not inside), own, inside, main and tag != "article")
+            parent.children.append(node)
             if tag == "article" and named < 2 and not node.fixed:
                 node.articles += 1
             stack.append((tag, node))
@@ -193,7 +279,7 @@ class Page:
 
     def settle(self, varying: list[tuple[Node, str, int, int]]) -> None:
         """Set ``chrome`` of each node: a name marks it unless the page's main element, its only article or most of its varying text is inside."""
-        nodes = number(self)
+        nodes = self.nodes
         plain, lead, articles = [0] * len(nodes), [n.lead and not n.fixed for n in nodes], [n.articles for n in nodes]
         for node, _, words, linked in varying:
             if not node.fixed:
@@ -240,25 +326,66 @@ def describe(tag: str, attributes: str) -> tuple[str, bool, int, bool, bool, int
     return cache[key]
 
 
-def number(page: Page) -> list[Node]:
-    """The page's nodes in order, numbered."""
-    out, stack = [], [page.root]
+def number(root: Node) -> list[Node]:
+    """The tree's nodes in order, numbered."""
+    out, stack = [], [root]
     while stack:
         node = stack.pop()
         node.index = len(out)
         out.append(node)
-        stack.extend(reversed(node.children.values()))
+        stack.extend(reversed(node.children))
     return out
 
 
-def unzip(payload: bytes | None) -> str:
-    return zstandard.ZstdDecompressor().decompress(payload).decode("utf-8", "replace") if payload else ""
+def tree_of(shape: str) -> list[Node]:
+    """The numbered nodes of a page's ``shape``."""
+    nodes: list[Node] = []
+    path: list[Node] = []
+    for line in shape.split("\n"):
+        depth, label = line.split(" ", 1)
+        del path[int(depth) :]
+        node = Node(label, path[-1] if path else None)
+        if path:
+            path[-1].children.append(node)
+        path.append(node)
+        node.index = len(nodes)
+        nodes.append(node)
+    return nodes
+
+
+class Aligned(NamedTuple):
+    """A shape of a host beside the host's centre, by node: its key in the union of all shapes, its partner in the centre
+    (-1: none), and the partner of the lowest node above or at it that has one; and the keys of host and layout."""
+
+    keys: list[int]
+    partner: list[int]
+    within: list[int]
+    scopes: tuple[int, int]
+
+
+def aligned(host: str, shape: str, centre: str) -> Aligned:
+    """Nodes that the matching pairs have the key of their partner, others one of their parent's key, label and place among such siblings."""
+    nodes = tree_of(shape)
+    pairs = partners(nodes[0], tree_of(centre)[0])
+    keys, within, paths = [], [], []
+    alone: dict[tuple[int, str], int] = {}
+    for node in nodes:
+        up = node.parent.index if node.parent else -1
+        partner = pairs.get(node.index, -1)
+        if partner < 0:
+            # unpaired siblings of one label: the order tells them apart
+            order = alone[up, node.label] = alone.get((up, node.label), -1) + 1
+            keys.append(key_of(keys[up], node.label, order))
+        else:
+            keys.append(key_of(partner))
+        within.append(partner if partner >= 0 else within[up])
+        paths.append(f"{paths[up]} {node.label}" if node.parent else node.label)
+    upper = sorted({p for node, p in zip(nodes, paths, strict=True) if node.depth <= LAYOUT_DEPTH})
+    return Aligned(keys, [pairs.get(n.index, -1) for n in nodes], within, (key_of(host), key_of(host, *upper)))
 
 
-def scopes(page: Page, host: str) -> tuple[int, int]:
-    """Keys of the page's host and of its layout there."""
-    upper = sorted(n.path for n in number(page) if n.depth <= LAYOUT_DEPTH)
-    return key_of(host), key_of(host, *upper)
+def unzip(payload: bytes | None) -> str:
+    return zstandard.ZstdDecompressor().decompress(payload).decode("utf-8", "replace") if payload else ""
 
 
 def packed(pages: DataFrame) -> DataFrame:
@@ -290,63 +417,137 @@ def weighed_pages(read: DataFrame, folder: str) -> DataFrame:
 
 
 def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``STATS`` of ``host, weight, payload``: pages of each host and layout; per node there pages, words, linked words; per text of the node the pages that have it."""
+    """``STATS`` of ``host, weight, payload``: pages of each shape of a host; per node of it pages, words, linked words; the same per text of the node, whose key is of host and text."""
     for whole in batches:
         for at in range(0, whole.num_rows, 2000):
             batch = whole.slice(at, 2000)
             sums: dict[tuple, list[int]] = {}
             for host, weight, payload in zip(batch.column("host").to_pylist(), batch.column("weight").to_pylist(), batch.column("payload"), strict=True):
                 page = Page(unzip(payload.as_py()))
-                own: dict[tuple, list[int]] = {}
-                nodes: dict[int, list[int]] = {}
-                for node, _, words, linked in page.blocks:
-                    row = nodes.setdefault(node.path, [1, 0, 0])
-                    row[1] += words
-                    row[2] += linked
-                texts = {(node.path, text): key_of(text) for node, text, _, _ in page.blocks}
-                for scope in scopes(page, host):
-                    own[scope, 0, SCOPE, host] = [1, 0, 0]
-                    places = {path: joined(scope, path) for path in nodes}
-                    own.update(((places[path], scope, NODE, None), row) for path, row in nodes.items())
-                    own.update(((joined(places[path], text), places[path], TEXT, None), [1, 0, 0]) for (path, _), text in texts.items())
+                shape = key_of(host, page.shape)
+                own: dict[tuple, list[int]] = {(shape, 0, SHAPE, host, page.shape): [1, 0, 0]}
+                for node, text, words, linked in page.blocks:
+                    place = joined(shape, node.index)
+                    for name in ((place, shape, NODE, None, None), (key_of(host, text), place, TEXT, None, None)):
+                        row = own.setdefault(name, [1, 0, 0])
+                        row[1] += words
+                        row[2] += linked
                 for name, row in own.items():
                     total = sums.setdefault(name, [0, 0, 0])
                     for i in range(3):
                         total[i] += weight * row[i]
-            columns = list(zip(*((*k, *v) for k, v in sums.items()), strict=True)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "base", "kind", "host", "pages", "words", "linked"])
-
-
-def marks_of(counted: DataFrame, folder: str) -> DataFrame:
-    """``host, marks``: keys of each host's template texts and of its menu nodes."""
-    sums = counted.groupBy("key", "base", "kind", "host").agg(*(F.sum(c).alias(c) for c in ("pages", "words", "linked")))
-    # what is on too few pages to be template is most of all texts, and is not kept
-    sums.where((F.col("kind") != TEXT) | (F.col("pages") >= LEAST_PAGES)).write.parquet(f"{folder}/sums")
-    sums = counted.sparkSession.read.parquet(f"{folder}/sums")
-    scope = sums.where(F.col("kind") == SCOPE).select(F.col("key").alias("base"), F.col("host").alias("owner"), F.col("pages").alias("all_pages"))
-    node = sums.where(F.col("kind") == NODE).join(scope, "base")
+            columns = list(zip(*((*k, *v) for k, v in sums.items()), strict=True)) or [()] * 8
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
+            names = ["key", "base", "kind", "host", "shape", "pages", "words", "linked"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``SPOTS`` of ``key, host, shape, pages, centre_shape``: where each node of a shape belongs among the host's pages and those of its layout."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = aligned(row["host"], row["shape"], row["centre_shape"])
+            place = [joined(row["key"], i) for i in range(len(found.keys))]
+            for scope in found.scopes:
+                of_host = scope == found.scopes[0]
+                n = len(place)
+                columns = [place, [row["host"]] * n, [scope] * n, [joined(scope, k) for k in found.keys], found.partner if of_host else [-1] * n, [row["pages"]] + [0] * (n - 1)]
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["place", "host", "scope", "spot", "centre", "scope_pages"])
+
+
+def wrappers_of(counted: DataFrame, folder: str) -> DataFrame:
+    """``host, centre_shape, marks, slots``: a host's centre, its template texts (``spot, text``) and menu nodes (text 0), and the centre's nodes with varying text (``centre, plain`` words outside links)."""
+    spark = counted.sparkSession
+
+    def write(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    sums = write(counted.groupBy("key", "base", "kind", "host", "shape").agg(*(F.sum(c).alias(c) for c in ("pages", "words", "linked"))), "sums")
+    shapes = sums.where(F.col("kind") == SHAPE).select("key", "host", "shape", "pages")
+    covers = F.struct(F.col("pages") * F.size(F.split("shape", "\n")), "key")
+    centres = write(shapes.groupBy("host").agg(F.max_by("shape", covers).alias("centre_shape")), "centres")
+    spots = write(shapes.join(centres, "host").mapInArrow(align, SPOTS), "spots")
+    scope = spots.groupBy("scope").agg(F.sum("scope_pages").alias("all_pages"))
+    totals = [F.sum(c).alias(c) for c in ("pages", "words", "linked")]
+    here = sums.where(F.col("kind") == NODE).select(F.col("key").alias("place"), "pages", "words", "linked").join(spots, "place")
+    node = write(here.groupBy("scope", "spot", "host", "centre").agg(*totals).join(scope, "scope"), "nodes")
     menus = node.where((F.col("linked") > MOST_LINKED * F.col("words")) & ((F.col("pages") >= LEAST_PAGES) | (F.col("all_pages") < TEMPLATE_PAGES)))
-    place = node.select(F.col("key").alias("base"), "owner", "all_pages", F.col("pages").alias("node_pages"))
+    # what is on too few pages of the host to be template is most of all texts
+    texts = sums.where(F.col("kind") == TEXT).select("key", F.col("base").alias("place"), "pages", "words", "linked")
+    common = texts.groupBy("key").agg(F.sum("pages").alias("n")).where(F.col("n") >= LEAST_PAGES)
+    there = texts.join(common.select("key"), "key", "left_semi").join(spots.select("place", "spot"), "place").groupBy("spot", "key").agg(*totals)
     often = F.lit(False)
     for total in ("all_pages", "node_pages"):
         often = often | ((F.col(total) >= TEMPLATE_PAGES) & (F.col("pages") > TEMPLATE_SHARE * F.col(total)))
-    template = sums.where(F.col("kind") == TEXT).join(place, "base").where(often)
-    both = template.select("owner", "key").union(menus.select("owner", "key"))
-    return both.groupBy(F.col("owner").alias("host")).agg(F.collect_list("key").alias("marks"))
+    place = node.select("spot", "host", "all_pages", F.col("pages").alias("node_pages"))
+    template = write(there.where(F.col("pages") >= LEAST_PAGES).join(place, "spot").where(often).select("host", "spot", F.col("key").alias("text"), "words", "linked"), "template")
+    fixed = template.groupBy("spot").agg(F.sum(F.col("words") - F.col("linked")).alias("fixed"))
+    plain = F.col("words") - F.col("linked") - F.coalesce("fixed", F.lit(0))
+    slots = node.where("centre >= 0").join(fixed, "spot", "left").select("host", F.struct("centre", plain.alias("plain")).alias("slot")).where("slot.plain > 0")
+    marks = template.select("host", F.struct("spot", "text").alias("mark")).union(menus.select("host", F.struct("spot", F.lit(0).cast("long").alias("text"))))
+    both = marks.select("host", "mark", F.lit(None).cast("struct<centre:int,plain:bigint>").alias("slot")).union(slots.select("host", F.lit(None).cast("struct<spot:bigint,text:bigint>"), "slot"))
+    return centres.join(both.groupBy("host").agg(F.collect_list("mark").alias("marks"), F.collect_list("slot").alias("slots")), "host", "left")
+
+
+def content_part(centre: str, plain: dict[int, int]) -> set[int]:
+    """The centre's nodes of the content slot: from the root down, the element that holds nearly all varying text outside links, and headings beside the way.
+
+    An element whose own text is most of that is a list of paragraphs: its parent is the slot.
+    """
+    nodes = tree_of(centre)
+    below = [plain.get(n.index, 0) for n in nodes]
+    for node in reversed(nodes[1:]):
+        below[node.parent.index] += below[node.index]
+    at, kept = nodes[0], []
+    while at.children:
+        best = max(at.children, key=lambda n: below[n.index])
+        if below[best.index] < DOMINANT * max(below[at.index], 1) or 2 * plain.get(best.index, 0) > below[best.index]:
+            break
+        kept += [n for n in at.children if n.label.split(".")[0].rstrip("!") in HEADINGS]
+        at = best
+    out, kept = set(), [at, *kept]
+    while kept:
+        node = kept.pop()
+        out.add(node.index)
+        kept.extend(node.children)
+    return out
 
 
-def main_text(page: Page, host: str, marks: set[int]) -> str:
-    """The page's content blocks, one a line; ``marks`` are the keys of the host's template texts and menu nodes."""
-    varying = page.blocks
-    for scope in scopes(page, host) if marks else ():
-        places = [joined(scope, node.path) for node, *_ in varying]
-        varying = [b for b, at in zip(varying, places, strict=True) if (b[0].main or at not in marks) and joined(at, key_of(b[1])) not in marks]
+class Wrapper:
+    """What the pages of a host have in common: centre, keys of template texts and menu nodes, and the centre's content slot."""
+
+    def __init__(self, host: str, centre: str, marks: Iterable[tuple[int, int]], slots: Iterable[tuple[int, int]]):
+        self.host, self.centre = host, centre
+        self.marks = {joined(spot, text) if text else spot for spot, text in marks}
+        self.part = content_part(centre, dict(slots))
+        self.known: dict[str, tuple[list[tuple[int, int]], list[bool]]] = {}
+
+    def places(self, shape: str) -> tuple[list[tuple[int, int]], list[bool]]:
+        """For each node of a shape its keys in host and layout, and whether it is in the content slot."""
+        if shape not in self.known:
+            if len(self.known) > 300:
+                self.known.clear()
+            found = aligned(self.host, shape, self.centre)
+            keys = [(joined(found.scopes[0], k), joined(found.scopes[1], k)) for k in found.keys]
+            self.known[shape] = keys, [w in self.part for w in found.within]
+        return self.known[shape]
+
+
+def main_text(page: Page, wrapper: Wrapper) -> str:
+    """The page's content blocks, one a line."""
+    keys, inside = wrapper.places(page.shape)
+    varying = []
+    for block in page.blocks:
+        node, text = block[:2]
+        name = key_of(wrapper.host, text)
+        if not any((not node.main and spot in wrapper.marks) or joined(spot, name) in wrapper.marks for spot in keys[node.index]):
+            varying.append(block)
     page.settle(varying)
-    kept = [(node.main, text) for node, text, words, linked in varying if not node.chrome and (node.main or linked <= MOST_LINKED * words)]
-    if any(main for main, _ in kept):
-        kept = [x for x in kept if x[0]]
-    return "\n".join(text for _, text in kept)
+    kept = [(node, text) for node, text, words, linked in varying if not node.chrome and (node.main or linked <= MOST_LINKED * words)]
+    chosen = [text for node, text in kept if node.main] or [text for node, text in kept if inside[node.index]]
+    return "\n".join(chosen or [text for _, text in kept])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -358,26 +559,28 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     pages of a host nothing counts as template. Elements deeper than
     150 levels belong to the one above. An empty table gives no rows; other columns are not read.
 
-    A host of any size costs its template's keys once per task: the join splits skewed hosts, and counts
-    are summed per batch before they are shuffled by node and text.
+    Counts are summed per batch and shuffled by shape, node and text; a host's shapes are aligned one by one
+    with its centre, which is one page's tree. The join gives each page row its host's wrapper (that tree,
+    template texts as pairs of keys) and splits skewed hosts.
     """
     folder = new_work_dir(pages.sparkSession, "wrapper")
     read = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), url_host(F.col(url)).alias("host"), F.col(html).alias("html"))
     rows = packed(read)
-    marks_of(weighed_pages(read, folder).mapInArrow(count, STATS), folder).write.parquet(f"{folder}/marks")
-    wrappers = pages.sparkSession.read.parquet(f"{folder}/marks")
+    wrappers_of(weighed_pages(read, folder).mapInArrow(count, STATS), folder).write.parquet(f"{folder}/wrappers")
+    wrappers = pages.sparkSession.read.parquet(f"{folder}/wrappers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, set[int]] = {}
+        known: dict[str, Wrapper] = {}
         for batch in batches:
             out = []
-            for host, payload, own in zip(*(batch.column(c) for c in ("host", "payload", "marks")), strict=True):
+            for host, payload, centre, marks, slots in zip(*(batch.column(c) for c in ("host", "payload", "centre_shape", "marks", "slots")), strict=True):
                 name = host.as_py()
                 if name not in known:
                     if len(known) > 300:
                         known.clear()
-                    known[name] = set(own.as_py() or ())
-                out.append(main_text(Page(unzip(payload.as_py())), name, known[name]))
+                    pairs = ([tuple(x.values()) for x in column.as_py() or ()] for column in (marks, slots))
+                    known[name] = Wrapper(name, centre.as_py(), *pairs)
+                out.append(main_text(Page(unzip(payload.as_py())), known[name]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     return rows.select("page_id", "url", "host", "payload").join(wrappers, "host", "left").mapInArrow(run, TEXTS)
