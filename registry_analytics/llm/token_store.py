@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
+from .samples import lowest
 from .spans import text_slices
 from .tokens import END_ID, encode_slice, row_ids, with_end_ids
 
@@ -94,7 +95,7 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, width: int, sample_docs: int
     ``trained``: by zstandard's trainer. ``raw``: where the trainer finds too little in the samples, they are
     themselves the dictionary, as raw content. ``none``: there is no text to learn from.
     """
-    chosen = docs.select(F.col("doc_id").alias("chosen")).where("chosen IS NOT NULL").distinct().orderBy(F.xxhash64("chosen"), "chosen").limit(sample_docs)
+    chosen = lowest(docs.select(F.col("doc_id").alias("chosen")).where("chosen IS NOT NULL"), ("chosen",), sample_docs)
     # at most sample_docs rows of one long each: broadcasting them is bounded
     sample = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["chosen"]).select(F.substring("text", 1, sample_chars).alias("text"))
 

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .samples import lowest
 from .spans import SpanHash, rows_of, string_bytes, text_slices
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -86,13 +87,13 @@ def score(model: Model, host: pa.Array, path: pa.Array) -> np.ndarray:
 
 
 def train(labelled: DataFrame, most_rows: int = 20_000, steps: int = 150, rate: float = 8.0, ridge: float = 1e-4) -> Model:
-    """Fit on at most ``most_rows`` rows (lowest hash first) of ``url, blocked``; both labels weigh the same.
+    """Fit on at most ``most_rows`` different rows (lowest hash first) of ``url, blocked``; both labels weigh the same.
 
-    Rows without url or label are left out; a table with one label or none gives weights of zero and a
-    bias that allows.
+    Rows without url or label are left out, and rows of equal host, path and label count once; a table with
+    one label or none gives weights of zero and a bias that allows.
     """
     rows = labelled.where(F.col("url").isNotNull() & F.col("blocked").isNotNull()).select("blocked", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    held = rows.orderBy(F.xxhash64("host", "path"), "host", "path", "blocked").limit(most_rows).toArrow().combine_chunks()
+    held = lowest(rows, ("host", "path"), most_rows).toArrow().combine_chunks()
     target = np.array(held.column("blocked").to_pylist(), np.float64)
     weights, bias = np.zeros(1 << BITS), 0.0
     share = target.mean() if len(target) else 0.0
