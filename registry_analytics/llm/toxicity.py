@@ -236,11 +236,47 @@ def misspellings(counted: DataFrame, entries: tuple[Entry, ...], most_clean: int
     return Model(tuple(weighed), clean)
 
 
+def held_in(run: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted ``run``."""
+    if not len(run):
+        return np.zeros(len(values), bool)
+    return run[np.minimum(np.searchsorted(run, values), len(run) - 1)] == values
+
+
+class Seen:
+    """Hashes of the words a worker has looked up, as sorted runs: a run joins the one before it while that is less than
+    twice as long, so a hash is merged a logarithmic number of times, however many were seen before."""
+
+    def __init__(self):
+        self.runs: list[np.ndarray] = []
+
+    @property
+    def size(self) -> int:
+        return sum(map(len, self.runs))
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(values), bool)
+        for run in self.runs:
+            out |= held_in(run, values)
+        return out
+
+    def add(self, new: np.ndarray) -> None:
+        """``new`` values, sorted, none of them seen before."""
+        if len(new):
+            self.runs.append(new)
+        while len(self.runs) > 1 and len(self.runs[-2]) < 2 * len(self.runs[-1]):
+            last = self.runs.pop()
+            self.runs[-1] = np.sort(np.concatenate([self.runs[-1], last]), kind="stable")
+
+    def clear(self) -> None:
+        self.runs.clear()
+
+
 def rate(part: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[list[dict]]]:
     """(score, hits) of each row's ``text``. A worker keeps the trie and its answers for distinct words."""
     cache = worker_cache(("toxicity", hash(model)))
     if not cache:
-        cache.update(trie=Trie(model.entries), seen=[np.zeros(0, np.uint64)], answers={})
+        cache.update(trie=Trie(model.entries), seen=Seen(), answers={}, known=np.zeros(0, np.uint64))
     trie, seen, answers = cache["trie"], cache["seen"], cache["answers"]
     data, offsets = string_bytes(part.column("text"))
     low, start, end = lower_words(data, offsets)
@@ -248,21 +284,22 @@ def rate(part: pa.RecordBatch, model: Model) -> tuple[np.ndarray, list[list[dict
     left_over = np.full(part.num_rows, math.log1p(-BASE_SCORE))
     if len(start) and model.entries:
         hashes = SpanHash(low)(start, end)
-        distinct, first = np.unique(hashes, return_index=True)
-        at = np.searchsorted(seen[0], distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(seen[0])
-        new[inside] = seen[0][at[inside]] != distinct[inside]
+        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        new = ~seen.has(distinct)
         raw, texts = low.tobytes(), data.tobytes()
-        if len(seen[0]) + new.sum() > CACHE:
-            seen[0], new[:] = np.zeros(0, np.uint64), True
+        if seen.size + new.sum() > CACHE:
+            seen.clear()
             answers.clear()
+            new[:] = True
+        held = len(answers)
         for h, f in zip(distinct[new].tolist(), first[new].tolist(), strict=True):
             found = lookup(raw[start[f] : end[f]].decode("utf-8", "replace"), trie, model.clean)
             if found:
                 answers[h] = found
-        seen[0] = np.union1d(seen[0], distinct[new])
-        here = np.flatnonzero(np.isin(hashes, np.array(sorted(answers), np.uint64))) if answers else np.zeros(0, np.int64)
+        seen.add(distinct[new])
+        if len(answers) != held or len(cache["known"]) != held:
+            cache["known"] = np.sort(np.fromiter(answers, np.uint64, len(answers)))
+        here = np.flatnonzero(held_in(cache["known"], distinct)[inverse])
         strongest: dict[tuple[int, str], tuple[float, int]] = {}
         for k, r in zip(here.tolist(), rows_of(start[here], offsets).tolist(), strict=True):
             a, b = int(start[k]), int(end[k])
