@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import new_work_dir
 from .decontaminate import words_of
+from .links import components, hub_join
 from .spans import BASE, SpanHash, gather, mix, powers, string_bytes, text_slices, tidy, worker_cache
 
 SHINGLE = 5
@@ -305,23 +306,6 @@ def path_edges(nodes: DataFrame, folder: str, name: str, threshold: float, runs:
     return found, deep
 
 
-def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
-    """``node, root`` for each node with an edge: alternating large-star and small-star steps until nothing changes."""
-    now = write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), folder, f"{name}-0")
-    seen, step = None, 0
-    while True:
-        mark = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
-        if mark == seen:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
-        seen, step = mark, step + 1
-        both = now.union(now.select("b", "a"))
-        lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least)
-        now = write(small.distinct(), folder, f"{name}-{step}")
-
-
 LINKS = "a binary, b binary, n long"
 
 
@@ -401,7 +385,7 @@ def verify(members: DataFrame, threshold: float, tasks: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
-    """``node, payload`` (compressed text) of each row of ``docs`` with words."""
+    """``doc_id, node, payload`` (compressed text) of each row of ``docs`` (``doc_id, text``) with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
@@ -412,10 +396,12 @@ def texts_of(docs: DataFrame) -> DataFrame:
                 words = SpanHash(folded)(start, end) if len(start) else np.zeros(0, np.uint64)
                 keys = node_ids(words, np.searchsorted(start, offsets))
                 raw = data.tobytes()
-                rows = [(k, pack.compress(raw[a:b])) for k, a, b in zip(keys, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) if k]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], ["node", "payload"])
+                ids = part.column("doc_id").to_pylist()
+                rows = [(i, k, pack.compress(raw[a:b])) for i, k, a, b in zip(ids, keys, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True) if k]
+                columns = list(zip(*rows, strict=True)) or [(), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["doc_id", "node", "payload"])
 
-    return docs.select("text").mapInArrow(tidy(run), "node binary, payload binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, node binary, payload binary")
 
 
 def classes(
@@ -447,31 +433,28 @@ def classes(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")
     )
     nodes = write(grouped, folder, "nodes")
-    near = components(candidate_edges(nodes.select("node", "tokens", "sketch"), folder, threshold, recall, limit, levels, tasks), folder, "near")
-    members = write(near.join(nodes.select("node", "copies", "n_words"), "node"), folder, "members")
+    near = components(candidate_edges(nodes.select("node", "tokens", "sketch"), folder, threshold, recall, limit, levels, tasks), f"{folder}/near")
+    members = write(near.join(nodes.select("node", "first_id", "copies", "n_words"), "node"), folder, "members")
     sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
     blocks = F.greatest(F.ceil(F.col("n") / block_nodes), F.ceil(F.col("words") / block_words)).cast("int")
-    dealt = members.join(sizes.select("root", blocks.alias("blocks")), "root")
+    dealt = hub_join(members, write(sizes.select("root", "n", blocks.alias("blocks")), folder, "sizes"), "root")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # merged at every size: the members grow with the input, and a broadcast of few would only hide what many cost
-    one = texts_of(read).join(dealt.select("node", "root", "copies", "blocks", "block").hint("merge"), "node").dropDuplicates(["node"])
+    # by key and smallest id, so the copies of one text do not meet; merged at every size: the members grow with the input, and a broadcast of few would only hide what many cost
+    held = dealt.select(F.col("node").alias("member"), "first_id", "root", "copies", "blocks", "block").hint("merge")
+    one = texts_of(read).join(held, (F.col("node") == F.col("member")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).dropDuplicates(["node"])
     paired = one.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     paired = paired.select(F.col("root").alias("group"), F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "copies", "payload")
     checked = write(verify(paired, threshold, tasks), folder, "checked")
     links = checked.where("n IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
-    joined = components(checked.where("b IS NOT NULL").select("a", "b"), folder, "class")
-    named = nodes.select("node", "first_id", "copies").join(joined, "node", "left").join(links, "node", "left")
-    named = named.withColumn("root", F.coalesce("root", "node"))
-    ids = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    found = named.join(ids, "root").select("node", "root", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
-    out = rows.select("doc_id", "node").join(found, "node", "left")
-    return out.select(
-        "doc_id",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        "node",
-        "root",
-    )
+    joined = components(checked.where("b IS NOT NULL").select("a", "b"), f"{folder}/class")
+    named = nodes.select("node", "first_id", "copies").join(joined, "node", "left").join(links.withColumnRenamed("n", "linked"), "node", "left")
+    named = write(named.withColumn("root", F.coalesce("root", "node")), folder, "named")
+    ids = write(named.groupBy("root").agg(F.min("first_id").alias("class_id"), F.count("*").alias("n")), folder, "ids")
+    n_links = F.col("copies") - 1 + F.coalesce("linked", F.lit(0))
+    found = write(hub_join(named, ids, "root").select("node", "root", "class_id", n_links.alias("n_links"), "copies"), folder, "found")
+    alike = hub_join(rows.where("node IS NOT NULL").select("doc_id", "node"), found, "node", "copies")
+    alone = rows.where("node IS NULL").select("doc_id", "node", F.lit(None).cast("binary").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return alike.unionByName(alone).select("doc_id", "class_id", "n_links", "node", "root")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: float) -> DataFrame:
