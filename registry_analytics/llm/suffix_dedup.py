@@ -38,6 +38,8 @@ MULTIPLIER = np.uint64(0x94D049BB133111EB)
 NO_ID = np.iinfo(np.int64).max
 RECORDS = "bucket int, payload binary"
 SPANS = "part int, payload binary"
+#: Places of the map of crowded minimisers: 8 MB.
+MAP_BITS = 26
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -360,17 +362,19 @@ def pieces(batch: pa.RecordBatch, length: int, most: int) -> Iterator[tuple[np.n
             yield cut, np.array([0, len(cut)]), np.array([-at]), ids, tags
 
 
-def crowded_seeds(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_000, flush: int = 16_000_000, weight: int = 32) -> np.ndarray:
-    """Sorted hashes of the minimisers that about ``crowd`` or more records have, equal texts within ``flush`` bytes counted once.
+def crowded_map(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_000, flush: int = 16_000_000, weight: int = 32) -> tuple[np.ndarray, int]:
+    """Bits of 2**MAP_BITS places, set where a minimiser's hash falls that about ``crowd`` or more records have, equal
+    texts within ``flush`` bytes counted once; and the bytes of all texts. Without such a minimiser the map is empty.
 
     A count under ``weight`` of one flush is handed on as ``weight`` with a chance in proportion, so sums are
-    right on average. They only choose how records are dealt: no result depends on them.
+    right on average. The map only chooses how records are dealt, and so may a place that two minimisers share:
+    no result depends on it. Its size does not grow with the input.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("suffix_dedup")
         held: list[tuple] = []
-        size = 0
+        size = total = 0
 
         def counts() -> pa.RecordBatch:
             seed, content = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -381,10 +385,11 @@ def crowded_seeds(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_0
             seeds, n = np.unique(seed[new], return_counts=True)
             chance = mix(seeds + content.min()) % np.uint64(weight)
             keep = chance < n.astype(np.uint64)
-            return pa.RecordBatch.from_arrays([pa.array(seeds[keep].view(np.int64)), pa.array(np.maximum(n[keep], weight).astype(np.int64))], ["seed", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(mix(seeds[keep]).view(np.int64)), pa.array(np.maximum(n[keep], weight).astype(np.int64))], ["seed", "n"])
 
         for whole in batches:
             for data, offsets, _, _, _ in pieces(whole, length, piece):
+                total += len(data)
                 if len(data) < length:
                     continue
                 hashes = SpanHash(data)
@@ -398,26 +403,39 @@ def crowded_seeds(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_0
                     size = 0
         if held:
             yield counts()
-
-    found = rows.mapInArrow(tidy(run), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where(F.col("n") >= crowd)
-    # at most one for each ``crowd`` records of the input
-    return np.sort(np.array([r.seed for r in found.select("seed").collect()], np.int64).view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([total], pa.int64())], ["seed", "n"])
+
+    found = rows.mapInArrow(tidy(run), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).where((F.col("n") >= crowd) | F.col("seed").isNull())
+    place = F.col("seed").bitwiseAND((1 << MAP_BITS) - 1) + 1  # Spark numbers the bits from 1
+    found = found.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"), F.max(F.when(F.col("seed").isNull(), F.col("n"))).alias("bytes"))
+    parts = found.collect()  # of 4 KB each, 2**MAP_BITS bits at most, and one of the bytes
+    total = sum(r.bytes or 0 for r in parts)
+    if all(r.part is None for r in parts):
+        return np.zeros(0, np.uint8), total
+    table = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    for r in parts:
+        if r.part is not None:
+            own = np.frombuffer(r.bits, np.uint8)
+            table[(r.part - 1) * len(own) : r.part * len(own)] = own
+    return table, total
 
 
 def split_crowded(crowded: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, ...]:
     """The records, those of crowded minimisers as one record for each suffix; and which these are."""
     if not len(crowded):
         return first, last, place, seed, np.zeros(len(first), bool)
-    full = crowded[np.minimum(np.searchsorted(crowded, seed), len(crowded) - 1)] == seed
+    bit = mix(seed) & np.uint64((1 << MAP_BITS) - 1)
+    full = (crowded[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
     n = np.where(full, last - first + 1, 1)
     start = gather(first, n)
     full = np.repeat(full, n)
     return start, np.where(full, start, np.repeat(last, n)), np.repeat(place, n), np.repeat(seed, n), full
 
 
-def deal_records(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int = 10_000, flush: int = 16_000_000, piece: int = 1_000_000) -> DataFrame:
-    """Compressed records of ``rows`` (``tag, doc_id, text``) by bucket, and under -1 - part what is known to repeat; ``piece`` is under 16 MiB."""
-    crowded = crowded_seeds(rows, length, crowd, piece, flush)
+def deal_records(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int = 10_000, flush: int = 16_000_000, piece: int = 1_000_000, crowded: np.ndarray | None = None) -> DataFrame:
+    """Compressed records of ``rows`` (``tag, doc_id, text``) by bucket, and under -1 - part what is known to repeat; ``piece`` is under 16 MiB, ``crowded`` the map for ``crowd``, if there is one."""
+    if crowded is None:
+        crowded = crowded_map(rows, length, crowd, piece, flush)[0]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("suffix_dedup")
@@ -480,7 +498,7 @@ def deal_records(rows: DataFrame, length: int, buckets: int, parts: int, crowd:
     return rows.mapInArrow(tidy(deal), RECORDS)
 
 
-def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowd: int, piece: int) -> DataFrame:
+def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowded: np.ndarray, piece: int) -> DataFrame:
     """Removed spans of ``rows`` (``tag, doc_id, text``) as compressed lists by part."""
 
     def sort(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -503,7 +521,7 @@ def find_spans(rows: DataFrame, length: int, buckets: int, parts: int, crowd: in
             bucket_spans(payloads, length, spans)
         yield from spans.batches()
 
-    dealt = deal_records(rows, length, buckets, parts, crowd, piece=piece)
+    dealt = deal_records(rows, length, buckets, parts, crowded=crowded, piece=piece)
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     return dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(sort), SPANS)
 
@@ -522,10 +540,10 @@ def remove_repeats(
     row = F.struct(*carry) if carry else F.lit(None).cast("int")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), row.alias("row"))
     rows = rows.select(F.xxhash64("text").bitwiseAND(0xFFFFFF).alias("tag"), "doc_id", "text", "row")
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    crowded, total = crowded_map(rows.drop("row"), length, crowd, piece)
     buckets = max(64, -(-total // bucket_bytes) * 2)  # records overlap: a bucket holds about 1.8 times as many bytes
     parts = max(16, -(-total // part_bytes))
-    spans = find_spans(rows.drop("row"), length, buckets, parts, crowd, piece)
+    spans = find_spans(rows.drop("row"), length, buckets, parts, crowded, piece)
     row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
