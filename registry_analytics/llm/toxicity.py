@@ -166,8 +166,12 @@ def forms(labelled: DataFrame) -> DataFrame:
                     continue
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
                 words = SpanHash(low)(start, end)
-                near = mix(np.append(np.uint64(0), words[:-1]) * BASE + np.append(words[1:], np.uint64(0)))
-                bad = toxic[rows_of(start, offsets)]
+                row = rows_of(start, offsets)
+                inside = row[1:] == row[:-1]  # a text's first and last word have one neighbour
+                before, after = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+                before[1:], after[:-1] = np.where(inside, words[:-1], 0), np.where(inside, words[1:], 0)
+                near = mix(before * BASE + after)
+                bad = toxic[row]
                 _, keep = np.unique(mix(near ^ words) + bad.astype(np.uint64), return_index=True)
                 keep = keep[(end - start)[keep] >= 3]
                 raw = low.tobytes()
