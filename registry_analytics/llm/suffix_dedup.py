@@ -81,11 +81,9 @@ def records(spans: SpanHash, offsets: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def key_bytes(text: np.ndarray, at: np.ndarray, skip: int, n: int) -> np.ndarray:
-    """``n`` (at most 8) bytes from ``at + skip`` as a big-endian number; ``text`` is padded."""
-    out = np.zeros(len(at), np.uint64)
-    for i in range(skip, skip + n):
-        out = (out << np.uint64(8)) | text[at + i]
-    return out
+    """``n`` (1 to 8) bytes from ``at + skip`` as a big-endian number; eight bytes from there must lie in ``text``, which is padded."""
+    eights = np.ndarray((max(len(text) - 7, 0),), ">u8", text, strides=(1,))  # the eight bytes from every place
+    return eights[at + skip].astype(np.uint64) >> np.uint64(64 - 8 * n)
 
 
 def dense(key: np.ndarray) -> np.ndarray:
@@ -379,11 +377,9 @@ def crowded_map(rows: DataFrame, length: int, crowd: int, piece: int = 1_000_000
         def counts() -> pa.RecordBatch:
             seed, content = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            order = np.lexsort((content, seed))
-            seed, content = seed[order], content[order]
-            new = np.append(True, (seed[1:] != seed[:-1]) | (content[1:] != content[:-1]))
-            seeds, n = np.unique(seed[new], return_counts=True)
-            chance = mix(seeds + content.min()) % np.uint64(weight)
+            content, once = np.unique(content, return_index=True)  # equal texts have the same minimiser
+            seeds, n = np.unique(seed[once], return_counts=True)
+            chance = mix(seeds + content[0]) % np.uint64(weight)
             keep = chance < n.astype(np.uint64)
             return pa.RecordBatch.from_arrays([pa.array(mix(seeds[keep]).view(np.int64)), pa.array(np.maximum(n[keep], weight).astype(np.int64))], ["seed", "n"])
 
