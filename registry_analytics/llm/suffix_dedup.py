@@ -247,7 +247,7 @@ def pack_records(
     head = struct.pack(PAYLOAD, len(first), len(more[0]), len(text))
     places = [planes(np.diff(more[0], prepend=0), 4), planes(more[1], 3), planes(more[2], 4)]
     raw = b"".join([head, (last - first + 1).astype("<u2").tobytes(), (seed - first).astype("<u2").tobytes(), np.diff(doc, prepend=0).astype("<i8").tobytes(), planes(tag, 3), planes(first - base, 4), *places, text.tobytes()])
-    return zstandard.ZstdCompressor(level=7).compress(raw)
+    return zstandard.ZstdCompressor(level=5).compress(raw)
 
 
 def planes(values: np.ndarray, n: int) -> bytes:
@@ -543,7 +543,7 @@ def remove_repeats(
     row_type = rows.schema["row"]
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=7)
+        pack = zstandard.ZstdCompressor(level=5)
         for whole in batches:
             for piece in text_slices(whole, "text"):
                 data, offsets = string_bytes(piece.column("text"))
