@@ -150,8 +150,9 @@ def wilson(hits: Column, total: Column, z: float = 2.0) -> Column:
     return (p + z * z / (2 * total) - z * F.sqrt((p * (1 - p) + z * z / (4 * total)) / total)) / (1 + z * z / total)
 
 
-def forms(labelled: DataFrame) -> DataFrame:
-    """``form, toxic, total``: for each word, the distinct pairs of neighbours that it has in toxic texts and in all.
+def forms(labelled: DataFrame, clean_weight: float = 1.0) -> DataFrame:
+    """``form, toxic, seen, total``: for each word, the distinct pairs of neighbours that it has in toxic texts and in all,
+    and in ``total`` those of clean texts count ``clean_weight`` times.
 
     Counting neighbours instead of texts keeps the words of one often copied text from looking frequent.
     """
@@ -179,27 +180,43 @@ def forms(labelled: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(near[keep].view(np.int64)), pa.array(bad[keep])], ["form", "near", "toxic"])
 
     found = labelled.mapInArrow(tidy(run), "form string, near long, toxic long").groupBy("form", "near").agg(F.max("toxic").alias("toxic"))
-    return found.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("total"))
+    total = F.sum("toxic") + F.lit(float(clean_weight)) * (F.count("*") - F.sum("toxic"))
+    return found.groupBy("form").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("seen"), total.alias("total"))
+
+
+def label_weights(rows: dict[int, int], most_rows: int) -> tuple[float, float]:
+    """(how many times as many labelled rows a clean row of the sample stands for as a toxic one, the clean rows' share of
+    the sample over their share of the labels), for ``rows`` of each label; both 1 unless toxic rows are over-represented."""
+    clean, toxic = rows.get(0, 0), rows.get(1, 0)
+    taken_clean, taken_toxic = min(clean, most_rows), min(toxic, most_rows)
+    if clean * taken_toxic <= toxic * taken_clean or not toxic:
+        return 1.0, 1.0
+    return clean * taken_toxic / (taken_clean * toxic), taken_clean * (clean + toxic) / (clean * (taken_clean + taken_toxic))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic", most_rows: int = 5_000, most_entries: int = 5_000, least_share: float = 0.7) -> Model:
     """Learn the lexicon from at most ``most_rows`` labelled rows of each label (lowest id hash first) and keep
     the ``most_entries`` most frequent entries.
 
-    Rows without id, text or label teach nothing; without toxic rows the lexicon is empty.
+    Where that leaves fewer of the clean rows than of the toxic ones, clean ones count for those left out: else half the
+    sample is toxic, and words that say nothing look half toxic. Rows without id, text or label teach nothing; without
+    toxic rows the lexicon is empty.
     """
     keys = labels.select(F.col(doc_id).alias("chosen"), F.col(toxic).cast("int").alias("toxic")).where("chosen IS NOT NULL AND toxic IN (0, 1)").distinct()
     picked = [keys.where(F.col("toxic") == x).orderBy(F.xxhash64("chosen"), "chosen").limit(most_rows) for x in (0, 1)]
     # at most 2 x most_rows rows of two numbers: broadcasting them is bounded
     chosen = F.broadcast(picked[0].union(picked[1]))
     sample = docs.where(F.col(text).isNotNull()).join(chosen, F.col(doc_id) == F.col("chosen")).select(F.col(text).alias("text"), "toxic")
-    counted = forms(sample).persist()
+    clean_weight, room = label_weights({r.toxic: r["count"] for r in keys.groupBy("toxic").count().collect()}, most_rows)  # two rows
+    counted = forms(sample, clean_weight).persist()
     try:
-        share = wilson(F.col("toxic"), F.col("total"))
-        terms = counted.where((F.length("form") >= 3) & (F.col("toxic") >= 5) & (share >= least_share)).select("form", F.lit(False).alias("stem"), "toxic", "total")
+        share = wilson(F.col("toxic"), F.col("seen"))
+        # evidence of the sample, whose base share is higher by as much as its room for clean rows is less; then the weighed share
+        toxic_enough = (share >= 1 - (1 - least_share) * room) & (F.col("toxic") >= least_share * F.col("total"))
+        terms = counted.where((F.length("form") >= 3) & (F.col("toxic") >= 5) & toxic_enough).select("form", F.lit(False).alias("stem"), "toxic", "total")
         cut = F.explode(F.filter(F.array(*(F.when(F.length("form") > n, F.substring("form", 1, n)) for n in STEM_LENGTHS)), lambda x: x.isNotNull()))
-        stems = counted.select(cut.alias("stem_text"), "toxic", "total").groupBy("stem_text").agg(F.sum("toxic").alias("toxic"), F.sum("total").alias("total"), F.count("*").alias("forms"))
-        stems = stems.where((F.col("forms") >= 3) & (F.col("toxic") >= 10) & (share >= 0.8) & (F.col("toxic") >= 0.9 * F.col("total"))).select(F.col("stem_text").alias("form"), F.lit(True).alias("stem"), "toxic", "total")
+        stems = counted.select(cut.alias("stem_text"), "toxic", "seen", "total").groupBy("stem_text").agg(F.sum("toxic").alias("toxic"), F.sum("seen").alias("seen"), F.sum("total").alias("total"), F.count("*").alias("forms"))
+        stems = stems.where((F.col("forms") >= 3) & (F.col("toxic") >= 10) & (share >= 1 - (1 - 0.8) * room) & (F.col("toxic") >= 0.9 * F.col("total"))).select(F.col("stem_text").alias("form"), F.lit(True).alias("stem"), "toxic", "total")
         rows = terms.union(stems).orderBy(F.desc("toxic"), "form", "stem").limit(most_entries).collect()
         stems_seen = [r for r in rows if r.stem]
         # of nested stems, a longer and no less toxic one that keeps most of the evidence says more
@@ -227,7 +244,7 @@ def misspellings(counted: DataFrame, entries: tuple[Entry, ...], most_clean: int
             part = batch.take(pa.array([i for i, _ in found], pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([f[x] for _, f in found], pa.int32()) for x in (1, 0)] + part.columns, ["entry", "edits", *part.schema.names])
 
-    near = counted.select("form", "toxic", "total").mapInArrow(tidy(run), "entry int, edits int, form string, toxic long, total long").persist()
+    near = counted.select("form", "toxic", "total").mapInArrow(tidy(run), "entry int, edits int, form string, toxic long, total double").persist()
     try:
         sums = {r.entry: r for r in near.where("edits > 0").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("total").alias("total")).collect()}  # a row per entry
         clean = frozenset(r.form for r in near.where("2 * toxic < total").orderBy(F.desc("total"), "form").limit(most_clean).collect())

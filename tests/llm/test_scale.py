@@ -169,3 +169,29 @@ def test_toxicity_against_a_plain_recomputation(spark):
     wanted = {r.doc_id: plain_score(r.text or "", entries, clean, answers) for r in rows.collect()}
     for r in toxicity.score(rows, model).collect():
         assert r.score == pytest.approx(wanted[r.doc_id]), r.doc_id
+
+
+def test_words_that_say_nothing_stay_so_where_the_sample_takes_more_of_the_toxic_rows(spark):
+    assert toxicity.label_weights({0: 2000, 1: 200}, 5000) == toxicity.label_weights({1: 900}, 50) == toxicity.label_weights({}, 50) == (1.0, 1.0)
+    assert toxicity.label_weights({0: 200, 1: 2000}, 200) == (1.0, 1.0)
+    assert toxicity.label_weights({0: 2000, 1: 200}, 200) == pytest.approx((10, 0.55))
+
+    toxic = range(0, 2200, 11)
+    clean = [r.id for r in spark.range(2200).where("id % 11 > 0").orderBy(F.xxhash64("id"), "id").collect()]  # the first 200 are the sample's
+    texts = {i: f"n{i % 83} some n{i % 89} words n{i % 97}" for i in [*clean, *toxic]}
+    for k, i in enumerate([*toxic, *clean]):
+        if k % 10 < (8 if i in toxic else 6):  # one letter from a toxic word, in most texts of either kind
+            texts[i] += f" grobni x{i} zaxto"
+    for i in toxic:
+        texts[i] += f" grobnik x{i + 1} zaxtor x{i + 2}"
+    rare = [*list(toxic)[:10], *clean[200:290]]  # as frequent in either, but the sample has it in toxic texts only
+    for i in rare:
+        texts[i] += f" dunpel x{i + 3}"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in texts], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, most_rows=200)
+    assert {e.text for e in model.entries} == {"grobnik", "zaxtor"}
+    assert {"grobni", "zaxto"} <= model.clean
+    marked = {r.doc_id for r in toxicity.score(docs, model).where("score >= 0.7").collect()}
+    assert marked == set(toxic)
+    assert {r.doc_id for r in toxicity.keep_clean(docs, model).collect()} == set(clean)
