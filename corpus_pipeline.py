@@ -20,10 +20,13 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: there, since its frame may be written by the caller: Spark's 10,000 rows of long texts are over 60 MB in the
 #: JVM and again in the worker.
 BATCH_ROWS = 1000
+#: Bytes of rows that pass at a time, if fewer: compressed records of a bucket are 50 KB a row.
+BATCH_BYTES = 8_000_000
 
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -76,3 +77,17 @@ def test_run_against_stages_by_hand(spark, tmp_path):
     for i, found in pieces.items():
         assert sum(n for _, n in found) == len(ids[i])
         assert all(a + n == b for (a, n), (b, _) in zip(sorted(found), sorted(found)[1:]))
+
+
+def test_batches_of_wide_rows_are_bounded_by_bytes(spark):
+    import corpus_pipeline
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    corpus_pipeline.small_batches(spark)
+    wide = spark.range(0, 600, 1, 1).select(F.repeat(F.lit("x"), 50_000).cast("binary").alias("payload"))
+    found = wide.mapInArrow(sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in found) == 600
+    assert max(r.bytes for r in found) <= corpus_pipeline.BATCH_BYTES + 100_000  # the row that reaches the bound is in the batch
